@@ -14,6 +14,7 @@ Run = Callable[[SparkSession, str], DataFrame]
 class Query:
     run: Run
     sql: str | None
+    subject: str
 
 
 QUERIES: dict[str, Query] = {}
@@ -30,7 +31,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = Query(in_utc, sql)
+        QUERIES[name] = Query(in_utc, sql, run.__module__.rsplit(".", 1)[-1])
         return run
 
     return register

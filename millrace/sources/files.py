@@ -27,6 +27,7 @@ def read_csv_contract(spark: SparkSession, path: str, header: Sequence[str]) ->
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(path)
     )

@@ -68,12 +68,12 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 def upsert_writer(
-    stream: DataFrame, path: str, ts: str, order: Column, checkpoint: str
+    stream: DataFrame, path: str, ts: str, order: Column, checkpoint: str, grain: str = "day"
 ) -> DataStreamWriter:
     """Store a stream of points. A micro-batch delivered again replaces itself."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_points(batch, path, ts, batch_id, order)
+        write_points(batch, path, ts, batch_id, order, grain)
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 

@@ -62,7 +62,8 @@ def main() -> int:
     from millrace.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.001"
-    names = sys.argv[2:] or list(QUERIES)
+    wanted = sys.argv[2:]
+    names = [n for n, q in QUERIES.items() if not wanted or n in wanted or q.subject in wanted]
     spark = build_session("parity", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
