@@ -1,4 +1,4 @@
 """The named queries of the package, by subject."""
 
 from .registry import QUERIES, Query  # noqa: F401
-from . import contracts, graphs, streams, timeseries  # noqa: F401
+from . import contracts, graphs, joblogs, streams, timeseries  # noqa: F401

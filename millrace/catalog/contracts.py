@@ -138,7 +138,7 @@ def message_texts(spark, sf, malformed: bool = True):
     sensor, count, millis = F.col("user_id"), F.col("value").cast("bigint"), F.unix_millis(F.col("ts").cast("timestamp"))
     good = compact_json(sensor_id=sensor.cast("string"), vehicle_count=count, event_timestamp_ms=millis)
     if not malformed:
-        return events.select("event_id", good.alias("value"))
+        return events.select("event_id", "ts", good.alias("value"))
 
     def text(template, *args):
         return F.format_string(template, *args)
@@ -157,7 +157,7 @@ def message_texts(spark, sf, malformed: bool = True):
         text('{"vehicle_count":%d,"event_timestamp_ms":%d}', count, millis),
         otherwise=good,
     )
-    return events.select("event_id", value.alias("value"))
+    return events.select("event_id", "ts", value.alias("value"))
 
 
 _GOOD_MESSAGE = "event_id % 12 IN (0, 10, 11)"

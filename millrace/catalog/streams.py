@@ -35,9 +35,7 @@ _AS_JSON = """
 def _replayed_texts(spark, sf, malformed):
     """Messages of all events as a stream, replayed in event-time order."""
     path = scratch(spark, "replay")
-    texts = message_texts(spark, sf, malformed).join(
-        table(spark, sf, "events").select("event_id", "ts"), "event_id")
-    write_replay(texts.select("ts", "value"), "ts", path, CHUNKS, FILES)
+    write_replay(message_texts(spark, sf, malformed).select("ts", "value"), "ts", path, CHUNKS, FILES)
     return replay(spark, path, "ts timestamp_ntz, value string", FILES)
 
 

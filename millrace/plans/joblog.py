@@ -7,8 +7,6 @@ the data (jobs of an execution, RDDs of a stage, workers at an extreme) are rows
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.contracts import ContractError
@@ -422,31 +420,47 @@ def rdd_lineage(rdds: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def dag_summary(entities: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per application with the size of each named entity table."""
-    counts = None
-    for name, table in entities.items():
-        one = table.groupBy("app_id").agg(F.count(F.lit(1)).alias("n")).withColumn("entity", F.lit(name))
-        counts = one if counts is None else counts.unionByName(one)
-    return counts.groupBy("app_id").agg(*[
-        F.coalesce(F.sum(F.when(F.col("entity") == name, F.col("n"))), F.lit(0)).alias(name)
-        for name in entities
+# The counts of a summary row.
+SUMMARY = (
+    "stage_count",
+    "stage_edge_count",
+    "rdd_count",
+    "rdd_edge_count",
+    "sql_execution_count",
+    "initial_sql_operator_count",
+    "adaptive_sql_plan_update_count",
+)
+
+
+def dag_summary(
+    stages: DataFrame, rdds: DataFrame, executions: DataFrame, operators: DataFrame
+) -> DataFrame:
+    """One row per application with the size of its graphs.
+
+    Every table is first reduced to one row per application; those few rows are merged by
+    one more aggregate, so nothing is joined.
+    """
+    rows = F.count(F.lit(1))
+    initial = operators.filter(F.col("sequence") == 0)
+    counts = [
+        _counts(stages, stage_count=rows),
+        _counts(stage_dag(stages), stage_edge_count=rows),
+        _counts(rdds, rdd_count=rows),
+        _counts(rdd_lineage(rdds), rdd_edge_count=rows),
+        _counts(executions, sql_execution_count=rows,
+                adaptive_sql_plan_update_count=F.sum("adaptive_plan_updates")),
+        _counts(initial, initial_sql_operator_count=rows),
+    ]
+    merged = counts[0]
+    for more in counts[1:]:
+        merged = merged.unionByName(more, allowMissingColumns=True)
+    return merged.groupBy("app_id").agg(*[
+        F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in SUMMARY
     ])
 
 
-def log_entities(log: DataFrame) -> dict[str, DataFrame]:
-    """The tables :func:`dag_summary` counts, by the name of the count."""
-    stages, rdds = log_stages(log), log_rdds(log)
-    initial = plan_trees(log).filter(F.col("sequence") == 0)
-    return {
-        "stage_count": stages,
-        "stage_edge_count": stage_dag(stages),
-        "rdd_count": rdds,
-        "rdd_edge_count": rdd_lineage(rdds),
-        "sql_execution_count": log_sql_executions(log).select("app_id"),
-        "initial_sql_operator_count": plan_operators(initial),
-        "adaptive_sql_plan_update_count": _of(log, kinds.SQL_UPDATE).select("app_id"),
-    }
+def _counts(table: DataFrame, **counts: Column) -> DataFrame:
+    return table.groupBy("app_id").agg(*[value.alias(name) for name, value in counts.items()])
 
 
 def completeness(log: DataFrame) -> DataFrame:
@@ -480,32 +494,33 @@ def expect_complete_log(log: DataFrame) -> None:
 
 
 def write_report(log: DataFrame, path: str) -> None:
-    """Every entity table below ``path`` as Parquet, and the summaries as JSON."""
-    tasks = log_tasks(log)
-    grid = app_worker_grid(tasks, workers(log))
-    trees = plan_trees(log)
-    operators = plan_operators(trees)
-    stages, rdds, executions, jobs = log_stages(log), log_rdds(log), log_sql_executions(log), log_jobs(log)
-    tables = {
-        "application": log_application(log),
-        "jobs": jobs,
-        "stages": stages,
-        "stage_rdds": stage_rdds(log),
-        "stage_edges": stage_dag(stages),
-        "rdds": rdds,
-        "rdd_edges": rdd_lineage(rdds),
-        "sql_executions": executions,
-        "execution_jobs": job_execution_join(jobs, executions),
-        "plan_operators": operators,
-        "plan_edges": plan_edges(operators),
-        "stage_metrics": log_stage_metrics(log, tasks),
-        "stage_allocation": allocation_by_worker(tasks),
-        "application_allocation": grid,
-    }
-    for name, table in tables.items():
+    """Every entity table below ``path`` as Parquet, and the summaries as JSON.
+
+    A table is written once; whatever is derived from it reads the written copy.
+    """
+    spark = log.sparkSession
+
+    def keep(name: str, table: DataFrame) -> DataFrame:
         table.write.parquet(f"{path}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{path}/{name}")
+
+    keep("application", log_application(log))
+    jobs = keep("jobs", log_jobs(log))
+    stages = keep("stages", log_stages(log))
+    keep("stage_rdds", stage_rdds(log))
+    keep("stage_edges", stage_dag(stages))
+    rdds = keep("rdds", log_rdds(log))
+    keep("rdd_edges", rdd_lineage(rdds))
+    executions = keep("sql_executions", log_sql_executions(log))
+    keep("execution_jobs", job_execution_join(jobs, executions))
+    operators = keep("plan_operators", plan_operators(plan_trees(log)))
+    keep("plan_edges", plan_edges(operators))
+    tasks = keep("tasks", log_tasks(log))
+    keep("stage_metrics", log_stage_metrics(log, tasks))
+    keep("stage_allocation", allocation_by_worker(tasks))
+    grid = keep("application_allocation", app_worker_grid(tasks, workers(log)))
     reports = {
-        "summary": dag_summary(log_entities(log)),
+        "summary": dag_summary(stages, rdds, executions, operators),
         "stage_skew": stage_skew(log, tasks),
         "application_skew": app_skew(grid),
         "application_skew_workers": app_skew_workers(grid),
