@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import from_epoch_millis
 from ..session import scratch
 from ..sinks.points import read_points
-from ..streaming.run import drain, file_writer, late_rows, replay, upsert_writer, write_replay
+from ..streaming.run import drain, file_writer, late_rows, replay, replay_files, upsert_writer, write_replay
 from ..streaming.telemetry import (
     COUNT, EVENT_TIME, MILLIS, SENSOR, TOTAL, judge_messages, parse_messages, window_result_json, window_totals,
     with_watermark,
@@ -15,7 +15,7 @@ from ..streaming.telemetry import (
 from .contracts import message_texts
 from .registry import as_ntz, query, table
 
-CHUNKS, FILES = 4, 2
+CHUNKS = 4
 
 _MS = "(epoch_us(ts) // 1000)"
 _BATCH_TOTALS = """
@@ -32,11 +32,18 @@ _AS_JSON = """
            || '}' AS value FROM """
 
 
+def _replayed(spark, df, path):
+    """A table written and then streamed in event-time order."""
+    files = replay_files(df, CHUNKS)
+    write_replay(df, "ts", path, CHUNKS, files)
+    return replay(spark, path, df.schema.simpleString()[len("struct<"):-1], files)
+
+
 def _replayed_texts(spark, sf, malformed):
     """Messages of all events as a stream, replayed in event-time order."""
     path = scratch(spark, "replay")
-    write_replay(message_texts(spark, sf, malformed).select("ts", "value"), "ts", path, CHUNKS, FILES)
-    return replay(spark, path, "ts timestamp_ntz, value string", FILES)
+    texts = message_texts(spark, sf, malformed).select("ts", "value")
+    return _replayed(spark, texts, path)
 
 
 def _stored(spark, stream, label):
@@ -80,9 +87,7 @@ def _print_sink(spark, sf):
 def _stream_replay(spark, sf):
     path = scratch(spark, "replay")
     events = table(spark, sf, "events").select("event_id", "ts")
-    write_replay(events, "ts", path, CHUNKS, FILES)
-    stream = replay(spark, path, "event_id bigint, ts timestamp_ntz", FILES)
-    copied, _ = _stored(spark, stream, "copied")
+    copied, _ = _stored(spark, _replayed(spark, events, path), "copied")
     return copied.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias(MILLIS))
 
 
@@ -114,17 +119,18 @@ def _late_drop(spark, sf):
     path = scratch(spark, "replay")
     events = table(spark, sf, "events").select(
         F.col("ts"), F.col("value").cast("bigint").alias(COUNT))
-    write_replay(events, "ts", path, CHUNKS, FILES)
+    files = replay_files(events, CHUNKS)
+    write_replay(events, "ts", path, CHUNKS, files)
     last = events.agg(F.max("ts").alias("last")).first()["last"]
     # One marker far ahead moves the watermark past every window before the repeat arrives.
     marker = spark.createDataFrame([(last, 0)], "ts timestamp_ntz, vehicle_count bigint")
     for _ in range(2):
-        marker.repartition(FILES).write.mode("append").parquet(path)
+        marker.repartition(files).write.mode("append").parquet(path)
     closed = F.lit(last).cast("timestamp") - F.expr("INTERVAL 10 SECONDS")
     repeat = events.filter(F.window("ts", "15 minutes")["end"].cast("timestamp") <= closed)
-    repeat.repartition(FILES).write.mode("append").parquet(path)
+    repeat.repartition(files).write.mode("append").parquet(path)
     stream = with_watermark(
-        replay(spark, path, "ts timestamp_ntz, vehicle_count bigint", FILES)
+        replay(spark, path, "ts timestamp_ntz, vehicle_count bigint", files)
         .withColumn(EVENT_TIME, from_epoch_millis(F.unix_millis(F.col("ts").cast("timestamp"))))
     )
     totals, done = _stored(
@@ -140,8 +146,9 @@ def _stream_upsert(spark, sf):
     """Points of a stream stored twice over; each point ends with its latest value."""
     path, target = scratch(spark, "replay"), scratch(spark, "upserts")
     events = table(spark, sf, "events").select("ts", "user_id", "event_type", "value")
-    write_replay(events, "ts", path, CHUNKS, FILES)
+    files = replay_files(events, CHUNKS)
+    write_replay(events, "ts", path, CHUNKS, files)
     for _ in range(2):  # a second run from the start redelivers every batch
-        stream = replay(spark, path, "ts timestamp_ntz, user_id bigint, event_type string, value double", FILES)
+        stream = replay(spark, path, "ts timestamp_ntz, user_id bigint, event_type string, value double", files)
         drain(upsert_writer(stream, target, "ts", F.col("ts"), scratch(spark, "upsert-state"), "month"), spark)
     return read_points(spark, target, ["user_id", "event_type"], ["value"])

@@ -9,9 +9,9 @@ INTEGRAL = "BIGINT"
 SCALAR_TYPES = r"^(?:STRING|BIGINT|BOOLEAN|FLOAT|DOUBLE|DECIMAL\(.*)"
 
 
-def document(text: Column) -> Column:
+def document(message: Column) -> Column:
     """The parsed message, null when it is not JSON."""
-    return F.try_parse_json(text)
+    return F.try_parse_json(message)
 
 
 def value_type(doc: Column, field: str) -> Column:
@@ -19,20 +19,22 @@ def value_type(doc: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(doc, f"$.{field}", "variant"))
 
 
-def is_present(doc: Column, field: str) -> Column:
-    kind = value_type(doc, field)
+def is_present(kind: Column) -> Column:
     return F.coalesce(kind != "VOID", F.lit(False))
 
 
-def is_integral(doc: Column, field: str) -> Column:
+def is_integral(kind: Column) -> Column:
     """An integer that fits 64 bits: ``12`` but not ``12.0``, ``"12"`` or 20 digits."""
-    return F.coalesce(value_type(doc, field) == INTEGRAL, F.lit(False))
+    return F.coalesce(kind == INTEGRAL, F.lit(False))
 
 
-def scalar_text(doc: Column, field: str) -> Column:
-    """Text view of a scalar; objects and arrays have none."""
-    is_scalar = value_type(doc, field).rlike(SCALAR_TYPES)
-    return F.when(is_scalar, F.try_variant_get(doc, f"$.{field}", "string"))
+def is_scalar(kind: Column) -> Column:
+    """Text, number or boolean; objects and arrays have no text view."""
+    return F.coalesce(kind.rlike(SCALAR_TYPES), F.lit(False))
+
+
+def text(doc: Column, field: str) -> Column:
+    return F.try_variant_get(doc, f"$.{field}", "string")
 
 
 def whole(doc: Column, field: str) -> Column:

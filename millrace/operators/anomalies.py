@@ -28,14 +28,17 @@ def two_sigma_anomalies(
     """Rows more than ``width`` population deviations from the mean, with mean and deviation.
 
     Two passes over the input, one to aggregate and one to filter; no window over the
-    whole table. Without keys the statistics are one row and enter as a scalar subquery.
+    whole table. Without keys the statistics are a single row, read once and put into the
+    filter as constants, which the scan can then use to skip row groups.
     """
     finite = df.filter(is_finite(F.col(value)))
-    stats = field_stats(df, value, keys)
+    reach = width * F.col("deviation")
+    stats = field_stats(df, value, keys).select(
+        *keys, "mean", "deviation", (F.col("mean") - reach).alias("_low"), (F.col("mean") + reach).alias("_high")
+    )
     if keys:
         judged = join_lookup(finite, stats, keys)
-    else:
-        one = stats.select(F.struct("mean", "deviation")).scalar()
-        judged = finite.withColumn("mean", one["mean"]).withColumn("deviation", one["deviation"])
-    reach = width * F.col("deviation")
-    return judged.filter(outside(F.col(value), F.col("mean") - reach, F.col("mean") + reach))
+        kept = judged.filter(outside(F.col(value), F.col("_low"), F.col("_high")))
+        return kept.drop("_low", "_high")
+    mean, deviation, low, high = (F.lit(number).cast("double") for number in stats.first())
+    return finite.filter(outside(F.col(value), low, high)).withColumns({"mean": mean, "deviation": deviation})

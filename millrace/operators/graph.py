@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..session import pin, pin_as_table, scratch, settings
 from .ranking import first_n
@@ -128,12 +128,14 @@ class Adjacency:
             "destination",
             F.pmod(F.xxhash64("destination"), F.coalesce("cut", F.lit(1))).cast("int").alias("slice"),
         )
-        # A checkpoint keeps its hash partitioning only when the plan is not adaptive.
+        # A checkpoint keeps its partitioning and order only when the plan is not adaptive.
         with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
-            self.edges = pin(sliced.repartition(parts, "source", "slice"))
+            self.edges = pin(
+                sliced.repartition(parts, "source", "slice").sortWithinPartitions("source", "slice")
+            )
 
-    def has(self, node: int) -> bool:
-        return bool(self.degrees.filter(F.col("source") == node).take(1))
+    def holds(self, *nodes: int) -> bool:
+        return self.degrees.filter(F.col("source").isin(*nodes)).count() == len(set(nodes))
 
     def step(self, frontier: DataFrame, small: bool) -> DataFrame:
         """``(id, parent)`` candidates one edge away; the smallest parent wins."""
@@ -146,7 +148,7 @@ class Adjacency:
                 "source",
                 F.explode(F.sequence(F.lit(0), F.coalesce("cut", F.lit(1)) - 1)).alias("slice"),
             )
-            reached = self.edges.join(sliced.hint("shuffle_hash"), ["source", "slice"])
+            reached = self.edges.join(sliced.hint("merge"), ["source", "slice"])
         return reached.groupBy(F.col("destination").alias("id")).agg(F.min("source").alias("parent"))
 
 
@@ -166,22 +168,24 @@ def shortest_path(
     if start == finish:
         return nothing
     graph = Adjacency(edges)
-    if not graph.has(start) or not graph.has(finish):
+    if not graph.holds(start, finish):
         return nothing
     levels = [spark.range(finish, finish + 1).select("id", F.lit(None).cast("bigint").alias("parent"))]
     size = 1
     for hop in range(1, max_hops + 1):
         reached = graph.step(levels[-1], size <= FRONTIER_BROADCAST_ROWS)
-        for seen in levels[-2:]:
-            reached = reached.join(seen.select("id"), "id", "left_anti")
+        for level in levels[-2:]:
+            reached = reached.join(level.select("id"), "id", "left_anti")
         path = scratch(spark, f"hop-{hop}")
-        reached.write.parquet(path)
-        level = spark.read.schema("id bigint, parent bigint").parquet(path)
-        size, found = level.agg(
-            F.count(F.lit(1)), F.count(F.when(F.col("id") == start, 1))
-        ).first()
-        levels.append(level)
-        if found:
+        seen = Observation(f"hop-{hop}")
+        reached.observe(
+            seen,
+            F.count(F.lit(1)).alias("size"),
+            F.count(F.when(F.col("id") == start, 1)).alias("found"),
+        ).write.parquet(path)
+        levels.append(spark.read.schema("id bigint, parent bigint").parquet(path))
+        size = seen.get["size"]
+        if seen.get["found"]:
             return _walk_back(spark, levels, start, finish)
         if not size:
             break

@@ -6,6 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import estimated_bytes
+
+
+TASK_BYTES = 128 * 1024 * 1024
+SINGLE_TASK_ROWS = 20_000_000
+
 
 def in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Total order over the whole table (range-partitioned sort)."""
@@ -13,7 +19,21 @@ def in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
 
 
 def first_n(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows of a total order; each task keeps at most ``n`` rows."""
+    """The first ``n`` rows of a total order; each task keeps at most ``n`` rows.
+
+    The last step sees ``n`` rows of every task. Where that would be too many for one task,
+    groups of tasks are reduced to their first ``n`` in between.
+    """
+    tasks = estimated_bytes(df) // TASK_BYTES + 1
+    if n * tasks > SINGLE_TASK_ROWS:
+        groups = max(int((tasks) ** 0.5), 2)
+        group = Window.partitionBy("_group").orderBy(*order)
+        df = (
+            df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(groups)))
+            .withColumn("_place", F.row_number().over(group))
+            .filter(F.col("_place") <= n)
+            .drop("_group", "_place")
+        )
     return df.orderBy(*order).limit(n)
 
 

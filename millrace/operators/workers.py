@@ -61,39 +61,52 @@ def skew_compare(
     allocated: DataFrame,
     keys: Sequence[str],
     metrics: Sequence[str] = METRICS,
-    roster_sizes: DataFrame | None = None,
+    missing: DataFrame | None = None,
 ) -> DataFrame:
     """Per key and metric: minimum, maximum, their ratio, and how many workers sit at either end.
 
-    ``roster_sizes(keys, missing)`` adds registered workers without a row as zeros. Two
-    aggregates, the first of which merges equal values, so no group is collected.
+    ``missing(keys, missing)`` has one row per key to report and says how many registered
+    workers have no row in ``allocated``; they count as zeros, also for a key without any
+    work. Two aggregates, the first of which merges equal values, so no group is collected.
     """
-    long = allocated.unpivot(list(keys), list(metrics), "metric", "value")
-    by_value = long.groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("workers"))
-    ends = by_value.groupBy(*keys, "metric").agg(
-        F.min("value").alias("minimum"),
-        F.max("value").alias("maximum"),
-        F.max_by("workers", "value").alias("workers_at_maximum"),
-        F.sum(F.when(F.col("value") == 0, F.col("workers")).otherwise(0)).alias("workers_with_zero"),
-        F.sum("workers").alias("worker_count"),
-    )
-    if roster_sizes is not None:
-        ends = join_lookup(ends, roster_sizes, keys, "left")
-        idle = F.coalesce(F.col("missing"), F.lit(0))
-        at_maximum = F.col("workers_at_maximum") + F.when(F.col("maximum") == 0, idle).otherwise(0)
-        ends = ends.select(
-            *keys, "metric",
-            F.when(idle > 0, F.least("minimum", F.lit(0))).otherwise(F.col("minimum")).alias("minimum"),
-            "maximum",
-            at_maximum.alias("workers_at_maximum"),
-            (F.col("workers_with_zero") + idle).alias("workers_with_zero"),
-            (F.col("worker_count") + idle).alias("worker_count"),
+    long = _long(allocated, keys, metrics)
+    if missing is not None:
+        nobody = missing.select(*keys, *[F.lit(None).cast("bigint").alias(name) for name in metrics])
+        long = long.unionByName(_long(nobody, keys, metrics))
+    ends = (
+        long.groupBy(*keys, "metric", "value").agg(F.count("value").alias("workers"))
+        .groupBy(*keys, "metric").agg(
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.max_by("workers", "value").alias("at_high"),
+            F.sum(F.when(F.col("value") == 0, F.col("workers")).otherwise(0)).alias("at_zero"),
+            F.sum("workers").alias("seen"),
         )
-    ratio = F.when(F.col("minimum") > 0, F.round(F.col("maximum") / F.col("minimum"), 3))
-    return ends.select(
-        *keys, "metric", "minimum", "maximum", ratio.alias("max_to_min_ratio"),
-        "workers_at_maximum", "workers_with_zero", "worker_count",
     )
+    if missing is None:
+        ends = ends.withColumn("missing", F.lit(0))
+    else:
+        ends = ends.join(missing, list(keys))
+    idle = F.col("missing")
+    # Metrics are never negative, so idle workers lower the minimum to zero.
+    bounded = ends.withColumns({
+        "minimum": F.when(idle > 0, F.lit(0)).otherwise(F.col("low")),
+        "maximum": F.when(idle > 0, F.coalesce("high", F.lit(0))).otherwise(F.col("high")),
+    })
+    at_maximum = F.when(F.col("high") == F.col("maximum"), F.col("at_high")).otherwise(0) + F.when(
+        F.col("maximum") == 0, idle
+    ).otherwise(0)
+    return bounded.select(
+        *keys, "metric", "minimum", "maximum",
+        F.when(F.col("minimum") > 0, F.round(F.col("maximum") / F.col("minimum"), 3)).alias("max_to_min_ratio"),
+        at_maximum.alias("workers_at_maximum"),
+        (F.col("at_zero") + idle).alias("workers_with_zero"),
+        (F.col("seen") + idle).alias("worker_count"),
+    )
+
+
+def _long(wide: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    return wide.unpivot(list(keys), list(metrics), "metric", "value")
 
 
 def skew_workers(

@@ -241,45 +241,7 @@ def stage_skew(log: DataFrame, tasks: DataFrame) -> DataFrame:
     missing = join_lookup(completed.join(present, keys, "left"), sizes, ["app_id"], "left").select(
         *keys, (F.coalesce("roster", F.lit(0)) - F.coalesce("listed", F.lit(0))).alias("missing")
     )
-    # Stages without any task still have a comparison over their idle workers.
-    stand_in = missing.select(
-        *keys, *[F.lit(None).cast("bigint").alias(name) for name in METRICS]
-    )
-    compared = _compare_sparse(done.select(*keys, *METRICS).unionByName(stand_in), keys, missing)
-    return compared
-
-
-def _compare_sparse(allocated: DataFrame, keys: list[str], missing: DataFrame) -> DataFrame:
-    long = allocated.select(
-        *keys,
-        F.inline(F.array(*[
-            F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in METRICS
-        ])),
-    )
-    ends = long.groupBy(*keys, "metric", "value").agg(F.count("value").alias("n")).groupBy(*keys, "metric").agg(
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.max_by("n", "value").alias("at_high"),
-        F.sum(F.when(F.col("value") == 0, F.col("n")).otherwise(0)).alias("at_zero"),
-        F.sum("n").alias("seen"),
-    )
-    idle = F.col("missing")
-    joined = ends.join(missing, keys).select(
-        *keys, "metric",
-        F.when(idle > 0, F.lit(0)).otherwise(F.col("low")).alias("minimum"),
-        F.when(idle > 0, F.greatest(F.coalesce("high", F.lit(0)), F.lit(0))).otherwise(F.col("high")).alias("maximum"),
-        "high", "at_high", "at_zero", "seen", "missing",
-    )
-    at_maximum = F.when(F.col("high") == F.col("maximum"), F.col("at_high")).otherwise(0) + F.when(
-        F.col("maximum") == 0, idle
-    ).otherwise(0)
-    return joined.select(
-        *keys, "metric", "minimum", "maximum",
-        F.when(F.col("minimum") > 0, F.round(F.col("maximum") / F.col("minimum"), 3)).alias("max_to_min_ratio"),
-        at_maximum.alias("workers_at_maximum"),
-        (F.col("at_zero") + idle).alias("workers_with_zero"),
-        (F.col("seen") + idle).alias("worker_count"),
-    )
+    return skew_compare(done.select(*keys, *METRICS), keys, METRICS, missing)
 
 
 def app_skew(grid: DataFrame) -> DataFrame:
@@ -355,24 +317,31 @@ def plan_trees(log: DataFrame) -> DataFrame:
 def plan_operators(trees: DataFrame) -> DataFrame:
     """Nodes of nested plan trees in preorder, each with its parent (null at the root).
 
-    Trees are opened level by level, a few levels per pass; between passes only the
-    subtrees still to be opened are kept, as a table in the shared folder. A node's number
-    is its place in its own tree, so numbering never looks beyond one log event.
+    Each pass opens a few levels of every tree at once and stores them; only subtrees below
+    the deepest level go into the next pass. A node's number is its place in its own tree,
+    so numbering never looks beyond one log event.
     """
     keys = ["app_id", "execution_id", "sequence"]
-    open_nodes = trees.select(*keys, F.array().cast("array<int>").alias("at"), F.col("plan").alias("node"))
+    todo = trees.select(*keys, F.array().cast("array<int>").alias("at"), F.col("plan").alias("node"))
     found: list[DataFrame] = []
     while True:
-        levels = [open_nodes]
+        levels = [F.array(F.struct("at", "node"))]
         for _ in range(PLAN_LEVELS_PER_PASS):
-            levels.append(
-                levels[-1].select(
-                    *keys, "at", F.posexplode(value("$.children", "array<variant>", "node")).alias("nth", "child")
-                ).select(*keys, F.array_append("at", F.col("nth")).alias("at"), F.col("child").alias("node"))
-            )
-        found.extend(_plan_nodes(level, keys) for level in levels[:-1])
-        open_nodes = pin_as_table(levels[-1], "plan-level")
-        if not open_nodes.take(1):
+            levels.append(_children(levels[-1]))
+        depth = PLAN_LEVELS_PER_PASS * (len(found) + 1)
+        unopened = F.size("at") == depth
+        opened = todo.select(*keys, F.inline(F.concat(*levels))).select(
+            *keys, "at",
+            F.when(~unopened, value("$.nodeName", "string", "node")).alias("node_name"),
+            F.when(~unopened, value("$.simpleString", "string", "node")).alias("simple_string"),
+            F.when(~unopened, _json(value("$.metadata", "variant", "node"))).alias("metadata"),
+            F.when(~unopened, _json(value("$.metrics", "variant", "node"))).alias("metrics"),
+            F.when(unopened, F.col("node")).alias("node"),
+        )
+        stored = pin_as_table(opened, "plan-levels")
+        found.append(stored.filter(~unopened).drop("node"))
+        todo = stored.filter(unopened).select(*keys, "at", "node")
+        if not todo.take(1):
             break
     nodes = found[0]
     for more in found[1:]:
@@ -380,14 +349,18 @@ def plan_operators(trees: DataFrame) -> DataFrame:
     return _number_preorder(nodes, keys)
 
 
-def _plan_nodes(level: DataFrame, keys: list[str]) -> DataFrame:
-    return level.select(
-        *keys, "at",
-        value("$.nodeName", "string", "node").alias("node_name"),
-        value("$.simpleString", "string", "node").alias("simple_string"),
-        _json(value("$.metadata", "variant", "node")).alias("metadata"),
-        _json(value("$.metrics", "variant", "node")).alias("metrics"),
-    )
+def _children(nodes: Column) -> Column:
+    """The child nodes of an array of nodes, with their paths."""
+
+    def below(parent: Column) -> Column:
+        kids = F.coalesce(
+            value("$.children", "array<variant>", parent["node"]), F.array().cast("array<variant>")
+        )
+        return F.transform(
+            kids, lambda kid, nth: F.struct(F.array_append(parent["at"], nth).alias("at"), kid.alias("node"))
+        )
+
+    return F.flatten(F.transform(nodes, below))
 
 
 def _number_preorder(nodes: DataFrame, keys: list[str]) -> DataFrame:

@@ -80,6 +80,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root}/millrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a result, for choosing between plans before running one."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, reliably, and cut its lineage (reliable checkpoint)."""
     shared_root(df.sparkSession)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.once import compute_once
 from ..functions.text import is_data_line, strip, whole_number, words
 from ..operators.contracts import fail_fast, judge, reject_split
 
@@ -45,23 +46,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def edge_rules(fields: Column) -> list[tuple[Column, str | Column]]:
-    return [
-        (F.size(fields) == 2, F.concat(F.lit("expected 2 fields, found "), F.size(fields).cast("string"))),
-        (whole_number(F.get(fields, F.lit(0))).isNotNull(), "source is not an integer"),
-        (whole_number(F.get(fields, F.lit(1))).isNotNull(), "destination is not an integer"),
-    ]
-
-
 def judge_edge_lines(lines: DataFrame) -> DataFrame:
     """Parse data lines to ``(source, destination)`` and keep the reason where that fails."""
-    fielded = lines.filter(is_data_line(F.col("value"))).withColumn("fields", words(F.col("value")))
-    return judge(fielded, edge_rules(F.col("fields"))).select(
-        *lines.columns,
-        whole_number(F.get("fields", F.lit(0))).alias("source"),
-        whole_number(F.get("fields", F.lit(1))).alias("destination"),
-        "reject_reason",
+    fielded = compute_once(lines.filter(is_data_line(F.col("value"))), fields=words(F.col("value")))
+    typed = compute_once(
+        fielded,
+        source=whole_number(F.get("fields", F.lit(0))),
+        destination=whole_number(F.get("fields", F.lit(1))),
     )
+    return judge(typed, [
+        (F.size("fields") == 2, F.concat(F.lit("expected 2 fields, found "), F.size("fields").cast("string"))),
+        (F.col("source").isNotNull(), "source is not an integer"),
+        (F.col("destination").isNotNull(), "destination is not an integer"),
+    ]).drop("fields")
 
 
 def parse_edges(lines: DataFrame, mode: str = "drop") -> DataFrame:

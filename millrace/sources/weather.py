@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.clock import offset_timestamp_utc
+from ..functions.once import compute_once
 from ..functions.text import finite_double, optional_text, required_text, strip
 from ..operators.contracts import fail_fast, judge
 from .files import POSITION, read_csv_contract
@@ -58,13 +59,14 @@ def read_weather_cells(spark: SparkSession, path: str) -> DataFrame:
 
 def judge_weather(cells: DataFrame, location: str = LOCATION) -> DataFrame:
     """Typed points with ``reject_reason``; keeps the position of each record."""
-    typed = cells.select(
-        F.lit(location).alias("location"),
-        offset_timestamp_utc(strip(F.col("Formatted Date"))).alias("time"),
-        *[finite_double(F.col(f"`{name}`")).alias(field) for name, field in NUMERIC.items()],
-        *[required_text(F.col(f"`{name}`")).alias(field) for name, field in REQUIRED.items()],
-        *[optional_text(F.col(f"`{name}`")).alias(field) for name, field in OPTIONAL.items()],
-        *[name for name in ("_corrupt_record", POSITION) if name in cells.columns],
+    typed = compute_once(
+        cells,
+        [name for name in ("_corrupt_record", POSITION) if name in cells.columns],
+        location=F.lit(location),
+        time=offset_timestamp_utc(strip(F.col("Formatted Date"))),
+        **{field: finite_double(F.col(f"`{name}`")) for name, field in NUMERIC.items()},
+        **{field: required_text(F.col(f"`{name}`")) for name, field in REQUIRED.items()},
+        **{field: optional_text(F.col(f"`{name}`")) for name, field in OPTIONAL.items()},
     )
     shape = [(F.col("_corrupt_record").isNull(), "row does not match the header")] \
         if "_corrupt_record" in cells.columns else []

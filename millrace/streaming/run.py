@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.clock import instant
-from ..session import SETTINGS, settings
+from ..session import SETTINGS, estimated_bytes, settings
 from ..sinks.points import write_points
 
 
+FILE_BYTES = 128 * 1024 * 1024
+
+
+def replay_files(df: DataFrame, chunks: int) -> int:
+    """Files per chunk that keep one file near the usual split size."""
+    return max(2, math.ceil(estimated_bytes(df) / chunks / FILE_BYTES))
+
+
 def write_replay(df: DataFrame, ts: str, path: str, chunks: int, files: int) -> None:
     """Cut a table into ``chunks`` consecutive time spans and append them in that order.
 

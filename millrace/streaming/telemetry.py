@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import messages
 from ..functions.clock import as_interval, epoch_millis, from_epoch_millis, iso_timestamp_utc
+from ..functions.once import compute_once
 from ..functions.text import finite_double, strip
 from ..operators.contracts import fail_fast, judge, reject_split
 from ..operators.windows import tumbling_sum
@@ -45,13 +46,12 @@ def read_stream_messages(
 
 def telemetry_projection(rows: DataFrame) -> DataFrame:
     """Source rows ``(record_id, read_date, atd_device_id, volume)`` as judged telemetry."""
-    typed = rows.select(
-        "*",
-        F.col("atd_device_id").cast("string").alias(SENSOR),
-        epoch_millis(iso_timestamp_utc(F.col("read_date"))).alias(MILLIS),
+    typed = compute_once(rows, **{
+        SENSOR: F.col("atd_device_id").cast("string"),
+        MILLIS: epoch_millis(iso_timestamp_utc(F.col("read_date"))),
         # Truncates toward zero; null when the number does not fit 64 bits.
-        finite_double(F.col("volume")).try_cast("bigint").alias(COUNT),
-    )
+        COUNT: finite_double(F.col("volume")).try_cast("bigint"),
+    })
     return judge(typed, [
         (F.col(SENSOR).isNotNull(), "atd_device_id is missing"),
         (F.col(MILLIS).isNotNull(), "read_date is not an ISO timestamp"),
@@ -70,20 +70,23 @@ def telemetry_messages(valid: DataFrame) -> DataFrame:
 def judge_messages(texts: DataFrame, value: str = "value") -> DataFrame:
     """Strictly parse messages: every field present, whole numbers only, sensor not empty."""
     doc = F.col("_doc")
-    parsed = texts.withColumn("_doc", messages.document(F.col(value)))
-    sensor = F.col(SENSOR)
+    parsed = compute_once(texts, _doc=messages.document(F.col(value)))
+    kinds = compute_once(
+        parsed, **{f"_{name}": messages.value_type(doc, name) for name in (SENSOR, COUNT, MILLIS)}
+    )
+    kind = {name: F.col(f"_{name}") for name in (SENSOR, COUNT, MILLIS)}
+    typed = compute_once(kinds, **{
+        SENSOR: F.when(messages.is_scalar(kind[SENSOR]), strip(messages.text(doc, SENSOR))),
+        COUNT: F.when(messages.is_integral(kind[COUNT]), messages.whole(doc, COUNT)),
+        MILLIS: F.when(messages.is_integral(kind[MILLIS]), messages.whole(doc, MILLIS)),
+    })
     rules = [
         (doc.isNotNull(), "message is not JSON"),
-        *[(messages.is_present(doc, name), f"{name} is missing") for name in (SENSOR, COUNT, MILLIS)],
-        (F.length(sensor) > 0, f"{SENSOR} is empty"),
-        *[(messages.is_integral(doc, name), f"{name} is not an integral number") for name in (COUNT, MILLIS)],
+        *[(messages.is_present(kind[name]), f"{name} is missing") for name in (SENSOR, COUNT, MILLIS)],
+        (F.length(SENSOR) > 0, f"{SENSOR} is empty"),
+        *[(F.col(name).isNotNull(), f"{name} is not an integral number") for name in (COUNT, MILLIS)],
     ]
-    typed = parsed.withColumns({
-        SENSOR: strip(messages.scalar_text(doc, SENSOR)),
-        COUNT: F.when(messages.is_integral(doc, COUNT), messages.whole(doc, COUNT)),
-        MILLIS: F.when(messages.is_integral(doc, MILLIS), messages.whole(doc, MILLIS)),
-    })
-    return judge(typed, rules).drop("_doc")
+    return judge(typed, rules).drop("_doc", *[f"_{name}" for name in kind])
 
 
 def parse_messages(texts: DataFrame, value: str = "value", mode: str = "fail") -> DataFrame:

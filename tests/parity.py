@@ -56,6 +56,17 @@ def differences(left, right, limit=3):
     return f"rows {len(a)} vs {len(b)}; spark only {only_a}; sql only {only_b}"
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def type_differences(df, con, sql):
+    ours = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
+    theirs = {row[0]: row[1] for row in con.execute("DESCRIBE " + sql).fetchall()}
+    wrong = {n: (ours[n], theirs.get(n)) for n in ours if ours[n] != theirs.get(n)}
+    return f"types {wrong}" if wrong else None
+
+
 def main() -> int:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from millrace.catalog import QUERIES
@@ -73,13 +84,15 @@ def main() -> int:
     for name in names:
         began = time.time()
         try:
-            got = spark_result(QUERIES[name].run(spark, f"{DATA}/sf{sf}"))
+            df = QUERIES[name].run(spark, f"{DATA}/sf{sf}")
+            got = spark_result(df)
             spark_s = time.time() - began
             if QUERIES[name].sql is None:
                 print(f"rows  {name}: {len(got[1])} rows {spark_s:.2f}s", flush=True)
                 continue
             began = time.time()
-            problem = differences(got, sql_result(con, QUERIES[name].sql))
+            problem = differences(got, sql_result(con, QUERIES[name].sql)) or type_differences(
+                df, con, QUERIES[name].sql)
             note = f"{len(got[1])} rows spark {spark_s:.2f}s duckdb {time.time() - began:.2f}s"
         except Exception as error:  # noqa: BLE001
             problem, note = f"{type(error).__name__}: {str(error)[:1500]}", ""
