@@ -36,7 +36,7 @@ def _replayed(spark, df, path):
     """A table written and then streamed in event-time order."""
     files = replay_files(df, CHUNKS)
     write_replay(df, "ts", path, CHUNKS, files)
-    return replay(spark, path, df.schema.simpleString()[len("struct<"):-1], files)
+    return replay(spark, path, df.schema, files)
 
 
 def _replayed_texts(spark, sf, malformed):

@@ -27,6 +27,8 @@ def offset_timestamp_utc(text: Column) -> Column:
 
 def iso_timestamp_utc(text: Column) -> Column:
     """ISO-8601 as an instant; ``Z`` accepted, no offset means UTC, null when malformed."""
+    # Spark's cast wants seconds.
+    text = F.regexp_replace(text, r"^(.{10}[T ]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
     zoned = (
         F.when(text.rlike(_ISO_ZONED), text)
         .when(text.rlike(_ISO_LOCAL), F.concat(text, F.lit("Z")))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.clock import instant
 from ..session import SETTINGS, estimated_bytes, settings
@@ -42,7 +43,7 @@ def write_replay(df: DataFrame, ts: str, path: str, chunks: int, files: int) ->
         span.repartition(files).write.mode("append").parquet(path)
 
 
-def replay(spark: SparkSession, path: str, schema: str, files: int) -> DataFrame:
+def replay(spark: SparkSession, path: str, schema: StructType | str, files: int) -> DataFrame:
     """Stream a replay folder, ``files`` files per micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
