@@ -162,7 +162,7 @@ _WALK = f"""
     FROM walk WHERE d = 0""")
 def _shortest_path(spark, sf):
     """From order 0 to order 1 over the whole graph; the path is returned as text."""
-    found = shortest_path(merge_edges(edges_of(spark, sf)), 0, 1)
+    found = shortest_path(edges_of(spark, sf), 0, 1)
     return found.select(
         "start", "finish", F.col("hop_count").cast("bigint").alias("hop_count"),
         F.concat_ws(">", F.col("path").cast("array<string>")).alias("path"),

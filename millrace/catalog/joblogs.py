@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.workers import METRICS
 from ..plans import joblog as jl
-from ..session import scratch
+from ..session import pin_as_table, scratch
 from ..sources import joblog as kinds
 from ..sources.files import latest_file
 from ..sources.joblog import open_event_log, read_event_log, store_event_log
@@ -414,8 +414,9 @@ _SUMMARY = f"""
 @query("dag_summary", _SUMMARY)
 def _dag_summary(spark, sf):
     log = event_log(spark, sf)
+    stages, rdds = pin_as_table(jl.log_stages(log), "stages"), pin_as_table(jl.log_rdds(log), "rdds")
     return jl.dag_summary(
-        jl.log_stages(log), jl.log_rdds(log), jl.log_sql_executions(log), jl.plan_operators(jl.plan_trees(log)))
+        stages, rdds, jl.log_sql_executions(log), jl.plan_operators(jl.plan_trees(log)))
 
 
 @query("expect_complete_log", f"""

@@ -12,7 +12,7 @@ from ..operators.points import (
     distinct_points, latest_point, relative_range, retain, series_filter, time_range, unpivot_fields,
 )
 from ..operators.windows import sliding_mean, tumbling_mean, tumbling_sum
-from ..plans.timeseries import downsample_task, measured_write
+from ..plans.timeseries import downsample, downsample_task, measured_write
 from ..session import scratch
 from ..sinks.points import compact_points, read_points, write_points
 from ..sources.points import read_bucket
@@ -155,7 +155,8 @@ _LATEST = f"""
 @query("latest_point", _LATEST.format(fields="l_quantity, l_extendedprice, l_shipdate"))
 def _latest_point(spark, sf):
     return latest_point(
-        table(spark, sf, "lineitem"), LINE, ["l_quantity", "l_extendedprice", "l_shipdate"], LINE_ORDER
+        table(spark, sf, "lineitem"), LINE, ["l_quantity", "l_extendedprice", "l_shipdate"], LINE_ORDER,
+        optional=(),
     )
 
 
@@ -179,6 +180,15 @@ def _retention(spark, sf):
     return retain(table(spark, sf, "events"), "ts", KEEP, datetime(2024, 1, 30, 23)).select("event_id", "ts")
 
 
+@query("downsample", """
+    SELECT event_type, TIMESTAMP '2024-01-20 11:00:00' AS window_start,
+           TIMESTAMP '2024-01-20 12:00:00' AS window_end, round(avg(value), 8) AS value
+    FROM events WHERE ts >= TIMESTAMP '2024-01-20 11:00:00' AND ts < TIMESTAMP '2024-01-20 12:00:00'
+    GROUP BY event_type""")
+def _downsample(spark, sf):
+    return rounded(downsample(table(spark, sf, "events"), "ts", "value", ["event_type"], TICK), 8, "value")
+
+
 @query("downsample_task", """
     SELECT event_type, TIMESTAMP '2024-01-20 11:00:00' AS window_start,
            TIMESTAMP '2024-01-20 12:00:00' AS window_end, round(avg(value), 8) AS value
@@ -216,7 +226,7 @@ _UPSERT = f"""
 def _upsert_sink(spark, sf):
     path = scratch(spark, "points")
     _append_by_flag(spark, sf, path)
-    return read_points(spark, path, LINE, _FIELDS)
+    return read_points(spark, path, LINE, _FIELDS, optional=())
 
 
 @query("retention_compact", _UPSERT.format(where="WHERE l_shipdate >= TIMESTAMP '2000-01-01'"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 # The characters counted as whitespace.
@@ -12,7 +10,8 @@ WHITESPACE = (
     "           "
     "    　"
 )
-WHITESPACE_RUN = "[" + re.escape(WHITESPACE) + "]+"
+# Fixed value: a run of anything but those characters.
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _DECIMAL = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
@@ -35,7 +34,7 @@ def optional_text(text: Column) -> Column:
 def finite_double(text: Column) -> Column:
     """A decimal number, or null for blank, non-numeric, NaN and infinite input."""
     bare = strip(text)
-    number = F.regexp_replace(bare, "_", "").try_cast("double")
+    number = F.replace(bare, F.lit("_"), F.lit("")).try_cast("double")
     return F.when(bare.rlike(_DECIMAL) & is_finite(number), number)
 
 
@@ -49,11 +48,10 @@ def whole_number(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Split on runs of whitespace after stripping."""
-    return F.split(strip(text), WHITESPACE_RUN)
+    """The runs between whitespace; an empty array for a blank line."""
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def is_data_line(text: Column) -> Column:
-    """False for blank lines and ``#`` comments."""
-    bare = strip(text)
-    return (F.length(bare) > 0) & ~bare.startswith("#")
+def is_data_line(fields: Column) -> Column:
+    """False for the words of a blank line or a ``#`` comment."""
+    return (F.size(fields) > 0) & ~F.get(fields, F.lit(0)).startswith("#")

@@ -61,21 +61,32 @@ def unpivot_fields(df: DataFrame, tags: Sequence[str], fields: Sequence[str]) ->
 
 
 def latest_point(
-    df: DataFrame, identity: Sequence[str], fields: Sequence[str], order: Sequence[str | Column]
+    df: DataFrame,
+    identity: Sequence[str],
+    fields: Sequence[str],
+    order: Sequence[str | Column],
+    optional: Sequence[str] | None = None,
 ) -> DataFrame:
     """Last write wins per identity, field by field.
 
-    A later write that omits a field (null) leaves the earlier value in place. The result
-    is an ordinary partial-then-final aggregate, so an identity written very often is
-    reduced before the shuffle.
+    A later write that omits an ``optional`` field (null) leaves the earlier value in place.
+    All fields are optional unless told otherwise; fields every write carries are resolved
+    together, which is cheaper. The result is an ordinary partial-then-final aggregate, so
+    an identity written very often is reduced before the shuffle.
     """
-    sequence = F.struct(*order) if len(order) > 1 else (
-        order[0] if isinstance(order[0], Column) else F.col(order[0])
+    optional = list(fields) if optional is None else list(optional)
+    always = [name for name in fields if name not in optional]
+    sequence = F.struct(*order) if len(order) > 1 else order[0]
+    place = F.col(sequence) if isinstance(sequence, str) else sequence
+    newest = [F.max_by(F.struct(*always), place).alias("_newest")] if always else []
+    kept = [
+        F.max_by(F.col(name), F.when(F.col(name).isNotNull(), place)).alias(name) for name in optional
+    ]
+    resolved = df.groupBy(*identity).agg(*newest, *kept)
+    return resolved.select(
+        *identity,
+        *[F.col(f"_newest.{name}").alias(name) if name in always else F.col(name) for name in fields],
     )
-    return df.groupBy(*identity).agg(*[
-        F.max_by(F.col(name), F.when(F.col(name).isNotNull(), sequence)).alias(name)
-        for name in fields
-    ])
 
 
 def distinct_points(df: DataFrame, identity: Sequence[str]) -> DataFrame:

@@ -30,11 +30,15 @@ def write_points(
 
 
 def read_points(
-    spark: SparkSession, path: str, identity: Sequence[str], fields: Sequence[str]
+    spark: SparkSession,
+    path: str,
+    identity: Sequence[str],
+    fields: Sequence[str],
+    optional: Sequence[str] | None = None,
 ) -> DataFrame:
     """The current value of every field of every point."""
     stored = spark.read.option("basePath", path).parquet(path)
-    return latest_point(stored, identity, fields, [BATCH, ORDER])
+    return latest_point(stored, identity, fields, [BATCH, ORDER], optional)
 
 
 def compact_points(
@@ -47,6 +51,7 @@ def compact_points(
     keep: timedelta,
     as_of: datetime,
     grain: str = "day",
+    optional: Sequence[str] | None = None,
 ) -> None:
     """Write the current points that are within retention to ``target``.
 
@@ -54,5 +59,5 @@ def compact_points(
     reader of it is never disturbed.
     """
     stored = retain(spark.read.option("basePath", path).parquet(path), ts, keep, as_of)
-    current = latest_point(stored, identity, fields, [BATCH, ORDER])
+    current = latest_point(stored, identity, fields, [BATCH, ORDER], optional)
     write_points(current, target, ts, 0, F.lit(0), grain)

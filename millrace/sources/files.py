@@ -48,11 +48,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def judge_edge_lines(lines: DataFrame) -> DataFrame:
     """Parse data lines to ``(source, destination)`` and keep the reason where that fails."""
-    fielded = compute_once(lines.filter(is_data_line(F.col("value"))), fields=words(F.col("value")))
+    fielded = compute_once(lines, fields=words(F.col("value"))).filter(is_data_line(F.col("fields")))
     typed = compute_once(
         fielded,
-        source=whole_number(F.get("fields", F.lit(0))),
-        destination=whole_number(F.get("fields", F.lit(1))),
+        source=F.get("fields", F.lit(0)).try_cast("bigint"),
+        destination=F.get("fields", F.lit(1)).try_cast("bigint"),
     )
     return judge(typed, [
         (F.size("fields") == 2, F.concat(F.lit("expected 2 fields, found "), F.size("fields").cast("string"))),

@@ -24,7 +24,8 @@ def test_no_python_and_no_products(spark, name):
 
 @pytest.mark.parametrize("name,column", [("time_range", "ts"), ("series_filter", "event_type"), ("retention", "ts")])
 def test_filters_reach_the_scan(spark, name, column):
-    pushed = plan(spark, name).split("PushedFilters: [")[1].split("]")[0]
+    text = profile_plan(QUERIES[name].run(spark, DATA))
+    pushed = text.split("PushedFilters: [")[1].split("]")[0]
     assert f"({column}," in pushed
 
 
