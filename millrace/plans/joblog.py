@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.once import compute_once
 from ..operators.contracts import ContractError
 from ..operators.joins import join_lookup
 from ..operators.ranking import sequence_within
@@ -57,38 +58,55 @@ def _stage_sightings(log: DataFrame) -> DataFrame:
         F.col("event") == kinds.JOB_START, value('$["Stage Infos"]', "array<variant>")
     ).otherwise(F.array(value('$["Stage Info"]', "variant")))
     return _of(log, kinds.JOB_START, kinds.STAGE_COMPLETED).select(
-        "app_id", *POSITION, "event", F.posexplode(described).alias("nth", "stage")
-    ).withColumn("stage_id", value('$["Stage ID"]', "bigint", "stage"))
+        "app_id", *POSITION, F.posexplode(described).alias("nth", "stage")
+    )
 
 
-def log_stages(log: DataFrame) -> DataFrame:
-    """Each stage as last described."""
-    facts = F.struct(
-        F.coalesce(value('$["Stage Attempt ID"]', "bigint", "stage"), F.lit(0)).alias("attempt_id"),
-        value('$["Stage Name"]', "string", "stage").alias("name"),
-        value("$.Details", "string", "stage").alias("details"),
-        F.coalesce(value('$["Number of Tasks"]', "bigint", "stage"), F.lit(0)).alias("number_of_tasks"),
-        F.coalesce(
-            value('$["Parent IDs"]', "array<bigint>", "stage"), F.array().cast("array<bigint>")
-        ).alias("parent_stage_ids"),
+def _rdd_sightings(log: DataFrame) -> DataFrame:
+    """Each time an RDD is described, with the stage it is described in."""
+    return _stage_sightings(log).select(
+        "app_id", *POSITION, "nth", value('$["Stage ID"]', "bigint", "stage").alias("stage_id"),
+        F.posexplode(value('$["RDD Info"]', "array<variant>", "stage")).alias("rdd_nth", "rdd"),
     )
+
+
+def _ids(path: str, doc: str) -> Column:
+    return F.coalesce(value(path, "array<bigint>", doc), F.array().cast("array<bigint>"))
+
+
+def _number(path: str, doc: str | Column = "body") -> Column:
+    return F.coalesce(value(path, "bigint", doc), F.lit(0))
+
+
+def _last_sighting(sightings: DataFrame, keys: dict[str, Column], place: list[str], facts: Column) -> DataFrame:
+    """The facts last told about each key; only facts, not documents, are sorted and shuffled."""
+    told = compute_once(sightings, ["app_id", *place], **keys, facts=facts)
     return (
-        _stage_sightings(log).groupBy("app_id", "stage_id")
-        .agg(F.max_by(facts, F.struct(*POSITION, "nth")).alias("last"))
-        .select("app_id", "stage_id", "last.*")
+        told.groupBy("app_id", *keys)
+        .agg(F.max_by("facts", F.struct(*place)).alias("last"))
+        .select("app_id", *keys, "last.*")
     )
 
 
-def _rdd_sightings(log: DataFrame) -> DataFrame:
-    return _stage_sightings(log).select(
-        "app_id", *POSITION, "nth", "stage_id",
-        F.posexplode(value('$["RDD Info"]', "array<variant>", "stage")).alias("rdd_nth", "rdd"),
-    ).withColumn("rdd_id", value('$["RDD ID"]', "bigint", "rdd"))
+def log_stages(log: DataFrame) -> DataFrame:
+    """Each stage as last described."""
+    stage = "stage"
+    facts = F.struct(
+        _number('$["Stage Attempt ID"]', stage).alias("attempt_id"),
+        value('$["Stage Name"]', "string", stage).alias("name"),
+        value("$.Details", "string", stage).alias("details"),
+        _number('$["Number of Tasks"]', stage).alias("number_of_tasks"),
+        _ids('$["Parent IDs"]', stage).alias("parent_stage_ids"),
+    )
+    keys = {"stage_id": value('$["Stage ID"]', "bigint", stage)}
+    return _last_sighting(_stage_sightings(log), keys, [*POSITION, "nth"], facts)
 
 
 def stage_rdds(log: DataFrame) -> DataFrame:
     """RDDs of each stage: the union over all its descriptions, one row per pair."""
-    return _rdd_sightings(log).select("app_id", "stage_id", "rdd_id").distinct()
+    return _rdd_sightings(log).select(
+        "app_id", "stage_id", value('$["RDD ID"]', "bigint", "rdd").alias("rdd_id")
+    ).distinct()
 
 
 def log_rdds(log: DataFrame) -> DataFrame:
@@ -97,27 +115,20 @@ def log_rdds(log: DataFrame) -> DataFrame:
     scope = value("$.Scope", "string", rdd)
     facts = F.struct(
         value("$.Name", "string", rdd).alias("name"),
-        F.coalesce(
-            value('$["Parent IDs"]', "array<bigint>", rdd), F.array().cast("array<bigint>")
-        ).alias("parent_rdd_ids"),
-        F.coalesce(value('$["Number of Partitions"]', "bigint", rdd), F.lit(0)).alias("number_of_partitions"),
-        F.coalesce(
-            value('$["Number of Cached Partitions"]', "bigint", rdd), F.lit(0)
-        ).alias("number_of_cached_partitions"),
+        _ids('$["Parent IDs"]', rdd).alias("parent_rdd_ids"),
+        _number('$["Number of Partitions"]', rdd).alias("number_of_partitions"),
+        _number('$["Number of Cached Partitions"]', rdd).alias("number_of_cached_partitions"),
         _json(value('$["Storage Level"]', "variant", rdd)).alias("storage_level"),
-        F.coalesce(value('$["Memory Size"]', "bigint", rdd), F.lit(0)).alias("memory_size_bytes"),
-        F.coalesce(value('$["Disk Size"]', "bigint", rdd), F.lit(0)).alias("disk_size_bytes"),
+        _number('$["Memory Size"]', rdd).alias("memory_size_bytes"),
+        _number('$["Disk Size"]', rdd).alias("disk_size_bytes"),
         scope.alias("scope"),
         value("$.name", "string", F.try_parse_json(scope)).alias("scope_name"),
         value("$.Callsite", "string", rdd).alias("callsite"),
         F.coalesce(value("$.Barrier", "boolean", rdd), F.lit(False)).alias("barrier"),
         value("$.DeterministicLevel", "string", rdd).alias("deterministic_level"),
     )
-    return (
-        _rdd_sightings(log).groupBy("app_id", "rdd_id")
-        .agg(F.max_by(facts, F.struct(*POSITION, "nth", "rdd_nth")).alias("last"))
-        .select("app_id", "rdd_id", "last.*")
-    )
+    keys = {"rdd_id": value('$["RDD ID"]', "bigint", rdd)}
+    return _last_sighting(_rdd_sightings(log), keys, [*POSITION, "nth", "rdd_nth"], facts)
 
 
 def log_executors(log: DataFrame) -> DataFrame:
@@ -144,10 +155,6 @@ def success(reason: Column) -> Column:
     return reason.isNull() | (reason == "Success")
 
 
-def _metric(path: str) -> Column:
-    return F.coalesce(value(path, "bigint"), F.lit(0))
-
-
 def _is(kind: str) -> Column:
     return F.col("event") == kind
 
@@ -163,12 +170,12 @@ def log_tasks(log: DataFrame) -> DataFrame:
             F.coalesce(value('$["Stage Attempt ID"]', "bigint"), F.lit(0)).alias("attempt_id"),
             F.coalesce(value('$["Task Info"]["Executor ID"]', "string"), F.lit("unknown")).alias("executor_id"),
             F.nullif(value('$["Task Info"].Host', "string"), F.lit("")).alias("task_host"),
-            _metric('$["Task Metrics"]["Input Metrics"]["Records Read"]').alias("input_records"),
+            _number('$["Task Metrics"]["Input Metrics"]["Records Read"]').alias("input_records"),
             (
-                _metric('$["Task Metrics"]["Shuffle Read Metrics"]["Remote Bytes Read"]')
-                + _metric('$["Task Metrics"]["Shuffle Read Metrics"]["Local Bytes Read"]')
+                _number('$["Task Metrics"]["Shuffle Read Metrics"]["Remote Bytes Read"]')
+                + _number('$["Task Metrics"]["Shuffle Read Metrics"]["Local Bytes Read"]')
             ).alias("shuffle_read_bytes"),
-            _metric(
+            _number(
                 '$["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]'
             ).alias("shuffle_write_bytes"),
         )
