@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.graph import (
-    graph_build, in_degree, merge_edges, neighbors, node_union, shortest_path, top_in_degree, undirected,
+    Adjacency, graph_build, in_degree, merge_edges, neighbors, node_union, shortest_path, top_in_degree, undirected,
 )
 from ..operators.ranking import ranked
 from ..operators.workers import allocation, skew_compare, skew_workers, totals, worker_grid
@@ -169,6 +169,17 @@ def _shortest_path(spark, sf):
     )
 
 
+@query("frontier_join", f"""
+    WITH e AS ({_EDGES}), hubs AS (
+        SELECT destination AS id FROM e GROUP BY destination ORDER BY count(*) DESC, id LIMIT 50)
+    SELECT source AS id, min(destination) AS parent FROM e JOIN hubs ON destination = hubs.id GROUP BY source""")
+def _frontier_join(spark, sf):
+    """One traversal step from the 50 most referenced nodes, by the join used for large frontiers."""
+    edges = edges_of(spark, sf)
+    hubs = top_in_degree(in_degree(edges), 50).select("id")
+    return Adjacency(edges).step(hubs, small=False)
+
+
 # --- work per worker: stage = return flag, worker = supplier ---------------------------
 
 _SUMS = """count(*) AS tasks, CAST(sum(l_partkey) AS BIGINT) AS input_records,

@@ -196,10 +196,10 @@ def _latest_log(spark, sf):
     path = scratch(spark, "logs")
     lines = _lines(spark, sf)
     for number in range(1, 6):
-        lines.filter(F.col("app_id") == f"app-{number}").select("app_id", "value").coalesce(1).write.mode(
+        lines.filter(F.col("app_id") == f"app-{number}").select("app_id", "value").write.mode(
             "append").partitionBy("app_id").text(path)
     newest = latest_file(spark, path).first()["path"]
-    log = read_event_log(spark, newest)
+    log = read_event_log(spark, newest.rsplit("/", 1)[0])
     return jl.log_jobs(log).groupBy("app_id").agg(F.count(F.lit(1)).alias("jobs"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..session import pin, pin_as_table, scratch, settings
 from .ranking import first_n
@@ -13,6 +13,8 @@ INCOMING = "INCOMING_CITED_BY"
 MAX_HOPS = 15
 
 FRONTIER_BROADCAST_ROWS = 200_000
+EDGES_PER_PARTITION = 2_000_000
+MOST_PARTITIONS = 20_000
 
 PATH_SCHEMA = T.StructType([
     T.StructField("start", T.LongType()),
@@ -113,10 +115,12 @@ class Adjacency:
     def __init__(self, edges: DataFrame):
         spark = edges.sparkSession
         both = undirected(edges)
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         degrees = pin_as_table(both.groupBy("source").agg(F.count(F.lit(1)).alias("degree")), "degrees")
         total = degrees.agg(F.sum("degree")).first()[0] or 0
-        share = max(total // parts, 1)
+        # Partitions follow the size of the graph, at least one per core.
+        most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_PARTITIONS)
+        self.parts = max(spark.sparkContext.defaultParallelism, min(total // EDGES_PER_PARTITION, most))
+        share = max(total // self.parts, 1)
         self.cuts = pin(
             degrees.filter(F.col("degree") > share).select(
                 "source", F.ceil(F.col("degree") / F.lit(share)).cast("int").alias("cut")
@@ -131,7 +135,7 @@ class Adjacency:
         # A checkpoint keeps its partitioning and order only when the plan is not adaptive.
         with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
             self.edges = pin(
-                sliced.repartition(parts, "source", "slice").sortWithinPartitions("source", "slice")
+                sliced.repartition(self.parts, "source", "slice").sortWithinPartitions("source", "slice")
             )
 
     def holds(self, *nodes: int) -> bool:
@@ -170,12 +174,22 @@ def shortest_path(
     graph = Adjacency(edges)
     if not graph.holds(start, finish):
         return nothing
+    with settings(spark, {"spark.sql.shuffle.partitions": str(graph.parts)}):
+        levels = _grow(graph, start, finish, max_hops)
+    return _walk_back(levels, start, finish) if levels else nothing
+
+
+def _grow(graph: Adjacency, start: int, finish: int, max_hops: int) -> list[DataFrame] | None:
+    """Levels from ``finish`` up to the one holding ``start``, or none if it is not reached."""
+    spark = graph.edges.sparkSession
     levels = [spark.range(finish, finish + 1).select("id", F.lit(None).cast("bigint").alias("parent"))]
     size = 1
     for hop in range(1, max_hops + 1):
         reached = graph.step(levels[-1], size <= FRONTIER_BROADCAST_ROWS)
-        for level in levels[-2:]:
-            reached = reached.join(level.select("id"), "id", "left_anti")
+        known = levels[-1].select("id")
+        if hop > 1:
+            known = known.unionByName(levels[-2].select("id"))
+        reached = reached.join(known, "id", "left_anti")
         path = scratch(spark, f"hop-{hop}")
         seen = Observation(f"hop-{hop}")
         reached.observe(
@@ -186,13 +200,13 @@ def shortest_path(
         levels.append(spark.read.schema("id bigint, parent bigint").parquet(path))
         size = seen.get["size"]
         if seen.get["found"]:
-            return _walk_back(spark, levels, start, finish)
+            return levels
         if not size:
             break
-    return nothing
+    return None
 
 
-def _walk_back(spark: SparkSession, levels: list[DataFrame], start: int, finish: int) -> DataFrame:
+def _walk_back(levels: list[DataFrame], start: int, finish: int) -> DataFrame:
     """Follow the parents from ``start``; the walk is a single row joined to each level."""
     walk = levels[-1].filter(F.col("id") == start).select(
         F.array("id").alias("path"), F.col("parent").alias("next")
