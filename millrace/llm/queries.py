@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .mixing import mix_report
+from .url_filter import judge_urls
+from .vector_tiles import nearest
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +70,20 @@ FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 """
 
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    found = nearest(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_url_filter": Query(op2_url_filter),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
+    "op9_nearest": Query(op9_nearest),
 }
