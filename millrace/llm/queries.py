@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .bpe import encode_column, local_ranks
 from .mixing import mix_report
 from .url_filter import judge_urls
 from .vector_tiles import nearest
@@ -72,6 +74,11 @@ JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = local_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return encode_column(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -83,6 +90,7 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_byte_bpe": Query(op1_byte_bpe),
     "op2_url_filter": Query(op2_url_filter),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
     "op9_nearest": Query(op9_nearest),
