@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import encode_column, local_ranks
 from .mixing import mix_report
+from .quality_rules import judge_quality
 from .url_filter import judge_urls
 from .vector_tiles import nearest
 
@@ -26,6 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(_table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": Query(op1_byte_bpe),
     "op2_url_filter": Query(op2_url_filter),
+    "op4_quality_rules": Query(op4_quality_rules),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
     "op9_nearest": Query(op9_nearest),
 }
