@@ -21,9 +21,10 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 KEEP_FROM = 0.5
 GOOD, BAD, NONE = "g", "b", "-"
-#: Bounds of the estimates: no rule is ever taken as certain. A rule may miss most bad documents, since each
-#: looks for one kind of them.
-ACCURACY = (0.02, 0.998)
+#: Bounds of the estimates. Rules are written to call hardly any good document bad, and without that bound a kind of
+#: bad document that only one rule sees would be taken for good. A rule may miss most bad documents, since each looks
+#: for one kind of them.
+RIGHT_FOR_GOOD, RIGHT_FOR_BAD = (0.995, 0.999), (0.05, 0.95)
 PRIOR = (0.05, 0.98)
 
 
@@ -84,13 +85,13 @@ def estimate(patterns: Mapping[str, int], rules: int, rounds: int = 60) -> dict[
     """Posterior probability of *good* for every combination of votes, by expectation-maximisation.
 
     Two hidden classes; given the class, rules that vote are independent. It starts from a share of 0.8 good and
-    rules that are right for 19 in 20 good and for every second bad document.
+    rules that are right for 995 in 1,000 good and for every second bad document.
     """
     total = sum(patterns.values())
     if not total:
         return {}
     prior = 0.8
-    right = {GOOD: [0.95] * rules, BAD: [0.5] * rules}
+    right = {GOOD: [0.995] * rules, BAD: [0.5] * rules}
     posterior: dict[str, float] = {}
     for _ in range(rounds):
         for pattern in patterns:
@@ -108,7 +109,8 @@ def estimate(patterns: Mapping[str, int], rules: int, rounds: int = 60) -> dict[
                 cast = sum(n * share(p) for p, n in patterns.items() if p[k] != NONE)
                 hit = sum(n * share(p) for p, n in patterns.items() if p[k] == side)
                 # Two imagined votes keep a rule that hardly votes from extremes.
-                right[side][k] = min(max((hit + 1.0) / (cast + 2.0), ACCURACY[0]), ACCURACY[1])
+                low, high = RIGHT_FOR_GOOD if side == GOOD else RIGHT_FOR_BAD
+                right[side][k] = min(max((hit + 1.0) / (cast + 2.0), low), high)
     return posterior
 
 
