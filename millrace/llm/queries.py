@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import encode_column, local_ranks
 from .mixing import mix_report
+from .ngram_join import jaccard_components
 from .quality_rules import judge_quality
 from .url_filter import judge_urls
 from .vector_tiles import nearest
@@ -27,6 +28,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"))
 
@@ -97,6 +102,7 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": Query(op1_byte_bpe),
     "op2_url_filter": Query(op2_url_filter),
+    "op3_ngram_join": Query(op3_ngram_join),
     "op4_quality_rules": Query(op4_quality_rules),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
     "op9_nearest": Query(op9_nearest),
