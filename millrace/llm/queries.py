@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import encode_column, local_ranks
+from .chaining import repeated_passages
 from .mixing import mix_report
 from .ngram_join import jaccard_components
 from .quality_rules import judge_quality
@@ -99,6 +100,10 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents")).drop("variant")
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": Query(op1_byte_bpe),
     "op2_url_filter": Query(op2_url_filter),
@@ -106,4 +111,5 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": Query(op4_quality_rules),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
     "op9_nearest": Query(op9_nearest),
+    "op10_substring_dedup": Query(op10_substring_dedup),
 }
