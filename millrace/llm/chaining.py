@@ -2,8 +2,8 @@
 
 1. Seeds are five-word runs picked by winnowing: of any eight neighbouring runs at least one is kept, so twelve equal
    words always share a seed. Texts are read whole.
-2. Seeds join by hash. Each occurrence is matched with one earlier occurrence only, that of the smallest document id
-   (the holder), so a passage in m documents gives m - 1 matches per seed and no pairs among them. Seeds that are
+2. Seeds join by hash. Each occurrence is matched with one earlier occurrence only, in the document with the smallest
+   id (the holder), so a passage in m documents gives m - 1 matches per seed and no pairs among them. Seeds that are
    frequent within a task are reduced to one holder there before anything is shuffled.
 3. For each document and holder, matches in order in both texts are chained: a match adds ``GAIN`` words, gaps cost
    ``GAP`` per word, and the best predecessor comes from a Fenwick tree over positions in the holder.
@@ -113,6 +113,11 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     begins = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
     sizes = np.diff(np.concatenate([begins, [len(seed)]]))
     first = np.repeat(begins, sizes)
+    # The second occurrence in a document is matched with the holder's second, and so on; else with its last.
+    run = np.flatnonzero(np.concatenate([[True], (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])]))
+    times = np.diff(np.concatenate([run, [len(seed)]]))
+    count = np.arange(len(seed)) - np.repeat(run, times)
+    match = first + np.minimum(count, np.repeat(times, times)[first] - 1)
     other = np.flatnonzero(doc != doc[first])
     marked = begins[np.add.reduceat((kind == MARKED).astype(np.int64), begins) > 0]
     unknown = np.arange(len(other) + len(marked)) >= len(other)
@@ -120,7 +125,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [pa.array(np.concatenate([doc[other], doc[marked]]), mask=unknown),
          pa.array(np.concatenate([at[other].astype(np.int64), seed[marked]])),
          pa.array(np.concatenate([doc[first[other]], doc[marked]])),
-         pa.array(np.concatenate([at[first[other]], at[marked]]).astype(np.int32))],
+         pa.array(np.concatenate([at[match[other]], at[marked]]).astype(np.int32))],
         ["doc", "at", "holder", "holder_at"])
 
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import io
+import os
+import tempfile
+import zipfile
+
+import millrace
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.session import pin_as_table
 
@@ -36,3 +42,29 @@ def small_side(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFr
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back; later uses don't compute it again."""
     return pin_as_table(df, "llm-" + label)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Spark's Python workers, once per application.
+
+    Where it is installed on all machines this changes nothing; a session started by hand needs it.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(millrace.__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace.zip")
+    with open(path, "wb") as file:
+        file.write(packed.getvalue())
+    spark.sparkContext.addPyFile(path)  # the driver serves it to every executor
+    _shipped.add(application)

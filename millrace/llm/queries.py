@@ -8,8 +8,10 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .common import ship_package
 from .bpe import encode_column, local_ranks
 from .chaining import repeated_passages
+from .kneser_ney import classify
 from .mixing import mix_report
 from .ngram_join import jaccard_components
 from .quality_rules import judge_quality
@@ -21,9 +23,13 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 @dataclass(frozen=True)
 class Query:
-    run: Run
+    build: Run
     sql: str | None = None
 
+    def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return self.build(spark, sf_dir)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -94,6 +100,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     found = nearest(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
@@ -110,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op3_ngram_join": Query(op3_ngram_join),
     "op4_quality_rules": Query(op4_quality_rules),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
+    "op7_quality_classifier": Query(op7_quality_classifier),
     "op9_nearest": Query(op9_nearest),
     "op10_substring_dedup": Query(op10_substring_dedup),
 }
