@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import ship_package
 from .bpe import encode_column, local_ranks
 from .chaining import repeated_passages
+from .ctw import score_documents
 from .kneser_ney import classify
 from .mixing import mix_report
 from .ngram_join import jaccard_components
@@ -43,6 +44,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(_table(spark, sf_dir, "documents"))
 
@@ -119,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filter": Query(op2_url_filter),
     "op3_ngram_join": Query(op3_ngram_join),
     "op4_quality_rules": Query(op4_quality_rules),
+    "op5_lm_scoring": Query(op5_lm_scoring),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
     "op7_quality_classifier": Query(op7_quality_classifier),
     "op9_nearest": Query(op9_nearest),

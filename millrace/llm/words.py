@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -90,13 +91,34 @@ class Words:
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        if len(self.start):
-            value = ((_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)) * _power(_BASE, n)[:n]
-            value[~inside] = 0
-            summed = np.add.reduceat(value, self.start)
-            self.hash = mix(summed * _power(_INVERSE, n)[self.start])
-        else:
-            self.hash = np.zeros(0, dtype=np.uint64)
+        self.inside, self._lower = inside, lower
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        if not len(self.start):
+            return np.zeros(0, dtype=np.uint64)
+        n = len(self.raw)
+        value = ((_LOWER[self.raw] if self._lower else self.raw).astype(np.uint64) + np.uint64(1)) * _power(_BASE, n)[:n]
+        value[~self.inside] = 0
+        return mix(np.add.reduceat(value, self.start) * _power(_INVERSE, n)[self.start])
+
+    def stream(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of each row's words, A-Z lower-cased, one blank between words and a line feed at the end of the row
+        (the only byte of a row without words); and where each row begins."""
+        counts = np.diff(self.first)
+        inside = np.flatnonzero(self.inside)
+        letters = np.concatenate([[0], np.cumsum(self.end - self.start)])
+        size = letters[self.first[1:]] - letters[self.first[:-1]] + np.maximum(counts, 1)
+        begin = np.concatenate([[0], np.cumsum(size)])
+        blanks = np.cumsum(counts == 0)  # rows without words so far take a place of their own
+        out = np.full(int(begin[-1]), 10, dtype=np.uint8)
+        word = np.repeat(np.arange(len(self.start)), self.end - self.start)
+        out[np.arange(len(inside)) + word + blanks[self.row[word]]] = _LOWER[self.raw[inside]]
+        stop = letters[1:] + np.arange(len(self.start)) + (blanks[self.row] if len(self.row) else 0)
+        last = np.zeros(len(self.start), dtype=bool)
+        last[self.first[1:][counts > 0] - 1] = True
+        out[stop[~last]] = 32
+        return out, begin
 
     def windows(self, size: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first word and hash of every run of ``size`` words within one row. ``short`` adds, for rows
