@@ -18,6 +18,7 @@ from .ngram_join import jaccard_components
 from .quality_rules import judge_quality
 from .url_filter import judge_urls
 from .vector_tiles import nearest
+from .wrappers import main_text
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +110,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     found = nearest(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
@@ -127,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op5_lm_scoring": Query(op5_lm_scoring),
     "op6_mixing": Query(op6_mixing, OP6_SQL),
     "op7_quality_classifier": Query(op7_quality_classifier),
+    "op8_html_extraction": Query(op8_html_extraction),
     "op9_nearest": Query(op9_nearest),
     "op10_substring_dedup": Query(op10_substring_dedup),
 }
