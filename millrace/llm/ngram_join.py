@@ -6,11 +6,12 @@
    here is by hash, with very frequent shingles last. The shingles of these first quarters are the keys of tiles; in a
    tile, sets are in order of size, and only sizes within 3 : 4 meet.
 3. A small tile gives all its pairs; in two large sets at least three keys must agree. Large tiles first compare every
-   set with one centre. After the links so far are known, large tiles that still hold several components compare the
-   sets outside the largest component with all others, in blocks. No pair that could link is left out, and no tile
-   gives a row for each pair in it.
+   set with one centre. While large tiles still hold several components, the sets outside the largest one are compared
+   with all sets of other components, in blocks: first each is joined with its likeliest partner only, round by round,
+   and when that finds no more, every pair that bitmaps allow is tried. No pair that could join two components is left
+   out, and what tiles return grows with their rows.
 4. In a pair, the bits that one bitmap has and the other lacks bound the overlap from above. Pairs that pass are
-   counted exactly on sorted arrays.
+   counted exactly on sorted arrays, the likeliest of each set first; pairs within a component are not counted again.
 
 The order of shingles needs the frequent ones only roughly; it changes the work, never the result.
 """
@@ -37,6 +38,8 @@ SMALL_TILE = 8
 LARGE_SET, LARGE_KEYS = 12, 3
 BLOCK = 2048
 TILE_ROWS = 1_500_000
+#: Rounds at most in which sets of large tiles are joined with their likeliest partner before all pairs are tried.
+ROUNDS = 4
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
@@ -200,9 +203,10 @@ def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n_a, n_b, bits_a, bits_b in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
             left, right = np.frombuffer(bits_a, np.uint64), np.frombuffer(bits_b, np.uint64)
             width = 64 * min(len(left), len(right))
-            most = _most(n_a, n_b, _folded(left, width), _folded(right, width))
-            keep.append(7 * int(most) >= 3 * (n_a + n_b))
-        yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            share = int(_most(n_a, n_b, _folded(left, width), _folded(right, width))) / (n_a + n_b)
+            keep.append(share if 7 * share >= 3 - 1e-9 else None)
+        share = pa.array(keep, pa.float64())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], share], ["a", "b", "share"]).filter(share.is_valid())
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,17 +223,28 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link: first by bitmaps, then exactly."""
-    near = pairs
+def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that bitmaps allow, with the share that bounds their overlap."""
     for side in "ab":
-        near = near.join(sets.select(F.col("class").alias(side), F.col("n").alias("n_" + side),
-                                     F.col("bits").alias("bits_" + side)), side)
-    near = stored(near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_bound, "a long, b long"), "near")
-    wanted = near.select(F.col("a").alias("class")).union(near.select(F.col("b").alias("class"))).distinct()
-    ids = stored(facts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "near-ids")
-    ids_only = stored(ids.select(F.col("doc_id").alias("want")).distinct(), "near-docs")
-    texts = docs.join(small_side(ids_only, 16), docs["doc_id"].eqNullSafe(ids_only["want"]), "left_semi")
+        pairs = pairs.join(sets.select(F.col("class").alias(side), F.col("n").alias("n_" + side),
+                                       F.col("bits").alias("bits_" + side)), side)
+    return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_bound, "a long, b long, share double")
+
+
+def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Links (a, b) that join what the pairs of ``near`` (a, b, share) join, and the components they make; None if
+    there are none.
+
+    Each class first tries its likeliest pair; then the pairs that still lie between components.
+    """
+    near = stored(near, "near")
+    if near.isEmpty():
+        return None
+    ends = near.select(F.col("a").alias("class"), "a", "b", "share").union(near.select("b", "a", "b", "share"))
+    wanted = ends.select("class").distinct()
+    ids = facts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("want"))
+    ids = stored(ids.select("want").distinct(), "near-docs")
+    texts = docs.join(small_side(ids, 16), docs["doc_id"].eqNullSafe(ids["want"]), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,61 +254,99 @@ def _linked(pairs: DataFrame, docs: DataFrame, facts: DataFrame, sets: DataFrame
                     [pa.array([f for f, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())],
                     ["class", "set"])
 
-    arrays = stored(texts.mapInArrow(run, "class long, set binary"), "near-sets").dropDuplicates(["class"])
+    arrays = stored(texts.mapInArrow(run, "class long, set binary"), "near-sets")
+    if arrays.groupBy("class").count().where("count > 1").limit(1).count():
+        arrays = arrays.dropDuplicates(["class"])  # rows that share an id
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(arrays.select(F.col("class").alias(side), F.col("set").alias("set_" + side)), side)
+        return stored(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_exact, "a long, b long"), "links")
+
+    likely = ends.groupBy("class").agg(F.max(F.struct("share", "a", "b")).alias("best"))
+    likely = likely.select("best.a", "best.b").distinct()
+    first = exact(likely)
+    labels = components(first)
+    rest = near.select("a", "b")
     for side in "ab":
-        near = near.join(arrays.select(F.col("class").alias(side), F.col("set").alias("set_" + side)), side)
-    return stored(near.select("a", "b", "set_a", "set_b").mapInArrow(_exact, "a long, b long"), "links")
+        rest = rest.join(labels.select(F.col("node").alias(side), F.col("label").alias("label_" + side)), side, "left")
+    open_pairs = rest.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    open_pairs = stored(open_pairs.join(likely, ["a", "b"], "left_anti"), "open-pairs")
+    more = None if open_pairs.isEmpty() else exact(open_pairs)
+    if more is None or more.isEmpty():
+        return None if first.isEmpty() else (first, labels)
+    links = first.unionByName(more)
+    return links, components(links)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles (tile, outside, class, n, label, bits): pairs of an outside row with any of another label that bitmaps
-    allow."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
-        return
-    tile, outside, own, n, label = (table[k].to_numpy() for k in ("tile", "outside", "class", "n", "label"))
-    bits = table["bits"].to_pylist()
-    order = np.argsort(tile, kind="stable")
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(tile[order]) != 0]))
-    for rows in np.split(order, cuts[1:]):
-        asks, has = rows[outside[rows]], rows[~outside[rows]]
-        widths = np.array([len(bits[r]) * 8 for r in has])
-        by_width = {w: (has[widths == w], np.stack([np.frombuffer(bits[r], np.uint64) for r in has[widths == w]]))
-                    for w in np.unique(widths).tolist()}
-        found: list[tuple[np.ndarray, int]] = []
-        for ask in asks.tolist():
-            mine = np.frombuffer(bits[ask], np.uint64)
-            for width, (there, words) in by_width.items():
-                near = _close(n[there], n[ask]) & (label[there] != label[ask])
-                if not near.any():
-                    continue
-                narrow = min(width, len(mine) * 64)
-                most = _most(n[ask], n[there[near]], _folded(mine, narrow), _folded(words[near], narrow))
-                hit = there[near][7 * most >= 3 * (n[ask] + n[there[near]])]
-                if len(hit):
-                    found.append((own[hit], own[ask]))
-        if found:
-            left = np.concatenate([h for h, _ in found])
-            right = np.concatenate([np.full(len(h), a) for h, a in found])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], ["a", "b"])
-
-
-def _open_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) in large tiles that hold more than one component."""
-    labelled = stored(rows.join(labels, rows["class"] == labels["node"], "left").select(
+def _blocks(every: bool):
+    """Tiles (tile, outside, class, n, label, bits): for an outside row the likeliest row of another label, or with
+    ``every`` all that bitmaps allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
+        if table is None:
+            return
+        tile, outside, own, n, label = (table[k].to_numpy() for k in ("tile", "outside", "class", "n", "label"))
+        bits = table["bits"].to_pylist()
+        order = np.argsort(tile, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], np.diff(tile[order]) != 0]))
+        for rows in np.split(order, cuts[1:]):
+            asks, has = rows[outside[rows]], rows[~outside[rows]]
+            widths = np.array([len(bits[r]) * 8 for r in has])
+            by_width = {w: (has[widths == w], np.stack([np.frombuffer(bits[r], np.uint64) for r in has[widths == w]]))
+                        for w in np.unique(widths).tolist()}
+            left, right, shares = [], [], []
+            for ask in asks.tolist():
+                mine = np.frombuffer(bits[ask], np.uint64)
+                for width, (there, words) in by_width.items():
+                    near = _close(n[there], n[ask]) & (label[there] != label[ask])
+                    if not near.any():
+                        continue
+                    narrow = min(width, len(mine) * 64)
+                    most = _most(n[ask], n[there[near]], _folded(mine, narrow), _folded(words[near], narrow))
+                    share = most / (n[ask] + n[there[near]])
+                    hit = np.flatnonzero(7 * share >= 3 - 1e-9)
+                    if len(hit) and not every:
+                        hit = hit[[int(share[hit].argmax())]]
+                    if len(hit):
+                        left.append(own[there[near][hit]])
+                        right.append(np.full(len(hit), own[ask]))
+                        shares.append(share[hit])
+            if left:
+                x, y = np.concatenate(left), np.concatenate(right)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(shares))],
+                    ["a", "b", "share"])
+
+    return run
+
+
+def _open_rows(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, class, label) of large tiles with more than one component; per such tile (key) the largest one and the
+    number of blocks."""
+    labelled = stored(rows.select("key", "class").join(labels, F.col("class") == labels["node"], "left").select(
         "key", "class", F.coalesce("label", "class").alias("label")), "tile-labels")
     groups = labelled.groupBy("key", "label").agg(F.count("*").alias("rows"))
     tiles = stored(groups.groupBy("key").agg(
         F.count("*").alias("labels"), F.sum("rows").alias("rows"), F.max_by("label", "rows").alias("largest")
     ).where("labels > 1").select("key", "largest", F.ceil(F.col("rows") / BLOCK).alias("blocks")), "open-tiles")
-    opened = labelled.join(tiles, "key").join(sets, "class").select(
+    return stored(labelled.join(tiles.select("key"), "key", "left_semi"), "open-rows"), tiles
+
+
+def _open_pairs(rows: DataFrame, tiles: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
+    """Candidate pairs (a, b, share) between components in the same large tile."""
+    opened = rows.join(tiles, "key").join(sets, "class").select(
         "key", "class", "n", "label", "bits", "blocks", (F.col("label") != F.col("largest")).alias("outside"))
     own = opened.withColumn("block", F.pmod(F.xxhash64("class"), "blocks")).withColumn("outside", F.lit(False))
     asks = opened.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     columns = [F.xxhash64("key", "block").alias("tile"), "outside", "class", "n", "label", "bits"]
-    return own.select(*columns).unionByName(asks.select(*columns)).repartition("tile").mapInArrow(
-        _blocks, "a long, b long").distinct()
+    found = own.select(*columns).unionByName(asks.select(*columns)).repartition("tile").mapInArrow(
+        _blocks(every), "a long, b long, share double")
+    if not every:  # of all tiles that a class is in, the likeliest partner
+        ends = found.select(F.col("a").alias("class"), "a", "b", "share").union(found.select("b", "a", "b", "share"))
+        found = ends.groupBy("class").agg(F.max(F.struct("share", "a", "b")).alias("best")).select("best.*")
+    return found.groupBy("a", "b").agg(F.max("share").alias("share"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,13 +376,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("x").alias("a"), F.col("y").alias("b"), F.col("z").alias("need")).unionByName(stars)
     first = pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.min("need").alias("need")).where(
         "times >= need").select("a", "b")
-    links = _linked(first, docs, slim, sets)
-    labels = components(links)
+    got = _linked(_bounded(first, sets), docs, slim)
+    none = docs.sparkSession.createDataFrame([], "a long, b long")
+    links, labels = got or (none, none.toDF("node", "label"))
     rows = found.where(F.col("kind") == ROW).select(F.col("x").alias("key"), F.col("y").alias("class")).unionByName(
         often.select("key", "class"))
-    more = _linked(_open_tiles(rows, labels, sets), docs, slim, sets)
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    every = False
+    for number in range(ROUNDS + 1):
+        rows, tiles = _open_rows(rows, labels)
+        if tiles.isEmpty():
+            break
+        every = every or number == ROUNDS
+        more = _linked(_open_pairs(rows, tiles, sets, every), docs, slim)
+        if more:
+            links = links.unionByName(more[0])
+            labels = components(links)
+        if every:
+            break
+        every = more is None  # then all pairs are tried, once
     names = slim.join(labels, slim["class"] == labels["node"], "left").select(
         "class", "doc_id", F.coalesce("label", "class").alias("label"))
     smallest = names.groupBy("label").agg(F.min("doc_id").alias("component_id"))
