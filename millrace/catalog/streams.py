@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.clock import from_epoch_millis
 from ..session import scratch
 from ..sinks.points import read_points
-from ..streaming.run import drain, file_writer, late_rows, replay, replay_files, upsert_writer, write_replay
+from ..streaming.run import (
+    drain, file_writer, late_rows, replay, replay_chunks, replay_files, upsert_writer, write_replay,
+)
 from ..streaming.telemetry import (
     COUNT, EVENT_TIME, MILLIS, SENSOR, TOTAL, judge_messages, parse_messages, window_result_json, window_totals,
     with_watermark,
@@ -15,8 +17,6 @@ from ..streaming.telemetry import (
 from .contracts import message_texts
 from .registry import as_ntz, query, table
 
-CHUNKS = 4
-
 _MS = "(epoch_us(ts) // 1000)"
 _BATCH_TOTALS = """
     SELECT CAST(user_id AS VARCHAR) AS sensor_id, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
@@ -34,8 +34,9 @@ _AS_JSON = """
 
 def _replayed(spark, df, path):
     """A table written and then streamed in event-time order."""
-    files = replay_files(df, CHUNKS)
-    write_replay(df, "ts", path, CHUNKS, files)
+    chunks = replay_chunks(df)
+    files = replay_files(df, chunks)
+    write_replay(df, "ts", path, chunks, files)
     return replay(spark, path, df.schema, files)
 
 
@@ -119,8 +120,9 @@ def _late_drop(spark, sf):
     path = scratch(spark, "replay")
     events = table(spark, sf, "events").select(
         F.col("ts"), F.col("value").cast("bigint").alias(COUNT))
-    files = replay_files(events, CHUNKS)
-    write_replay(events, "ts", path, CHUNKS, files)
+    chunks = replay_chunks(events)
+    files = replay_files(events, chunks)
+    write_replay(events, "ts", path, chunks, files)
     last = events.agg(F.max("ts").alias("last")).first()["last"]
     # One marker far ahead moves the watermark past every window before the repeat arrives.
     marker = spark.createDataFrame([(last, 0)], "ts timestamp_ntz, vehicle_count bigint")
@@ -146,8 +148,9 @@ def _stream_upsert(spark, sf):
     """Points of a stream stored twice over; each point ends with its latest value."""
     path, target = scratch(spark, "replay"), scratch(spark, "upserts")
     events = table(spark, sf, "events").select("ts", "user_id", "event_type", "value")
-    files = replay_files(events, CHUNKS)
-    write_replay(events, "ts", path, CHUNKS, files)
+    chunks = replay_chunks(events)
+    files = replay_files(events, chunks)
+    write_replay(events, "ts", path, chunks, files)
     for _ in range(2):  # a second run from the start redelivers every batch
         stream = replay(spark, path, "ts timestamp_ntz, user_id bigint, event_type string, value double", files)
         drain(upsert_writer(stream, target, "ts", F.col("ts"), scratch(spark, "upsert-state"), "month"), spark)

@@ -12,7 +12,7 @@ from ..operators.points import (
     distinct_points, latest_point, relative_range, retain, series_filter, time_range, unpivot_fields,
 )
 from ..operators.windows import sliding_mean, tumbling_mean, tumbling_sum
-from ..plans.timeseries import downsample, downsample_task, measured_write
+from ..plans.timeseries import downsample, downsample_task, measured_write, read_downsampled
 from ..session import scratch
 from ..sinks.points import compact_points, read_points, write_points
 from ..sources.points import read_bucket
@@ -210,8 +210,18 @@ def _append_by_flag(spark, sf, path):
     lines = table(spark, sf, "lineitem")
     for batch, flag in ((0, "A"), (1, "N"), (1, "N"), (2, "R")):
         part = lines.filter(F.col("l_returnflag") == flag)
-        write_points(part.select(*LINE, "l_shipdate", *_FIELDS), path, "l_shipdate", batch,
-                     F.struct("l_shipdate", *_FIELDS), "year")
+        write_points(part.select(*LINE, "l_shipdate", *_FIELDS), path, "l_shipdate", batch, _line_order(), "year")
+
+
+def _line_order():
+    """Ship date, part, supplier, quantity and price as one number that sorts as they do."""
+    digits = ((F.unix_date(F.col("l_shipdate").cast("date")), 5), (F.col("l_partkey"), 7), (F.col("l_suppkey"), 4),
+              (F.col("l_quantity"), 2), (F.round(F.col("l_extendedprice") * 100), 9))
+    place, total = 0, F.lit(0).cast("decimal(27,0)")
+    for value, width in reversed(digits):
+        total = total + value.cast("decimal(9,0)") * F.lit("1" + "0" * place).cast("decimal(24,0)")
+        place += width
+    return total.cast("decimal(27,0)")
 
 
 _UPSERT = f"""
@@ -238,6 +248,68 @@ def _retention_compact(spark, sf):
     return read_points(spark, kept, LINE, _FIELDS)
 
 
+@query("read_points_range", f"""
+    SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, l_extendedprice FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY l_orderkey, l_linenumber, l_shipdate
+            ORDER BY l_returnflag DESC, l_shipdate DESC, {', '.join(c + ' DESC' for c in _FIELDS)}) AS n
+        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-03-01' AND l_shipdate < TIMESTAMP '1997-02-01') WHERE n = 1""")
+def _read_points_range(spark, sf):
+    """Current points of a time range: other years are not read."""
+    path = scratch(spark, "points")
+    _append_by_flag(spark, sf, path)
+    return read_points(spark, path, [*LINE, "l_shipdate"], ["l_quantity", "l_extendedprice"], optional=(),
+                       ts="l_shipdate", start=datetime(1996, 3, 1), stop=datetime(1997, 2, 1))
+
+
+@query("read_bucket_since", "SELECT event_id, ts, value FROM events WHERE ts >= TIMESTAMP '2024-01-25'")
+def _read_bucket_since(spark, sf):
+    """One bound only; the write was sent twice."""
+    path = scratch(spark, "bucket")
+    events = table(spark, sf, "events").select("event_id", "ts", "value")
+    for _ in range(2):
+        write_points(events, path, "ts", 0, F.col("event_id"))
+    return read_bucket(spark, path, "ts", start=datetime(2024, 1, 25)).select("event_id", "ts", "value")
+
+
+@query("upsert_after_compaction", """
+    SELECT user_id, event_type, arg_max(value, (part, event_id)) AS value
+    FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS part FROM events) GROUP BY ALL""")
+def _upsert_after_compaction(spark, sf):
+    """A store is compacted; then other writers, whose batches begin at 0 as well, add to it."""
+    path, kept = scratch(spark, "points"), scratch(spark, "compacted")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    identity = ["user_id", "event_type"]
+    write_points(events.filter("event_id % 3 <> 0"), path, "ts", 0, F.col("event_id"))
+    compact_points(spark, path, kept, "ts", identity, ["event_id", "ts", "value"], timedelta(0), TICK)
+    for number in (0, 1):
+        part = events.filter(F.col("event_id") % 3 == 0).filter(F.col("event_id") % 2 == number)
+        write_points(part, kept, "ts", 0, F.col("event_id"), writer=f"part-{number}")
+    # Both parts come after the compaction; between them, the larger event wins.
+    both = read_bucket(spark, kept, "ts").withColumn(
+        "place", F.when(F.col("ingest_writer") == "compaction", F.lit(-1)).otherwise(F.col("event_id")))
+    return latest_point(both, identity, ["value"], ["place"], optional=())
+
+
+_TICKS = [TICK + HOUR * n for n in (0, 1, 2, 1, 5)]  # one of them twice
+
+
+@query("downsample_ticks", """
+    SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+           time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, round(avg(value), 8) AS value
+    FROM events
+    WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR IN (
+        TIMESTAMP '2024-01-20 13:00:00', TIMESTAMP '2024-01-20 14:00:00', TIMESTAMP '2024-01-20 17:00:00')
+    GROUP BY ALL""")
+def _downsample_ticks(spark, sf):
+    """Several ticks, one run twice; the first has left retention when they are read back."""
+    target = scratch(spark, "hourly")
+    for tick in _TICKS:
+        downsample_task(table(spark, sf, "events"), "ts", "value", ["event_type"], tick, target)
+    kept = read_downsampled(spark, target, ["event_type"], TICK + HOUR * 5, keep=HOUR * 4)
+    return rounded(kept, 8, "value")
+
+
 @query("throughput_rows", "SELECT count(*) AS rows FROM events")
 def _throughput(spark, sf):
     path = scratch(spark, "measured")

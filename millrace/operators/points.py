@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.clock import instant
 
@@ -18,28 +18,37 @@ def span_of(ts: Column, grain: str) -> Column:
     return F.to_date(F.date_trunc(grain, ts))
 
 
-def _within_spans(df: DataFrame, start: datetime, stop: datetime | None = None) -> DataFrame:
+def _utc_day(moment: datetime) -> date:
+    """The date in UTC; a moment without a zone is UTC already."""
+    return (moment.astimezone(timezone.utc) if moment.tzinfo else moment).date()
+
+
+def _within_spans(df: DataFrame, start: datetime | None, stop: datetime | None = None) -> DataFrame:
     """On a partitioned series, keep only the partitions the range touches."""
     for grain, name in SPANS.items():
         if name in df.columns:
-            df = df.filter(F.col(name) >= F.lit(_first_day(start, grain)))
+            if start is not None:
+                df = df.filter(F.col(name) >= F.lit(_first_day(start, grain)))
             if stop is not None:
-                df = df.filter(F.col(name) <= F.lit(stop.date()))
+                df = df.filter(F.col(name) <= F.lit(_utc_day(stop)))
     return df
 
 
 def _first_day(moment: datetime, grain: str) -> date:
-    first = moment.date()
+    first = _utc_day(moment)
     if grain != "day":
         first = first.replace(day=1)
     return first.replace(month=1) if grain == "year" else first
 
 
-def time_range(df: DataFrame, ts: str, start: datetime, stop: datetime) -> DataFrame:
-    """Half-open ``[start, stop)``. On a partitioned series, whole spans are pruned too."""
+def time_range(df: DataFrame, ts: str, start: datetime | None = None, stop: datetime | None = None) -> DataFrame:
+    """Half-open ``[start, stop)``; either bound may be missing. On a partitioned series, whole spans are pruned too."""
     kind = df.schema[ts].dataType.typeName()
-    kept = df.filter((F.col(ts) >= instant(start, kind)) & (F.col(ts) < instant(stop, kind)))
-    return _within_spans(kept, start, stop)
+    if start is not None:
+        df = df.filter(F.col(ts) >= instant(start, kind))
+    if stop is not None:
+        df = df.filter(F.col(ts) < instant(stop, kind))
+    return _within_spans(df, start, stop)
 
 
 def relative_range(df: DataFrame, ts: str, every: timedelta, as_of: datetime) -> DataFrame:
@@ -71,24 +80,32 @@ def latest_point(
 
     A later write that omits an ``optional`` field (null) leaves the earlier value in place.
     All fields are optional unless told otherwise; fields every write carries are resolved
-    together, which is cheaper. The result is an ordinary partial-then-final aggregate, so
-    an identity written very often is reduced before the shuffle.
+    together. The result is an ordinary partial-then-final aggregate, so an identity written
+    very often is reduced before the shuffle. With an order of fixed width, fields of fixed
+    width are aggregated by hash; other fields sort.
     """
     optional = list(fields) if optional is None else list(optional)
     always = [name for name in fields if name not in optional]
-    sequence = F.struct(*order) if len(order) > 1 else order[0]
-    place = F.col(sequence) if isinstance(sequence, str) else sequence
-    newest = [F.max_by(F.struct(*always), place).alias("_newest")] if always else []
-    kept = [
-        F.max_by(F.col(name), F.when(F.col(name).isNotNull(), place)).alias(name) for name in optional
-    ]
-    resolved = df.groupBy(*identity).agg(*newest, *kept)
+    place = F.struct(*order) if len(order) > 1 else F.col(order[0]) if isinstance(order[0], str) else order[0]
+    kinds = {f.name: f.dataType for f in df.select(*fields, place.alias("_place")).schema}
+    fixed = _fixed_width(kinds["_place"])
+    # Records with equal order give the same record for every field: they are met in the same sequence.
+    alone = [name for name in always if fixed and _fixed_width(kinds[name])]
+    together = [name for name in always if name not in alone]
+    newest = [F.max_by(F.struct(*together), place).alias("_newest")] if together else []
+    single = [F.max_by(name, place).alias(name) for name in alone]
+    kept = [F.max_by(F.col(name), F.when(F.col(name).isNotNull(), place)).alias(name) for name in optional]
+    resolved = df.groupBy(*identity).agg(*newest, *single, *kept)
     return resolved.select(
         *identity,
-        *[F.col(f"_newest.{name}").alias(name) if name in always else F.col(name) for name in fields],
+        *[F.col(f"_newest.{name}").alias(name) if name in together else F.col(name) for name in fields],
     )
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def distinct_points(df: DataFrame, identity: Sequence[str]) -> DataFrame:
     return df.select(*identity).distinct()
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from time import perf_counter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.contracts import ContractError, counted
 from ..operators.points import relative_range
 from ..operators.windows import tumbling_mean
-from ..sinks.points import write_points
-from ..sources.files import POSITION
+from ..sinks.points import read_points, write_points
+from ..sources.files import POSITION, position_number
 from ..sources.weather import read_weather
 
 # How often the downsampling job runs, how long its results are kept.
@@ -31,12 +31,16 @@ def measured_write(df: DataFrame, write: Callable[[DataFrame], None], name: str
 
 
 def ingest_weather(
-    spark: SparkSession, csv_path: str, bucket: str, batch: int, expected: int | None = None
+    spark: SparkSession, csv_path: str, bucket: str, batch: int, expected: int | None = None, writer: str = "weather"
 ) -> dict:
-    """Check, type and store a weather CSV; its count is a gate after the write."""
+    """Check, type and store a weather CSV; its count is a gate after the write.
+
+    ``writer`` and ``batch`` name the write: sent again it replaces itself, and nothing else.
+    """
     points = read_weather(spark, csv_path)
+    numbered = points.withColumn(POSITION, position_number(points))
     report = measured_write(
-        points, lambda df: write_points(df, bucket, "time", batch, F.col(POSITION))
+        numbered, lambda df: write_points(df, bucket, "time", batch, F.col(POSITION), writer=writer)
     )
     if expected is not None and report["rows"] != expected:
         raise ContractError(f"found {report['rows']} rows; expected {expected}")
@@ -54,8 +58,25 @@ def downsample_task(
     df: DataFrame, ts: str, value: str, keys: Sequence[str], as_of: datetime, target: str,
     every: timedelta = EVERY,
 ) -> None:
-    """One scheduled run: downsample and store under the tick, so a re-run replaces itself."""
-    tick = int(as_of.timestamp()) // int(every.total_seconds())
+    """One scheduled run: downsample and store under the tick, so a re-run replaces itself and no other run.
+
+    ``as_of`` is a multiple of ``every`` in UTC (a moment without a zone is UTC), so windows are never cut in half.
+    """
+    moment = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
+    since = moment - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    if since % every:
+        raise ValueError(f"{as_of} is not on a multiple of {every}")
     write_points(
-        downsample(df, ts, value, keys, as_of, every), target, "window_end", tick, F.lit(0)
+        downsample(df, ts, value, keys, as_of, every), target, "window_end", since // timedelta(microseconds=1), F.lit(0),
+        writer="downsample",
     )
+
+
+def read_downsampled(
+    spark: SparkSession, target: str, keys: Sequence[str], as_of: datetime, keep: timedelta = KEEP
+) -> DataFrame:
+    """Stored means that are within retention: keys, window_start, window_end, value."""
+    return read_points(
+        spark, target, [*keys, "window_end"], ["window_start", "value"], optional=(), ts="window_end", keep=keep,
+        as_of=as_of,
+    ).select(*keys, "window_start", "window_end", "value")

@@ -1,32 +1,112 @@
-"""Storing points. Writes only append; identical identities are resolved on read."""
+"""Storing points. A write never touches what another writer stored; identities are resolved on read.
+
+Below a store lie ``ingest_writer=W/ingest_batch=N/ingest_sequence=S/ingest_attempt=T``. Writer and batch name a write:
+sent again, it keeps its place ``S`` among all writes and takes a new attempt, and older attempts are removed once the
+new one is complete, so a failed retry leaves the version before. Batch numbers belong to their writer alone: a new
+stream, a compaction and a hand-made ingest may all begin at 0.
+"""
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.points import SPANS, latest_point, retain, span_of
+from ..operators.points import SPANS, latest_point, retain, span_of, time_range
 
-BATCH = "ingest_batch"
+WRITER, BATCH, SEQUENCE, ATTEMPT = "ingest_writer", "ingest_batch", "ingest_sequence", "ingest_attempt"
 ORDER = "ingest_order"
+#: The one type of ``ingest_order``, and how far the order of a record is below the number of its write. Together they
+#: make one number of fixed width, so that resolving identities needs no sort.
+ORDER_TYPE, PLACE_TYPE, STEP = "decimal(27,0)", "decimal(38,0)", "1" + "0" * 27
+COMPACTION = "compaction"
+
+
+@dataclass(frozen=True)
+class Write:
+    """One complete write of a store."""
+
+    writer: str
+    batch: int
+    sequence: int
+    attempt: int
+    path: str
+
+
+def writes(spark: SparkSession, path: str) -> list[Write]:
+    """The complete writes of a store, newest attempt of each, in order. Only folder names are looked at."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{path.rstrip('/')}/{WRITER}=*/{BATCH}=*/{SEQUENCE}=*/{ATTEMPT}=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    newest: dict[tuple[str, int], Write] = {}
+    for status in found:
+        folder = status.getPath().getParent().toString()
+        writer, batch, sequence, attempt = re.search(
+            rf"/{WRITER}=([^/]+)/{BATCH}=(\d+)/{SEQUENCE}=(\d+)/{ATTEMPT}=(\d+)$", folder).groups()
+        one = Write(writer, int(batch), int(sequence), int(attempt), folder)
+        known = newest.get((one.writer, one.batch))
+        if known is None or one.attempt > known.attempt:
+            newest[one.writer, one.batch] = one
+    return sorted(newest.values(), key=lambda w: (w.sequence, w.writer, w.batch))
+
+
+def _order_number(order: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        order = F.unix_micros(order.cast("timestamp"))
+    elif isinstance(kind, T.TimestampType):
+        order = F.unix_micros(order)
+    elif isinstance(kind, T.DateType):
+        order = F.unix_date(order)
+    elif not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        raise TypeError(f"the order of a record is a whole number or a time, not {kind.simpleString()}")
+    return order.cast(ORDER_TYPE)
+
+
+def _place() -> Column:
+    """Where a record stands among all that were ever stored: its write, then its order there."""
+    write = F.col(SEQUENCE).cast("decimal(10,0)") * F.lit(STEP).cast("decimal(28,0)")
+    return (write + F.col(ORDER)).cast(PLACE_TYPE)
 
 
 def write_points(
-    df: DataFrame, path: str, ts: str, batch: int, order: Column, grain: str = "day"
+    df: DataFrame, path: str, ts: str, batch: int, order: Column, grain: str = "day", writer: str = "ingest"
 ) -> None:
-    """Append ``df`` as ingest number ``batch``, partitioned by ``grain`` (day, month, year).
+    """Append ``df`` as write ``batch`` of ``writer``, partitioned by ``grain`` (day, month, year).
 
-    ``order`` is the position of a record inside the batch. Sending a batch again replaces
-    it, so a retry never duplicates. The rebalance hint gives each span evenly sized files,
-    splitting a span that holds much more than the others.
+    ``order`` is the position of a record inside the write: a whole number or a time. The rebalance hint gives each
+    span evenly sized files, splitting a span that holds much more than the others.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", writer):
+        raise ValueError(f"a writer is named by letters, digits, '_', '.' and '-', not {writer!r}")
+    spark = df.sparkSession
+    known = writes(spark, path)
+    before = [w for w in known if (w.writer, w.batch) == (writer, batch)]
+    sequence = before[0].sequence if before else max((w.sequence for w in known), default=-1) + 1
+    attempt = max(time.time_ns() // 1000, max((w.attempt for w in before), default=0) + 1)
     span = SPANS[grain]
-    kept = df.withColumn(span, span_of(F.col(ts), grain)).withColumn(ORDER, order)
-    kept.hint("rebalance", span).write.mode("overwrite").partitionBy(span).parquet(
-        f"{path.rstrip('/')}/{BATCH}={batch}"
-    )
+    kept = df.withColumn(span, span_of(F.col(ts), grain)).withColumn(
+        ORDER, _order_number(order, df.select(order.alias("o")).schema["o"].dataType))
+    home = f"{path.rstrip('/')}/{WRITER}={writer}/{BATCH}={batch}/{SEQUENCE}={sequence}"
+    kept.hint("rebalance", span).write.mode("errorifexists").partitionBy(span).option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{home}/{ATTEMPT}={attempt}")
+    for old in before:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(old.path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_points(
+    spark: SparkSession, path: str, ts: str | None = None, start: datetime | None = None, stop: datetime | None = None
+) -> DataFrame:
+    """Every stored record of complete writes, also overwritten ones; with bounds on ``ts``, other spans are pruned."""
+    known = writes(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no complete write below {path}")
+    stored = spark.read.option("basePath", path).parquet(*[w.path for w in known])
+    return stored if ts is None else time_range(stored, ts, start, stop)
 
 
 def read_points(
@@ -35,10 +115,25 @@ def read_points(
     identity: Sequence[str],
     fields: Sequence[str],
     optional: Sequence[str] | None = None,
+    ts: str | None = None,
+    start: datetime | None = None,
+    stop: datetime | None = None,
+    keep: timedelta | None = None,
+    as_of: datetime | None = None,
 ) -> DataFrame:
-    """The current value of every field of every point."""
-    stored = spark.read.option("basePath", path).parquet(path)
-    return latest_point(stored, identity, fields, [BATCH, ORDER], optional)
+    """The current value of every field of every point, in ``[start, stop)`` of ``ts`` where given, either bound alone.
+
+    ``ts`` must be part of the identity then, so that a point and what overwrites it lie in the same span. ``keep`` and
+    ``as_of`` leave out what retention has ended.
+    """
+    if ts is not None and ts not in identity:
+        raise ValueError(f"{ts} is not part of the identity {list(identity)}")
+    if keep is not None and (ts is None or as_of is None):
+        raise ValueError("retention needs the time column and the moment it is judged at")
+    stored = stored_points(spark, path, ts, start, stop)
+    if keep is not None:
+        stored = retain(stored, ts, keep, as_of)
+    return latest_point(stored, identity, fields, [_place()], optional)
 
 
 def compact_points(
@@ -53,11 +148,12 @@ def compact_points(
     grain: str = "day",
     optional: Sequence[str] | None = None,
 ) -> None:
-    """Write the current points that are within retention to ``target``.
+    """Write the current points that are within retention to ``target``, as a write of the compaction's own.
 
-    Spans before the cut are pruned, not read. The old folder is left to the caller, so a
-    reader of it is never disturbed.
+    Spans before the cut are pruned, not read. The old folder is left to the caller, so a reader of it is never
+    disturbed. Later writes to ``target``, whatever their batch numbers, come after it.
     """
-    stored = retain(spark.read.option("basePath", path).parquet(path), ts, keep, as_of)
-    current = latest_point(stored, identity, fields, [BATCH, ORDER], optional)
-    write_points(current, target, ts, 0, F.lit(0), grain)
+    stored = retain(stored_points(spark, path), ts, keep, as_of)
+    current = latest_point(stored, identity, fields, [_place()], optional)
+    number = max((w.batch for w in writes(spark, target) if w.writer == COMPACTION), default=-1) + 1
+    write_points(current, target, ts, number, F.lit(0), grain, COMPACTION)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.once import compute_once
 from ..functions.text import is_data_line, strip, whole_number, words
@@ -46,6 +46,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def position_number(records: DataFrame) -> Column:
+    """The ``line_position`` of records read from files as one number that sorts alike."""
+    files = sorted(records.inputFiles())
+    number = F.array_position(F.array(*map(F.lit, files)), F.col(f"{POSITION}.file")) if len(files) > 1 else F.lit(1)
+    row = F.col(f"{POSITION}.line").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        number.cast("decimal(5,0)") * F.lit("1" + "0" * 22).cast("decimal(23,0)")
+        + F.col(f"{POSITION}.block").cast("decimal(13,0)") * F.lit("1" + "0" * 10).cast("decimal(11,0)")
+        + row.cast("decimal(10,0)")
+    ).cast("decimal(27,0)")
+
+
 def judge_edge_lines(lines: DataFrame) -> DataFrame:
     """Parse data lines to ``(source, destination)`` and keep the reason where that fails."""
     fielded = compute_once(lines, fields=words(F.col("value"))).filter(is_data_line(F.col("fields")))

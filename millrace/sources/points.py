@@ -6,14 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.points import time_range
+from ..sinks.points import stored_points
 
 
 def read_bucket(
     spark: SparkSession, path: str, ts: str, start: datetime | None = None, stop: datetime | None = None
 ) -> DataFrame:
-    """A stored series; with a range, only the partitions it touches are read."""
-    stored = spark.read.parquet(path)
-    if start is None or stop is None:
-        return stored
-    return time_range(stored, ts, start, stop)
+    """Every record of a stored series, also overwritten ones; with one bound or both, only the partitions they touch
+    are read. A write that was sent again counts once. ``sinks.points.read_points`` gives current values only."""
+    return stored_points(spark, path, ts, start, stop)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Mapping
 
@@ -10,11 +11,19 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.clock import instant
-from ..session import SETTINGS, estimated_bytes, settings
+from ..session import SETTINGS, estimated_bytes, scratch, settings
 from ..sinks.points import write_points
 
 
 FILE_BYTES = 128 * 1024 * 1024
+#: Bytes of a table that one chunk of a replay, and so one micro-batch, holds at about.
+CHUNK_BYTES = 64 * FILE_BYTES
+LEAST_CHUNKS = 4
+
+
+def replay_chunks(df: DataFrame) -> int:
+    """Chunks for a table of this size: they grow in number with it, not in size."""
+    return max(LEAST_CHUNKS, math.ceil(estimated_bytes(df) / CHUNK_BYTES))
 
 
 def replay_files(df: DataFrame, chunks: int) -> int:
@@ -26,16 +35,19 @@ def write_replay(df: DataFrame, ts: str, path: str, chunks: int, files: int) ->
     """Cut a table into ``chunks`` consecutive time spans and append them in that order.
 
     A file stream reads files by age, so the folder replays in event-time order when it is
-    read with ``maxFilesPerTrigger`` equal to ``files``. Chunks are written one after the
-    other, each by the whole cluster; ``chunks`` is a setting and does not grow with data.
+    read with ``maxFilesPerTrigger`` equal to ``files``. The table is laid out by time once;
+    each chunk then reads only its own part of that, and is written by the whole cluster.
     """
     kind = df.schema[ts].dataType.typeName()
-    first, last = df.agg(F.min(ts), F.max(ts)).first()
+    sorted_once = scratch(df.sparkSession, "replay-order")
+    df.repartitionByRange(chunks * files, ts).sortWithinPartitions(ts).write.parquet(sorted_once)
+    laid_out = df.sparkSession.read.schema(df.schema).parquet(sorted_once)
+    first, last = laid_out.agg(F.min(ts), F.max(ts)).first()
     if first is None:
         return
     step = (last - first) / chunks
     for number in range(chunks):
-        span = df
+        span = laid_out
         if number:
             span = span.filter(F.col(ts) >= instant(first + step * number, kind))
         if number < chunks - 1:
@@ -48,42 +60,61 @@ def replay(spark: SparkSession, path: str, schema: StructType | str, files: int)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
-    """Start a stream with this package's state settings and one state partition per core.
+def start(
+    writer: DataStreamWriter, spark: SparkSession, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Start a stream with this package's state settings.
 
-    A stream keeps the partition count it first started with, so it is taken from the size
-    of the cluster unless the session already set one.
+    A stream keeps the number of state partitions it first started with; without
+    ``state_partitions`` it is the session's ``spark.sql.shuffle.partitions``.
     """
     wanted = {k: v for k, v in SETTINGS.items() if "stateStore" in k}
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        wanted["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+    wanted["spark.sql.streaming.numRecentProgressUpdates"] = "10000"
+    if state_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     with settings(spark, wanted):
         return writer.start()
 
 
-def drain(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+_dropped: dict[str, dict[int, int]] = {}
+
+
+def _note_dropped(query: StreamingQuery) -> None:
+    """Add the reports that a query still holds to what is known of it; it forgets old ones."""
+    known = _dropped.setdefault(str(query.runId), {})
+    for progress in query.recentProgress:
+        known[progress["batchId"]] = sum(o["numRowsDroppedByWatermark"] for o in progress["stateOperators"])
+
+
+def drain(writer: DataStreamWriter, spark: SparkSession, state_partitions: int | None = None) -> StreamingQuery:
     """Process everything available now, then stop; what an hourly schedule would call."""
-    query = start(writer.trigger(availableNow=True), spark)
-    query.awaitTermination()
+    query = start(writer.trigger(availableNow=True), spark, state_partitions)
+    while not query.awaitTermination(1):
+        _note_dropped(query)
+    _note_dropped(query)
     return query
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Records dropped because their window was already closed."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    """Records dropped because their window was already closed, over all micro-batches of a drained query.
+
+    For one that runs on by itself, call it now and then: a query remembers 10,000 reports.
+    """
+    _note_dropped(query)
+    return sum(_dropped[str(query.runId)].values())
 
 
 def upsert_writer(
-    stream: DataFrame, path: str, ts: str, order: Column, checkpoint: str, grain: str = "day"
+    stream: DataFrame, path: str, ts: str, order: Column, checkpoint: str, grain: str = "day", writer: str | None = None
 ) -> DataStreamWriter:
-    """Store a stream of points. A micro-batch delivered again replaces itself."""
+    """Store a stream of points. A micro-batch delivered again replaces itself.
+
+    Batch numbers begin anew with every checkpoint, so the checkpoint names the writer unless ``writer`` does.
+    """
+    name = writer or "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_points(batch, path, ts, batch_id, order, grain)
+        write_points(batch, path, ts, batch_id, order, grain, name)
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.sinks.points import read_points, stored_points, write_points, writes
 from millrace.streaming.run import drain, file_writer, late_rows, print_writer, replay, upsert_writer, write_replay
 from millrace.streaming.telemetry import (
     parse_messages, read_stream_messages, window_result_json, window_totals, with_watermark,
@@ -96,10 +97,33 @@ def test_replay_is_ordered_and_whole(spark, tmp_path):
 
 
 def test_redelivered_batches_replace_themselves(spark, folder, tmp_path):
+    """The same checkpoint's batches replace themselves; a new checkpoint is another writer and erases nothing."""
     target = str(tmp_path / "points")
-    for run in range(2):
+    every = sum(len(b) for b in BATCHES)
+    for run in ("state-0", "state-1"):
         texts = read_stream_messages(spark, "text", {"maxFilesPerTrigger": "1"}, folder)
-        writer = upsert_writer(
-            parse_messages(texts), target, "event_time", F.col("event_time"), str(tmp_path / f"state-{run}"))
-        drain(writer, spark)
-    assert spark.read.parquet(target).count() == sum(len(b) for b in BATCHES)
+        messages = parse_messages(texts)
+        drain(upsert_writer(messages, target, "event_time", F.col("event_time"), str(tmp_path / run)), spark)
+    assert stored_points(spark, target).count() == 2 * every
+    current = read_points(spark, target, ["sensor_id", "event_time"], ["vehicle_count"])
+    assert current.count() == len({(s, m) for b in BATCHES for s, _, m in b})
+    # What Spark does after a failure: the last batch once more under the same checkpoint.
+    last = parse_messages(spark.read.text(f"{folder}/batch-6.txt"))
+    name = writes(spark, target)[0].writer
+    write_points(last, target, "event_time", 6, F.col("event_time"), writer=name)
+    assert stored_points(spark, target).count() == 2 * every
+
+
+def test_late_rows_of_very_many_batches(spark, tmp_path):
+    """More micro-batches than Spark remembers reports of by default."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for number in range(130):
+        file = folder / f"batch-{number:03}.txt"
+        file.write_text(json.dumps({"sensor_id": "A", "vehicle_count": 1, "event_timestamp_ms":
+                                    90_000_000 if number == 0 else 1}) + "\n")
+        os.utime(file, (1000 + 10 * number, 1000 + 10 * number))
+    texts = read_stream_messages(spark, "text", {"maxFilesPerTrigger": "1"}, str(folder))
+    writer = file_writer(window_totals(with_watermark(parse_messages(texts))), str(tmp_path / "o"), str(tmp_path / "s"))
+    # The watermark moves between micro-batches, so the first record behind it is still summed.
+    assert late_rows(drain(writer, spark, state_partitions=1)) == 128

@@ -1,6 +1,6 @@
 """Windows, anomalies, upserts and retention on small series, and their properties."""
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +10,8 @@ from millrace.operators.points import latest_point, relative_range, retain, time
 from millrace.operators.ranking import first_n, sequence_within
 from millrace.operators.windows import sliding_mean, tumbling, tumbling_mean
 from millrace.plans.graphs import profile_plan
-from millrace.plans.timeseries import downsample_task, ingest_weather, measured_write
-from millrace.sinks.points import compact_points, read_points, write_points
+from millrace.plans.timeseries import KEEP, downsample_task, ingest_weather, measured_write, read_downsampled
+from millrace.sinks.points import compact_points, read_points, write_points, writes
 from millrace.sources.points import read_bucket
 from test_contracts import WEATHER_ROW, changed, weather_file
 
@@ -135,6 +135,73 @@ def test_downsampling_again_adds_nothing(spark, tmp_path):
     assert [r["value"] for r in stored] == [2.0, 7.0]
 
 
+def test_downsampling_ticks_keep_apart(spark, tmp_path):
+    target = str(tmp_path / "hourly")
+    df = series(spark, (0, 1), (59, 3))
+    downsample_task(df, "ts", "value", [], DAY + HOUR, target)
+    with pytest.raises(ValueError, match="multiple"):
+        downsample_task(df, "ts", "value", [], DAY + HOUR + timedelta(minutes=50), target)
+    # Two instants that share a clock time in a zone with daylight saving.
+    for hour in (2, 3):
+        downsample_task(df, "ts", "value", [], datetime(2024, 3, 31, hour), target)
+    assert {w.batch for w in writes(spark, target)} == {
+        int(m.replace(tzinfo=timezone.utc).timestamp()) * 1_000_000
+        for m in (DAY + HOUR, datetime(2024, 3, 31, 2), datetime(2024, 3, 31, 3))}
+    kept = read_downsampled(spark, target, [], DAY + timedelta(hours=721), KEEP)
+    assert [r["value"] for r in kept.collect()] == [2.0]
+    assert read_downsampled(spark, target, [], DAY + timedelta(hours=722), KEEP).count() == 0
+
+
+def test_compacted_store_survives_other_writers(spark, tmp_path):
+    path, kept = str(tmp_path / "points"), str(tmp_path / "kept")
+    rows = spark.createDataFrame([("s", DAY, 1.0), ("t", DAY, 2.0)], "id string, ts timestamp_ntz, a double")
+    write_points(rows, path, "ts", 0, F.lit(0))
+    compact_points(spark, path, kept, "ts", ["id", "ts"], ["a"], timedelta(0), DAY)
+    write_points(rows.filter("id = 's'").withColumn("a", F.lit(5.0)), kept, "ts", 0, F.col("ts"))
+    write_points(rows.filter("id = 'z'"), kept, "ts", 1, F.lit(0))  # nothing to store
+    got = {tuple(r) for r in read_points(spark, kept, ["id", "ts"], ["a"]).collect()}
+    assert got == {("s", DAY, 5.0), ("t", DAY, 2.0)}
+    with pytest.raises(TypeError, match="whole number"):
+        write_points(rows, kept, "ts", 2, F.col("id"))
+
+
+def test_failed_retry_leaves_the_version_before(spark, tmp_path):
+    path = str(tmp_path / "points")
+    rows = spark.createDataFrame([("s", DAY, 1.0)], "id string, ts timestamp_ntz, a double")
+    write_points(rows, path, "ts", 0, F.lit(0))
+    broken = rows.withColumn("a", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_points(broken, path, "ts", 0, F.lit(0))
+    assert [r["a"] for r in read_points(spark, path, ["id", "ts"], ["a"]).collect()] == [1.0]
+
+
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
+def test_zoned_bounds_agree_on_plain_and_stored_series(spark, tmp_path, grain):
+    path = str(tmp_path / "bucket")
+    midnight = datetime(2024, 1, 1)
+    rows = [(midnight + timedelta(minutes=m), m) for m in (-180, -60, -1, 0, 1, 60, 150)]
+    plain = spark.createDataFrame(rows, "ts timestamp_ntz, n int")
+    write_points(plain, path, "ts", 0, F.lit(0), grain)
+    zone = timezone(timedelta(hours=2))
+    for start, stop in ((midnight.replace(tzinfo=zone), (midnight + timedelta(hours=3)).replace(tzinfo=zone)),
+                        (midnight - timedelta(hours=1), midnight + timedelta(hours=1)),
+                        (midnight.replace(tzinfo=zone), None), (None, (midnight + timedelta(hours=3)).replace(tzinfo=zone))):
+        expected = sorted(r["n"] for r in time_range(plain, "ts", start, stop).collect())
+        assert 0 < len(expected) < len(rows)
+        assert sorted(r["n"] for r in read_bucket(spark, path, "ts", start, stop).collect()) == expected
+    cut = (midnight + timedelta(hours=2)).replace(tzinfo=zone)
+    for df in (plain, read_bucket(spark, path, "ts")):
+        assert sorted(r["n"] for r in retain(df, "ts", timedelta(hours=1), cut).collect()) == [-60, -1, 0, 1, 60, 150]
+
+
+def test_fixed_width_points_need_no_sort(spark, tmp_path):
+    path = str(tmp_path / "points")
+    rows = spark.createDataFrame([("s", DAY, 1.0)], "id string, ts timestamp_ntz, a double")
+    write_points(rows, path, "ts", 0, F.lit(0))
+    plan = profile_plan(read_points(spark, path, ["id", "ts"], ["a"], optional=()))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_weather_ingest_overwrites_identical_points(spark, tmp_path):
     later = changed(Precip_Type="")
     later[3] = "11"
