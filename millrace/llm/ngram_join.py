@@ -29,10 +29,10 @@ from .components import components
 from .words import mix, pieces, shingle_sets
 
 #: Frequent shingles are those in more documents than total / this; so there are at most as many.
-FREQUENT_SHARE = 1 << 18
-FREQUENT_LEAST = 256
+FREQUENT_SHARE = 1 << 20
+FREQUENT_LEAST = 64
 #: Shingles gathered by a task before it counts them, and the count from which it reports one.
-COUNTED, REPORTED = 4_000_000, 8
+COUNTED, REPORTED = 4_000_000, 3
 SMALL_TILE = 8
 #: From this size on, both sets of a pair must agree in so many keys; each then has that many less one more.
 LARGE_SET, LARGE_KEYS = 12, 3
@@ -280,8 +280,8 @@ def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame) -> tuple[DataFra
 
 
 def _blocks(every: bool):
-    """Tiles (tile, outside, class, n, label, bits): for an outside row the likeliest row of another label, or with
-    ``every`` all that bitmaps allow."""
+    """Tiles (tile, key, outside, class, n, label, bits): for an outside row the likeliest row of another label, or with
+    ``every`` all that bitmaps allow, as (key, a, b, share)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
@@ -315,9 +315,10 @@ def _blocks(every: bool):
                         shares.append(share[hit])
             if left:
                 x, y = np.concatenate(left), np.concatenate(right)
+                key = np.full(len(x), table["key"][int(rows[0])].as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(shares))],
-                    ["a", "b", "share"])
+                    [pa.array(key), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(shares))],
+                    ["key", "a", "b", "share"])
 
     return run
 
@@ -335,18 +336,20 @@ def _open_rows(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def _open_pairs(rows: DataFrame, tiles: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
-    """Candidate pairs (a, b, share) between components in the same large tile."""
+    """Candidate pairs (key, a, b, share) between components in the same large tile."""
     opened = rows.join(tiles, "key").join(sets, "class").select(
         "key", "class", "n", "label", "bits", "blocks", (F.col("label") != F.col("largest")).alias("outside"))
     own = opened.withColumn("block", F.pmod(F.xxhash64("class"), "blocks")).withColumn("outside", F.lit(False))
     asks = opened.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    columns = [F.xxhash64("key", "block").alias("tile"), "outside", "class", "n", "label", "bits"]
-    found = own.select(*columns).unionByName(asks.select(*columns)).repartition("tile").mapInArrow(
-        _blocks(every), "a long, b long, share double")
-    if not every:  # of all tiles that a class is in, the likeliest partner
-        ends = found.select(F.col("a").alias("class"), "a", "b", "share").union(found.select("b", "a", "b", "share"))
-        found = ends.groupBy("class").agg(F.max(F.struct("share", "a", "b")).alias("best")).select("best.*")
-    return found.groupBy("a", "b").agg(F.max("share").alias("share"))
+    columns = [F.xxhash64("key", "block").alias("tile"), "key", "outside", "class", "n", "label", "bits"]
+    return stored(own.select(*columns).unionByName(asks.select(*columns)).repartition("tile").mapInArrow(
+        _blocks(every), "key long, a long, b long, share double"), "open-pairs")
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of all pairs of a class, that with the largest share."""
+    ends = pairs.select(F.col("a").alias("class"), "a", "b", "share").union(pairs.select("b", "a", "b", "share"))
+    return ends.groupBy("class").agg(F.max(F.struct("share", "a", "b")).alias("best")).select("best.*").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -387,7 +390,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if tiles.isEmpty():
             break
         every = every or number == ROUNDS
-        more = _linked(_open_pairs(rows, tiles, sets, every), docs, slim)
+        tried = _open_pairs(rows, tiles, sets, every)
+        # A tile in which bitmaps allow no pair between components is settled.
+        rows = rows.join(tried.select("key").distinct(), "key", "left_semi")
+        near = tried.groupBy("a", "b").agg(F.max("share").alias("share")) if every else _likeliest(tried)
+        more = _linked(near, docs, slim)
         if more:
             links = links.unionByName(more[0])
             labels = components(links)
