@@ -172,7 +172,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         need = np.where((n[i] >= LARGE_SET) & (n[j] >= LARGE_SET) & strict, LARGE_KEYS, 1)
         out.append([np.full(len(i), PAIR), np.minimum(own[i], own[j]), np.maximum(own[i], own[j]), need])
 
-    for step in range(1, SMALL_TILE):
+    for step in range(1, min(SMALL_TILE, len(key))):
         i = np.flatnonzero(small[:len(key) - step] & (key[:len(key) - step] == key[step:]))
         pairs(i, i + step, True)
     large = np.flatnonzero(~small)
