@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 #: Pre-tokens kept per Python worker, and the longest that is kept.
-KEPT, KEPT_CHARS = 400_000, 64
+KEPT, KEPT_CHARS = 250_000, 64
 
 
 def local_ranks(path: str) -> bytes:
