@@ -15,10 +15,11 @@ from ..operators.ranking import first_n, in_order
 from ..plans.timeseries import ingest_weather
 from ..session import scratch
 from ..sinks.points import read_points
-from ..sinks.tables import write_edge_csv, write_lines
+from ..sinks.tables import quarantine_sink, write_edge_csv, write_lines
 from ..sources.files import (
-    judge_edge_lines, parse_edges, read_csv_contract, read_edge_csv, read_edge_text, read_lines,
+    judge_edge_csv, judge_edge_lines, parse_edges, read_csv_contract, read_edge_csv, read_edge_text, read_lines,
 )
+from ..sources.joblog import judge_event_lines
 from ..sources.weather import FIELDS, HEADER, IDENTITY, judge_weather, read_weather_cells
 from ..streaming.telemetry import (
     COUNT, MILLIS, SENSOR, judge_messages, parse_messages, telemetry_messages, telemetry_projection,
@@ -352,6 +353,59 @@ def _read_edge_csv(spark, sf):
     return read_edge_csv(spark, path)
 
 
+def _broken_edge_csv(spark, sf, path):
+    """Order lines as an edge CSV; one line number has a word, one too many cells."""
+    lines = table(spark, sf, "lineitem")
+    source = F.when(F.col("l_linenumber") == 7, F.lit("a")).otherwise(F.col("l_orderkey").cast("string"))
+    more = F.when(F.col("l_linenumber") == 6, F.lit(",1")).otherwise(F.lit(""))
+    text = F.concat_ws(",", source, F.concat(F.col("l_partkey").cast("string"), more))
+    write_lines(lines, text, f"{path}/body")
+    body = spark.read.text(f"{path}/body").select(F.split("value", ",", 2).alias("cells"))
+    body.select(F.col("cells")[0].alias("source"), F.col("cells")[1].alias("target")).write.options(
+        header=True, quoteAll=False, quote="\u0000", escape="\u0000").csv(f"{path}/csv")
+    return f"{path}/csv"
+
+
+@query("edge_csv_rejects", """
+    SELECT CASE l_linenumber WHEN 7 THEN 'source is not an integer' ELSE 'row does not match the header' END
+           AS reject_reason, count(*) AS records
+    FROM lineitem WHERE l_linenumber IN (6, 7) GROUP BY ALL""")
+def _edge_csv_rejects(spark, sf):
+    _, rejected = reject_split(judge_edge_csv(spark, _broken_edge_csv(spark, sf, scratch(spark, "edge-csv"))))
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("quarantine_sink", """
+    SELECT CASE l_linenumber WHEN 7 THEN 'source is not an integer' ELSE 'row does not match the header' END
+           AS reject_reason, 'edges' AS rejected_from, CAST(l_partkey AS VARCHAR) AS part
+    FROM lineitem WHERE l_linenumber IN (6, 7)""")
+def _quarantine_sink(spark, sf):
+    """Rejected rows kept by reason; sent twice, they replace themselves."""
+    _, rejected = reject_split(judge_edge_csv(spark, _broken_edge_csv(spark, sf, scratch(spark, "edge-csv"))))
+    path = scratch(spark, "quarantine")
+    for _ in range(2):
+        quarantine_sink(rejected, path, "edges")
+    kept = spark.read.schema("record string, rejected_from string, reject_reason string").json(path)
+    part = F.get_json_object("record", "$.target_text")
+    return kept.select("reject_reason", "rejected_from", part.alias("part"))
+
+
+@query("event_log_rejects", """
+    SELECT reason AS reject_reason, count(*) AS records FROM (
+        SELECT CASE event_id % 3 WHEN 0 THEN 'line is not JSON (truncated, or a compressed log read as text)'
+               WHEN 1 THEN 'line has no event name' END AS reason FROM events)
+    WHERE reason IS NOT NULL GROUP BY reason""")
+def _event_log_rejects(spark, sf):
+    """Events as log lines: truncated ones, ones without an event name, and good ones."""
+    path = scratch(spark, "broken-log")
+    kind = F.col("event_id") % 3
+    line = F.when(kind == 0, '{"Event":"SparkListener').when(kind == 1, '{"x":1}').otherwise(
+        '{"Event":"SparkListenerApplicationStart"}')
+    write_lines(table(spark, sf, "events"), line, path)
+    _, rejected = reject_split(judge_event_lines(spark, path))
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query("expect_csv_shape", """
     SELECT 'csv_shape' AS check, count(*) AS observed, count(*) AS expected,
            count(*) FILTER (WHERE l_linenumber = 7) AS malformed, count(*) FILTER (WHERE l_linenumber = 7) = 0 AS ok
@@ -368,10 +422,11 @@ def _expect_csv_shape(spark, sf):
 # --- whole-table gates, orders and plain projections -----------------------------------
 
 @query("expect_count", """
-    SELECT 'lineitem' AS check, count(*) AS observed, CAST(60000 AS BIGINT) AS expected, count(*) = 60000 AS ok
+    SELECT 'lineitem' AS check, count(*) AS observed, (SELECT count(*) FROM orders) AS expected,
+           count(*) = (SELECT count(*) FROM orders) AS ok
     FROM lineitem""")
 def _expect_count(spark, sf):
-    return count_report(table(spark, sf, "lineitem"), 60_000, "lineitem")
+    return count_report(table(spark, sf, "lineitem"), table(spark, sf, "orders").count(), "lineitem")
 
 
 @query("expect_unique", """

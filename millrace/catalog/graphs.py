@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.graph import (
-    Adjacency, graph_build, in_degree, merge_edges, neighbors, node_union, shortest_path, top_in_degree, undirected,
+    Adjacency, frontier_levels, graph_build, in_degree, merge_edges, neighbors, node_union, shortest_path, top_in_degree, undirected,
 )
-from ..operators.ranking import ranked
+from ..operators.ranking import ranked, ranked_all
 from ..operators.workers import allocation, skew_compare, skew_workers, totals, worker_grid
 from ..plans.graphs import rank_edge_file, rank_in_degree
 from ..session import scratch
@@ -169,15 +169,18 @@ def _shortest_path(spark, sf):
     )
 
 
-@query("frontier_join", f"""
-    WITH e AS ({_EDGES}), hubs AS (
-        SELECT destination AS id FROM e GROUP BY destination ORDER BY count(*) DESC, id LIMIT 50)
-    SELECT source AS id, min(destination) AS parent FROM e JOIN hubs ON destination = hubs.id GROUP BY source""")
+@query("frontier_join", _WALK.format(hops=5) + """
+    SELECT dist.id, CAST(dist.d AS BIGINT) AS hop, min(u.b) AS parent
+    FROM dist JOIN u ON u.a = dist.id JOIN dist before ON before.id = u.b AND before.d = dist.d - 1
+    GROUP BY dist.id, dist.d""")
 def _frontier_join(spark, sf):
-    """One traversal step from the 50 most referenced nodes, by the join used for large frontiers."""
-    edges = edges_of(spark, sf)
-    hubs = top_in_degree(in_degree(edges), 50).select("id")
-    return Adjacency(edges).step(hubs, small=False)
+    """Five hops from one node without revisits, by the join used for large frontiers; every node met, its hop and
+    smallest parent."""
+    levels = frontier_levels(Adjacency(edges_of(spark, sf)), 1, 5)
+    met = levels[0].withColumn("hop", F.lit(1).cast("bigint"))
+    for hop, level in enumerate(levels[1:], 2):
+        met = met.unionByName(level.withColumn("hop", F.lit(hop).cast("bigint")))
+    return met.select("id", "hop", "parent")
 
 
 # --- work per worker: stage = return flag, worker = supplier ---------------------------
@@ -243,16 +246,15 @@ def _stage_worker_grid(spark, sf):
     """Only some lines count as work here, so that idle workers occur."""
     done = table(spark, sf, "lineitem").filter((F.col("l_tax") >= 0.08) & (F.col("l_discount") >= 0.10))
     roster = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("worker"))
+    flags = [r[0] for r in table(spark, sf, "lineitem").select("l_returnflag").distinct().collect()]
     return worker_grid(
-        done.withColumnRenamed("l_suppkey", "worker"), roster, "worker", "l_returnflag", ["A", "N", "R"],
+        done.withColumnRenamed("l_suppkey", "worker"), roster, "worker", "l_returnflag", sorted(flags),
         {"input_records": F.col("l_partkey")},
     )
 
 
-@query("sorted_ids", f"""
-    SELECT row_number() OVER (ORDER BY in_degree DESC, id) AS place, id FROM ({_ZERO})
-    ORDER BY in_degree DESC, id LIMIT 100""")
+@query("sorted_ids", f"SELECT row_number() OVER (ORDER BY in_degree DESC, id) AS place, id FROM ({_ZERO})")
 def _sorted_ids(spark, sf):
-    order = [F.desc("in_degree"), F.asc("id")]
-    top = top_in_degree(in_degree(merge_edges(edges_of(spark, sf)), include_zero=True), 100)
-    return ranked(top, order, "place").select("place", "id")
+    """The place of every node, those nobody refers to included."""
+    degrees = in_degree(merge_edges(edges_of(spark, sf)), include_zero=True)
+    return ranked_all(degrees, [F.desc("in_degree"), F.asc("id")], "place").select("place", "id")

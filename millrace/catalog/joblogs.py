@@ -421,7 +421,7 @@ def _dag_summary(spark, sf):
 
 @query("expect_complete_log", f"""
     SELECT {_APP} AS app_id, CAST(1 AS BIGINT) AS applications, count(*) AS jobs, count(*) AS completed_stages,
-           2 * count(*) AS stages_with_rdds, count(DISTINCT o_custkey) AS executions,
+           3 * count(*) AS stages_with_rdds, count(DISTINCT o_custkey) AS executions,
            CAST(0 AS BIGINT) AS without_plan, true AS complete
     FROM orders GROUP BY {_APP}""")
 def _expect_complete_log(spark, sf):

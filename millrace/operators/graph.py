@@ -179,6 +179,21 @@ def shortest_path(
     return _walk_back(levels, start, finish) if levels else nothing
 
 
+def frontier_levels(graph: Adjacency, start: int, hops: int) -> list[DataFrame]:
+    """``(id, parent)`` of the nodes first met at hop 1, 2, ... from ``start``; ends early when nothing new is met."""
+    spark = graph.edges.sparkSession
+    levels = [spark.range(start, start + 1).select("id", F.lit(None).cast("bigint").alias("parent"))]
+    for hop in range(1, hops + 1):
+        known = levels[-1].select("id")
+        if hop > 1:  # a level touches itself and its two neighbours only
+            known = known.unionByName(levels[-2].select("id"))
+        level = pin_as_table(graph.step(levels[-1], small=False).join(known, "id", "left_anti"), f"level-{hop}")
+        if level.isEmpty():
+            break
+        levels.append(level)
+    return levels[1:]
+
+
 def _grow(graph: Adjacency, start: int, finish: int, max_hops: int) -> list[DataFrame] | None:
     """Levels from ``finish`` up to the one holding ``start``, or none if it is not reached."""
     spark = graph.edges.sparkSession

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import estimated_bytes
+from ..session import estimated_bytes, pin_as_table
 
 
 TASK_BYTES = 128 * 1024 * 1024
@@ -42,6 +42,24 @@ def ranked(few: DataFrame, order: Sequence[str | Column], name: str = "rank") ->
     return few.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
+def ranked_all(df: DataFrame, order: Sequence[str | Column], name: str = "rank") -> DataFrame:
+    """1-based place of every row in a total order, without a task that sees them all.
+
+    Rows are range-partitioned and sorted once into a table; each partition is numbered by
+    itself and moved up by the rows before it.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    numbered = pin_as_table(laid_out.withColumn("_id", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_id", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before") + 1
+    return numbered.join(F.broadcast(offsets), part == F.col("_part")).select(  # one row for each partition
+        *df.columns, place.alias(name))
+
+
 def sequence_within(
     df: DataFrame, keys: Sequence[str], chunk: Sequence[str], order: Sequence[str | Column], name: str
 ) -> DataFrame:

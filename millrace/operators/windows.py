@@ -26,7 +26,7 @@ def tumbling(df: DataFrame, ts: str, keys: Sequence[str], every: timedelta, *agg
 
 
 def tumbling_mean(df: DataFrame, ts: str, value: str, keys: Sequence[str], every: timedelta) -> DataFrame:
-    present = df.filter(F.col(value).isNotNull())
+    present = df.filter(_present(df, value))
     return tumbling(present, ts, keys, every, F.avg(value).alias("value"))
 
 
@@ -44,7 +44,7 @@ def sliding_mean(
     When the period is a whole number of steps, rows are first reduced to one (sum, count)
     pane per step; only panes, not rows, are copied to the windows they belong to.
     """
-    present = df.filter(F.col(value).isNotNull())
+    present = df.filter(_present(df, value))
     if period % every:
         grouped = present.groupBy(
             F.window(ts, as_interval(period), as_interval(every)), *keys
@@ -75,5 +75,11 @@ def sliding_mean(
     )
 
 
+def _present(df: DataFrame, value: str) -> Column:
+    """Neither null nor not-a-number: one NaN would spoil every window it is in."""
+    known = F.col(value).isNotNull()
+    return known & ~F.isnan(value) if df.schema[value].dataType.typeName() in ("double", "float") else known
+
+
 def _seconds(length: timedelta) -> str:
     return f"'{length.total_seconds():.6f}'"

@@ -33,28 +33,18 @@ def worker_grid(
 ) -> DataFrame:
     """Every worker in the roster, or seen in tasks, for each of the listed stages; no work is 0.
 
-    One aggregate per worker (a pivot over the list) instead of a product of two tables.
+    The listed stages are what bounds the product. Work in a stage that is not listed stops the
+    job, so that nothing is left out unseen.
     """
-    seen = tasks.select(
-        F.col(worker), F.col(stage).alias("_stage"), F.lit(1).cast("bigint").alias("tasks"),
-        *[F.coalesce(value, F.lit(0)).alias(name) for name, value in metrics.items()],
-    )
-    listed = roster.select(
-        F.col(worker), F.lit(None).cast(seen.schema["_stage"].dataType).alias("_stage"),
-        *[F.lit(0).cast(seen.schema[name].dataType).alias(name) for name in ("tasks", *metrics)],
-    )
     names = ("tasks", *metrics)
-    wide = seen.unionByName(listed).groupBy(worker).agg(*[
-        F.coalesce(F.sum(F.when(F.col("_stage") == F.lit(value), F.col(name))), F.lit(0)).alias(f"_{i}_{name}")
-        for i, value in enumerate(stages) for name in names
-    ])
-    cells = F.array(*[
-        F.struct(F.lit(value).alias(stage), *[F.col(f"_{i}_{name}").alias(name) for name in names])
-        for i, value in enumerate(stages)
-    ])
-    return wide.select(worker, F.explode(cells).alias("cell")).select(
-        f"cell.{stage}", worker, *[f"cell.{name}" for name in names]
-    )
+    known = F.array(*[F.lit(value) for value in stages])
+    listed = F.when(F.array_contains(known, F.col(stage)), F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("stage is not listed: "), F.coalesce(F.col(stage).cast("string"), F.lit("null")))).cast("boolean"))
+    done = allocation(tasks.filter(listed), [stage, worker], metrics)
+    everyone = roster.select(worker).union(done.select(worker)).distinct()
+    cells = everyone.select(F.explode(known).alias(stage), worker)
+    return cells.join(done, [stage, worker], "left").select(
+        stage, worker, *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in names])
 
 
 def skew_compare(

@@ -131,14 +131,19 @@ def log_rdds(log: DataFrame) -> DataFrame:
     return _last_sighting(_rdd_sightings(log), keys, [*POSITION, "nth", "rdd_nth"], facts)
 
 
+def _named(path: str) -> Column:
+    """A text that is ``unknown`` where the log has none or an empty one."""
+    return F.coalesce(F.nullif(value(path, "string"), F.lit("")), F.lit("unknown"))
+
+
 def log_executors(log: DataFrame) -> DataFrame:
     """Registered executors and their hosts; the driver does not count."""
     return (
         _of(log, kinds.EXECUTOR_ADDED)
         .select(
             "app_id", *POSITION,
-            value('$["Executor ID"]', "string").alias("executor_id"),
-            F.coalesce(value('$["Executor Info"].Host', "string"), F.lit("unknown")).alias("host"),
+            _named('$["Executor ID"]').alias("executor_id"),
+            _named('$["Executor Info"].Host').alias("host"),
         )
         .filter(F.col("executor_id") != "driver")
         .groupBy("app_id", "executor_id")
@@ -168,7 +173,7 @@ def log_tasks(log: DataFrame) -> DataFrame:
             "app_id",
             value('$["Stage ID"]', "bigint").alias("stage_id"),
             F.coalesce(value('$["Stage Attempt ID"]', "bigint"), F.lit(0)).alias("attempt_id"),
-            F.coalesce(value('$["Task Info"]["Executor ID"]', "string"), F.lit("unknown")).alias("executor_id"),
+            _named('$["Task Info"]["Executor ID"]').alias("executor_id"),
             F.nullif(value('$["Task Info"].Host', "string"), F.lit("")).alias("task_host"),
             _number('$["Task Metrics"]["Input Metrics"]["Records Read"]').alias("input_records"),
             (
@@ -445,13 +450,18 @@ def _counts(table: DataFrame, **counts: Column) -> DataFrame:
 
 def completeness(log: DataFrame) -> DataFrame:
     """Per application, whether the log holds everything a report needs."""
-    has_rdd = F.coalesce(F.size(value('$["Stage Infos"][0]["RDD Info"]', "array<variant>")) > 0, F.lit(False)) | \
-        F.coalesce(F.size(value('$["Stage Info"]["RDD Info"]', "array<variant>")) > 0, F.lit(False))
+    def rdds(stage: Column) -> Column:
+        return F.coalesce(F.size(F.try_variant_get(stage, '$["RDD Info"]', "array<variant>")) > 0, F.lit(False))
+
+    # Every stage of a job counts, and every completed stage.
+    submitted = F.size(F.filter(value('$["Stage Infos"]', "array<variant>"), rdds))
+    completed = rdds(value('$["Stage Info"]', "variant")).cast("int")
+    with_rdds = F.coalesce(F.greatest(submitted, F.lit(0)), F.lit(0)) + completed
     events = log.groupBy("app_id").agg(
         F.count(F.when(_is(kinds.APP_START) & value('$["App ID"]', "string").isNotNull(), 1)).alias("applications"),
         F.count(F.when(_is(kinds.JOB_START), 1)).alias("jobs"),
         F.count(F.when(_is(kinds.STAGE_COMPLETED), 1)).alias("completed_stages"),
-        F.count(F.when(has_rdd, 1)).alias("stages_with_rdds"),
+        F.sum(with_rdds).alias("stages_with_rdds"),
     )
     executions = log_sql_executions(log).groupBy("app_id").agg(
         F.count(F.lit(1)).alias("executions"),

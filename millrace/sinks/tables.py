@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.messages import compact_json
+from ..operators.contracts import REASON
 
 
 def write_rank_csv(few: DataFrame, path: str) -> None:
@@ -30,3 +31,13 @@ def keyed_json(df: DataFrame, key: Column, **fields: Column) -> DataFrame:
 
 def write_lines(df: DataFrame, line: Column, path: str) -> None:
     df.select(line.alias("value")).write.text(path)
+
+
+def quarantine_sink(rejected: DataFrame, path: str, label: str) -> None:
+    """Keep rejected records, as JSON lines by reason below ``path``, under what they were rejected from.
+
+    Sent again under the same label they replace themselves.
+    """
+    whole = F.to_json(F.struct(*[F.col(f"`{name}`") for name in rejected.columns if name != REASON]))
+    rejected.select(REASON, whole.alias("record")).write.mode("overwrite").partitionBy(REASON).json(
+        f"{path.rstrip('/')}/rejected_from={label}")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.once import compute_once
 from ..functions.text import is_data_line, strip, whole_number, words
-from ..operators.contracts import fail_fast, judge, reject_split
+from ..operators.contracts import ContractError, fail_fast, judge, reject_split
 
 # Accepted header of an edge CSV.
 EDGE_HEADER = ("source", "target")
@@ -16,14 +17,42 @@ EDGE_HEADER = ("source", "target")
 POSITION = "line_position"
 
 
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of one file, through Spark's file systems and codecs; None if the file is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = place.getFileSystem(conf).open(place)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        stream if codec is None else codec.createInputStream(stream), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def expect_header(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> None:
+    """Every file begins with exactly ``header``, case and order included; a byte-order mark may go before it.
+
+    One line of each file is read, so this costs by the number of files, not by their size.
+    """
+    for path in files:
+        line = _first_line(spark, path)
+        found = next(csv.reader([line.removeprefix("\ufeff")]), []) if line is not None else None
+        if found != list(header):
+            what = "is empty" if found is None else f"has the header {found}"
+            raise ContractError(f"{path} {what}; expected the header {list(header)}")
+
+
 def read_csv_contract(spark: SparkSession, path: str, header: Sequence[str]) -> DataFrame:
     """A CSV whose header must be exactly ``header``, in order; all cells as text.
 
-    A byte-order mark is tolerated, a different header fails the read, and a row with too
-    few or too many cells shows up in ``_corrupt_record``.
+    A byte-order mark is tolerated, a different header or an empty file is an error at once,
+    whatever columns are read later, and a row with too few or too many cells shows up in
+    ``_corrupt_record``.
     """
     cells = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return (
+    rows = (
         spark.read.schema(cells.add("_corrupt_record", T.StringType()))
         .option("header", True)
         .option("enforceSchema", False)
@@ -32,18 +61,25 @@ def read_csv_contract(spark: SparkSession, path: str, header: Sequence[str]) ->
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(path)
     )
+    files = sorted(rows.inputFiles())
+    if not files:
+        raise ContractError(f"no file at {path}")
+    expect_header(spark, files, header)
+    return rows
+
+
+def position() -> Column:
+    """``line_position`` of a record read from files: it sorts in reading order."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ).alias(POSITION)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines as ``value`` with ``line_position``, which sorts in reading order."""
-    return spark.read.text(path).select(
-        "value",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias(POSITION),
-    )
+    return spark.read.text(path).select("value", position())
 
 
 def position_number(records: DataFrame) -> Column:
@@ -73,31 +109,53 @@ def judge_edge_lines(lines: DataFrame) -> DataFrame:
     ]).drop("fields")
 
 
-def parse_edges(lines: DataFrame, mode: str = "drop") -> DataFrame:
-    """Edges from text lines; malformed lines are dropped or (``mode="fail"``) stop the job."""
-    judged = judge_edge_lines(lines)
+def _edges_only(judged: DataFrame, mode: str, message: Column) -> DataFrame:
     if mode == "drop":
         kept, _ = reject_split(judged)
     elif mode == "fail":
-        kept = fail_fast(judged, F.concat(F.lit("malformed edge '"), strip(F.col("value")), F.lit("'")))
+        kept = fail_fast(judged, message)
     else:
         raise ValueError(f"mode is 'drop' or 'fail', not {mode!r}")
     return kept.select("source", "destination")
 
 
+def parse_edges(lines: DataFrame, mode: str = "drop") -> DataFrame:
+    """Edges from text lines; malformed lines are dropped or (``mode="fail"``) stop the job.
+
+    Lines that carry their position are named by it as well.
+    """
+    message = F.concat(F.lit("malformed edge '"), strip(F.col("value")), F.lit("'"))
+    if POSITION in lines.columns:
+        message = F.concat(message, F.lit(" at "), F.to_json(POSITION))
+    return _edges_only(judge_edge_lines(lines), mode, message)
+
+
 def read_edge_text(spark: SparkSession, path: str, mode: str = "drop") -> DataFrame:
     """Whitespace-separated ``source destination`` lines with ``#`` comments."""
-    return parse_edges(spark.read.text(path), mode)
+    return parse_edges(read_lines(spark, path) if mode == "fail" else spark.read.text(path), mode)
 
 
-def read_edge_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``source,target`` CSV; rows whose ids are not integers are left out."""
-    cells = read_csv_contract(spark, path, EDGE_HEADER)
-    edges = cells.select(
-        whole_number(F.col("source")).alias("source"),
-        whole_number(F.col("target")).alias("destination"),
+def judge_edge_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a ``source,target`` CSV as ``(source, destination)`` with their position and ``reject_reason``."""
+    cells = read_csv_contract(spark, path, EDGE_HEADER).select("source", "target", "_corrupt_record", position())
+    typed = compute_once(
+        cells.withColumnsRenamed({"source": "source_text", "target": "target_text"}),
+        source=whole_number(F.col("source_text")), destination=whole_number(F.col("target_text")),
     )
-    return edges.filter(F.col("source").isNotNull() & F.col("destination").isNotNull())
+    return judge(typed, [
+        (F.col("_corrupt_record").isNull(), "row does not match the header"),
+        (F.col("source").isNotNull(), "source is not an integer"),
+        (F.col("destination").isNotNull(), "target is not an integer"),
+    ])
+
+
+def read_edge_csv(spark: SparkSession, path: str, mode: str = "drop") -> DataFrame:
+    """``source,target`` CSV; malformed rows are dropped or (``mode="fail"``) stop the job with their position.
+
+    ``judge_edge_csv`` gives both sides.
+    """
+    judged = judge_edge_csv(spark, path)
+    return _edges_only(judged, mode, F.concat(F.lit("malformed edge at "), F.to_json(POSITION)))
 
 
 def latest_file(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.contracts import fail_fast, judge, reject_split
+
 # Event names of interest.
 APP_START = "SparkListenerApplicationStart"
 APP_END = "SparkListenerApplicationEnd"
@@ -28,17 +30,13 @@ def app_of(path: Column) -> Column:
     return F.when(folder != "", folder).when(rolling != "", rolling).otherwise(single)
 
 
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """``(app_id, block, line, event, body)``, one row per event of interest.
-
-    ``path`` may name one log, a folder of logs or a glob. ``(block, line)`` sorts in log
-    order: the block is one split of one file, so it never holds more than the split size.
-    """
+def judge_event_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of event logs, parsed, with its position and ``reject_reason`` where it is no event."""
     file_path = F.col("_metadata.file_path")
     part = F.coalesce(
         F.regexp_extract(file_path, r"/events_(\d+)_[^/]*$", 1).try_cast("bigint"), F.lit(0)
     )
-    return (
+    lines = (
         spark.read.option("recursiveFileLookup", True).text(path)
         .select(
             app_of(file_path).alias("app_id"),
@@ -49,8 +47,29 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
             F.try_parse_json("value").alias("body"),
         )
         .withColumn("event", F.try_variant_get("body", "$.Event", "string"))
-        .filter(F.col("event").isin(*KINDS))
     )
+    return judge(lines, [
+        (F.col("body").isNotNull(), "line is not JSON (truncated, or a compressed log read as text)"),
+        (F.col("event").isNotNull(), "line has no event name"),
+    ])
+
+
+def read_event_log(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
+    """``(app_id, block, line, event, body)``, one row per event of interest.
+
+    ``path`` may name one log, a folder of logs or a glob. ``(block, line)`` sorts in log
+    order: the block is one split of one file, so it never holds more than the split size.
+    A line that is no event stops the job with its position; ``mode="drop"`` leaves such
+    lines out, for logs that are still being written. ``judge_event_lines`` gives both sides.
+    """
+    judged = judge_event_lines(spark, path)
+    if mode == "fail":
+        events = fail_fast(judged, F.to_json(F.struct("block", "line")))
+    elif mode == "drop":
+        events, _ = reject_split(judged)
+    else:
+        raise ValueError(f"mode is 'drop' or 'fail', not {mode!r}")
+    return events.filter(F.col("event").isin(*KINDS))
 
 
 def store_event_log(log: DataFrame, path: str) -> None:

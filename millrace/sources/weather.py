@@ -8,7 +8,7 @@ from ..functions.clock import offset_timestamp_utc
 from ..functions.once import compute_once
 from ..functions.text import finite_double, optional_text, required_text, strip
 from ..operators.contracts import fail_fast, judge
-from .files import POSITION, read_csv_contract
+from .files import POSITION, position, read_csv_contract
 
 # The CSV contract and the names its columns are stored under.
 HEADER = (
@@ -49,11 +49,7 @@ def read_weather_cells(spark: SparkSession, path: str) -> DataFrame:
     return cells.select(
         *[F.col(f"`{name}`") for name in HEADER],
         "_corrupt_record",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias(POSITION),
+        position(),
     )
 
 

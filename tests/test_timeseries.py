@@ -59,6 +59,12 @@ def test_tumbling_ignores_nulls_and_empty_windows(spark):
     assert [(r["window_end"] - DAY, r["value"]) for r in got] == [(HOUR, 2.0), (4 * HOUR, 5.0)]
 
 
+def test_means_leave_out_nan(spark):
+    df = series(spark, (0, 1), (30, float("nan")), (59, 3))
+    assert [r["value"] for r in tumbling_mean(df, "ts", "value", [], HOUR).collect()] == [2.0]
+    assert {r["value"] for r in sliding_mean(df, "ts", "value", [], HOUR, HOUR).collect()} == {2.0}
+
+
 def test_two_sigma_is_strict(spark):
     at_limit = spark.createDataFrame([(float(v),) for v in (0, 0, 0, 0, 10)], "value double")
     assert two_sigma_anomalies(at_limit, "value").count() == 0
