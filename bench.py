@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from millrace.catalog import QUERIES
 from millrace.catalog.contracts import _write_weather
 from millrace.catalog.graphs import edges_of
-from millrace.catalog.joblogs import event_log
+from millrace.catalog.joblogs import event_log, raw_log
+from millrace.catalog.timeseries import TICK
 from millrace.plans.graphs import rank_edge_file
-from millrace.plans.timeseries import ingest_weather
+from millrace.plans.timeseries import downsample_task, ingest_weather
 from millrace.session import build_session, scratch
 from millrace.sinks.tables import write_lines
+from millrace.sources.joblog import read_event_log
+from millrace.sources.weather import read_weather
 
 HEADLINE = [
     "sliding_mean", "sliding_mean_all", "tumbling_mean", "tumbling_sum", "two_sigma_anomalies", "two_sigma_by_type",
@@ -48,6 +51,16 @@ def entries(spark, sf):
         _write_weather(spark, sf, path, malformed=False)
         return path
 
+    def parsed(path):
+        discard(read_weather(spark, path))
+
+    yield "weather_parse", weather, parsed
+
+    def tick(target):
+        downsample_task(spark.read.parquet(f"{sf}/events.parquet"), "ts", "value", ["event_type"], TICK, target)
+
+    yield "downsample_one_tick", lambda: scratch(spark, "bench-hourly"), tick
+    yield "read_event_log_parse", lambda: raw_log(spark, sf), lambda path: discard(read_event_log(spark, path))
     yield "weather_ingest_once", weather, lambda path: ingest_weather(spark, path, scratch(spark, "bench-points"), 0)
 
     def text():

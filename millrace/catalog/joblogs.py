@@ -413,10 +413,7 @@ _SUMMARY = f"""
 
 @query("dag_summary", _SUMMARY)
 def _dag_summary(spark, sf):
-    log = event_log(spark, sf)
-    stages, rdds = pin_as_table(jl.log_stages(log), "stages"), pin_as_table(jl.log_rdds(log), "rdds")
-    return jl.dag_summary(
-        stages, rdds, jl.log_sql_executions(log), jl.plan_operators(jl.plan_trees(log)))
+    return jl.summary_of_log(event_log(spark, sf))
 
 
 @query("expect_complete_log", f"""

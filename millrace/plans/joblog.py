@@ -240,9 +240,9 @@ def stage_skew(log: DataFrame, tasks: DataFrame) -> DataFrame:
     """Worker comparison per completed stage attempt, idle registered workers included as 0."""
     keys = ["app_id", "stage_id", "attempt_id"]
     registered = workers(log)
-    done = join_lookup(
+    done = pin_as_table(join_lookup(  # read by the counts of workers and by the comparison
         allocation_by_worker(tasks), registered.withColumn("listed", F.lit(1)), ["app_id", "worker"], "left"
-    )
+    ), "stage-allocation")
     completed = _of(log, kinds.STAGE_COMPLETED).select(
         "app_id",
         value('$["Stage Info"]["Stage ID"]', "bigint").alias("stage_id"),
@@ -279,15 +279,17 @@ def log_sql_executions(log: DataFrame) -> DataFrame:
         _json(value("$.jobTags", "variant")).alias("job_tags"),
     )
     place = F.struct(*POSITION)
+    # Facts are taken out first, so that no event body goes into the aggregate.
+    told = compute_once(
+        _of(log, kinds.SQL_START, kinds.SQL_UPDATE, kinds.SQL_END), ["app_id", "event", *POSITION],
+        execution_id=value("$.executionId", "bigint"), begun=F.when(_is(kinds.SQL_START), begun),
+        ended=F.when(_is(kinds.SQL_END), value("$.time", "bigint")),
+    )
     return (
-        _of(log, kinds.SQL_START, kinds.SQL_UPDATE, kinds.SQL_END)
-        .select("app_id", "event", *POSITION, value("$.executionId", "bigint").alias("execution_id"), "body")
-        .groupBy("app_id", "execution_id")
+        told.groupBy("app_id", "execution_id")
         .agg(
-            F.max_by(F.when(_is(kinds.SQL_START), begun), F.when(_is(kinds.SQL_START), place)).alias("begun"),
-            F.max_by(
-                F.when(_is(kinds.SQL_END), value("$.time", "bigint")), F.when(_is(kinds.SQL_END), place)
-            ).alias("ended_at_epoch_ms"),
+            F.max_by("begun", F.when(_is(kinds.SQL_START), place)).alias("begun"),
+            F.max_by("ended", F.when(_is(kinds.SQL_END), place)).alias("ended_at_epoch_ms"),
             F.count(F.when(_is(kinds.SQL_UPDATE), 1)).alias("adaptive_plan_updates"),
         )
         .select(
@@ -444,6 +446,56 @@ def dag_summary(
     ])
 
 
+def summary_of_log(log: DataFrame) -> DataFrame:
+    """What :func:`dag_summary` says, straight from the log: only ids, parents and counts are read.
+
+    Stages and RDDs are reduced to their last parents in one aggregate each; of plans, only those that
+    executions began with are opened, and their nodes are counted level by level within the row.
+    """
+    rows = F.count(F.lit(1))
+
+    def graph(sightings: DataFrame, key: Column, place: list[str], parents: Column) -> DataFrame:
+        return _last_sighting(sightings, {"id": key}, place, F.struct(parents.alias("parents")))
+
+    stages = graph(_stage_sightings(log), value('$["Stage ID"]', "bigint", "stage"), [*POSITION, "nth"],
+                   _ids('$["Parent IDs"]', "stage"))
+    rdds = graph(_rdd_sightings(log), value('$["RDD ID"]', "bigint", "rdd"), [*POSITION, "nth", "rdd_nth"],
+                 _ids('$["Parent IDs"]', "rdd"))
+    executions = _of(log, kinds.SQL_START, kinds.SQL_UPDATE, kinds.SQL_END).select(
+        "app_id", value("$.executionId", "bigint").alias("execution_id"), _is(kinds.SQL_UPDATE).cast("int").alias("update")
+    ).groupBy("app_id", "execution_id").agg(F.sum("update").alias("updates"))
+    edges = F.sum(F.size(F.array_distinct("parents")))
+    counts = [
+        _counts(stages, stage_count=rows, stage_edge_count=edges),
+        _counts(rdds, rdd_count=rows, rdd_edge_count=edges),
+        _counts(executions, sql_execution_count=rows, adaptive_sql_plan_update_count=F.sum("updates")),
+        _counts(_plan_sizes(log), initial_sql_operator_count=F.sum("nodes")),
+    ]
+    merged = counts[0]
+    for more in counts[1:]:
+        merged = merged.unionByName(more, allowMissingColumns=True)
+    return merged.groupBy("app_id").agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in SUMMARY])
+
+
+def _plan_sizes(log: DataFrame) -> DataFrame:
+    """``(app_id, nodes)`` parts of the number of nodes of every plan that an execution began with."""
+    none = F.array().cast("array<variant>")
+    level = _of(log, kinds.SQL_START).select(
+        "app_id", F.array(value("$.sparkPlanInfo", "variant")).alias("level")).filter(F.col("level")[0].isNotNull())
+    parts = None
+    while True:
+        counted = level.withColumn("nodes", F.lit(0).cast("bigint"))
+        for _ in range(2 * PLAN_LEVELS_PER_PASS):
+            below = F.flatten(F.transform("level", lambda node: F.coalesce(
+                value("$.children", "array<variant>", node), none)))
+            counted = compute_once(counted, ["app_id"], nodes=F.col("nodes") + F.size("level"), level=below)
+        stored = pin_as_table(counted, "plan-sizes")
+        parts = stored.select("app_id", "nodes") if parts is None else parts.unionByName(stored.select("app_id", "nodes"))
+        level = stored.filter(F.size("level") > 0).select("app_id", "level")
+        if level.isEmpty():
+            return parts
+
+
 def _counts(table: DataFrame, **counts: Column) -> DataFrame:
     return table.groupBy("app_id").agg(*[value.alias(name) for name, value in counts.items()])
 
