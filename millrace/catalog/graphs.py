@@ -9,7 +9,7 @@ from ..operators.graph import (
 )
 from ..operators.ranking import ranked, ranked_all
 from ..operators.workers import allocation, skew_compare, skew_workers, totals, worker_grid
-from ..plans.graphs import rank_edge_file, rank_in_degree
+from ..plans.graphs import profile_steps, rank_edge_file, rank_in_degree
 from ..session import scratch
 from ..sinks.tables import write_graph, write_lines
 from .registry import query, table
@@ -169,6 +169,19 @@ def _shortest_path(spark, sf):
     )
 
 
+@query("profile_plan", f"""
+    WITH e AS ({_EDGES}), d AS (SELECT DISTINCT * FROM e), g AS (
+        SELECT destination, count(*) AS n FROM d GROUP BY destination)
+    SELECT 0 AS place, 'source' AS step, count(*) AS rows FROM e
+    UNION ALL SELECT 1, 'merge edges', count(*) FROM d
+    UNION ALL SELECT 2, 'in-degree', count(*) FROM g
+    UNION ALL SELECT 3, 'above one', count(*) FROM g WHERE n > 1""")
+def _profile_plan(spark, sf):
+    """Rows that each step of a ranking passes on."""
+    return profile_steps(edges_of(spark, sf), [
+        ("merge edges", merge_edges), ("in-degree", in_degree), ("above one", lambda df: df.filter("in_degree > 1"))])
+
+
 @query("frontier_join", _WALK.format(hops=5) + """
     SELECT dist.id, CAST(dist.d AS BIGINT) AS hop, min(u.b) AS parent
     FROM dist JOIN u ON u.a = dist.id JOIN dist before ON before.id = u.b AND before.d = dist.d - 1

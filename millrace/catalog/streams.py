@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from ..functions.clock import from_epoch_millis
 from ..session import scratch
 from ..sinks.points import read_points
+from ..sinks.tables import write_lines
 from ..streaming.run import (
     drain, file_writer, late_rows, replay, replay_chunks, replay_files, upsert_writer, write_replay,
 )
 from ..streaming.telemetry import (
-    COUNT, EVENT_TIME, MILLIS, SENSOR, TOTAL, judge_messages, parse_messages, window_result_json, window_totals,
-    with_watermark,
+    COUNT, EVENT_TIME, MILLIS, SENSOR, TOTAL, judge_messages, parse_messages, read_stream_messages, window_result_json,
+    window_totals, with_watermark,
 )
 from .contracts import message_texts
 from .registry import as_ntz, query, table
@@ -54,6 +55,18 @@ def _stored(spark, stream, label):
     return spark.read.parquet(target), done
 
 
+@query("read_stream_messages", f"""
+    SELECT CAST(user_id AS VARCHAR) AS sensor_id, CAST(trunc(value) AS BIGINT) AS vehicle_count,
+           {_MS} AS event_timestamp_ms FROM events""")
+def _read_stream_messages(spark, sf):
+    """Messages of all events in a text folder, followed as a stream and parsed strictly."""
+    folder = scratch(spark, "message-texts")
+    write_lines(message_texts(spark, sf, malformed=False), F.col("value"), folder)
+    stream = parse_messages(read_stream_messages(spark, "text", {}, folder))
+    read, _ = _stored(spark, stream.select(SENSOR, COUNT, MILLIS), "messages")
+    return read
+
+
 @query("window_totals_batch", _BATCH_TOTALS.format(where=""))
 def _window_totals_batch(spark, sf):
     texts = message_texts(spark, sf, malformed=False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.contracts import ContractError, counted, expect_count, expect_unique
@@ -39,6 +41,21 @@ def import_graph(spark: SparkSession, csv_path: str, target: str, expected: int
         expect_count(spark.read.parquet(f"{target}/edges"), expected, "edges")
 
 
+def profile_steps(source: DataFrame, steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+    """Run ``source`` through the named steps once and report ``(place, step, rows)`` for each.
+
+    Rows are counted as they pass, so profiling costs one run of the query.
+    """
+    df, seen = counted(source, "step-0")
+    passed = [("source", seen)]
+    for place, (name, step) in enumerate(steps, 1):
+        df, seen = counted(step(df), f"step-{place}")
+        passed.append((name, seen))
+    df.write.format("noop").mode("overwrite").save()
+    return source.sparkSession.createDataFrame(
+        [(place, name, seen.get["rows"]) for place, (name, seen) in enumerate(passed)], "place int, step string, rows bigint")
+
+
 def profile_plan(df: DataFrame, mode: str = "formatted") -> str:
     """The physical plan as text; pair it with the event log for rows and times per operator."""
     return df._jdf.queryExecution().explainString(

@@ -1,5 +1,6 @@
 """Parsers and gates on hand-made records."""
 
+import gzip
 from datetime import datetime
 
 import pytest
@@ -10,8 +11,9 @@ from millrace.functions.text import finite_double, optional_text, required_text,
 from millrace.operators.contracts import (
     ContractError, count_report, counted, duplicates, expect_count, expect_unique, fail_fast, judge, reject_split,
 )
+from millrace.sinks.tables import quarantine_sink
 from millrace.sources.files import (
-    judge_edge_lines, latest_file, parse_edges, read_csv_contract, read_edge_csv, read_edge_text, read_lines,
+    judge_edge_csv, judge_edge_lines, latest_file, parse_edges, read_csv_contract, read_edge_csv, read_edge_text, read_lines,
 )
 from millrace.sources.weather import HEADER, judge_weather, read_weather, read_weather_cells
 from millrace.streaming.telemetry import judge_messages, parse_messages, telemetry_messages, telemetry_projection
@@ -143,6 +145,37 @@ def test_edge_csv(spark, tmp_path):
         read_edge_csv(spark, str(wrong)).collect()
 
 
+def test_edge_csv_rejects_with_reason_and_position(spark, tmp_path):
+    path = tmp_path / "edges.csv"
+    path.write_text("source,target\n1,2\nx,6\n7\n1,2,3\n4,y\n")
+    kept, rejected = reject_split(judge_edge_csv(spark, str(path)))
+    assert [(r["source"], r["destination"]) for r in kept.collect()] == [(1, 2)]
+    assert sorted((r["source_text"], r["reject_reason"]) for r in rejected.collect()) == [
+        ("1", "row does not match the header"), ("4", "target is not an integer"),
+        ("7", "row does not match the header"), ("x", "source is not an integer")]
+    with pytest.raises(Exception, match="malformed edge at .*edges.csv.*source is not an integer"):
+        read_edge_csv(spark, str(path), mode="fail").collect()
+    text = tmp_path / "edges.txt"
+    text.write_text("1 2\nx y\n")
+    with pytest.raises(Exception, match="malformed edge 'x y' at .*edges.txt"):
+        read_edge_text(spark, str(text), mode="fail").collect()
+    target = str(tmp_path / "quarantine")
+    for _ in range(2):
+        quarantine_sink(rejected, target, "edges")
+    assert spark.read.json(target).count() == 4
+
+
+@pytest.mark.parametrize("text", ["SOURCE,Target\n1,2\n", "source,other\n1,2\n", "source\n1\n", ""])
+def test_header_is_exact_whatever_is_read(spark, tmp_path, text):
+    path = tmp_path / "edges.csv"
+    path.write_text(text)
+    with pytest.raises(ContractError, match="expected the header"):
+        read_csv_contract(spark, str(path), ("source", "target")).select("source")
+    good = tmp_path / "good.csv.gz"
+    good.write_bytes(gzip.compress("\ufeff\"source\",target\n1,2\n".encode()))
+    assert read_csv_contract(spark, str(good), ("source", "target")).count() == 1
+
+
 def weather_file(tmp_path, *rows, header=HEADER, bom=""):
     path = tmp_path / "weather.csv"
     lines = [",".join(header), *[",".join(row) for row in rows]]

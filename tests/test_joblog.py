@@ -12,7 +12,8 @@ from millrace.operators.contracts import ContractError
 from millrace.operators.workers import METRICS, skew_compare, skew_workers, worker_grid
 from millrace.plans import joblog as jl
 from millrace.sources.files import latest_file
-from millrace.sources.joblog import open_event_log, read_event_log, store_event_log
+from millrace.operators.contracts import reject_split
+from millrace.sources.joblog import judge_event_lines, open_event_log, read_event_log, store_event_log
 
 JOB = """
 import sys
@@ -205,3 +206,33 @@ def test_worker_grid(spark):
     assert got == {("a", "w1"): (1, 3), ("b", "w1"): (0, 0), ("a", "w2"): (0, 0), ("b", "w2"): (0, 0),
                    ("a", "w9"): (0, 0), ("b", "w9"): (1, 5)}
     assert len(METRICS) == 4
+
+
+def test_lines_that_are_no_events(spark, tmp_path):
+    (tmp_path / "app-9").write_text('{"Event":"SparkListenerApplicationStart","App ID":"app-9"}\n{"Event":"Spark\nword\n')
+    path = str(tmp_path / "app-9")
+    with pytest.raises(Exception, match="line is not JSON"):
+        read_event_log(spark, path).collect()
+    assert read_event_log(spark, path, mode="drop").count() == 1
+    _, rejected = reject_split(judge_event_lines(spark, path))
+    assert rejected.count() == 2 and rejected.select("block.file").first()[0].endswith("app-9")
+
+
+def test_blank_ids_and_later_stages(spark, tmp_path):
+    lines = [
+        {"Event": "SparkListenerExecutorAdded", "Executor ID": "1", "Executor Info": {"Host": ""}},
+        {"Event": "SparkListenerTaskEnd", "Stage ID": 0, "Task Info": {"Executor ID": "", "Host": ""}},
+        {"Event": "SparkListenerJobStart", "Job ID": 0, "Stage IDs": [0, 1], "Stage Infos": [
+            {"Stage ID": 0, "RDD Info": []}, {"Stage ID": 1, "RDD Info": [{"RDD ID": 4}]}]},
+    ]
+    (tmp_path / "app-8").write_text("".join(json.dumps(line) + "\n" for line in lines))
+    log = read_event_log(spark, str(tmp_path / "app-8"))
+    assert [tuple(r) for r in jl.workers(log).collect()] == [("app-8", "1@unknown")]
+    assert jl.log_tasks(log).first()["worker"] == "unknown@unknown"
+    assert jl.completeness(log).first()["stages_with_rdds"] == 1
+
+
+def test_summary_straight_from_the_log_is_the_same(log):
+    stages, rdds = jl.log_stages(log), jl.log_rdds(log)
+    whole = jl.dag_summary(stages, rdds, jl.log_sql_executions(log), jl.plan_operators(jl.plan_trees(log)))
+    assert jl.summary_of_log(log).collect() == whole.collect()
