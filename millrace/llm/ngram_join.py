@@ -39,7 +39,7 @@ LARGE_SET, LARGE_KEYS = 12, 3
 BLOCK = 2048
 TILE_ROWS = 1_500_000
 #: Rounds at most in which sets of large tiles are joined with their likeliest partner before all pairs are tried.
-ROUNDS = 4
+ROUNDS = 2
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
