@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_side, stored
+from .common import BROADCAST_BYTES, small_side, stored
 from .components import components
 from .words import mix, pieces, shingle_sets
 
@@ -231,9 +231,9 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_bound, "a long, b long, share double")
 
 
-def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = False) -> tuple[DataFrame, DataFrame] | None:
     """Links (a, b) that join what the pairs of ``near`` (a, b, share) join, and the components they make; None if
-    there are none.
+    there are none. With ``few``, ``near`` has about one pair of each class: all are counted at once.
 
     Each class first tries its likeliest pair; then the pairs that still lie between components.
     """
@@ -263,6 +263,9 @@ def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame) -> tuple[DataFra
             pairs = pairs.join(arrays.select(F.col("class").alias(side), F.col("set").alias("set_" + side)), side)
         return stored(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_exact, "a long, b long"), "links")
 
+    if few:
+        every = exact(near.select("a", "b"))
+        return None if every.isEmpty() else (every, components(every))
     likely = ends.groupBy("class").agg(F.max(F.struct("share", "a", "b")).alias("best"))
     likely = likely.select("best.a", "best.b").distinct()
     first = exact(likely)
@@ -337,12 +340,19 @@ def _open_rows(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame
 
 def _open_pairs(rows: DataFrame, tiles: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
     """Candidate pairs (key, a, b, share) between components in the same large tile."""
-    opened = rows.join(tiles, "key").join(sets, "class").select(
-        "key", "class", "n", "label", "bits", "blocks", (F.col("label") != F.col("largest")).alias("outside"))
+    opened = rows.join(tiles, "key").select(
+        "key", "class", "label", "blocks", (F.col("label") != F.col("largest")).alias("outside"))
     own = opened.withColumn("block", F.pmod(F.xxhash64("class"), "blocks")).withColumn("outside", F.lit(False))
     asks = opened.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    columns = [F.xxhash64("key", "block").alias("tile"), "key", "outside", "class", "n", "label", "bits"]
-    return stored(own.select(*columns).unionByName(asks.select(*columns)).repartition("tile").mapInArrow(
+    columns = [F.xxhash64("key", "block").alias("tile"), "key", "outside", "class", "label"]
+    dealt = own.select(*columns).unionByName(asks.select(*columns))
+    wanted = stored(sets.join(rows.select("class").distinct(), "class", "left_semi"), "open-sets")
+    size = wanted.agg(F.sum(F.length("bits") + 48)).first()[0] or 0
+    if size <= BROADCAST_BYTES:  # then a set's bitmap need not travel with each of its rows
+        dealt = dealt.repartition("tile").join(F.broadcast(wanted), "class")
+    else:
+        dealt = dealt.join(wanted, "class").repartition("tile")
+    return stored(dealt.select("tile", "key", "outside", "class", "n", "label", "bits").mapInArrow(
         _blocks(every), "key long, a long, b long, share double"), "open-pairs")
 
 
@@ -394,7 +404,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         # A tile in which bitmaps allow no pair between components is settled.
         rows = rows.join(tried.select("key").distinct(), "key", "left_semi")
         near = tried.groupBy("a", "b").agg(F.max("share").alias("share")) if every else _likeliest(tried)
-        more = _linked(near, docs, slim)
+        more = _linked(near, docs, slim, few=not every)
         if more:
             links = links.unionByName(more[0])
             labels = components(links)
