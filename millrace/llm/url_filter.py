@@ -127,7 +127,7 @@ def _scorer(sent):
             if not batch.num_rows:
                 continue
             code, row, sizes = _coded(batch.column(batch.num_columns - 1))
-            total = np.bincount(row, weights=sent.value[code], minlength=len(sizes))
+            total = np.bincount(row, weights=sent.value[code], minlength=len(sizes)).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(total / sizes)], [*batch.schema.names[:-1], "score"])
 
