@@ -7,8 +7,8 @@
    frequent within a task are reduced to one holder there before anything is shuffled.
 3. For each document and holder, matches in order in both texts are chained: a match adds ``GAIN`` words, gaps cost
    ``GAP`` per word, and the best predecessor comes from a Fenwick tree over positions in the holder.
-4. Chains are aligned word by word between and beyond their seeds. A passage counts from 40 aligned words and three
-   quarters equal.
+4. Chains are aligned word by word between and beyond their seeds, and cut where text between is unlike. A passage
+   counts from 40 aligned words and three quarters equal.
 """
 
 from __future__ import annotations
@@ -27,12 +27,14 @@ GAIN, GAP = 4.5, 0.1
 MIN_SEEDS, MIN_WORDS = 3, 40
 #: A passage has at least 3 equal words in 4.
 SAME, OF = 3, 4
+#: Up to so many unlike words part no passage in two; below what the shortest passage gains, so none is lost by it.
+JOINED = 15
 FLANK = 64
 #: Seeds that a task gathers before it reduces the frequent ones, and the count that makes a seed frequent.
 GATHERED, OFTEN = 1_000_000, 8
 SEED_ROWS = 1_500_000
-#: The longest gap between seeds that is aligned by dynamic programming; longer ones only along their ends.
-ALIGNED_GAP = 200
+#: Entries of an alignment table that are held at once; gaps between seeds with a larger table are aligned in halves.
+CELLS = 250_000
 
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -234,45 +236,117 @@ def _slices(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         run, "doc long, low int, high int, variant long, words binary")
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence of two short word lists."""
-    if not len(a) or not len(b):
-        return 0
-    if len(a) == len(b) and (a == b).all():
-        return len(a)
-    if min(len(a), len(b)) > ALIGNED_GAP:
-        n = min(len(a), len(b))
-        return max(int((a[:n] == b[:n]).sum()), int((a[-n:] == b[-n:]).sum()))
-    if len(a) > len(b):
-        a, b = b, a
-    row = np.zeros(len(b) + 1, dtype=np.int64)
+def _lengths(a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
+    """Lengths of the longest common subsequences of the first words of ``a``, one more each time, with every start of ``b``."""
+    row = np.zeros(len(b) + 1, dtype=np.int32)
+    yield row
     for word in a:
-        step = np.maximum(row[1:], row[:-1] + (b == word))
-        row[1:] = np.maximum.accumulate(step)
-    return int(row[-1])
+        new = np.zeros_like(row)
+        np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == word)), out=new[1:])
+        row = new
+        yield row
 
 
-def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """How far two lists go on being alike from their start, and how many words are equal up to there."""
+def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in both word lists of a longest common subsequence. Larger tables are halved, so memory stays linear."""
+    n = min(len(a), len(b))
+    same = a[:n] == b[:n]
+    begin = n if same.all() else int(same.argmin())
+    same = a[len(a) - n + begin:][::-1] == b[len(b) - n + begin:][::-1]
+    end = n - begin if same.all() else int(same.argmin())
+    head, tail = np.arange(begin), np.arange(-end, 0)
+    inner_a, inner_b = a[begin:len(a) - end], b[begin:len(b) - end]
+    if not len(inner_a) or not len(inner_b):
+        i = j = np.zeros(0, dtype=np.int64)
+    elif len(inner_a) > len(inner_b):
+        j, i = _inner(inner_b, inner_a)
+    else:
+        i, j = _inner(inner_a, inner_b)
+    return (np.concatenate([head, i + begin, tail + len(a)]), np.concatenate([head, j + begin, tail + len(b)]))
+
+
+def _inner(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if len(a) > 1 and len(a) * len(b) > CELLS:
+        half = len(a) // 2
+        *_, left = _lengths(a[:half], b)
+        *_, right = _lengths(a[half:][::-1], b[::-1])
+        cut = int((left + right[::-1]).argmax())
+        (i, j), (k, m) = _common(a[:half], b[:cut]), _common(a[half:], b[cut:])
+        return np.concatenate([i, k + half]), np.concatenate([j, m + cut])
+    table = np.stack(list(_lengths(a, b)))
+    i, j, out = len(a), len(b), []
+    while i and j:
+        if table[i, j] == table[i - 1, j]:
+            i -= 1
+        elif table[i, j] == table[i, j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    i, j = np.array(out[::-1], dtype=np.int64).reshape(-1, 2).T
+    return i, j
+
+
+def _extend(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of equal words up to where two lists stop being alike, seen from their start."""
     n = min(len(a), len(b), FLANK)
     if not n:
-        return 0, 0
+        return np.zeros(0, dtype=np.int64)
     same = a[:n] == b[:n]
     score = np.cumsum(np.where(same, 1, -2))
     at = int(score.argmax())
-    return (at + 1, int(same[:at + 1].sum())) if score[at] > 0 else (0, 0)
+    return np.flatnonzero(same[:at + 1]) if score[at] > 0 else np.zeros(0, dtype=np.int64)
 
 
-def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int, int]:
-    """Ends of the passage in both word lists (from, to, from, to) and its equal words. ``x``, ``y``: where seeds begin."""
-    equal = 0
-    for k in range(len(x) - 1):
-        equal += _common(a[x[k]:x[k + 1]], b[y[k]:y[k + 1]])
+def _equal(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the equal words of a chain, in order, in both word lists. ``x``, ``y``: where seeds begin."""
     end_a, end_b = x[-1] + SHINGLE, y[-1] + SHINGLE
-    equal += int((a[x[-1]:end_a] == b[y[-1]:end_b]).sum())
-    before, same_before = _extend(a[:x[0]][::-1], b[:y[0]][::-1])
-    after, same_after = _extend(a[end_a:], b[end_b:])
-    return x[0] - before, end_a + after, y[0] - before, end_b + after, equal + same_before + same_after
+    before, after = _extend(a[:x[0]][::-1], b[:y[0]][::-1])[::-1], _extend(a[end_a:], b[end_b:])
+    i, j = [x[0] - 1 - before], [y[0] - 1 - before]
+    for k in range(len(x) - 1):
+        p, q = _common(a[x[k]:x[k + 1]], b[y[k]:y[k + 1]])
+        i.append(p + x[k])
+        j.append(q + y[k])
+    last = np.flatnonzero(a[x[-1]:end_a] == b[y[-1]:end_b])
+    return np.concatenate([*i, last + x[-1], after + end_a]), np.concatenate([*j, last + y[-1], after + end_b])
+
+
+def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[int, int, int, int, int]:
+    """Ends of a whole chain in both word lists (from, to, from, to) and its equal words."""
+    i, j = _equal(a, b, x, y)
+    return int(i[0]), int(i[-1]) + 1, int(j[0]), int(j[-1]) + 1, len(i)
+
+
+def passages(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The passages of a chain, each as :func:`align` gives it.
+
+    Runs of equal words without a gap are joined so that every passage has enough words and enough of them equal, and
+    the passages together have the most equal words, less unequal ones and ``JOINED`` for each passage. Text between
+    passages belongs to none.
+    """
+    i, j = _equal(a, b, x, y)
+    if not len(i):
+        return []
+    gap = np.flatnonzero((np.diff(i) > 1) | (np.diff(j) > 1)) + 1
+    first, stop = np.concatenate([[0], gap]), np.concatenate([gap, [len(i)]])
+    begin_a, begin_b, end_a, end_b = i[first], j[first], i[stop - 1] + 1, j[stop - 1] + 1
+    best, back = np.zeros(len(first) + 1, dtype=np.int64), []
+    for k in range(len(first)):
+        length = np.maximum(end_a[k] - begin_a[:k + 1], end_b[k] - begin_b[:k + 1])
+        equal = stop[k] - first[:k + 1]
+        total = np.where((end_a[k] - begin_a[:k + 1] >= MIN_WORDS) & (equal * OF >= SAME * length),
+                         best[:k + 1] + 2 * equal - length - JOINED, -1)
+        at = int(total.argmax())
+        taken = total[at] > best[k]
+        best[k + 1] = total[at] if taken else best[k]
+        back.append(at if taken else -1)
+    found, k = [], len(first) - 1
+    while k >= 0:
+        at = back[k]
+        if at >= 0:
+            found.append((int(begin_a[at]), int(end_a[k]), int(begin_b[at]), int(end_b[k]), int(stop[k] - first[at])))
+        k = at - 1 if at >= 0 else k - 1
+    return found[::-1]
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,8 +361,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             y = batch.column("y")[k].values.to_numpy() - there
             if x[-1] + SHINGLE > len(a) or y[-1] + SHINGLE > len(b):
                 continue  # seeds of another row with the same id
-            begin, end, begin_b, end_b, equal = align(a, b, x, y)
-            if end - begin >= MIN_WORDS and equal * OF >= SAME * max(end - begin, end_b - begin_b):
+            for begin, end, begin_b, end_b, equal in passages(a, b, x, y):
                 rows.append((table["doc"][k], table["variant"][k], low + begin, low + end, table["holder"][k],
                              there + begin_b, there + end_b, equal))
         columns = list(zip(*rows)) if rows else [[]] * 8

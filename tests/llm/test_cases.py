@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, ctw, kneser_ney, mixing, ngram_join, quality_rules, url_filter, vector_tiles, words, wrappers
+from millrace.llm import bpe, chaining, ctw, kneser_ney, mixing, ngram_join, quality_rules, url_filter, vector_tiles, words, wrappers
 from millrace.llm.chaining import align, chains, repeated_passages, without_repeats
 from millrace.llm.components import components
 
@@ -457,6 +457,34 @@ def test_chains_follow_order_and_gap_costs():
     assert align(a, a, np.array([10, 20]), np.array([10, 20])) == (0, 50, 0, 50, 50)
 
 
+@pytest.mark.parametrize("between", [20, 60, 100, 400])
+def test_passages_of_one_holder_apart(spark, documents, between):
+    """Text between two passages, or a stray run before one, doesn't take them away."""
+    one, two = rng_words(31, 60), rng_words(32, 60)
+    texts = [" ".join(one + [f"p{k}" for k in range(between)] + two), " ".join(one + [f"q{k}" for k in range(between)] + two)]
+    texts += [" ".join(one[:7] + [f"r{k}" for k in range(38)] + two[:41]), " ".join(one[:7] + [f"s{k}" for k in range(38)] + two[:41])]
+    got = {(r["doc_id"], k) for r in repeated_passages(documents(*texts)).where("source_id = 0").collect()
+           for k in range(r["from_word"], r["to_word"])}
+    assert {(1, k) for k in [*range(60), *range(60 + between, 120 + between)]} <= got
+    assert {(d, k) for d in (2, 3) for k in range(45, 86)} <= got
+    assert between == 20 or not got & {(1, k) for k in range(60, 60 + between)}
+
+
+@pytest.mark.parametrize("cells", [1, 50, 10 ** 6])
+def test_common_words_equal_brute_force(monkeypatch, cells):
+    monkeypatch.setattr(chaining, "CELLS", cells)
+    pick = np.random.default_rng(2)
+    for _ in range(150):
+        a, b = (pick.integers(0, 5, pick.integers(0, 30)) for _ in range(2))
+        i, j = chaining._common(a, b)
+        row = [0] * (len(b) + 1)
+        for word in a:
+            old = row[:]
+            for k in range(len(b)):
+                row[k + 1] = old[k] + 1 if b[k] == word else max(old[k + 1], row[k])
+        assert len(i) == row[-1] and (a[i] == b[j]).all() and (np.diff(i) > 0).all() and (np.diff(j) > 0).all()
+
+
 # --- queries --------------------------------------------------------------------------------
 
 def test_queries_register_one_of_each():
