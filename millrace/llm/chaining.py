@@ -3,8 +3,8 @@
 1. Seeds are five-word runs picked by winnowing: of any eight neighbouring runs at least one is kept, so twelve equal
    words always share a seed. Texts are read whole.
 2. Seeds join by hash. Each occurrence is matched with one earlier occurrence only, in the document with the smallest
-   id (the holder), so a passage in m documents gives m - 1 matches per seed and no pairs among them. Seeds that are
-   frequent within a task are reduced to one holder there before anything is shuffled.
+   id (the holder), so a passage in m documents gives m - 1 matches per seed and no pairs among them. Of seeds that are
+   frequent within a task only those in its smallest document are shuffled; the others meet the holder's places later.
 3. For each document and holder, matches in order in both texts are chained: a match adds ``GAIN`` words, gaps cost
    ``GAP`` per word, and the best predecessor comes from a Fenwick tree over positions in the holder.
 4. Chains are aligned word by word between and beyond their seeds, and cut where text between is unlike. A passage
@@ -62,22 +62,33 @@ def winnowed(words: Words) -> tuple[np.ndarray, np.ndarray]:
 NORMAL, MARKED, FREQUENT = 0, 1, 2
 
 
+def _ranks(seed: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows in order of seed and doc: which occurrence of the seed in the document each is, and how many there are."""
+    run = np.flatnonzero(np.concatenate([[True], (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])]))
+    times = np.diff(np.concatenate([run, [len(seed)]]))
+    return np.arange(len(seed)) - np.repeat(run, times), np.repeat(times, times)
+
+
 def _seeds(docs: DataFrame, frequent: bool) -> DataFrame:
-    """seed, doc, at, kind. Without ``frequent``: all seeds, but of one that is frequent in a task only the task's first
-    occurrence, marked. With it: the other occurrences of these."""
+    """seed, doc, at, kind, place (which occurrence in the document). Without ``frequent``: all seeds, but of one that is
+    frequent in a task only those in the task's smallest document, marked. With it: the other occurrences of these."""
 
     def reduce(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         seed, doc, at = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((at, doc, seed))
         seed, doc, at = seed[order], doc[order], at[order]
-        new = np.concatenate([[True], (seed[1:] != seed[:-1])])
-        size = np.diff(np.concatenate([np.flatnonzero(new), [len(seed)]]))
+        once = np.concatenate([[True], (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])])
+        seed, doc, at = seed[once], doc[once], at[once]  # repeated rows
+        begins = np.flatnonzero(np.concatenate([[True], (seed[1:] != seed[:-1])]))
+        size = np.diff(np.concatenate([begins, [len(seed)]]))
         often = np.repeat(size >= OFTEN, size)
-        kind = np.where(often, np.where(new, MARKED, FREQUENT), NORMAL)
+        kind = np.where(often, np.where(doc == np.repeat(doc[begins], size), MARKED, FREQUENT), NORMAL)
         keep = (kind == FREQUENT) == frequent
+        place = _ranks(seed, doc)[0]
         return pa.RecordBatch.from_arrays(
             [pa.array(seed[keep].view(np.int64)), pa.array(doc[keep]), pa.array(at[keep].astype(np.int32)),
-             pa.array(kind[keep].astype(np.int32))], ["seed", "doc", "at", "kind"])
+             pa.array(kind[keep].astype(np.int32)), pa.array(place[keep].astype(np.int32))],
+            ["seed", "doc", "at", "kind", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -95,11 +106,12 @@ def _seeds(docs: DataFrame, frequent: bool) -> DataFrame:
         if size:
             yield reduce(parts)
 
-    return docs.mapInArrow(run, "seed long, doc long, at int, kind int")
+    return docs.mapInArrow(run, "seed long, doc long, at int, kind int, place int")
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches (doc, at, holder, holder_at) and, with a null doc, the holders (seed in at's place) of marked seeds."""
+    """Matches (doc, at, holder, holder_at) and, with a null doc, the holders of marked seeds (the seed in at's place)
+    with all ``places`` of the seed there."""
     got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
     if not got:
         return
@@ -108,27 +120,32 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     same = seed[order][1:] == seed[order][:-1]
     shared = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (kind[order] == MARKED)
     order = order[shared]
-    order = order[np.lexsort((at[order], doc[order], seed[order]))]
+    order = order[np.lexsort((-kind[order], at[order], doc[order], seed[order]))]
     seed, doc, at, kind = seed[order], doc[order], at[order], kind[order]
+    once = np.concatenate([[True], (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])])[:len(seed)]
+    seed, doc, at, kind = seed[once], doc[once], at[once], kind[once]  # repeated rows
     if not len(seed):
         return
     begins = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
     sizes = np.diff(np.concatenate([begins, [len(seed)]]))
     first = np.repeat(begins, sizes)
-    # The second occurrence in a document is matched with the holder's second, and so on; else with its last.
-    run = np.flatnonzero(np.concatenate([[True], (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])]))
-    times = np.diff(np.concatenate([run, [len(seed)]]))
-    count = np.arange(len(seed)) - np.repeat(run, times)
-    match = first + np.minimum(count, np.repeat(times, times)[first] - 1)
+    # The second occurrence in a document is matched with the holder's second, and so on, from the first again after the last.
+    count, times = _ranks(seed, doc)
+    match = first + count % times[first]
     other = np.flatnonzero(doc != doc[first])
     marked = begins[np.add.reduceat((kind == MARKED).astype(np.int64), begins) > 0]
-    unknown = np.arange(len(other) + len(marked)) >= len(other)
+    n, m = len(other), len(marked)
+    starts = np.concatenate([[0], np.cumsum(times[marked])])
+    held = np.repeat(marked - starts[:-1], times[marked]) + np.arange(starts[-1])
+    places = pa.ListArray.from_arrays(
+        pa.array(np.concatenate([np.zeros(n, dtype=np.int64), starts]).astype(np.int32)), pa.array(at[held].astype(np.int32)))
+    unknown = np.arange(n + m) >= n
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([doc[other], doc[marked]]), mask=unknown),
          pa.array(np.concatenate([at[other].astype(np.int64), seed[marked]])),
          pa.array(np.concatenate([doc[first[other]], doc[marked]])),
-         pa.array(np.concatenate([at[match[other]], at[marked]]).astype(np.int32))],
-        ["doc", "at", "holder", "holder_at"])
+         pa.array(np.concatenate([at[match[other]], at[marked]]).astype(np.int32)), places],
+        ["doc", "at", "holder", "holder_at", "places"])
 
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -383,13 +400,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "doc_id IS NOT NULL AND text IS NOT NULL")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, -(-size // (28 * SEED_ROWS)))
-    found = stored(_seeds(docs, False).repartition(parts, "seed").mapInArrow(
-        _joined, "doc long, at long, holder long, holder_at int"), "matches")
+    found = stored(_seeds(docs, False).drop("place").repartition(parts, "seed").mapInArrow(
+        _joined, "doc long, at long, holder long, holder_at int, places array<int>"), "matches")
     holders = stored(found.where("doc IS NULL").select(
-        F.col("at").alias("seed"), F.col("holder").alias("first"), F.col("holder_at").alias("first_at")), "holders")
-    often = _seeds(docs, True).join(small_side(holders, 24), "seed").where("doc != first").select(
-        "doc", F.col("at").cast("long").alias("at"), F.col("first").alias("holder"), F.col("first_at").alias("holder_at"))
-    matches = found.where("doc IS NOT NULL").unionByName(often).distinct()
+        F.col("at").alias("seed"), F.col("holder").alias("first"), "places"), "holders")
+    held = holders.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("places")), F.lit(0)).alias("places")).first()
+    often = _seeds(docs, True).select("seed", "doc", "at", "place").join(
+        small_side(holders, 24, held["n"] + held["places"] // 6), "seed").where("doc != first").select(
+        "doc", F.col("at").cast("long").alias("at"), F.col("first").alias("holder"),
+        F.expr("places[place % size(places)]").alias("holder_at"))
+    matches = found.where("doc IS NOT NULL").select("doc", "at", "holder", "holder_at").unionByName(often).distinct()
     made = stored(matches.repartition("doc").mapInArrow(_chained, CHAIN), "chains")
     wanted = made.select("doc", F.col("doc_from").alias("low"), F.col("doc_to").alias("high")).union(
         made.select("holder", "holder_from", "holder_to")).distinct()

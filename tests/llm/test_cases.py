@@ -470,6 +470,22 @@ def test_passages_of_one_holder_apart(spark, documents, between):
     assert between == 20 or not got & {(1, k) for k in range(60, 60 + between)}
 
 
+def test_repeated_lines_are_found_however_often_and_dealt(spark, documents):
+    texts = []
+    for k, n in enumerate([7, 8, 200]):
+        line = f"line{k} of eight words{k} that come back again{k}"
+        texts += [" ".join([line] * n), " ".join([f"before{k}"] + [line] * n), " ".join([line] * (2 * n))]
+    docs, got = documents(*texts), []
+    for parts in (1, 9):
+        covered = {}
+        for r in repeated_passages(docs.repartition(parts, "doc_id")).collect():
+            covered.setdefault(r["doc_id"], set()).update(range(r["from_word"], r["to_word"]))
+        got.append(covered)
+    assert got[0] == got[1] and set(got[0]) == {1, 2, 4, 5, 7, 8}
+    for k, n in enumerate([7, 8, 200]):
+        assert len(got[0][3 * k + 1]) >= 8 * n - 8 and len(got[0][3 * k + 2]) >= 16 * n - 16
+
+
 @pytest.mark.parametrize("cells", [1, 50, 10 ** 6])
 def test_common_words_equal_brute_force(monkeypatch, cells):
     monkeypatch.setattr(chaining, "CELLS", cells)
