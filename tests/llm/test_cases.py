@@ -366,6 +366,14 @@ def test_extraction_of_single_pages(body, text):
         assert got == text
 
 
+@pytest.mark.parametrize("attributes", [
+    "style='overflow:hidden'", 'title="hidden gems"', "data-id='comments'", 'data-role="search" aria-hidden=false',
+    "data-class=sidebar", "title='see id=comments'"])
+def test_only_whole_attribute_names_mark_furniture(attributes):
+    page = PAGE.format(f"<div {attributes}><p>the text</p></div>" + "<div hidden>no</div><div data-x='1' id = share>no</div>")
+    assert wrappers.extract(page, None) == "the text"
+
+
 def test_wrapper_generalises_pages_of_a_host():
     def page(items, paragraphs, extra=""):
         return ("<body><nav><ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul></nav><div class=c>" + extra
