@@ -374,6 +374,19 @@ def test_only_whole_attribute_names_mark_furniture(attributes):
     assert wrappers.extract(page, None) == "the text"
 
 
+@pytest.mark.parametrize("form", [
+    "<div class=wrap><div class=intro><p>{0} lead</p></div><div class=text><p>{1}</p></div></div>",
+    "<article class=first><p>{0} small</p></article><article class=second><p>{1}</p></article>",
+    "<div class=long><p>{1}</p><article><p>{0} short</p></article><p>{1} end</p></div>",
+    "<main><article><p>{1}</p></article></main><div class=more><p>{0} rest</p></div>"])
+def test_text_beside_the_largest_part_is_kept(form):
+    pages = [PAGE.format(form.format(f"start {k}", f"long text {k} " * 20)) for k in range(5)]
+    for path in (None, wrappers.content_path(wrappers.infer(pages), 5)):
+        for k, page in enumerate(pages):
+            text = re.sub("<[^>]*>", " ", form.format(f"start {k}", f"long text {k} " * 20))
+            assert wrappers.extract(page, path).split() == text.split()
+
+
 def test_wrapper_generalises_pages_of_a_host():
     def page(items, paragraphs, extra=""):
         return ("<body><nav><ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul></nav><div class=c>" + extra
