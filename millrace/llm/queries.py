@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import ship_package
 from .bpe import encode_column, local_ranks
 from .chaining import repeated_passages
+from .coordinate_search import hard_negatives
 from .ctw import score_documents
 from .kneser_ney import classify
 from .mixing import mix_report
@@ -18,6 +19,7 @@ from .ngram_join import jaccard_components
 from .quality_rules import judge_quality
 from .url_filter import judge_urls
 from .vector_tiles import nearest
+from .whitening import whiten
 from .wrappers import main_text
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +126,37 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents")).drop("variant")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256.0::DOUBLE * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same,
+    list_inner_product(a.x, c.x)::BIGINT AS score
+  FROM whole a JOIN whole c ON a.id % 100 = 0 AND a.id <> c.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": Query(op1_byte_bpe),
     "op2_url_filter": Query(op2_url_filter),
@@ -135,4 +168,6 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": Query(op8_html_extraction),
     "op9_nearest": Query(op9_nearest),
     "op10_substring_dedup": Query(op10_substring_dedup),
+    "op11_whitening": Query(op11_whitening),
+    "op13_hard_negatives": Query(op13_hard_negatives, OP13_SQL),
 }
