@@ -17,6 +17,7 @@ from .kneser_ney import classify
 from .mixing import mix_report
 from .ngram_join import jaccard_components
 from .quality_rules import judge_quality
+from .run_length_index import without_long_repeats
 from .url_filter import judge_urls
 from .vector_tiles import nearest
 from .whitening import whiten
@@ -130,6 +131,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_long_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(_table(spark, sf_dir, "embeddings"))
 
@@ -169,5 +174,6 @@ QUERIES: dict[str, Query] = {
     "op9_nearest": Query(op9_nearest),
     "op10_substring_dedup": Query(op10_substring_dedup),
     "op11_whitening": Query(op11_whitening),
+    "op12_run_length_index": Query(op12_run_length_index),
     "op13_hard_negatives": Query(op13_hard_negatives, OP13_SQL),
 }
