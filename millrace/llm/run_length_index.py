@@ -4,9 +4,10 @@ A byte goes if a string of ``LENGTH`` bytes around it also starts in a document
 has a *seed*: the 26-byte piece with the smallest hash among its 25 pieces. Equal strings have equal seeds at equal
 places, so all questions about a string are settled among the occurrences of its seed.
 
-1. Seeds of all documents are dealt into buckets by hash, packed four bytes each; a bucket says which of them occur in
-   two documents. The answer is a bitmap of bounded size, which lets a few others pass; those change nothing later.
-2. Shared seeds become occurrences with a hash of their *context*, the seed with up to 24 bytes on both sides: all
+1. A string of 50 bytes holds, besides its seed, the 12 bytes before it or the 12 after it. Seeds with each of these
+   sides are dealt into buckets by hash, packed four bytes each; a bucket says which of them occur in two documents. The
+   answer is a bitmap of bounded size, which lets a few others pass; those change nothing later.
+2. Seeds with a shared side become occurrences with a hash of their *context*, the seed with up to 24 bytes on both sides: all
    strings of that seed lie inside. Where a context was seen in a smaller document, all of it goes.
 3. What is left are the first documents of seeds with several contexts. These contexts meet by seed. Within a seed they
    are ranked by document; for each bit of the rank, contexts without the bit are indexed and those with it are the
@@ -39,6 +40,8 @@ SEEDS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 1 << 16
 MOST_BITS = 28  # 32 MB of bitmap at most
 CONTEXTS_PER_TASK = 100_000
+INDEXED = 10_000  # contexts in one index
+ROWS = 50_000
 HOT, HOT_SHARE = 2_048, 1 << 20
 
 _OCCURRENCE = "key long, context long, doc long, print long, at int, left byte, right byte"
@@ -100,10 +103,27 @@ def contexts(raw: np.ndarray, offsets: np.ndarray, row: np.ndarray, at: np.ndarr
     """Bytes around seeds (zero outside the text), and how many of them lie to the left and right."""
     left = np.minimum(at - offsets[row], REACH)
     right = np.minimum(offsets[row + 1] - at - SEED, REACH)
-    place = np.arange(WIDTH)
-    index = at[:, None] + (place - REACH)
-    inside = (place >= REACH - left[:, None]) & (place < REACH + SEED + right[:, None])
-    return np.where(inside, raw[np.clip(index, 0, len(raw) - 1)], 0).astype(np.uint8), left, right
+    edge = np.zeros(REACH, dtype=np.uint8)
+    data = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, raw, edge]), WIDTH)[at]
+    place = np.arange(WIDTH, dtype=np.int8)
+    data[(place < (REACH - left)[:, None]) | (place >= (REACH + SEED + right)[:, None])] = 0
+    return data, left, right
+
+
+def sides(raw: np.ndarray, offsets: np.ndarray, row: np.ndarray, at: np.ndarray, key: np.ndarray
+          ) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For seeds with the 12 bytes before them, and with the 12 bytes after them: whether the text reaches so far, and
+    a hash. Every string of LENGTH bytes holds one of the two."""
+    edge = np.zeros(16, dtype=np.uint8)
+    padded = np.concatenate([edge, raw, edge])
+    word = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(padded) - 7,), (1,))
+
+    def joined(low: np.ndarray, high: np.ndarray, salt: int) -> np.ndarray:
+        return mix(mix((key ^ word[low + 16]) + np.uint64(salt)) ^ word[high + 16])
+
+    half = REACH // 2
+    return [(at - offsets[row] >= half, joined(at - half, at - 8, 0x9E3779B97F4A7C15)),
+            (offsets[row + 1] - at - SEED >= half, joined(at + SEED, at + SEED + half - 8, 0xC2B2AE3D27D4EB4F))]
 
 
 def _hash_rows(data: np.ndarray, *more: np.ndarray) -> np.ndarray:
@@ -119,7 +139,7 @@ def _hash_rows(data: np.ndarray, *more: np.ndarray) -> np.ndarray:
 
 
 class Bitmap:
-    """A set of seeds by some of their hash bits; it may hold others too."""
+    """A set of hashes by some of their bits; it may hold others too."""
 
     def __init__(self, bits: np.ndarray, width: int):
         self.bits, self.width = bits, width
@@ -136,7 +156,8 @@ def _width(count: int) -> int:
 # --- 1 which seeds are shared ---------------------------------------------------------------
 
 def _dealt(buckets: int):
-    """Rows (bucket, single, several): hashes of seeds that a chunk of documents has in one document, or in several."""
+    """Rows (bucket, single, several): hashes of seeds with a side that a chunk of documents has in one document, or in
+    several."""
     bits = buckets.bit_length() - 1
 
     def send(keys: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
@@ -161,11 +182,14 @@ def _dealt(buckets: int):
         keys, docs, size = [], [], 0
         for batch in batches:
             for piece in pieces(batch, "text"):
-                row, _, key = seeds(*text_bytes(piece.column(1)))
-                if len(key):
-                    keys.append(key)
-                    docs.append(piece.column(0).to_numpy()[row])
-                    size += len(key)
+                raw, offsets = text_bytes(piece.column(1))
+                row, at, key = seeds(raw, offsets)
+                doc = piece.column(0).to_numpy()[row]
+                for reaches, side in sides(raw, offsets, row, at, key):
+                    if reaches.any():
+                        keys.append(side[reaches])
+                        docs.append(doc[reaches])
+                        size += len(keys[-1])
                 if size >= CHUNK:
                     yield send(keys, docs)
                     keys, docs, size = [], [], 0
@@ -200,9 +224,9 @@ def _shared(buckets: int, width: int):
 
 
 def _shared_seeds(docs: DataFrame, size: int) -> Bitmap:
-    expected = size // 12 + 1
+    expected = size // 6 + 1  # seeds with a side: two for about every 13 bytes
     buckets = 1 << max(3, min(MOST_BUCKETS, expected // SEEDS_PER_BUCKET).bit_length())
-    width = max(_width(4 * expected), buckets.bit_length() + 5)
+    width = max(_width(2 * expected), buckets.bit_length() + 5)
     rows = docs.mapInArrow(_dealt(buckets), "bucket int, single binary, several binary").repartition(
         buckets, "bucket").mapInArrow(_shared(buckets, width), "bucket int, bits binary").toArrow()
     part = 1 << (width - buckets.bit_length() + 1 - 3)
@@ -214,16 +238,23 @@ def _shared_seeds(docs: DataFrame, size: int) -> Bitmap:
 
 # --- 2 occurrences --------------------------------------------------------------------------
 
+def _shared_places(bitmap: Bitmap, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and hash of seeds that another document may have together with one side."""
+    row, at, key = seeds(raw, offsets)
+    keep = np.zeros(len(at), dtype=bool)
+    for reaches, side in sides(raw, offsets, row, at, key):
+        keep |= reaches & bitmap.holds(side)
+    return row[keep], at[keep], key[keep]
+
+
 def _occurrences(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 raw, offsets = text_bytes(piece.column(1))
-                row, at, key = seeds(raw, offsets)
-                keep = sent.value.holds(key)
-                row, at, key = row[keep], at[keep], key[keep]
-                for begin in range(0, len(at), 200_000):
-                    own = slice(begin, begin + 200_000)
+                row, at, key = _shared_places(sent.value, raw, offsets)
+                for begin in range(0, len(at), ROWS):
+                    own = slice(begin, begin + ROWS)
                     data, left, right = contexts(raw, offsets, row[own], at[own])
                     yield pa.RecordBatch.from_arrays([
                         pa.array(key[own].view(np.int64)), pa.array(_hash_rows(data, left, right).view(np.int64)),
@@ -377,13 +408,13 @@ def repeated_strings(key: np.ndarray, doc: np.ndarray, data: np.ndarray, left: n
     return found
 
 
-def _contexts_of(sent, sent_hot):
-    """The first of equal contexts of wanted seeds in each chunk: key, context, doc, left, right, data, hot."""
+def _contexts_of(sent_shared, sent, sent_hot):
+    """The first of equal contexts of wanted seeds in each piece: key, context, doc, left, right, data, hot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 raw, offsets = text_bytes(piece.column(1))
-                row, at, key = seeds(raw, offsets)
+                row, at, key = _shared_places(sent_shared.value, raw, offsets)
                 keep = sent.value.holds(key)
                 row, at, key = row[keep], at[keep], key[keep]
                 if not len(at):
@@ -425,9 +456,16 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((doc, own))
     order = order[np.append(True, own[order][1:] != own[order][:-1])]
     order = order[np.lexsort((doc[order], key[order]))]
-    found = repeated_strings(key[order], doc[order], data[order], left[order], right[order])
-    some = found != 0
-    yield pa.RecordBatch.from_arrays([pa.array(own[order][some]), pa.array(found[some])], ["context", "found"])
+    heads = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    begin = 0
+    while begin < len(order):  # whole seeds, about INDEXED contexts at once
+        more = heads[np.searchsorted(heads, begin + INDEXED):]
+        end = int(more[0]) if len(more) else len(order)
+        part = order[begin:end]
+        found = repeated_strings(key[part], doc[part], data[part], left[part], right[part])
+        some = found != 0
+        yield pa.RecordBatch.from_arrays([pa.array(own[part][some]), pa.array(found[some])], ["context", "found"])
+        begin = end
 
 
 def _strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -516,7 +554,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     full = known.where("first < last").select("context", "first", F.lit(None).cast("int").alias("found"))
     rules = full
     if counted[0]:
-        found = stored(_found(texts, mixed, counted[0], counted[1]), "found")
+        found = stored(_found(texts, shared, mixed, counted[0], counted[1]), "found")
         rules = known.join(found, "context", "left").where("first < last OR found IS NOT NULL").select(
             "context", "first", "found")
     marks = places.join(rules, "context").where((F.col("doc") > F.col("first")) | F.col("found").isNotNull()).select(
@@ -524,7 +562,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return marks.repartition("doc", "print").mapInArrow(_merged, "doc long, print long, spans binary")
 
 
-def _found(texts: DataFrame, mixed: DataFrame, seeds_: int, contexts_: int) -> DataFrame:
+def _found(texts: DataFrame, shared, mixed: DataFrame, seeds_: int, contexts_: int) -> DataFrame:
     """(context, found) of the contexts of seeds that have several."""
     spark = texts.sparkSession
     width = _width(16 * seeds_)
@@ -539,7 +577,7 @@ def _found(texts: DataFrame, mixed: DataFrame, seeds_: int, contexts_: int) -> D
     hot = np.sort(mixed.where(F.col("contexts") > most).select("key").toArrow()["key"].to_numpy().view(np.uint64))
     sent_hot = spark.sparkContext.broadcast(hot)  # at most HOT_SHARE numbers
     around = texts.mapInArrow(
-        _contexts_of(sent, sent_hot),
+        _contexts_of(shared, sent, sent_hot),
         "key long, context long, doc long, left byte, right byte, data binary, hot boolean")
     if len(hot):
         around = stored(around, "mixed-contexts")
