@@ -16,7 +16,8 @@ places, so all questions about a string are settled among the occurrences of its
    of run ends; patterns stream through it from right to left, all in step, and keep matching statistics: a row, its
    place in the text, and the length of the match. On a mismatch the nearest run ends with the wanted symbol above and
    below are compared through their sampled places. Matches of a whole string that holds the seed mark it.
-4. A seed with very many contexts is not indexed: each of its strings is reduced to the smallest document by hash.
+4. A seed with very many contexts is split into seeds with a side; where those still have very many, each string is
+   reduced to the smallest document by hash.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from .words import mix, pieces, text_bytes
 
 LENGTH, SEED = 50, 26
 REACH = LENGTH - SEED  # bytes of a context on either side of its seed
-WIDTH = 2 * REACH + SEED
+WIDTH = 2 * REACH
 SLAB = 2 << 20
 CHUNK = 1_000_000  # seeds sorted at once
 SEEDS_PER_BUCKET = 1_000_000
@@ -44,7 +45,8 @@ INDEXED = 10_000  # contexts in one index
 ROWS = 50_000
 HOT, HOT_SHARE = 2_048, 1 << 20
 
-_OCCURRENCE = "key long, context long, doc long, print long, at int, left byte, right byte"
+#: ``place`` is the seed's first byte, and how many bytes of context lie to its left and right, five bits each.
+_OCCURRENCE = "key long, context long, doc long, print long, place long"
 
 
 # --- seeds ----------------------------------------------------------------------------------
@@ -100,13 +102,14 @@ def seeds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def contexts(raw: np.ndarray, offsets: np.ndarray, row: np.ndarray, at: np.ndarray
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes around seeds (zero outside the text), and how many of them lie to the left and right."""
+    """The bytes before and after seeds (zero outside the text), and how many there are to the left and right."""
     left = np.minimum(at - offsets[row], REACH)
     right = np.minimum(offsets[row + 1] - at - SEED, REACH)
     edge = np.zeros(REACH, dtype=np.uint8)
-    data = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, raw, edge]), WIDTH)[at]
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, raw, edge]), REACH)
+    data = np.concatenate([view[at], view[at + REACH + SEED]], axis=1)
     place = np.arange(WIDTH, dtype=np.int8)
-    data[(place < (REACH - left)[:, None]) | (place >= (REACH + SEED + right)[:, None])] = 0
+    data[(place < (REACH - left)[:, None]) | (place >= (REACH + right)[:, None])] = 0
     return data, left, right
 
 
@@ -155,6 +158,15 @@ def _width(count: int) -> int:
 
 # --- 1 which seeds are shared ---------------------------------------------------------------
 
+def _planes(values: np.ndarray) -> bytes:
+    """Sorted four-byte numbers, all their first bytes, then all second bytes and so on: the last quarter compresses well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def _dealt(buckets: int):
     """Rows (bucket, single, several): hashes of seeds with a side that a chunk of documents has in one document, or in
     several."""
@@ -172,7 +184,7 @@ def _dealt(buckets: int):
         small = ((key << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
         cuts = np.searchsorted(key, np.arange(buckets, dtype=np.uint64) << np.uint64(64 - bits) if bits else [0])
         cuts = np.append(cuts, len(key))
-        out = [(b, small[lo:hi][~several[lo:hi]].tobytes(), small[lo:hi][several[lo:hi]].tobytes())
+        out = [(b, _planes(small[lo:hi][~several[lo:hi]]), _planes(small[lo:hi][several[lo:hi]]))
                for b, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if hi > lo]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))],
@@ -207,8 +219,8 @@ def _shared(buckets: int, width: int):
         single, several = {}, {}
         for batch in batches:
             for bucket, one, more in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                single.setdefault(bucket, []).append(np.frombuffer(one, "<u4"))
-                several.setdefault(bucket, []).append(np.frombuffer(more, "<u4"))
+                single.setdefault(bucket, []).append(_numbers(one))
+                several.setdefault(bucket, []).append(_numbers(more))
         for bucket, parts in single.items():
             # A seed is shared if some chunk has it in several documents, or two chunks have it.
             often = np.unique(np.concatenate(several[bucket]))
@@ -257,11 +269,10 @@ def _occurrences(sent):
                     own = slice(begin, begin + ROWS)
                     data, left, right = contexts(raw, offsets, row[own], at[own])
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(key[own].view(np.int64)), pa.array(_hash_rows(data, left, right).view(np.int64)),
+                        pa.array(key[own].view(np.int64)), pa.array(_hash_rows(data, key[own], left, right).view(np.int64)),
                         piece.column(0).take(pa.array(row[own])), piece.column(2).take(pa.array(row[own])),
-                        pa.array((at[own] - offsets[row[own]]).astype(np.int32)), pa.array(left.astype(np.int8)),
-                        pa.array(right.astype(np.int8))],
-                        ["key", "context", "doc", "print", "at", "left", "right"])
+                        pa.array((at[own] - offsets[row[own]]) << 10 | left << 5 | right)],
+                        ["key", "context", "doc", "print", "place"])
 
     return run
 
@@ -391,7 +402,7 @@ def repeated_strings(key: np.ndarray, doc: np.ndarray, data: np.ndarray, left: n
     rank = rank - rank[np.flatnonzero(fresh_key)][group]
     place = np.arange(2 * REACH + 1)
     valid = (place >= REACH - left[:, None]) & (place <= REACH + right[:, None])
-    bytes_around = np.concatenate([data[:, :REACH], np.zeros((n, 1), dtype=np.uint8), data[:, REACH + SEED:]], axis=1)
+    bytes_around = np.concatenate([data[:, :REACH], np.zeros((n, 1), dtype=np.uint8), data[:, REACH:]], axis=1)
     for bit in range(int(rank.max(initial=0)).bit_length()):
         first = (rank >> bit) & 1 == 0
         part = group.astype(np.int64) << 32 | rank >> (bit + 1)
@@ -408,6 +419,9 @@ def repeated_strings(key: np.ndarray, doc: np.ndarray, data: np.ndarray, left: n
     return found
 
 
+_AROUND = "key long, context long, doc long, left byte, right byte, data binary, hot boolean"
+
+
 def _contexts_of(sent_shared, sent, sent_hot):
     """The first of equal contexts of wanted seeds in each piece: key, context, doc, left, right, data, hot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,22 +435,26 @@ def _contexts_of(sent_shared, sent, sent_hot):
                     continue
                 doc = piece.column(0).to_numpy()[row]
                 data, left, right = contexts(raw, offsets, row, at)
-                own = _hash_rows(data, left, right).view(np.int64)
+                own = _hash_rows(data, key, left, right).view(np.int64)
                 order = np.lexsort((doc, own))
                 order = order[np.append(True, own[order][1:] != own[order][:-1])]
                 hot = sent_hot.value
                 near = np.minimum(np.searchsorted(hot, key[order]), max(len(hot) - 1, 0))
                 is_hot = hot[near] == key[order] if len(hot) else np.zeros(len(order), dtype=bool)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key[order].view(np.int64)), pa.array(own[order]), pa.array(doc[order]),
-                    pa.array(left[order].astype(np.int8)), pa.array(right[order].astype(np.int8)),
-                    pa.FixedSizeBinaryArray.from_buffers(
-                        pa.binary(WIDTH), len(order), [None, pa.py_buffer(data[order].tobytes())]).cast(pa.binary()),
-                    pa.array(is_hot)], ["key", "context", "doc", "left", "right", "data", "hot"])
+                yield _sent(key[order], own[order], doc[order], left[order], right[order], data[order], is_hot)
 
     return run
 
 
+def _sent(key: np.ndarray, own: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, data: np.ndarray,
+          hot: np.ndarray) -> pa.RecordBatch:
+    blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(key), [None, pa.py_buffer(data.tobytes())])
+    return pa.RecordBatch.from_arrays([
+        pa.array(key.view(np.int64)), pa.array(own), pa.array(doc), pa.array(left.astype(np.int8)),
+        pa.array(right.astype(np.int8)), blob.cast(pa.binary()), pa.array(hot)],
+        ["key", "context", "doc", "left", "right", "data", "hot"])
+
+
 def _loaded(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
     got = [b for b in batches if b.num_rows]
     if not got:
@@ -453,8 +471,8 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if got is None:
         return
     key, own, doc, left, right, data = got
-    order = np.lexsort((doc, own))
-    order = order[np.append(True, own[order][1:] != own[order][:-1])]
+    order = np.lexsort((doc, own, key))
+    order = order[np.append(True, (own[order][1:] != own[order][:-1]) | (key[order][1:] != key[order][:-1]))]
     order = order[np.lexsort((doc[order], key[order]))]
     heads = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
     begin = 0
@@ -468,45 +486,81 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
+def _by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts under two keys each: their seed with the 12 bytes before it, and with the 12 after it."""
+    for batch in batches:
+        got = _loaded([batch])
+        if got is None:
+            continue
+        key, own, doc, left, right, data = got
+        for name, reach, near in (("left", left, data[:, REACH // 2:REACH]), ("right", right, data[:, REACH:3 * REACH // 2])):
+            rows = np.flatnonzero(reach >= REACH // 2)
+            if len(rows):
+                side = _hash_rows(near[rows], key[rows].view(np.uint64), np.full(len(rows), name == "left"))
+                yield _sent(side, own[rows], doc[rows], left[rows], right[rows], data[rows], np.full(len(rows), name == "left"))
+
+
 def _strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(string, context, before, doc): a hash of every string of LENGTH bytes in a context that holds the seed."""
+    """(string, context, before, doc): a hash of every string of LENGTH bytes that holds a context's seed and side."""
     for batch in batches:
         got = _loaded([batch])
         if got is None:
             continue
-        _, own, doc, left, right, data = got
+        key, own, doc, left, right, data = got
+        leftward = batch.column(batch.schema.get_field_index("hot")).to_numpy(zero_copy_only=False)
         for before in range(REACH + 1):
-            rows = np.flatnonzero((left >= before) & (right >= REACH - before))
+            holds_side = np.where(leftward, before >= REACH // 2, before <= REACH // 2)
+            rows = np.flatnonzero((left >= before) & (right >= REACH - before) & holds_side)
             if len(rows):
-                begin = REACH - before
+                string = _hash_rows(data[rows, REACH - before:WIDTH - before], key[rows].view(np.uint64))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_hash_rows(data[rows, begin:begin + LENGTH]).view(np.int64)), pa.array(own[rows]),
-                    pa.array(np.full(len(rows), before, dtype=np.int32)), pa.array(doc[rows])],
-                    ["string", "context", "before", "doc"])
-
-
-def _hot_found(rows: DataFrame) -> DataFrame:
-    """(context, found) for seeds with very many contexts, reduced string by string."""
-    strings = rows.mapInArrow(_strings_of, "string long, context long, before int, doc long").groupBy(
+                    pa.array(string.view(np.int64)), pa.array(own[rows]), pa.array(np.full(len(rows), before, dtype=np.int32)),
+                    pa.array(doc[rows])], ["string", "context", "before", "doc"])
+
+
+def _hot_found(rows: DataFrame, most: int) -> DataFrame:
+    """(context, found) for seeds with very many contexts: by seed and side, and where even those are very many, string
+    by string."""
+    spark = rows.sparkSession
+    by_side = rows.mapInArrow(_by_side, _AROUND)
+    often = by_side.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most)
+    sent = spark.sparkContext.broadcast(np.sort(often.select("key").toArrow()["key"].to_numpy()))  # fewer than rows / most
+
+    def part(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                is_often = np.isin(batch.column(0).to_numpy(), sent.value)
+                yield batch.filter(pa.array(is_often == wanted))
+
+        return run
+
+    found = _indexed(by_side.mapInArrow(part(False), _AROUND), 2 * rows.count())
+    if not len(sent.value):
+        return found
+    strings = by_side.mapInArrow(part(True), _AROUND).mapInArrow(
+        _strings_of, "string long, context long, before int, doc long").groupBy(
         "string", "context", "before").agg(F.min("doc").alias("doc"))
     least = strings.groupBy(F.col("string").alias("known")).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     repeated = strings.join(least.where("least < most"), F.col("string") == F.col("known")).where(F.col("doc") > F.col("least"))
-    return repeated.groupBy("context").agg(
-        F.bit_or(F.expr("shiftleft(1, before)")).cast("int").alias("found"))
+    return found.unionByName(repeated.select("context", F.expr("shiftleft(1, before)").alias("found")))
+
+
+def _indexed(around: DataFrame, rows: int) -> DataFrame:
+    parts = max(around.sparkSession.sparkContext.defaultParallelism, rows // CONTEXTS_PER_TASK)
+    return around.repartition(parts, "key").mapInArrow(_settled, "context long, found int")
 
 
 # --- 4 spans --------------------------------------------------------------------------------
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, print, spans) from marks (doc, print, at, left, right, found); found is null where the whole context goes."""
+    """(doc, print, spans) from marks (doc, print, place, found); found is null where the whole context goes."""
     got = [b for b in batches if b.num_rows]
     if not got:
         return
     table = pa.Table.from_batches(got)
-    doc, mark, at = (table[name].to_numpy() for name in ("doc", "print", "at"))
-    left, right = (table[name].to_numpy().astype(np.int64) for name in ("left", "right"))
+    doc, mark, place = (table[name].to_numpy() for name in ("doc", "print", "place"))
+    at, left, right = place >> 10, place >> 5 & 31, place & 31
     found = table["found"].fill_null(-1).to_numpy()
-    at = at.astype(np.int64)
     all_of = np.flatnonzero(found < 0)
     rows, begin, end = [all_of], [at[all_of] - left[all_of]], [at[all_of] + SEED + right[all_of]]
     for before in range(REACH + 1):
@@ -552,13 +606,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "key", "contexts"), "mixed-seeds")
     counted = mixed.agg(F.count(F.lit(1)), F.sum("contexts")).first()
     full = known.where("first < last").select("context", "first", F.lit(None).cast("int").alias("found"))
-    rules = full
+    rules = full  # written first, so that the join sees its skewed side as it is
     if counted[0]:
         found = stored(_found(texts, shared, mixed, counted[0], counted[1]), "found")
         rules = known.join(found, "context", "left").where("first < last OR found IS NOT NULL").select(
             "context", "first", "found")
-    marks = places.join(rules, "context").where((F.col("doc") > F.col("first")) | F.col("found").isNotNull()).select(
-        "doc", "print", "at", "left", "right", F.when(F.col("doc") == F.col("first"), F.col("found")).alias("found"))
+    marks = places.drop("key").join(stored(rules, "rules"), "context").where(
+        (F.col("doc") > F.col("first")) | F.col("found").isNotNull()).select("doc", "print", "place", F.when(F.col("doc") == F.col("first"), F.col("found")).alias("found"))
     return marks.repartition("doc", "print").mapInArrow(_merged, "doc long, print long, spans binary")
 
 
@@ -576,14 +630,12 @@ def _found(texts: DataFrame, shared, mixed: DataFrame, seeds_: int, contexts_: i
     most = max(HOT, contexts_ // HOT_SHARE)
     hot = np.sort(mixed.where(F.col("contexts") > most).select("key").toArrow()["key"].to_numpy().view(np.uint64))
     sent_hot = spark.sparkContext.broadcast(hot)  # at most HOT_SHARE numbers
-    around = texts.mapInArrow(
-        _contexts_of(shared, sent, sent_hot),
-        "key long, context long, doc long, left byte, right byte, data binary, hot boolean")
-    if len(hot):
-        around = stored(around, "mixed-contexts")
-    parts = max(spark.sparkContext.defaultParallelism, contexts_ // CONTEXTS_PER_TASK)
-    found = around.where("NOT hot").repartition(parts, "key").mapInArrow(_settled, "context long, found int")
-    return found.unionByName(_hot_found(around.where("hot"))) if len(hot) else found
+    around = texts.mapInArrow(_contexts_of(shared, sent, sent_hot), _AROUND)
+    if not len(hot):
+        return _indexed(around, contexts_)
+    around = stored(around, "mixed-contexts")
+    found = _indexed(around.where("NOT hot"), contexts_).unionByName(_hot_found(around.where("hot"), most))
+    return found.groupBy("context").agg(F.bit_or("found").alias("found"))
 
 
 def without_long_repeats(docs: DataFrame) -> DataFrame:
