@@ -35,7 +35,7 @@ from .words import mix, pieces, text_bytes
 LENGTH, SEED = 50, 26
 REACH = LENGTH - SEED  # bytes of a context on either side of its seed
 WIDTH = 2 * REACH
-SLAB = 2 << 20
+SLAB = 1 << 19
 CHUNK = 1_000_000  # seeds sorted at once
 SEEDS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 1 << 16
@@ -486,59 +486,67 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
-def _by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts under two keys each: their seed with the 12 bytes before it, and with the 12 after it."""
-    for batch in batches:
-        got = _loaded([batch])
-        if got is None:
-            continue
-        key, own, doc, left, right, data = got
-        for name, reach, near in (("left", left, data[:, REACH // 2:REACH]), ("right", right, data[:, REACH:3 * REACH // 2])):
-            rows = np.flatnonzero(reach >= REACH // 2)
-            if len(rows):
-                side = _hash_rows(near[rows], key[rows].view(np.uint64), np.full(len(rows), name == "left"))
-                yield _sent(side, own[rows], doc[rows], left[rows], right[rows], data[rows], np.full(len(rows), name == "left"))
+def _sides_of(batch: pa.RecordBatch) -> Iterator[tuple[bool, np.ndarray, tuple[np.ndarray, ...]]]:
+    """For contexts with 12 bytes before their seed, and for those with 12 after it: which it is, a hash of seed and
+    side, and the columns."""
+    got = _loaded([batch])
+    if got is None:
+        return
+    key, left, right, data = got[0], *got[3:]
+    for leftward, reach, near in ((True, left, data[:, REACH // 2:REACH]), (False, right, data[:, REACH:3 * REACH // 2])):
+        rows = np.flatnonzero(reach >= REACH // 2)
+        if len(rows):
+            side = _hash_rows(near[rows], key[rows].view(np.uint64), np.full(len(rows), leftward))
+            yield leftward, side, tuple(c[rows] for c in got)
 
 
-def _strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(string, context, before, doc): a hash of every string of LENGTH bytes that holds a context's seed and side."""
+def _side_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = _loaded([batch])
-        if got is None:
-            continue
-        key, own, doc, left, right, data = got
-        leftward = batch.column(batch.schema.get_field_index("hot")).to_numpy(zero_copy_only=False)
-        for before in range(REACH + 1):
-            holds_side = np.where(leftward, before >= REACH // 2, before <= REACH // 2)
-            rows = np.flatnonzero((left >= before) & (right >= REACH - before) & holds_side)
-            if len(rows):
-                string = _hash_rows(data[rows, REACH - before:WIDTH - before], key[rows].view(np.uint64))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(string.view(np.int64)), pa.array(own[rows]), pa.array(np.full(len(rows), before, dtype=np.int32)),
-                    pa.array(doc[rows])], ["string", "context", "before", "doc"])
+        for _, side, _ in _sides_of(batch):
+            yield pa.RecordBatch.from_arrays([pa.array(side.view(np.int64))], ["key"])
 
 
-def _hot_found(rows: DataFrame, most: int) -> DataFrame:
-    """(context, found) for seeds with very many contexts: by seed and side, and where even those are very many, string
-    by string."""
-    spark = rows.sparkSession
-    by_side = rows.mapInArrow(_by_side, _AROUND)
-    often = by_side.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > most)
-    sent = spark.sparkContext.broadcast(np.sort(often.select("key").toArrow()["key"].to_numpy()))  # fewer than rows / most
+def _by_side(sent):
+    """Contexts under two keys each, but for sides that very many contexts have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for leftward, side, (_, own, doc, left, right, data) in _sides_of(batch):
+                few = ~np.isin(side.view(np.int64), sent.value)
+                yield _sent(side[few], own[few], doc[few], left[few], right[few], data[few], np.full(few.sum(), leftward))
 
-    def part(wanted: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                is_often = np.isin(batch.column(0).to_numpy(), sent.value)
-                yield batch.filter(pa.array(is_often == wanted))
+    return run
+
+
+def _strings_of(sent):
+    """(string, context, before, doc): a hash of every string of LENGTH bytes around a seed and side that very many
+    contexts have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for leftward, side, (key, own, doc, left, right, data) in _sides_of(batch):
+                many = np.isin(side.view(np.int64), sent.value)
+                for before in range(REACH // 2, REACH + 1) if leftward else range(REACH // 2 + 1):
+                    rows = np.flatnonzero(many & (left >= before) & (right >= REACH - before))
+                    if len(rows):
+                        string = _hash_rows(data[rows, REACH - before:WIDTH - before], key[rows].view(np.uint64))
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(string.view(np.int64)), pa.array(own[rows]),
+                            pa.array(np.full(len(rows), before, dtype=np.int32)), pa.array(doc[rows])],
+                            ["string", "context", "before", "doc"])
+
+    return run
 
-        return run
 
-    found = _indexed(by_side.mapInArrow(part(False), _AROUND), 2 * rows.count())
+def _hot_found(rows: DataFrame, most: int) -> DataFrame:
+    """(context, found) for seeds with very many contexts: by seed and side, and where even those are very many, string
+    by string."""
+    often = rows.mapInArrow(_side_keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(
+        F.col("rows") > most)
+    sent = rows.sparkSession.sparkContext.broadcast(
+        np.sort(often.select("key").toArrow()["key"].to_numpy()))  # fewer than rows / most
+    found = _indexed(rows.mapInArrow(_by_side(sent), _AROUND), 2 * rows.count())
     if not len(sent.value):
         return found
-    strings = by_side.mapInArrow(part(True), _AROUND).mapInArrow(
-        _strings_of, "string long, context long, before int, doc long").groupBy(
+    strings = rows.mapInArrow(_strings_of(sent), "string long, context long, before int, doc long").groupBy(
         "string", "context", "before").agg(F.min("doc").alias("doc"))
     least = strings.groupBy(F.col("string").alias("known")).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     repeated = strings.join(least.where("least < most"), F.col("string") == F.col("known")).where(F.col("doc") > F.col("least"))
