@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - as pa.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BROADCAST_BYTES, stored
+from .common import BROADCAST_BYTES, small_side, stored
 from .words import mix, pieces, text_bytes
 
 LENGTH, SEED = 50, 26
@@ -39,7 +40,7 @@ SLAB = 1 << 19
 CHUNK = 1_000_000  # seeds sorted at once
 SEEDS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 1 << 16
-MOST_BITS = 28  # 32 MB of bitmap at most
+MOST_BITS = 29  # 64 MB of bitmap at most
 CONTEXTS_PER_TASK = 100_000
 INDEXED = 10_000  # contexts in one index
 ROWS = 50_000
@@ -465,9 +466,21 @@ def _loaded(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
     return *numbers[:3], numbers[3].astype(np.int64), numbers[4].astype(np.int64), data
 
 
+_SETTLED = "context long, found int, key long, doc long, left byte, right byte, data binary, hot boolean"
+
+
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context, found) of all contexts of the seeds of a partition."""
-    got = _loaded(batches)
+    """(context, found) of all contexts of the seeds of a partition; rows of hot seeds are passed on as they are."""
+    few = []
+    for batch in batches:
+        hot = batch.column(batch.schema.get_field_index("hot"))
+        few.append(batch.filter(pa.compute.invert(hot)))
+        many = batch.filter(hot)
+        if many.num_rows:
+            yield pa.RecordBatch.from_arrays(
+                [many.column(1), pa.nulls(many.num_rows, pa.int32()), many.column(0), *many.columns[2:]],
+                ["context", "found", "key", "doc", "left", "right", "data", "hot"])
+    got = _loaded(few)
     if got is None:
         return
     key, own, doc, left, right, data = got
@@ -482,7 +495,11 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = order[begin:end]
         found = repeated_strings(key[part], doc[part], data[part], left[part], right[part])
         some = found != 0
-        yield pa.RecordBatch.from_arrays([pa.array(own[part][some]), pa.array(found[some])], ["context", "found"])
+        n = int(some.sum())
+        kinds = (pa.int64(), pa.int64(), pa.int8(), pa.int8(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own[part][some]), pa.array(found[some]), *[pa.nulls(n, t) for t in kinds],
+             pa.array(np.zeros(n, dtype=bool))], ["context", "found", "key", "doc", "left", "right", "data", "hot"])
         begin = end
 
 
@@ -512,7 +529,7 @@ def _by_side(sent):
         for batch in batches:
             for leftward, side, (_, own, doc, left, right, data) in _sides_of(batch):
                 few = ~np.isin(side.view(np.int64), sent.value)
-                yield _sent(side[few], own[few], doc[few], left[few], right[few], data[few], np.full(few.sum(), leftward))
+                yield _sent(side[few], own[few], doc[few], left[few], right[few], data[few], np.zeros(few.sum(), dtype=bool))
 
     return run
 
@@ -527,7 +544,8 @@ def _strings_of(sent):
                 for before in range(REACH // 2, REACH + 1) if leftward else range(REACH // 2 + 1):
                     rows = np.flatnonzero(many & (left >= before) & (right >= REACH - before))
                     if len(rows):
-                        string = _hash_rows(data[rows, REACH - before:WIDTH - before], key[rows].view(np.uint64))
+                        string = _hash_rows(
+                            data[rows, REACH - before:WIDTH - before], key[rows].view(np.uint64), np.full(len(rows), before))
                         yield pa.RecordBatch.from_arrays([
                             pa.array(string.view(np.int64)), pa.array(own[rows]),
                             pa.array(np.full(len(rows), before, dtype=np.int32)), pa.array(doc[rows])],
@@ -543,7 +561,7 @@ def _hot_found(rows: DataFrame, most: int) -> DataFrame:
         F.col("rows") > most)
     sent = rows.sparkSession.sparkContext.broadcast(
         np.sort(often.select("key").toArrow()["key"].to_numpy()))  # fewer than rows / most
-    found = _indexed(rows.mapInArrow(_by_side(sent), _AROUND), 2 * rows.count())
+    found = _indexed(rows.mapInArrow(_by_side(sent), _AROUND), 2 * rows.count()).select("context", "found")
     if not len(sent.value):
         return found
     strings = rows.mapInArrow(_strings_of(sent), "string long, context long, before int, doc long").groupBy(
@@ -555,7 +573,8 @@ def _hot_found(rows: DataFrame, most: int) -> DataFrame:
 
 def _indexed(around: DataFrame, rows: int) -> DataFrame:
     parts = max(around.sparkSession.sparkContext.defaultParallelism, rows // CONTEXTS_PER_TASK)
-    return around.repartition(parts, "key").mapInArrow(_settled, "context long, found int")
+    dealt = F.when(F.col("hot"), F.col("context")).otherwise(F.col("key"))  # hot seeds are spread
+    return around.repartition(parts, dealt).mapInArrow(_settled, _SETTLED)
 
 
 # --- 4 spans --------------------------------------------------------------------------------
@@ -599,11 +618,20 @@ def _print(text: Column) -> Column:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc, print, spans (pairs of byte places as 64-bit numbers) of the documents that lose something; ``print`` is
-    ``xxhash64`` of the text, which tells rows of one doc_id apart."""
+    """doc, print, spans (pairs of byte places as 64-bit numbers), whole, of the documents that lose something; ``whole``
+    is true, and there are no spans, where all of it goes. ``print`` is ``xxhash64`` of the text, which tells rows of one
+    doc_id apart."""
     spark = docs.sparkSession
-    texts = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(
+    everything = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(
         F.col("doc_id").cast("long").alias("doc"), "text", _print(F.col("text")).alias("print"))
+    # Whole texts that a smaller document has too are gone as they stand; nothing else need meet them.
+    second = F.xxhash64(F.lit(1), "text")
+    first = everything.groupBy("print", second.alias("second")).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    copies = stored(everything.select("doc", "print", F.octet_length("text").cast("long").alias("bytes"), second.alias(
+        "second")).join(first.where("first < last"), ["print", "second"]).where("doc > first").select(
+        "doc", "print", "bytes").distinct(), "copies")
+    texts = everything.join(small_side(copies.select("doc", "print"), 64), ["doc", "print"], "left_anti").select(
+        "doc", "text", "print")
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shared = spark.sparkContext.broadcast(_shared_seeds(texts, size))
     places = stored(texts.mapInArrow(_occurrences(shared), _OCCURRENCE), "occurrences")
@@ -621,7 +649,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             "context", "first", "found")
     marks = places.drop("key").join(stored(rules, "rules"), "context").where(
         (F.col("doc") > F.col("first")) | F.col("found").isNotNull()).select("doc", "print", "place", F.when(F.col("doc") == F.col("first"), F.col("found")).alias("found"))
-    return marks.repartition("doc", "print").mapInArrow(_merged, "doc long, print long, spans binary")
+    merged = marks.repartition("doc", "print").mapInArrow(_merged, "doc long, print long, spans binary")
+    return merged.withColumn("whole", F.lit(False)).unionByName(
+        copies.select("doc", "print", F.lit(None).cast("binary").alias("spans"), F.lit(True).alias("whole")))
 
 
 def _found(texts: DataFrame, shared, mixed: DataFrame, seeds_: int, contexts_: int) -> DataFrame:
@@ -640,9 +670,11 @@ def _found(texts: DataFrame, shared, mixed: DataFrame, seeds_: int, contexts_: i
     sent_hot = spark.sparkContext.broadcast(hot)  # at most HOT_SHARE numbers
     around = texts.mapInArrow(_contexts_of(shared, sent, sent_hot), _AROUND)
     if not len(hot):
-        return _indexed(around, contexts_)
-    around = stored(around, "mixed-contexts")
-    found = _indexed(around.where("NOT hot"), contexts_).unionByName(_hot_found(around.where("hot"), most))
+        return _indexed(around, contexts_).select("context", "found")
+    done = stored(_indexed(around, contexts_), "settled")
+    found = done.where("NOT hot").select("context", "found").unionByName(_hot_found(done.where("hot").select(
+        *[name for name in done.columns if name != "found"]).select("key", "context", "doc", "left", "right", "data", "hot"),
+        most))
     return found.groupBy("context").agg(F.bit_or("found").alias("found"))
 
 
@@ -655,22 +687,23 @@ def without_long_repeats(docs: DataFrame) -> DataFrame:
     other: each keeps what no smaller id has. Rows stay as often as they come. Other columns are ignored.
     """
     found = stored(repeated_spans(docs), "repeated-spans")
-    size = found.agg(F.sum(F.length("spans") + 64)).first()[0] or 0
+    size = found.agg(F.sum(F.coalesce(F.length("spans"), F.lit(0)) + 64)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         found = F.broadcast(found)
     kind = docs.schema["doc_id"].dataType.simpleString()
     joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         found, (F.col("doc_id").cast("long") == F.col("doc")) & (_print(F.col("text")) == F.col("print")), "left").select(
-        "doc_id", "text", "spans")
+        "doc_id", "text", "spans", "whole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 raw, offsets = text_bytes(piece.column(1))
                 out = []
-                for begin, end, spans in zip(offsets[:-1].tolist(), offsets[1:].tolist(), piece.column(2).to_pylist()):
+                for begin, end, spans, whole in zip(offsets[:-1].tolist(), offsets[1:].tolist(), piece.column(2).to_pylist(),
+                                                    piece.column(3).to_pylist()):
                     data = raw[begin:end].tobytes()
-                    cut = np.frombuffer(spans or b"", dtype="<i8").reshape(-1, 2)
+                    cut = np.array([[0, len(data)]]) if whole else np.frombuffer(spans or b"", dtype="<i8").reshape(-1, 2)
                     kept, at = [], 0
                     for low, high in cut.tolist():
                         kept.append(data[at:low])
