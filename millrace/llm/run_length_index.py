@@ -564,11 +564,16 @@ def _hot_found(rows: DataFrame, most: int) -> DataFrame:
     found = _indexed(rows.mapInArrow(_by_side(sent), _AROUND), 2 * rows.count()).select("context", "found")
     if not len(sent.value):
         return found
-    strings = rows.mapInArrow(_strings_of(sent), "string long, context long, before int, doc long").groupBy(
-        "string", "context", "before").agg(F.min("doc").alias("doc"))
-    least = strings.groupBy(F.col("string").alias("known")).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    repeated = strings.join(least.where("least < most"), F.col("string") == F.col("known")).where(F.col("doc") > F.col("least"))
-    return found.unionByName(repeated.select("context", F.expr("shiftleft(1, before)").alias("found")))
+    strings = stored(rows.mapInArrow(_strings_of(sent), "string long, context long, before int, doc long").groupBy(
+        "string", "context", "before").agg(F.min("doc").alias("doc")), "strings")
+    # All strings repeat but those of the first document that has them; that may be in several contexts.
+    bit = F.expr("shiftleft(1, before)")
+    first = strings.groupBy("string", "doc").agg(F.collect_set(F.struct("context", "before")).alias("own")).groupBy(
+        "string").agg(F.min_by("own", "doc").alias("own")).select(F.inline("own")).groupBy("context").agg(
+        F.bit_or(bit).alias("first"))
+    repeated = strings.groupBy("context").agg(F.bit_or(bit).alias("all")).join(first, "context", "left").select(
+        "context", F.col("all").bitwiseAND(F.bitwise_not(F.coalesce("first", F.lit(0)))).alias("found"))
+    return found.unionByName(repeated.where("found <> 0"))
 
 
 def _indexed(around: DataFrame, rows: int) -> DataFrame:
