@@ -42,9 +42,10 @@ SEEDS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 1 << 16
 MOST_BITS = 29  # 64 MB of bitmap at most
 CONTEXTS_PER_TASK = 100_000
-INDEXED = 10_000  # contexts in one index
+INDEXED = 10_000  # contexts in one index, at about
 ROWS = 50_000
-HOT, HOT_SHARE = 2_048, 1 << 20
+#: A seed (or a seed with a side) that would fill an index alone is split; there are at most HOT_SHARE such seeds.
+HOT, HOT_SHARE = INDEXED, 1 << 20
 
 #: ``place`` is the seed's first byte, and how many bytes of context lie to its left and right, five bits each.
 _OCCURRENCE = "key long, context long, doc long, print long, place long"
