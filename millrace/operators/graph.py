@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from dataclasses import dataclass
 
-from ..session import pin, pin_as_table, scratch, settings
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+
+from ..session import scratch, settings
 from .ranking import first_n
 
 # Edge direction as seen from the node asked about, and the hop limit.
@@ -12,9 +14,13 @@ OUTGOING = "OUTGOING_CITES"
 INCOMING = "INCOMING_CITED_BY"
 MAX_HOPS = 15
 
+#: Frontiers up to so many nodes are looked up by name; up to the second size they are broadcast (16 bytes a row).
+LOOKUP_NODES = 500
 FRONTIER_BROADCAST_ROWS = 200_000
 EDGES_PER_PARTITION = 2_000_000
 MOST_PARTITIONS = 20_000
+ROW_GROUP_BYTES = 1 << 20
+PAGE_ROWS = 2_000
 
 PATH_SCHEMA = T.StructType([
     T.StructField("start", T.LongType()),
@@ -104,121 +110,151 @@ def neighbors(edges: DataFrame, target: int | Column) -> DataFrame:
 
 
 class Adjacency:
-    """Undirected edges laid out once for repeated frontier joins.
+    """Undirected edges laid out once for repeated frontier steps.
 
-    Edges are hash-partitioned by ``(node, slice)``. A node with more edges than an even
-    share of a partition is cut into slices, so even a node holding a third of the graph is
-    spread over the cluster. There can be no more such nodes than partitions, which bounds
-    the table of cuts that is broadcast.
+    Edges are stored as Parquet in order of ``(source, destination)``, dealt by range of both, so a node holding a third
+    of the graph lies in many files and every other node in one or two. Row groups are small: a step from a few nodes
+    names them in the filter, and their statistics and page index leave only the pages that may hold those nodes.
     """
 
     def __init__(self, edges: DataFrame):
         spark = edges.sparkSession
         both = undirected(edges)
-        degrees = pin_as_table(both.groupBy("source").agg(F.count(F.lit(1)).alias("degree")), "degrees")
-        total = degrees.agg(F.sum("degree")).first()[0] or 0
         # Partitions follow the size of the graph, at least one per core.
-        most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_PARTITIONS)
-        self.parts = max(spark.sparkContext.defaultParallelism, min(total // EDGES_PER_PARTITION, most))
-        share = max(total // self.parts, 1)
-        self.cuts = pin(
-            degrees.filter(F.col("degree") > share).select(
-                "source", F.ceil(F.col("degree") / F.lit(share)).cast("int").alias("cut")
-            )
-        )
-        self.degrees = degrees
-        sliced = both.join(F.broadcast(self.cuts), "source", "left").select(
-            "source",
-            "destination",
-            F.pmod(F.xxhash64("destination"), F.coalesce("cut", F.lit(1))).cast("int").alias("slice"),
-        )
-        # A checkpoint keeps its partitioning and order only when the plan is not adaptive.
-        with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
-            self.edges = pin(
-                sliced.repartition(self.parts, "source", "slice").sortWithinPartitions("source", "slice")
-            )
+        self.parts = max(spark.sparkContext.defaultParallelism, min(2 * edges.count() // EDGES_PER_PARTITION, MOST_PARTITIONS))
+        self.path = scratch(spark, "adjacency")
+        both.repartitionByRange(self.parts, "source", "destination").sortWithinPartitions("source", "destination").write.option(
+            "parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.row.count.limit", PAGE_ROWS).parquet(self.path)
+        self.edges = spark.read.schema("source bigint, destination bigint").parquet(self.path)
 
     def holds(self, *nodes: int) -> bool:
-        return self.degrees.filter(F.col("source").isin(*nodes)).count() == len(set(nodes))
-
-    def step(self, frontier: DataFrame, small: bool) -> DataFrame:
-        """``(id, parent)`` candidates one edge away; the smallest parent wins."""
-        if small:
-            reached = self.edges.join(F.broadcast(frontier.select(F.col("id").alias("source"))), "source")
-        else:
-            sliced = frontier.select(F.col("id").alias("source")).join(
-                F.broadcast(self.cuts), "source", "left"
-            ).select(
-                "source",
-                F.explode(F.sequence(F.lit(0), F.coalesce("cut", F.lit(1)) - 1)).alias("slice"),
-            )
-            reached = self.edges.join(sliced.hint("merge"), ["source", "slice"])
-        return reached.groupBy(F.col("destination").alias("id")).agg(F.min("source").alias("parent"))
+        return self.edges.filter(F.col("source").isin(*nodes)).select("source").distinct().count() == len(set(nodes))
+
+    def touching(self, frontier: Level) -> DataFrame:
+        """Edges that leave the frontier: by pruned lookup, by broadcast, or by a shuffle join in which adaptive
+        execution splits hot nodes, as the frontier's size allows."""
+        if frontier.ids is not None:
+            return self.edges.filter(F.col("source").isin(*frontier.ids))
+        ids = frontier.table.select(F.col("id").alias("source"))
+        return self.edges.join(F.broadcast(ids) if frontier.size <= FRONTIER_BROADCAST_ROWS else ids, "source")
+
+    def step(self, frontier: Level) -> DataFrame:
+        """``(id, parent)`` one edge away; the smallest parent wins."""
+        return self.touching(frontier).groupBy(F.col("destination").alias("id")).agg(F.min("source").alias("parent"))
+
+
+@dataclass(frozen=True)
+class Level:
+    """Nodes at one distance from an end: a stored table ``(id, parent)``, its size, and the ids where they are few."""
+
+    table: DataFrame
+    size: int
+    ids: tuple[int, ...] | None
+
+    def without(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose id is not in this level."""
+        if self.ids is not None:
+            return df.filter(~F.col("id").isin(*self.ids)) if self.ids else df
+        return df.join(self.table.select("id"), "id", "left_anti")
+
+    def within(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose id is in this level."""
+        if self.ids is not None:
+            return df.filter(F.col("id").isin(*self.ids))
+        return df.join(self.table.select("id"), "id", "left_semi")
+
+
+def _level(df: DataFrame, label: str) -> Level:
+    """Store a level; its few ids come to the driver, a large one stays where it is."""
+    spark = df.sparkSession
+    path, seen = scratch(spark, label), Observation(label)
+    df.observe(seen, F.count(F.lit(1)).alias("size")).write.parquet(path)
+    table = spark.read.schema("id bigint, parent bigint").parquet(path)
+    size = seen.get["size"]
+    few = tuple(r["id"] for r in table.select("id").collect()) if 0 < size <= LOOKUP_NODES else () if not size else None
+    return Level(table, size, few)
+
+
+def _first_level(spark: SparkSession, node: int) -> Level:
+    return Level(spark.range(node, node + 1).select("id", F.lit(None).cast("bigint").alias("parent")), 1, (node,))
+
+
+def _pushdown(spark: SparkSession):
+    """Filters naming a frontier reach the row groups as a list of values, not as a range from its least to its largest."""
+    return settings(spark, {"spark.sql.parquet.pushdown.inFilterThreshold": str(LOOKUP_NODES)})
 
 
 def shortest_path(
     edges: DataFrame, start: int, finish: int, max_hops: int = MAX_HOPS
 ) -> DataFrame:
-    """One shortest undirected path of 1..``max_hops`` edges, or no row.
+    """One shortest undirected path of 1..``max_hops`` edges, or no row: the smallest one in node order.
 
-    Breadth-first levels grow from ``finish``; each new node remembers its smallest
-    neighbour in the level before, which makes the path the smallest one in node order.
-    Every level is a table in the shared folder, so lineage stays one hop deep. A level can
-    only touch itself and its two neighbours, so old levels are never read again until the
-    path is read back, one indexed row per level.
+    Breadth-first levels grow from both ends, always at the end whose last level is smaller, until the last levels
+    meet. A level can only touch itself and its two neighbours, so older levels are not compared again. From where the
+    ends meet, the nodes on shortest paths are followed back to ``start``, each with its smallest successor; beyond,
+    the levels of ``finish`` hold each node's smallest neighbour nearer to it. Every level is a table in the shared
+    folder, so lineage stays one hop deep; the path is read off by one lookup of one row a level.
     """
     spark = edges.sparkSession
     nothing = spark.createDataFrame([], PATH_SCHEMA)
     if start == finish:
         return nothing
     graph = Adjacency(edges)
-    if not graph.holds(start, finish):
-        return nothing
-    with settings(spark, {"spark.sql.shuffle.partitions": str(graph.parts)}):
-        levels = _grow(graph, start, finish, max_hops)
+    with _pushdown(spark):
+        if not graph.holds(start, finish):
+            return nothing
+        levels = _meet(graph, start, finish, max_hops)
     return _walk_back(levels, start, finish) if levels else nothing
 
 
 def frontier_levels(graph: Adjacency, start: int, hops: int) -> list[DataFrame]:
     """``(id, parent)`` of the nodes first met at hop 1, 2, ... from ``start``; ends early when nothing new is met."""
     spark = graph.edges.sparkSession
-    levels = [spark.range(start, start + 1).select("id", F.lit(None).cast("bigint").alias("parent"))]
-    for hop in range(1, hops + 1):
-        known = levels[-1].select("id")
-        if hop > 1:  # a level touches itself and its two neighbours only
-            known = known.unionByName(levels[-2].select("id"))
-        level = pin_as_table(graph.step(levels[-1], small=False).join(known, "id", "left_anti"), f"level-{hop}")
-        if level.isEmpty():
-            break
-        levels.append(level)
-    return levels[1:]
-
-
-def _grow(graph: Adjacency, start: int, finish: int, max_hops: int) -> list[DataFrame] | None:
-    """Levels from ``finish`` up to the one holding ``start``, or none if it is not reached."""
+    levels = [_first_level(spark, start)]
+    with _pushdown(spark):
+        for _ in range(hops):
+            level = _next_level(graph, levels)
+            if not level.size:
+                break
+            levels.append(level)
+    return [level.table for level in levels[1:]]
+
+
+def _next_level(graph: Adjacency, levels: list[Level]) -> Level:
+    reached = graph.step(levels[-1])
+    for known in levels[-2:]:
+        reached = known.without(reached)
+    return _level(reached, f"level-{len(levels)}")
+
+
+def _meet(graph: Adjacency, start: int, finish: int, max_hops: int) -> list[DataFrame] | None:
+    """Tables ``(id, parent)`` from ``finish`` to ``start`` in which parents lead along the smallest shortest path, or
+    none if the ends don't meet."""
     spark = graph.edges.sparkSession
-    levels = [spark.range(finish, finish + 1).select("id", F.lit(None).cast("bigint").alias("parent"))]
-    size = 1
-    for hop in range(1, max_hops + 1):
-        reached = graph.step(levels[-1], size <= FRONTIER_BROADCAST_ROWS)
-        known = levels[-1].select("id")
-        if hop > 1:
-            known = known.unionByName(levels[-2].select("id"))
-        reached = reached.join(known, "id", "left_anti")
-        path = scratch(spark, f"hop-{hop}")
-        seen = Observation(f"hop-{hop}")
-        reached.observe(
-            seen,
-            F.count(F.lit(1)).alias("size"),
-            F.count(F.when(F.col("id") == start, 1)).alias("found"),
-        ).write.parquet(path)
-        levels.append(spark.read.schema("id bigint, parent bigint").parquet(path))
-        size = seen.get["size"]
-        if seen.get["found"]:
-            return levels
-        if not size:
+    ahead, back = [_first_level(spark, start)], [_first_level(spark, finish)]
+    while True:
+        met = _common(ahead[-1], back[-1])
+        if met.size:
             break
-    return None
+        if len(ahead) + len(back) - 2 == max_hops:
+            return None
+        own = ahead if ahead[-1].size < back[-1].size else back
+        own.append(_next_level(graph, own))
+        if not own[-1].size:
+            return None
+    on_path = []  # from the meeting level back to the start: only nodes on shortest paths, with their smallest successor
+    for level in reversed(ahead[:-1]):
+        met = _level(level.within(graph.step(met)), f"on-path-{len(on_path)}")
+        on_path.append(met)
+    return [level.table for level in back + on_path]
+
+
+def _common(left: Level, right: Level) -> Level:
+    if left.ids is not None and right.ids is not None:
+        both = tuple(set(left.ids) & set(right.ids))
+        return Level(right.table.filter(F.col("id").isin(*both)) if both else right.table.limit(0), len(both), both)
+    small, large = (left, right) if left.size <= right.size else (right, left)
+    return _level(small.within(large.table), "met")
 
 
 def _walk_back(levels: list[DataFrame], start: int, finish: int) -> DataFrame:

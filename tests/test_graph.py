@@ -105,18 +105,57 @@ def test_shortest_path_with_a_hub_equals_brute_force(spark, monkeypatch, small):
     assert [r["path"] for r in got] == ([expected] if expected else [])
 
 
-def test_hub_edges_are_spread_and_stay_in_place(spark):
-    """The hub is cut into slices, and a frontier join moves only the frontier."""
-    pairs = spark.range(30000).select(F.lit(0).cast("bigint").alias("source"), (F.col("id") + 1).alias("destination"))
-    laid_out = Adjacency(pairs)
-    assert laid_out.cuts.count() >= 1
-    sizes = [r["count"] for r in laid_out.edges.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) < 60000 / 3
-    frontier = spark.range(1, 4).select("id")
-    with settings(spark, {"spark.sql.shuffle.partitions": str(laid_out.parts)}):
-        plan = profile_plan(laid_out.step(frontier, small=False), "simple")
-    edges_side = plan.split("SortMergeJoin")[1].split("Scan ExistingRDD")[0]
-    assert "Exchange" not in edges_side and "Sort [" not in edges_side
+def scanned_rows(df):
+    """Rows that the file scans of an executed query put out."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def visit(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if node.getClass().getSimpleName() in ("ShuffleQueryStageExec", "BroadcastQueryStageExec", "ResultQueryStageExec"):
+            return visit(node.plan())
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    visit(plan)
+    return sum(found)
+
+
+def test_hub_edges_are_spread_and_a_step_reads_little(spark):
+    """A hub's edges lie in many files; a step from another node reads a few pages of one or two of them."""
+    hub = spark.range(300_000).select(F.lit(0).cast("bigint").alias("source"), (F.col("id") + 1).alias("destination"))
+    more = spark.range(300_000).select((F.col("id") * 7 % 300_000 + 1).alias("source"), (F.col("id") + 400_000).alias("destination"))
+    laid_out = Adjacency(hub.unionByName(more))
+    sizes = laid_out.edges.filter("source = 0").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) >= 2 and max(r["count"] for r in sizes) < 1_200_000 / 4
+    step = laid_out.step(graph._first_level(spark, 123_456))
+    assert {r["id"] for r in step.collect()} == {0, 400_000 + next(i for i in range(300_000) if i * 7 % 300_000 + 1 == 123_456)}
+    assert scanned_rows(step) < 20_000
+    few = graph.Level(spark.range(1).select("id", F.lit(None).cast("bigint").alias("parent")), 3, (5, 77_000, 299_000))
+    with graph._pushdown(spark):
+        assert scanned_rows(laid_out.step(few)) < 60_000
+
+
+@pytest.mark.parametrize("lookup, broadcast", [(500, 200_000), (0, 200_000), (0, 0), (3, 10)])
+def test_both_ends_meet_on_the_smallest_path(spark, monkeypatch, lookup, broadcast):
+    """Ladders have very many shortest paths; every way of stepping finds the smallest one."""
+    monkeypatch.setattr(graph, "LOOKUP_NODES", lookup)
+    monkeypatch.setattr(graph, "FRONTIER_BROADCAST_ROWS", broadcast)
+    chance = random.Random(lookup + broadcast)
+    names = chance.sample(range(1000), 26)
+    layers = [names[:1]] + [names[1 + 4 * k:5 + 4 * k] for k in range(6)] + [names[25:]]
+    pairs = [(a, b) if chance.random() < 0.5 else (b, a) for one, two in zip(layers, layers[1:]) for a in one for b in two
+             if chance.random() < 0.8 or a == one[0] and b == two[0]]
+    start, finish = names[0], names[25]
+    expected = smallest_path(pairs, start, finish)
+    assert [r["path"] for r in shortest_path(edges_of(spark, pairs), start, finish).collect()] == [expected]
+    hops = len(expected) - 1
+    assert shortest_path(edges_of(spark, pairs), start, finish, max_hops=hops - 1).collect() == []
+    assert len(shortest_path(edges_of(spark, pairs), start, finish, max_hops=hops).collect()) == 1
 
 
 def test_undirected(spark):
