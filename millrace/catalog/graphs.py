@@ -169,14 +169,14 @@ def _shortest_path(spark, sf):
     )
 
 
-@query("profile_plan", f"""
+@query("profile_steps", f"""
     WITH e AS ({_EDGES}), d AS (SELECT DISTINCT * FROM e), g AS (
         SELECT destination, count(*) AS n FROM d GROUP BY destination)
     SELECT 0 AS place, 'source' AS step, count(*) AS rows FROM e
     UNION ALL SELECT 1, 'merge edges', count(*) FROM d
     UNION ALL SELECT 2, 'in-degree', count(*) FROM g
     UNION ALL SELECT 3, 'above one', count(*) FROM g WHERE n > 1""")
-def _profile_plan(spark, sf):
+def _profile_steps(spark, sf):
     """Rows that each step of a ranking passes on."""
     return profile_steps(edges_of(spark, sf), [
         ("merge edges", merge_edges), ("in-degree", in_degree), ("above one", lambda df: df.filter("in_degree > 1"))])

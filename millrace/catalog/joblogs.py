@@ -67,6 +67,14 @@ def _plan(name: str, *children: Column, **more: Column) -> Column:
                    metrics=F.array().cast("array<string>"), children=below, **more)
 
 
+def _metric(name: str, accumulator: Column, kind: str) -> Column:
+    return _object(name=F.lit(name), accumulatorId=accumulator, metricType=F.lit(kind))
+
+
+def _added(accumulator: Column, update: Column) -> Column:
+    return _object(ID=accumulator, Name=F.lit("a metric"), Update=update.cast("string"), Metadata=F.lit("sql"))
+
+
 def _lines(spark, sf) -> DataFrame:
     """``(app_id, rank, key, value)``: one JSON event per row, in log order by rank and key."""
     app = F.concat(F.lit("app-"), F.substring("o_orderpriority", 1, 1))
@@ -91,14 +99,16 @@ def _lines(spark, sf) -> DataFrame:
     done = F.when(F.col("o_orderstatus") != "O", placed + F.floor("o_totalprice"))
     tree = _object(
         nodeName=F.lit("Aggregate"), simpleString=F.concat(F.lit("Aggregate "), customer),
-        metadata=F.create_map().cast("map<string,string>"), metrics=F.array().cast("array<string>"),
+        metadata=F.create_map().cast("map<string,string>"), metrics=F.array(
+            _metric("number of output rows", customer * 10, "sum"), _metric("spill size", customer * 10 + 1, "size"),
+            _metric("aggregate time", customer * 10 + 2, "nsTiming"), _metric("peak memory", customer * 10 + 3, "size")),
         children=F.array(
             F.to_variant_object(_plan("Exchange", _plan("Scan orders"))),
             F.to_variant_object(_plan("Scan customer")),
         ),
     )
     tasks = table(spark, sf, "lineitem").join(
-        orders.select(F.col("o_orderkey").alias("l_orderkey"), "app_id"), "l_orderkey")
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), "app_id", "o_custkey"), "l_orderkey")
     metrics = _object(
         Input__Metrics=_object(Records__Read=F.col("l_partkey")),
         Shuffle__Read__Metrics=F.when(F.col("l_linenumber") > 1, _object(
@@ -130,12 +140,17 @@ def _lines(spark, sf) -> DataFrame:
               Stage__Attempt__ID=F.lit(0), Task__End__Reason=reason,
               Task__Info=_object(
                   Executor__ID=F.col("l_suppkey").cast("string"),
-                  Host=F.when(F.col("l_linenumber") < 7, F.concat(F.lit("node-"), F.col("l_suppkey")))),
+                  Host=F.when(F.col("l_linenumber") < 7, F.concat(F.lit("node-"), F.col("l_suppkey"))),
+                  Accumulables=F.array(
+                      _added(customer * 10, F.col("l_linenumber")), _added(customer * 10 + 1, F.floor("l_extendedprice")),
+                      _added(customer * 10 + 2, F.col("l_quantity").cast("bigint") * 1_000_000))),
               Task__Metrics=metrics),
         event(orders, 6, order, kinds.STAGE_COMPLETED, Stage__Info=_stage(
             second, "result done", _ids(first), F.array(
                 _rdd(shuffled, "shuffled", _ids(scan), scope), _rdd(mapped, "mapped", _ids(shuffled), "raw")),
             Submission__Time=placed, Completion__Time=done)),
+        event(executions.filter(customer % 2 == 0), 7, customer, kinds.DRIVER_UPDATES, executionId=customer,
+              accumUpdates=F.array(F.array(customer * 10, F.lit(1000).cast("bigint")))),
         event(executions, 7, customer, kinds.SQL_END, executionId=customer, time=customer * 1000 + 500),
         event(apps, 8, F.col("last"), kinds.APP_END, Timestamp=F.col("last")),
     ]
@@ -183,7 +198,9 @@ def _text(ids: str) -> Column:
         UNION ALL SELECT app_id, unnest(['SparkListenerApplicationStart', 'SparkListenerApplicationEnd']) FROM {_APPS}
         UNION ALL SELECT {_APP}, '{kinds.SQL_UPDATE}' FROM orders WHERE o_orderstatus = 'F'
         UNION ALL SELECT app_id, unnest(['{kinds.SQL_START}', '{kinds.SQL_END}']) FROM (
-            SELECT DISTINCT {_APP} AS app_id, o_custkey FROM orders))
+            SELECT DISTINCT {_APP} AS app_id, o_custkey FROM orders)
+        UNION ALL SELECT DISTINCT ON ({_APP}, o_custkey) {_APP}, '{kinds.DRIVER_UPDATES}' FROM orders
+            WHERE o_custkey % 2 = 0)
     GROUP BY app_id, event""")
 def _read_event_log(spark, sf):
     log = read_event_log(spark, raw_log(spark, sf))
@@ -390,6 +407,31 @@ def _plan_edges(spark, sf):
     return edges.withColumns({n: F.col(n).cast("bigint") for n in ("parent_node_id", "child_node_id")})
 
 
+@query("profile_plan", f"""
+    WITH done AS (
+        SELECT {_APP} AS app_id, o_custkey AS execution_id, l_linenumber AS n, l_quantity AS q, l_extendedprice AS p
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND NOT (l_returnflag = 'R' AND l_linestatus = 'F')),
+    updated AS (SELECT DISTINCT {_APP} AS app_id, o_custkey AS execution_id FROM orders WHERE o_orderstatus = 'F'),
+    plain AS (
+        SELECT app_id, execution_id, sum(n) AS added, sum(CAST(floor(p) AS BIGINT)) AS spilled,
+               sum(CAST(CAST(q AS BIGINT) AS DOUBLE)) AS millis
+        FROM done ANTI JOIN updated USING (app_id, execution_id) GROUP BY ALL)
+    SELECT app_id, execution_id, 0::BIGINT AS node_id, 'Aggregate' AS node_name,
+           CAST(CASE WHEN execution_id % 2 = 0 THEN coalesce(added, 0) + 1000 ELSE added END AS BIGINT) AS rows,
+           millis AS time_ms, CAST(spilled AS BIGINT) AS spill_bytes FROM plain
+    UNION ALL
+    SELECT app_id, execution_id, node_id, node_name, NULL, NULL, NULL FROM plain,
+        (VALUES (1::BIGINT, 'Exchange'), (2, 'Scan orders'), (3, 'Scan customer')) AS below(node_id, node_name)
+    UNION ALL
+    SELECT app_id, execution_id, node_id, node_name, NULL, NULL, NULL FROM updated,
+        (VALUES (0::BIGINT, 'AdaptiveSparkPlan'), (1, 'Scan orders')) AS last(node_id, node_name)""")
+def _profile_plan(spark, sf):
+    """Rows, time and spill of every operator of each execution's last plan, from the updates tasks and driver logged."""
+    profile = jl.operator_profile(jl.operator_metrics(event_log(spark, sf)))
+    return profile.select("app_id", "execution_id", F.col("node_id").cast("bigint").alias("node_id"), "node_name", "rows",
+                          "time_ms", "spill_bytes")
+
+
 @query("stage_dag", f"""
     SELECT {_APP} AS app_id, 2 * o_orderkey AS parent_stage_id, 2 * o_orderkey + 1 AS child_stage_id FROM orders""")
 def _stage_dag(spark, sf):

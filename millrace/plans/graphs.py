@@ -57,7 +57,7 @@ def profile_steps(source: DataFrame, steps: Sequence[tuple[str, Callable[[DataFr
 
 
 def profile_plan(df: DataFrame, mode: str = "formatted") -> str:
-    """The physical plan as text; pair it with the event log for rows and times per operator."""
+    """The physical plan as text; ``plans.joblog.profile_run`` gives rows, times and spill per operator."""
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
     )

@@ -7,7 +7,10 @@ the data (jobs of an execution, RDDs of a stage, workers at an extreme) are rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.once import compute_once
 from ..operators.contracts import ContractError
@@ -16,9 +19,10 @@ from ..operators.ranking import sequence_within
 from ..operators.workers import METRICS, allocation, skew_compare, skew_workers, totals
 from ..session import pin_as_table
 from ..sources import joblog as kinds
+from ..sources.joblog import read_event_log
 
 POSITION = ("block", "line")
-PLAN_LEVELS_PER_PASS = 4
+PLAN_LEVELS_PER_PASS = 6
 
 
 def value(path: str, kind: str, doc: str | Column = "body") -> Column:
@@ -219,19 +223,10 @@ def log_stage_metrics(log: DataFrame, tasks: DataFrame) -> DataFrame:
             value(f'{stage}["Completion Time"]', "bigint") - value(f'{stage}["Submission Time"]', "bigint")
         ).alias("duration_ms"),
     )
-    keys = ["app_id", "stage_id", "attempt_id"]
-    completed = (
-        _of(log, kinds.STAGE_COMPLETED)
-        .select(
-            "app_id",
-            value(f'{stage}["Stage ID"]', "bigint").alias("stage_id"),
-            F.coalesce(value(f'{stage}["Stage Attempt ID"]', "bigint"), F.lit(0)).alias("attempt_id"),
-            *POSITION, facts.alias("facts"),
-        )
-        .groupBy(*keys)
-        .agg(F.max_by("facts", F.struct(*POSITION)).alias("last"))
-        .select(*keys, "last.*")
-    )
+    ids = {"stage_id": value(f'{stage}["Stage ID"]', "bigint"),
+           "attempt_id": F.coalesce(value(f'{stage}["Stage Attempt ID"]', "bigint"), F.lit(0))}
+    completed = _last_sighting(_of(log, kinds.STAGE_COMPLETED), ids, list(POSITION), facts)
+    keys = ["app_id", *ids]
     sums = totals(tasks, keys, ["shuffle_read_bytes", "shuffle_write_bytes"])
     return completed.join(sums, keys, "left").fillna(0, ["shuffle_read_bytes", "shuffle_write_bytes"])
 
@@ -331,36 +326,37 @@ def plan_trees(log: DataFrame) -> DataFrame:
 def plan_operators(trees: DataFrame) -> DataFrame:
     """Nodes of nested plan trees in preorder, each with its parent (null at the root).
 
-    Each pass opens a few levels of every tree at once and stores them; only subtrees below
-    the deepest level go into the next pass. A node's number is its place in its own tree,
-    so numbering never looks beyond one log event.
+    A tree stays in its row: level by level, its nodes are appended to an array with their paths, a few levels in each
+    pass; only trees with deeper nodes go into the next pass. Sorted by path the array is in preorder, so a node's
+    number is its place there and its parent's number that of the path without the last step. Nothing is shuffled.
     """
     keys = ["app_id", "execution_id", "sequence"]
-    todo = trees.select(*keys, F.array().cast("array<int>").alias("at"), F.col("plan").alias("node"))
-    found: list[DataFrame] = []
+    root = F.array(F.struct(F.array().cast("array<int>").alias("at"), F.col("plan").alias("node")))
+    todo = trees.select(*keys, F.array().cast(_NODES).alias("done"), root.alias("level"))
+    found: DataFrame | None = None
     while True:
-        levels = [F.array(F.struct("at", "node"))]
         for _ in range(PLAN_LEVELS_PER_PASS):
-            levels.append(_children(levels[-1]))
-        depth = PLAN_LEVELS_PER_PASS * (len(found) + 1)
-        unopened = F.size("at") == depth
-        opened = todo.select(*keys, F.inline(F.concat(*levels))).select(
-            *keys, "at",
-            F.when(~unopened, value("$.nodeName", "string", "node")).alias("node_name"),
-            F.when(~unopened, value("$.simpleString", "string", "node")).alias("simple_string"),
-            F.when(~unopened, _json(value("$.metadata", "variant", "node"))).alias("metadata"),
-            F.when(~unopened, _json(value("$.metrics", "variant", "node"))).alias("metrics"),
-            F.when(unopened, F.col("node")).alias("node"),
-        )
-        stored = pin_as_table(opened, "plan-levels")
-        found.append(stored.filter(~unopened).drop("node"))
-        todo = stored.filter(unopened).select(*keys, "at", "node")
-        if not todo.take(1):
-            break
-    nodes = found[0]
-    for more in found[1:]:
-        nodes = nodes.unionByName(more)
-    return _number_preorder(nodes, keys)
+            facts = F.transform("level", _node_facts)
+            todo = compute_once(todo, keys, done=F.concat("done", facts), level=_children(F.col("level")))
+        stored = pin_as_table(todo, "plan-levels")
+        nodes = _numbered(stored.filter(F.size("level") == 0), keys)
+        found = nodes if found is None else found.unionByName(nodes)
+        todo = stored.filter(F.size("level") > 0)
+        if todo.isEmpty():
+            return found
+
+
+_NODES = "array<struct<at:array<int>,node_name:string,simple_string:string,metadata:string,metrics:string>>"
+
+
+def _node_facts(item: Column) -> Column:
+    node = item["node"]
+    return F.struct(
+        item["at"].alias("at"), value("$.nodeName", "string", node).alias("node_name"),
+        value("$.simpleString", "string", node).alias("simple_string"),
+        _json(value("$.metadata", "variant", node)).alias("metadata"),
+        _json(value("$.metrics", "variant", node)).alias("metrics"),
+    )
 
 
 def _children(nodes: Column) -> Column:
@@ -377,16 +373,15 @@ def _children(nodes: Column) -> Column:
     return F.flatten(F.transform(nodes, below))
 
 
-def _number_preorder(nodes: DataFrame, keys: list[str]) -> DataFrame:
-    """Number nodes by their path; array order is preorder."""
-    tree = Window.partitionBy(*keys).orderBy("at")
-    numbered = nodes.withColumn("node_id", F.row_number().over(tree) - 1)
-    # A path is unique in its tree, so this join has one match at most.
-    parents = numbered.select(*keys, F.col("at").alias("above"), F.col("node_id").alias("parent_node_id"))
-    above = F.when(F.size("at") > 0, F.slice("at", F.lit(1), F.size("at") - 1))
-    return numbered.withColumn("above", above).join(parents, [*keys, "above"], "left").select(
-        *keys, "node_id", "parent_node_id", "node_name", "simple_string", "metadata", "metrics"
-    )
+def _numbered(trees: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a node from one row a tree."""
+    ordered = compute_once(trees, keys, nodes=F.sort_array("done"))
+    listed = compute_once(ordered, [*keys, "nodes"], paths=F.transform("nodes", lambda n: n["at"]))
+    at = F.col("node.at")
+    above = F.when(F.size(at) > 0, F.array_position("paths", F.slice(at, F.lit(1), F.size(at) - 1)) - 1)
+    return listed.select(*keys, "paths", F.posexplode("nodes").alias("node_id", "node")).select(
+        *keys, "node_id", above.cast("int").alias("parent_node_id"), "node.node_name", "node.simple_string", "node.metadata",
+        "node.metrics")
 
 
 def plan_edges(operators: DataFrame) -> DataFrame:
@@ -395,6 +390,85 @@ def plan_edges(operators: DataFrame) -> DataFrame:
     )
 
 
+_METRICS = "array<struct<name:string,accumulatorId:bigint,metricType:string>>"
+
+
+def accumulator_totals(log: DataFrame) -> DataFrame:
+    """``(app_id, accumulator_id, total, updates)``: what successful tasks and the driver added to each SQL metric."""
+    of_tasks = _of(log, kinds.TASK_END).filter(success(value('$["Task End Reason"].Reason', "string"))).select(
+        "app_id", F.explode(value('$["Task Info"].Accumulables', "array<variant>")).alias("one"))
+    added = of_tasks.select(
+        "app_id", value("$.ID", "bigint", "one").alias("accumulator_id"),
+        value("$.Update", "string", "one").try_cast("bigint").alias("added"),
+        value("$.Metadata", "string", "one").alias("kind")).filter("kind = 'sql'").drop("kind")
+    of_driver = _of(log, kinds.DRIVER_UPDATES).select(
+        "app_id", F.explode(value("$.accumUpdates", "array<array<bigint>>")).alias("one")).select(
+        "app_id", F.col("one")[0].alias("accumulator_id"), F.col("one")[1].alias("added"))
+    return added.unionByName(of_driver).groupBy("app_id", "accumulator_id").agg(
+        F.sum("added").alias("total"), F.count("added").alias("updates"))
+
+
+def operator_metrics(log: DataFrame) -> DataFrame:
+    """Every metric of every operator of each execution's last plan, with what was measured: ``(app_id, execution_id,
+    sequence, node_id, parent_node_id, node_name, metric, metric_type, total, updates)``; null where nothing reported.
+
+    The last plan is that of the newest adaptive update, or the initial one. Only its metric ids meet the sums of the
+    log's accumulator updates, which are reduced before the join.
+    """
+    trees = plan_trees(log)
+    newest = trees.groupBy("app_id", "execution_id").agg(F.max("sequence").alias("sequence"))
+    last = trees.join(newest, ["app_id", "execution_id", "sequence"])
+    listed = plan_operators(last).select(
+        "app_id", "execution_id", "sequence", "node_id", "parent_node_id", "node_name",
+        F.explode_outer(F.from_json("metrics", _METRICS)).alias("metric"))
+    named = listed.select(*[n for n in listed.columns if n != "metric"], F.col("metric.name").alias("metric"),
+                          F.col("metric.metricType").alias("metric_type"), F.col("metric.accumulatorId").alias("accumulator_id"))
+    return named.join(accumulator_totals(log), ["app_id", "accumulator_id"], "left").drop("accumulator_id")
+
+
+def operator_profile(metrics: DataFrame) -> DataFrame:
+    """One row per operator: rows put out, milliseconds, and bytes spilled; null where the operator does not measure it.
+
+    ``metrics`` is what :func:`operator_metrics` gives. Times are those Spark measures in an operator, summed over tasks.
+    """
+    name, total = F.col("metric"), F.col("total")
+    millis = F.when(F.col("metric_type") == "nsTiming", total / 1_000_000).when(
+        F.col("metric_type") == "timing", total.cast("double"))
+    return metrics.groupBy("app_id", "execution_id", "sequence", "node_id", "parent_node_id", "node_name").agg(
+        F.sum(F.when(name == "number of output rows", total)).alias("rows"), F.sum(millis).alias("time_ms"),
+        F.sum(F.when(name == "spill size", total)).alias("spill_bytes"))
+
+
+def profile_run(df: DataFrame, wait: float = 20.0) -> DataFrame:
+    """Run a query and report its operators as :func:`operator_profile` does, from the session's own event log.
+
+    The session must write an uncompressed event log. The result is computed in full and discarded. The log is written
+    behind the query, so its end is awaited, for ``wait`` seconds at most.
+    """
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    conf = context.getConf()
+    if conf.get("spark.eventLog.enabled", "false") != "true" or conf.get("spark.eventLog.compress", "true") == "true":
+        raise ValueError("profiling needs spark.eventLog.enabled=true and spark.eventLog.compress=false")
+    name = f"profile-{uuid.uuid4().hex}"
+    context.setJobDescription(name)
+    try:
+        df.write.format("noop").mode("overwrite").save()
+    finally:
+        context.setJobDescription(None)
+    path = f"{conf.get('spark.eventLog.dir').rstrip('/')}/*{context.applicationId}*"
+    until = time.monotonic() + wait
+    while True:
+        log = pin_as_table(read_event_log(spark, path, mode="drop"), "own-log")
+        own = log_sql_executions(log).filter((F.col("description") == name) & F.col("ended_at_epoch_ms").isNotNull())
+        found = [r["execution_id"] for r in own.select("execution_id").collect()]
+        if found:
+            return operator_profile(operator_metrics(log.filter(
+                ~F.col("event").isin(kinds.SQL_START, kinds.SQL_UPDATE) | value("$.executionId", "bigint").isin(found))))
+        if time.monotonic() > until:
+            raise TimeoutError(f"the end of the query is not in {path}")
+        time.sleep(0.5)
+
+
 def stage_dag(stages: DataFrame) -> DataFrame:
     return stages.select(
         "app_id", F.explode("parent_stage_ids").alias("parent_stage_id"), F.col("stage_id").alias("child_stage_id")
@@ -557,6 +631,7 @@ def write_report(log: DataFrame, path: str) -> None:
     keep("execution_jobs", job_execution_join(jobs, executions))
     operators = keep("plan_operators", plan_operators(plan_trees(log)))
     keep("plan_edges", plan_edges(operators))
+    keep("plan_profile", operator_profile(operator_metrics(log)))
     tasks = keep("tasks", log_tasks(log))
     keep("stage_metrics", log_stage_metrics(log, tasks))
     keep("stage_allocation", allocation_by_worker(tasks))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.contracts import fail_fast, judge, reject_split
@@ -16,40 +18,91 @@ TASK_END = "SparkListenerTaskEnd"
 SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
 SQL_UPDATE = "org.apache.spark.sql.execution.ui.SparkListenerSQLAdaptiveExecutionUpdate"
 SQL_END = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd"
+DRIVER_UPDATES = "org.apache.spark.sql.execution.ui.SparkListenerDriverAccumUpdates"
 KINDS = (
     APP_START, APP_END, JOB_START, EXECUTOR_ADDED, STAGE_COMPLETED, TASK_END, SQL_START, SQL_UPDATE, SQL_END,
+    DRIVER_UPDATES,
 )
+COMPRESSED = ".zstd"
 
 
 def app_of(path: Column) -> Column:
     """Application a log file belongs to: its ``app_id=`` folder, else the log's own name."""
     folder = F.regexp_extract(path, r"/app_id=([^/]+)/", 1)
     name = F.element_at(F.split(path, "/"), -1)
-    rolling = F.regexp_extract(name, r"^events_\d+_(.+?)(?:\.inprogress)?$", 1)
-    single = F.regexp_replace(name, r"\.inprogress$", "")
+    rolling = F.regexp_extract(name, r"^events_\d+_(.+?)(?:\.zstd)?(?:\.inprogress)?$", 1)
+    single = F.regexp_replace(name, r"(?:\.zstd)?(?:\.inprogress)?$", "")
     return F.when(folder != "", folder).when(rolling != "", rolling).otherwise(single)
 
 
-def judge_event_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line of event logs, parsed, with its position and ``reject_reason`` where it is no event."""
+def _decompress(batches):
+    """Lines of compressed files with their numbers; runs in Spark's Python workers, one task a few files."""
+    import io
+
+    import pyarrow as pa
+    import zstandard
+
+    def batch(path, lines, first):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([path] * len(lines)), pa.array(range(first, first + len(lines)), pa.int64()),
+             pa.array([line.decode("utf-8", "replace").rstrip("\r\n") for line in lines])], ["path", "line", "value"])
+
+    for files in batches:
+        for path, content in zip(files.column(0), files.column(1)):
+            source = io.BytesIO(content.as_buffer())
+            # A log that is still being written ends within a frame; what is complete is read.
+            reader = io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True), 1 << 20)
+            lines, first, size = [], 0, 0
+            for line in reader:
+                lines.append(line)
+                size += len(line)
+                if size > 4 << 20:
+                    yield batch(path.as_py(), lines, first)
+                    lines, first, size = [], first + len(lines), 0
+            if lines:
+                yield batch(path.as_py(), lines, first)
+
+
+def _block(path: Column, start: Column) -> Column:
+    part = F.coalesce(F.regexp_extract(path, r"/events_(\d+)_[^/]*$", 1).try_cast("bigint"), F.lit(0))
+    return F.struct(part.alias("part"), path.alias("file"), start.alias("start")).alias("block")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(app_id, block, line, value)`` of plain and compressed logs below a path."""
     file_path = F.col("_metadata.file_path")
-    part = F.coalesce(
-        F.regexp_extract(file_path, r"/events_(\d+)_[^/]*$", 1).try_cast("bigint"), F.lit(0)
-    )
     lines = (
         spark.read.option("recursiveFileLookup", True).text(path)
+        .filter(~file_path.rlike(r"\.zstd(\.inprogress)?$"))
         .select(
-            app_of(file_path).alias("app_id"),
-            F.struct(
-                part.alias("part"), file_path.alias("file"), F.col("_metadata.file_block_start").alias("start")
-            ).alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.try_parse_json("value").alias("body"),
+            app_of(file_path).alias("app_id"), _block(file_path, F.col("_metadata.file_block_start")),
+            F.monotonically_increasing_id().alias("line"), "value",
         )
+    )
+    packed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", f"*{COMPRESSED}{{,.inprogress}}").load(path)
+    if packed.select("path").isEmpty():
+        return lines
+    # The worker gets the function itself, so the package need not be installed there.
+    unpack = types.FunctionType(_decompress.__code__, {"__builtins__": __builtins__}, "unpack")
+    unpacked = packed.select("path", "content").mapInArrow(unpack, "path string, line bigint, value string")
+    return lines.unionByName(unpacked.select(
+        app_of(F.col("path")).alias("app_id"), _block(F.col("path"), F.lit(0).cast("bigint")), "line", "value"))
+
+
+def judge_event_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of event logs, parsed, with its position and ``reject_reason`` where it is no event.
+
+    Plain logs are split by Spark. Logs compressed with zstd, Spark's default, are taken whole, each by one task that
+    decompresses it as a stream; rolled logs keep such a file near ``spark.eventLog.rolling.maxFileSize``.
+    """
+    lines = (
+        _lines(spark, path)
+        .withColumn("body", F.try_parse_json("value")).drop("value")
         .withColumn("event", F.try_variant_get("body", "$.Event", "string"))
     )
     return judge(lines, [
-        (F.col("body").isNotNull(), "line is not JSON (truncated, or a compressed log read as text)"),
+        (F.col("body").isNotNull(), "line is not JSON (truncated, or a log compressed by another codec than zstd)"),
         (F.col("event").isNotNull(), "line has no event name"),
     ])
 

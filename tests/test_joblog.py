@@ -236,3 +236,107 @@ def test_summary_straight_from_the_log_is_the_same(log):
     stages, rdds = jl.log_stages(log), jl.log_rdds(log)
     whole = jl.dag_summary(stages, rdds, jl.log_sql_executions(log), jl.plan_operators(jl.plan_trees(log)))
     assert jl.summary_of_log(log).collect() == whole.collect()
+
+
+# --- operators of the log's own plans ---------------------------------------------------------
+
+def test_operator_rows_are_what_the_queries_put_out(log):
+    """The first query groups 1,000 rows of 4 partitions into 7 groups, which the sort's sampling reads once more."""
+    metrics = jl.operator_metrics(log)
+    first = metrics.agg(F.min("execution_id")).first()[0]
+    rows_of = {}
+    for r in jl.operator_profile(metrics.filter(F.col("execution_id") == first)).collect():
+        rows_of.setdefault(r["node_name"].split(" ")[0], []).append(r["rows"])
+    assert rows_of["Range"] == [1000]
+    assert sorted(rows_of["HashAggregate"]) == [14, 28]
+    times = jl.operator_profile(metrics).filter("node_name = 'Sort'").select("time_ms", "spill_bytes").collect()
+    assert times and all(r["time_ms"] is not None and r["spill_bytes"] == 0 for r in times)
+
+
+def test_metrics_nobody_reported_are_null(log):
+    never = jl.operator_metrics(log).filter("updates IS NULL")
+    assert never.filter("total IS NOT NULL").count() == 0
+
+
+def test_preorder_needs_no_window_and_no_join(log):
+    from millrace.plans.graphs import profile_plan
+
+    plan = profile_plan(jl.plan_operators(jl.plan_trees(log).filter("sequence = 0")), "simple")
+    assert "Window" not in plan and "Join" not in plan and "Exchange" not in plan
+
+
+def test_stage_metrics_sort_no_event(log):
+    from millrace.plans.graphs import profile_plan
+
+    plan = profile_plan(jl.log_stage_metrics(log, jl.log_tasks(log)), "simple")
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert all("body" not in line for line in sorts)
+
+
+PROFILED = """
+import sys
+sys.path.insert(0, sys.argv[2])
+from pyspark.sql import SparkSession, functions as F
+from millrace.plans.joblog import profile_run
+spark = (SparkSession.builder.master("local[2]").appName("profiled").config("spark.ui.enabled", "false")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.dir", sys.argv[1]).config("spark.sql.shuffle.partitions", "3").getOrCreate())
+df = spark.range(0, 900, 1, 3).filter("id % 3 = 0").groupBy((F.col("id") % 10).alias("k")).count()
+profile_run(df).coalesce(1).write.json(sys.argv[1] + "/profile")
+spark.stop()
+"""
+
+
+def test_a_query_is_profiled_from_its_own_log(spark, tmp_path):
+    (tmp_path / "job.py").write_text(PROFILED)
+    (tmp_path / "events").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, str(tmp_path / "job.py"), str(tmp_path / "events"), root], check=True, timeout=240,
+                   stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    got = {r["node_name"]: r["rows"] for r in spark.read.json(str(tmp_path / "events" / "profile")).collect() if r["rows"] is not None}
+    assert got["Filter"] == 300 and got["Range"] == 900 and got["HashAggregate"] in (10, 30)
+    with pytest.raises(ValueError, match="eventLog"):
+        jl.profile_run(spark.range(3))
+
+
+# --- compressed logs --------------------------------------------------------------------------
+
+def test_compressed_logs_give_the_same_tables(spark, folder, tmp_path):
+    import zstandard
+
+    packed = tmp_path / "packed"
+    for root, _, names in os.walk(folder):
+        for name in names:
+            if name.startswith("events_"):
+                with open(os.path.join(root, name), "rb") as file:
+                    data = file.read()
+                target = packed / os.path.relpath(root, folder)
+                target.mkdir(parents=True, exist_ok=True)
+                half = data.rfind(b"\n", 0, len(data) // 2) + 1
+                codec = zstandard.ZstdCompressor()  # two frames, as a log that was flushed
+                (target / (name + ".zstd")).write_bytes(codec.compress(data[:half]) + codec.compress(data[half:]))
+    plain, other = read_event_log(spark, folder), read_event_log(spark, str(packed))
+    for table in (jl.log_application, jl.log_jobs, jl.log_stages, jl.log_rdds, jl.log_tasks, jl.log_sql_executions,
+                  lambda log: jl.plan_operators(jl.plan_trees(log))):
+        assert sorted(map(repr, table(plain).collect())) == sorted(map(repr, table(other).collect()))
+    whole = next(p for p in packed.rglob("*.zstd"))
+    whole.write_bytes(whole.read_bytes()[:-200])  # still being written
+    with pytest.raises(Exception, match="not JSON"):
+        read_event_log(spark, str(packed)).count()
+    assert 0 < read_event_log(spark, str(packed), mode="drop").count() < other_count(plain)
+
+
+def other_count(log):
+    return log.count()
+
+
+def test_a_log_with_default_settings_is_read(spark, tmp_path):
+    (tmp_path / "job.py").write_text(JOB.replace('.config("spark.eventLog.compress", "false")', ""))
+    (tmp_path / "events").mkdir()
+    subprocess.run([sys.executable, str(tmp_path / "job.py"), str(tmp_path / "events")], check=True, timeout=180,
+                   stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    assert [n for _, _, names in os.walk(tmp_path / "events") for n in names if n.endswith(".zstd")]
+    log = read_event_log(spark, str(tmp_path / "events"))
+    assert jl.completeness(log).first()["complete"]
+    rows_of = {r["node_name"]: r["rows"] for r in jl.operator_profile(jl.operator_metrics(log)).collect()}
+    assert 1000 in rows_of.values()
