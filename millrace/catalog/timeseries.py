@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -12,11 +12,14 @@ from ..operators.points import (
     distinct_points, latest_point, relative_range, retain, series_filter, time_range, unpivot_fields,
 )
 from ..operators.windows import sliding_mean, tumbling_mean, tumbling_sum
-from ..plans.timeseries import downsample, downsample_task, measured_write, read_downsampled
+from ..plans.timeseries import downsample, downsample_stream, downsample_task, measured_write, read_downsampled
 from ..session import scratch
-from ..sinks.points import compact_points, read_points, write_points
+from ..sinks.points import (
+    FANOUT, compact_points, merge_small_writes, read_points, retain_in_place, write_points, writes,
+)
 from ..sources.points import read_bucket
-from .registry import query, rounded, table
+from ..streaming.run import drain, replay, replay_chunks, replay_files, write_replay
+from .registry import as_ntz, query, rounded, table
 
 WEEK = (datetime(2024, 1, 8), datetime(2024, 1, 15))
 TICK = datetime(2024, 1, 20, 12)
@@ -315,6 +318,57 @@ def _downsample_ticks(spark, sf):
     return rounded(kept, 8, "value")
 
 
+@query("downsample_schedule", """
+    SELECT event_type, window_start, window_end, round(value, 8) AS value FROM (
+        SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+               time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, avg(value) AS value
+        FROM events GROUP BY ALL)
+    WHERE window_end <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events)""")
+def _downsample_schedule(spark, sf):
+    """Hourly means by a stream that a scheduler starts twice; the second run finds nothing new."""
+    path, target, state = scratch(spark, "replay"), scratch(spark, "hourly"), scratch(spark, "downsample-state")
+    events = table(spark, sf, "events").select("ts", "event_type", "value")
+    chunks = replay_chunks(events)
+    files = replay_files(events, chunks)
+    write_replay(events, "ts", path, chunks, files)
+    for _ in range(2):
+        stream = replay(spark, path, "ts timestamp_ntz, event_type string, value double", files).withColumn(
+            "ts", F.col("ts").cast("timestamp"))
+        drain(downsample_stream(stream, "ts", "value", ["event_type"], target, state), spark)
+    means = read_points(spark, target, ["event_type", "window_end"], ["window_start", "value"], optional=())
+    return rounded(as_ntz(means, "window_start", "window_end"), 8, "value").select(
+        "event_type", "window_start", "window_end", "value")
+
+
+@query("retention_in_place", """
+    SELECT event_id, ts, value FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 36 HOUR""")
+def _retention_in_place(spark, sf):
+    """A store of many writes ends what is older than 36 hours, in place."""
+    path = scratch(spark, "bucket")
+    events = table(spark, sf, "events").select("event_id", "ts", "value")
+    for part in range(4):
+        first = date(2024, 1, 1) + timedelta(days=8 * part)
+        days = events.filter(F.col("ts").cast("date").between(F.lit(first), F.lit(first + timedelta(days=7))))
+        write_points(days, path, "ts", part, F.col("event_id"))
+    retain_in_place(spark, path, "ts", timedelta(hours=36), TICK)
+    return read_bucket(spark, path, "ts").select("event_id", "ts", "value")
+
+
+@query("merged_writes", """
+    SELECT user_id, event_type, arg_max(value, (event_id % 40, event_id)) AS value FROM events GROUP BY ALL""")
+def _merged_writes(spark, sf):
+    """Forty small writes leave a few folders; each point still ends with the value of its last write."""
+    path = scratch(spark, "points")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    identity = ["user_id", "event_type"]
+    for number in range(40):
+        write_points(events.filter(F.col("event_id") % 40 == number), path, "ts", number, F.col("event_id"), "month")
+        merge_small_writes(spark, path, "ts", identity, ["ts", "value"], "month", optional=())
+    if len(writes(spark, path)) > 2 + FANOUT:
+        raise AssertionError("small writes were not merged")
+    return read_points(spark, path, identity, ["value"], optional=())
+
+
 @query("throughput_rows", "SELECT count(*) AS rows FROM events")
 def _throughput(spark, sf):
     path = scratch(spark, "measured")

@@ -7,17 +7,21 @@ from datetime import datetime, timedelta, timezone
 from time import perf_counter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.contracts import ContractError, counted
 from ..operators.points import relative_range
 from ..operators.windows import tumbling_mean
-from ..sinks.points import read_points, write_points
+from ..sinks.points import merge_small_writes, read_points, write_points
 from ..sources.files import POSITION, position_number
 from ..sources.weather import read_weather
+from ..streaming.run import upsert_writer
 
 # How often the downsampling job runs, how long its results are kept.
 EVERY = timedelta(hours=1)
 KEEP = timedelta(hours=720)
+DELAY = "10 seconds"
+DOWNSAMPLED = ["window_start", "value"]
 
 
 def measured_write(df: DataFrame, write: Callable[[DataFrame], None], name: str = "ingest") -> dict:
@@ -70,6 +74,21 @@ def downsample_task(
         downsample(df, ts, value, keys, as_of, every), target, "window_end", since // timedelta(microseconds=1), F.lit(0),
         writer="downsample",
     )
+    merge_small_writes(df.sparkSession, target, "window_end", [*keys, "window_end"], DOWNSAMPLED, optional=())
+
+
+def downsample_stream(
+    stream: DataFrame, ts: str, value: str, keys: Sequence[str], target: str, checkpoint: str, every: timedelta = EVERY,
+    delay: str = DELAY,
+) -> DataStreamWriter:
+    """The same means kept up to date by a stream: each window is stored once, when the watermark has passed its end.
+
+    Start it with ``trigger(availableNow=True)`` from a scheduler, or with a processing-time trigger to keep it running.
+    A run with nothing new stores nothing; a micro-batch delivered again replaces itself. ``ts`` is a timestamp.
+    """
+    means = tumbling_mean(stream.withWatermark(ts, delay), ts, value, keys, every)
+    return upsert_writer(means, target, "window_end", F.lit(0), checkpoint, identity=[*keys, "window_end"],
+                         fields=DOWNSAMPLED, optional=()).outputMode("append")
 
 
 def read_downsampled(

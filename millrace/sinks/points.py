@@ -1,9 +1,11 @@
 """Storing points. A write never touches what another writer stored; identities are resolved on read.
 
-Below a store lie ``ingest_writer=W/ingest_batch=N/ingest_sequence=S/ingest_attempt=T``. Writer and batch name a write:
-sent again, it keeps its place ``S`` among all writes and takes a new attempt, and older attempts are removed once the
-new one is complete, so a failed retry leaves the version before. Batch numbers belong to their writer alone: a new
-stream, a compaction and a hand-made ingest may all begin at 0.
+Below a store lie ``ingest_writer=W/ingest_batch=N/ingest_sequence=S/ingest_attempt=T`` and the commit log of
+:mod:`millrace.sinks.storelog`, which alone says which of these folders count. Writer and batch name a write: sent
+again, it keeps its place ``S`` among all writes and takes a new attempt, which replaces the one before once it is
+complete. Batch numbers belong to their writer alone: a new stream, a compaction and a hand-made ingest may all begin
+at 0. Small writes are merged in place, a fixed number of one size at a time, so that a store fed by very many ticks or
+micro-batches has few folders, and every record is rewritten only a few times.
 """
 
 from __future__ import annotations
@@ -11,12 +13,13 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
-from datetime import datetime, timedelta
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.points import SPANS, latest_point, retain, span_of, time_range
+from .storelog import StoreLog, Write
 
 WRITER, BATCH, SEQUENCE, ATTEMPT = "ingest_writer", "ingest_batch", "ingest_sequence", "ingest_attempt"
 ORDER = "ingest_order"
@@ -24,34 +27,13 @@ ORDER = "ingest_order"
 #: make one number of fixed width, so that resolving identities needs no sort.
 ORDER_TYPE, PLACE_TYPE, STEP = "decimal(27,0)", "decimal(38,0)", "1" + "0" * 27
 COMPACTION = "compaction"
-
-
-@dataclass(frozen=True)
-class Write:
-    """One complete write of a store."""
-
-    writer: str
-    batch: int
-    sequence: int
-    attempt: int
-    path: str
+#: So many neighbouring writes of one level are merged into one of the next.
+FANOUT = 16
 
 
 def writes(spark: SparkSession, path: str) -> list[Write]:
-    """The complete writes of a store, newest attempt of each, in order. Only folder names are looked at."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{path.rstrip('/')}/{WRITER}=*/{BATCH}=*/{SEQUENCE}=*/{ATTEMPT}=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    newest: dict[tuple[str, int], Write] = {}
-    for status in found:
-        folder = status.getPath().getParent().toString()
-        writer, batch, sequence, attempt = re.search(
-            rf"/{WRITER}=([^/]+)/{BATCH}=(\d+)/{SEQUENCE}=(\d+)/{ATTEMPT}=(\d+)$", folder).groups()
-        one = Write(writer, int(batch), int(sequence), int(attempt), folder)
-        known = newest.get((one.writer, one.batch))
-        if known is None or one.attempt > known.attempt:
-            newest[one.writer, one.batch] = one
-    return sorted(newest.values(), key=lambda w: (w.sequence, w.writer, w.batch))
+    """The live writes of a store, in order, from the newest manifest."""
+    return list(StoreLog(spark, path).read().writes)
 
 
 def _order_number(order: Column, kind: T.DataType) -> Column:
@@ -82,20 +64,27 @@ def write_points(
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", writer):
         raise ValueError(f"a writer is named by letters, digits, '_', '.' and '-', not {writer!r}")
-    spark = df.sparkSession
-    known = writes(spark, path)
-    before = [w for w in known if (w.writer, w.batch) == (writer, batch)]
-    sequence = before[0].sequence if before else max((w.sequence for w in known), default=-1) + 1
-    attempt = max(time.time_ns() // 1000, max((w.attempt for w in before), default=0) + 1)
+    log = StoreLog(df.sparkSession, path)
+    sequence = log.begin(writer, batch)
+    try:
+        write = _store(df, path, ts, order, grain, Write(writer, batch, sequence, _attempt(), ""))
+    except BaseException:
+        log.give_up(sequence)
+        raise
+    log.end(write)
+
+
+def _attempt() -> int:
+    return time.time_ns() // 1000
+
+
+def _store(df: DataFrame, path: str, ts: str, order: Column, grain: str, name: Write) -> Write:
     span = SPANS[grain]
     kept = df.withColumn(span, span_of(F.col(ts), grain)).withColumn(
         ORDER, _order_number(order, df.select(order.alias("o")).schema["o"].dataType))
-    home = f"{path.rstrip('/')}/{WRITER}={writer}/{BATCH}={batch}/{SEQUENCE}={sequence}"
-    kept.hint("rebalance", span).write.mode("errorifexists").partitionBy(span).option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{home}/{ATTEMPT}={attempt}")
-    for old in before:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(old.path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    home = f"{path.rstrip('/')}/{WRITER}={name.writer}/{BATCH}={name.batch}/{SEQUENCE}={name.sequence}/{ATTEMPT}={name.attempt}"
+    kept.hint("rebalance", span).write.mode("errorifexists").partitionBy(span).parquet(home)
+    return replace(name, path=home)
 
 
 def stored_points(
@@ -105,10 +94,14 @@ def stored_points(
     known = writes(spark, path)
     if not known:
         raise FileNotFoundError(f"no complete write below {path}")
-    stored = spark.read.option("basePath", path).parquet(*[w.path for w in known])
+    stored = _read(spark, path, known)
     return stored if ts is None else time_range(stored, ts, start, stop)
 
 
+def _read(spark: SparkSession, path: str, chosen: Sequence[Write]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*[w.path for w in chosen])
+
+
 def read_points(
     spark: SparkSession,
     path: str,
@@ -157,3 +150,79 @@ def compact_points(
     current = latest_point(stored, identity, fields, [_place()], optional)
     number = max((w.batch for w in writes(spark, target) if w.writer == COMPACTION), default=-1) + 1
     write_points(current, target, ts, number, F.lit(0), grain, COMPACTION)
+
+
+def merge_small_writes(
+    spark: SparkSession,
+    path: str,
+    ts: str,
+    identity: Sequence[str],
+    fields: Sequence[str],
+    grain: str = "day",
+    optional: Sequence[str] | None = None,
+    keep: timedelta = timedelta(0),
+    as_of: datetime | None = None,
+) -> int:
+    """Merge runs of ``FANOUT`` neighbouring small writes in place; returns how many merges were done.
+
+    A merge keeps the current value of every field among the merged writes and takes the place of the last of them.
+    Writes under way hold back what is younger than they. What retention has ended by ``as_of`` is not copied. Records
+    of equal order within one write are met in any sequence, before and after a merge.
+    """
+    log, done = StoreLog(spark, path), 0
+    while True:
+        run = _mergeable(log.read().settled())
+        if not run:
+            return done
+        stored = _read(spark, path, run)
+        if keep:
+            stored = retain(stored, ts, keep, as_of)
+        current = latest_point(stored, identity, fields, [_place()], optional)
+        level, sequence = run[0].level + 1, run[-1].sequence
+        new = Write(COMPACTION, sequence, sequence, _attempt(), "", level)
+        if not log.swap(run, _store(current, path, ts, F.lit(0), grain, new)):
+            return done  # another merge was faster
+        done += 1
+
+
+def _mergeable(settled: tuple[Write, ...]) -> tuple[Write, ...]:
+    """The oldest ``FANOUT`` neighbours of one level, if there are so many."""
+    run: list[Write] = []
+    for write in settled:
+        run = [*run, write] if run and run[-1].level == write.level else [write]
+        if len(run) == FANOUT:
+            return tuple(run)
+    return ()
+
+
+def retain_in_place(spark: SparkSession, path: str, ts: str, keep: timedelta, as_of: datetime, grain: str = "day") -> int:
+    """End what is older than ``as_of - keep`` in the store itself; returns how many writes were touched.
+
+    A write that lies before the cut altogether is dropped; of one that straddles it, the rest is copied, spans before
+    the cut being pruned, and takes its place. Records, not only current points, are kept. Writes that arrive meanwhile
+    stay as they are.
+    """
+    if not keep:
+        return 0
+    log, touched = StoreLog(spark, path), 0
+    cut = span_of(F.lit(as_of - keep), grain)
+    span = SPANS[grain]
+    for write in log.read().settled():
+        spans = _spans(spark, write, span)
+        if not spans or min(spans) >= spark.range(1).select(cut.alias("c")).first()["c"]:
+            continue
+        rest = retain(_read(spark, path, [write]), ts, keep, as_of)
+        rest = rest.drop(WRITER, BATCH, SEQUENCE, ATTEMPT, span)
+        new = None
+        if not rest.isEmpty():
+            new = _store(rest, path, ts, F.col(ORDER), grain, replace(write, attempt=_attempt()))
+        touched += log.swap((write,), new)
+    return touched
+
+
+def _spans(spark: SparkSession, write: Write, span: str) -> list[date]:
+    """The spans a write has, from its folder names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(write.path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    found = [re.fullmatch(rf"{span}=(\d+-\d+-\d+)", name) for name in names]
+    return [date.fromisoformat(m[1]) for m in found if m]

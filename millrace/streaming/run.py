@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Mapping
+from datetime import datetime, timedelta, timezone
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.clock import instant
 from ..session import SETTINGS, estimated_bytes, scratch, settings
-from ..sinks.points import write_points
+from ..sinks.points import merge_small_writes, write_points
 
 
 FILE_BYTES = 128 * 1024 * 1024
@@ -32,26 +33,30 @@ def replay_files(df: DataFrame, chunks: int) -> int:
 
 
 def write_replay(df: DataFrame, ts: str, path: str, chunks: int, files: int) -> None:
-    """Cut a table into ``chunks`` consecutive time spans and append them in that order.
+    """Cut a table into at most ``chunks`` consecutive time spans of about as many rows and append them in that order.
 
     A file stream reads files by age, so the folder replays in event-time order when it is
     read with ``maxFilesPerTrigger`` equal to ``files``. The table is laid out by time once;
-    each chunk then reads only its own part of that, and is written by the whole cluster.
+    the bounds are quantiles of time, so a busy hour is cut as finely as its rows demand.
+    Rows of one moment stay together. Each chunk reads only its own part of what was laid
+    out, and is written by the whole cluster.
     """
     kind = df.schema[ts].dataType.typeName()
     sorted_once = scratch(df.sparkSession, "replay-order")
     df.repartitionByRange(chunks * files, ts).sortWithinPartitions(ts).write.parquet(sorted_once)
     laid_out = df.sparkSession.read.schema(df.schema).parquet(sorted_once)
-    first, last = laid_out.agg(F.min(ts), F.max(ts)).first()
-    if first is None:
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    shares = [n / chunks for n in range(1, chunks)]
+    bounds = laid_out.agg(F.percentile_approx(micros, shares, 100 * chunks)).first()[0]
+    if bounds is None:
         return
-    step = (last - first) / chunks
-    for number in range(chunks):
+    moments = [instant(datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=m), kind) for m in sorted(set(bounds))]
+    for number in range(len(moments) + 1):
         span = laid_out
         if number:
-            span = span.filter(F.col(ts) >= instant(first + step * number, kind))
-        if number < chunks - 1:
-            span = span.filter(F.col(ts) < instant(first + step * (number + 1), kind))
+            span = span.filter(F.col(ts) >= moments[number - 1])
+        if number < len(moments):
+            span = span.filter(F.col(ts) < moments[number])
         span.repartition(files).write.mode("append").parquet(path)
 
 
@@ -105,16 +110,21 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 def upsert_writer(
-    stream: DataFrame, path: str, ts: str, order: Column, checkpoint: str, grain: str = "day", writer: str | None = None
+    stream: DataFrame, path: str, ts: str, order: Column, checkpoint: str, grain: str = "day", writer: str | None = None,
+    identity: Sequence[str] | None = None, fields: Sequence[str] | None = None, optional: Sequence[str] | None = None,
 ) -> DataStreamWriter:
     """Store a stream of points. A micro-batch delivered again replaces itself.
 
-    Batch numbers begin anew with every checkpoint, so the checkpoint names the writer unless ``writer`` does.
+    Batch numbers begin anew with every checkpoint, so the checkpoint names the writer unless ``writer`` does. With
+    ``identity`` and ``fields``, small writes are merged in place as they add up, so folders stay few however long the
+    stream runs.
     """
     name = writer or "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         write_points(batch, path, ts, batch_id, order, grain, name)
+        if identity is not None and fields is not None:
+            merge_small_writes(batch.sparkSession, path, ts, identity, fields, grain, optional)
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
