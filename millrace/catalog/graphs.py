@@ -122,7 +122,7 @@ def _graph_build(spark, sf):
 @query("graph_tables_sink", f"SELECT DISTINCT * FROM ({_EDGES})")
 def _graph_tables_sink(spark, sf):
     path = scratch(spark, "graph")
-    write_graph(*graph_build(edges_of(spark, sf)), path)
+    write_graph(edges_of(spark, sf), path)
     return spark.read.parquet(f"{path}/edges")
 
 

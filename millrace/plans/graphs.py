@@ -6,11 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.contracts import ContractError, counted, expect_count, expect_unique
-from ..operators.graph import graph_build, in_degree, top_in_degree
+from ..operators.contracts import ContractError, counted, expect_count, expect_unique, fail_fast, reject_split
+from ..operators.graph import in_degree, top_in_degree
 from ..operators.ranking import ranked
-from ..sinks.tables import write_graph, write_rank_csv
-from ..sources.files import read_edge_csv, read_edge_text
+from ..session import pin_as_table
+from ..sinks.tables import quarantine_sink, write_graph, write_rank_csv
+from ..sources.files import POSITION, judge_edge_csv, read_edge_text
 
 
 def rank_in_degree(edges: DataFrame, k: int) -> DataFrame:
@@ -32,10 +33,26 @@ def rank_edge_file(
     return rows
 
 
-def import_graph(spark: SparkSession, csv_path: str, target: str, expected: int | None = None) -> None:
-    """Load an edge CSV as node and edge tables, with the uniqueness and count gates."""
-    nodes, edges = graph_build(read_edge_csv(spark, csv_path))
-    write_graph(nodes, edges, target)
+def import_graph(
+    spark: SparkSession, csv_path: str, target: str, expected: int | None = None, mode: str = "fail",
+    quarantine: str | None = None,
+) -> None:
+    """Load an edge CSV as node and edge tables, with the uniqueness and count gates. The file is parsed once.
+
+    A malformed row, or one with a null end, stops the import with its position. With ``mode="drop"`` such rows are
+    left out, and with a ``quarantine`` folder they are kept there with their reason.
+    """
+    judged = judge_edge_csv(spark, csv_path)
+    if quarantine is not None:
+        kept, rejected = reject_split(pin_as_table(judged, "judged-edges"))
+        quarantine_sink(rejected, quarantine, "edges")
+    elif mode == "fail":
+        kept = fail_fast(judged, F.concat(F.lit("malformed edge at "), F.to_json(POSITION)))
+    elif mode == "drop":
+        kept, _ = reject_split(judged)
+    else:
+        raise ValueError(f"mode is 'drop' or 'fail', not {mode!r}")
+    write_graph(kept.select("source", "destination"), target)
     expect_unique(spark.read.parquet(f"{target}/nodes"), ["id"])
     if expected is not None:
         expect_count(spark.read.parquet(f"{target}/edges"), expected, "edges")

@@ -13,7 +13,7 @@ from ..operators.contracts import ContractError, counted
 from ..operators.points import relative_range
 from ..operators.windows import tumbling_mean
 from ..sinks.points import merge_small_writes, read_points, write_points
-from ..sources.files import POSITION, position_number
+from ..sources.files import POSITION, with_position_number
 from ..sources.weather import read_weather
 from ..streaming.run import upsert_writer
 
@@ -42,7 +42,7 @@ def ingest_weather(
     ``writer`` and ``batch`` name the write: sent again it replaces itself, and nothing else.
     """
     points = read_weather(spark, csv_path)
-    numbered = points.withColumn(POSITION, position_number(points))
+    numbered = with_position_number(points, csv_path)
     report = measured_write(
         numbered, lambda df: write_points(df, bucket, "time", batch, F.col(POSITION), writer=writer)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.messages import compact_json
 from ..operators.contracts import REASON
+from ..operators.graph import merge_edges, node_union
 
 
 def write_rank_csv(few: DataFrame, path: str) -> None:
@@ -19,9 +20,16 @@ def write_edge_csv(edges: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    nodes.write.parquet(f"{path}/nodes")
-    edges.write.parquet(f"{path}/edges")
+def write_graph(edges: DataFrame, path: str) -> None:
+    """Edges, each once, and the nodes they touch; the input is read once, nodes come from the written edges.
+
+    An edge with a null end stops the job; reject or leave out such edges before.
+    """
+    whole = [F.coalesce(F.col(end), F.raise_error(F.lit(f"an edge has no {end}")).cast("bigint")).alias(end)
+             for end in ("source", "destination")]
+    merge_edges(edges.select(*whole)).write.parquet(f"{path}/edges")
+    written = edges.sparkSession.read.schema("source bigint, destination bigint").parquet(f"{path}/edges")
+    node_union(written).write.parquet(f"{path}/nodes")
 
 
 def keyed_json(df: DataFrame, key: Column, **fields: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import types
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.once import compute_once
 from ..functions.text import is_data_line, strip, whole_number, words
 from ..operators.contracts import ContractError, fail_fast, judge, reject_split
+from ..operators.joins import join_lookup
+from ..operators.ranking import ranked_all
+from ..session import settings
 
 # Accepted header of an edge CSV.
 EDGE_HEADER = ("source", "target")
@@ -17,31 +21,66 @@ EDGE_HEADER = ("source", "target")
 POSITION = "line_position"
 
 
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of one file, through Spark's file systems and codecs; None if the file is empty."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
-    stream = place.getFileSystem(conf).open(place)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-        stream if codec is None else codec.createInputStream(stream), "UTF-8"))
-    try:
-        return reader.readLine()
-    finally:
-        reader.close()
+#: A file's first rows are read by a task of its own, however small it is.
+_FILE_A_TASK = {"spark.sql.files.maxPartitionBytes": "128m", "spark.sql.files.openCostInBytes": "128m"}
 
 
-def expect_header(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> None:
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, bytes)`` of every file below a path or glob; contents are not read."""
+    return spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+
+
+def _first_row(batches):
+    """The first row of a partition; what follows is not read. Runs in Spark's Python workers."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _is_header(line: Column, header: Sequence[str]) -> Column:
+    """Whether a line is the header as it is written plainly, or with every cell quoted; others are looked at one by one."""
+    bare = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), "\r$", "")
+    quoted = ['"' + name.replace('"', '""') + '"' for name in header]
+    plain = [own if set(name) & set(',"\r\n') else name for name, own in zip(header, quoted)]
+    return bare.isin(",".join(plain), ",".join(quoted))
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, value)``: the first line of every file that has one, read by one task a file.
+
+    Run it inside ``settings(spark, _FILE_A_TASK)``, which deals the files out that way.
+    """
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), "value")
+    # The worker gets the function itself, so the package need not be installed there.
+    first = types.FunctionType(_first_row.__code__, {"__builtins__": __builtins__}, "first")
+    return lines.mapInArrow(first, "file string, value string")
+
+
+def expect_header(spark: SparkSession, path: str, header: Sequence[str]) -> None:
     """Every file begins with exactly ``header``, case and order included; a byte-order mark may go before it.
 
-    One line of each file is read, so this costs by the number of files, not by their size.
+    One job reads the start of each file and tells how many there were by first line; the driver sees each different
+    line once, not each file.
     """
-    for path in files:
-        line = _first_line(spark, path)
-        found = next(csv.reader([line.removeprefix("\ufeff")]), []) if line is not None else None
-        if found != list(header):
-            what = "is empty" if found is None else f"has the header {found}"
-            raise ContractError(f"{path} {what}; expected the header {list(header)}")
+    files = len(spark.read.text(path)._jdf.inputFiles())  # a number: the names stay where Spark keeps them
+    if not files:
+        raise ContractError(f"no file at {path}")
+    with settings(spark, _FILE_A_TASK):
+        kinds = first_lines(spark, path).groupBy(
+            F.when(_is_header(F.col("value"), header), F.lit(None).cast("string")).otherwise(F.col("value")).alias("value")
+        ).agg(F.count(F.lit(1)).alias("files"), F.min("file").alias("file"))
+        seen = 0
+        for row in kinds.toLocalIterator():
+            seen += row["files"]
+            if row["value"] is not None:
+                found = next(csv.reader([row["value"].removeprefix("\ufeff")]), [])
+                if found != list(header):
+                    raise ContractError(f"{row['file']} has the header {found}; expected the header {list(header)}")
+    if seen < files:
+        raise ContractError(f"{files - seen} of {files} files at {path} are empty; expected the header {list(header)}")
 
 
 def read_csv_contract(spark: SparkSession, path: str, header: Sequence[str]) -> DataFrame:
@@ -61,10 +100,7 @@ def read_csv_contract(spark: SparkSession, path: str, header: Sequence[str]) ->
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(path)
     )
-    files = sorted(rows.inputFiles())
-    if not files:
-        raise ContractError(f"no file at {path}")
-    expect_header(spark, files, header)
+    expect_header(spark, path, header)
     return rows
 
 
@@ -82,16 +118,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", position())
 
 
-def position_number(records: DataFrame) -> Column:
-    """The ``line_position`` of records read from files as one number that sorts alike."""
-    files = sorted(records.inputFiles())
-    number = F.array_position(F.array(*map(F.lit, files)), F.col(f"{POSITION}.file")) if len(files) > 1 else F.lit(1)
+def with_position_number(records: DataFrame, path: str) -> DataFrame:
+    """Records read from ``path`` with their ``line_position`` as one number that sorts alike.
+
+    Files are numbered in order of name by a joined table, up to 10**8 of them; blocks of a file lie further apart than
+    the unit they are counted in here.
+    """
+    spark = records.sparkSession
+    files = ranked_all(listed_files(spark, path).select("file"), [F.asc("file")], "file_number")
+    numbered = join_lookup(records.withColumn("file", F.col(f"{POSITION}.file")), files, ["file"])
     row = F.col(f"{POSITION}.line").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        number.cast("decimal(5,0)") * F.lit("1" + "0" * 22).cast("decimal(23,0)")
-        + F.col(f"{POSITION}.block").cast("decimal(13,0)") * F.lit("1" + "0" * 10).cast("decimal(11,0)")
+    block = F.shiftright(F.col(f"{POSITION}.block"), 12)
+    number = (
+        F.col("file_number").cast("decimal(8,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)")
+        + block.cast("decimal(9,0)") * F.lit("1" + "0" * 10).cast("decimal(11,0)")
         + row.cast("decimal(10,0)")
     ).cast("decimal(27,0)")
+    return numbered.withColumn(POSITION, number).drop("file", "file_number")
 
 
 def judge_edge_lines(lines: DataFrame) -> DataFrame:

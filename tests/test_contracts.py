@@ -12,8 +12,10 @@ from millrace.operators.contracts import (
     ContractError, count_report, counted, duplicates, expect_count, expect_unique, fail_fast, judge, reject_split,
 )
 from millrace.sinks.tables import quarantine_sink
+from millrace.session import settings
 from millrace.sources.files import (
-    judge_edge_csv, judge_edge_lines, latest_file, parse_edges, read_csv_contract, read_edge_csv, read_edge_text, read_lines,
+    EDGE_HEADER, judge_edge_csv, judge_edge_lines, latest_file, parse_edges, position, read_csv_contract, read_edge_csv,
+    read_edge_text, read_lines, with_position_number,
 )
 from millrace.sources.weather import HEADER, judge_weather, read_weather, read_weather_cells
 from millrace.streaming.telemetry import judge_messages, parse_messages, telemetry_messages, telemetry_projection
@@ -261,3 +263,33 @@ def test_latest_file(spark, tmp_path):
         os.utime(file, (1000 + number, 1000 + number))
     (tmp_path / ".hidden").write_text("x\n")
     assert latest_file(spark, str(tmp_path)).first()["path"].endswith("/b/log")
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    """Files are counted by their first line; plain, quoted and marked headers pass, a wrong or empty file is named."""
+    good = ["source,target\n1,2\n", '"source","target"\n3,4\n', "\ufeffsource,target\n5,6\n", 'source,"target"\n7,8\n']
+    for number in range(40):
+        (tmp_path / f"part-{number:03d}.csv").write_text(good[number % 4])
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    rows = read_csv_contract(spark, str(tmp_path), EDGE_HEADER)
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 5
+    assert rows.count() == 40
+    (tmp_path / "part-017.csv").write_text("source,Target\n1,2\n")
+    with pytest.raises(ContractError, match="part-017.csv has the header"):
+        read_csv_contract(spark, str(tmp_path), EDGE_HEADER)
+    (tmp_path / "part-017.csv").write_text("")
+    with pytest.raises(ContractError, match="1 of 40 files .* are empty"):
+        read_csv_contract(spark, str(tmp_path), EDGE_HEADER)
+
+
+def test_position_numbers_sort_like_positions(spark, tmp_path):
+    for number in range(12):
+        (tmp_path / f"part-{number:03d}.csv").write_text("source,target\n" + "".join(f"{number},{k}\n" for k in range(3000)))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "8k"}):
+        cells = read_csv_contract(spark, str(tmp_path), EDGE_HEADER).select("source", "target", position())
+        numbered = with_position_number(cells, str(tmp_path)).select("source", "target", "line_position").collect()
+    assert len(numbered) == 12 * 3000
+    ordered = [(int(r["source"]), int(r["target"])) for r in sorted(numbered, key=lambda r: r["line_position"])]
+    assert ordered == [(n, k) for n in range(12) for k in range(3000)]
+    assert len({r["line_position"] for r in numbered}) == len(numbered)

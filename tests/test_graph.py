@@ -174,11 +174,23 @@ def test_rank_edge_file(spark, tmp_path):
 
 def test_import_graph(spark, tmp_path):
     source, target = tmp_path / "edges.csv", str(tmp_path / "graph")
-    source.write_text("source,target\n10,11\n10,11\n11,12\na,1\n")
-    import_graph(spark, str(source), target, expected=2)
+    source.write_text("source,target\n10,11\n10,11\n11,12\na,1\n,4\n")
+    with pytest.raises(Exception, match="malformed edge at"):
+        import_graph(spark, str(source), str(tmp_path / "strict"))
+    kept = str(tmp_path / "kept")
+    import_graph(spark, str(source), target, expected=2, quarantine=kept)
+    assert spark.read.json(kept).count() == 2
+    assert sorted(rows(spark.read.parquet(f"{target}/edges"))) == [(10, 11), (11, 12)]
     assert sorted(rows(spark.read.parquet(f"{target}/nodes"))) == [(10,), (11,), (12,)]
     with pytest.raises(RuntimeError, match="expected 5 edges|expected 5"):
-        import_graph(spark, str(source), str(tmp_path / "again"), expected=5)
+        import_graph(spark, str(source), str(tmp_path / "again"), expected=5, mode="drop")
+
+
+def test_edges_without_an_end_are_not_stored_silently(spark, tmp_path):
+    from millrace.sinks.tables import write_graph
+
+    with pytest.raises(Exception, match="an edge has no destination"):
+        write_graph(edges_of(spark, [(1, 2), (3, None)]), str(tmp_path / "graph"))
 
 
 def test_rank_uses_a_top_k_plan(spark):
