@@ -4,7 +4,8 @@ A pre-token is a linked list of byte runs. For every merge rank there is a bucke
 that rank; a two-level bitmap over ranks marks the buckets in use, and find-first-set picks the lowest rank, leftmost
 position first. Merging changes two neighbouring pairs, which are added to their buckets; entries whose pair has
 changed meanwhile are skipped when they come up. The work for a pre-token of n bytes is O(n log n), also when it is
-megabytes long. Distinct short pre-tokens are encoded once per Python worker and kept in a bounded table.
+megabytes long. Short pre-tokens are kept per Python worker in two bounded tables: when the newer one is full it becomes
+the older one, so pre-tokens in use stay and the others go.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-#: Pre-tokens kept per Python worker, and the longest that is kept.
-KEPT, KEPT_CHARS = 250_000, 64
+#: Pre-tokens in each of the two tables of a Python worker (some 200 bytes each), and the longest that is kept.
+KEPT, KEPT_CHARS = 300_000, 64
 
 
 def local_ranks(path: str) -> bytes:
@@ -54,26 +55,29 @@ class Codec:
         self.joined = {
             left << 32 | right: number for token, number in self.rank.items() for cut in range(1, len(token))
             if (left := self.rank.get(token[:cut])) is not None and (right := self.rank.get(token[cut:])) is not None}
+        #: The same for two bytes x, y at x << 8 | y; -1 for none.
+        self.first = [self.rank.get(bytes([x, y]), -1) for x in range(256) for y in range(256)]
         self.split = regex.compile(pattern).findall
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        part = [self.byte[x] for x in piece]
+        byte, first = self.byte, self.first
+        part = [byte[x] for x in piece]
         n = len(part)
+        pair = [first[x << 8 | y] for x, y in zip(piece, piece[1:])]  # the rank of the pair that begins here, as it is now
+        pair.append(-1)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n  # the rank of the pair that begins here, as it is now
         buckets, words, top = {}, {}, 0  # positions by rank; the bitmap's lower level; its upper level
         get, shift, mask = self.joined.get, self.shift, self.mask
         # The queue is written out here, not in methods: most pre-tokens have a dozen bytes, and calls would cost more
         # than the work.
-        for i in range(n - 1):
-            r = get(part[i] << 32 | part[i + 1])
-            if r is not None:
-                pair[i] = r
+        for i, r in enumerate(pair):
+            if r >= 0:
                 if r in buckets:
                     buckets[r].append(i)  # ascending, so still a heap
                 else:
@@ -132,17 +136,21 @@ class Codec:
         return out
 
     def _packed(self, piece: str) -> bytes:
-        ids = _pack(self.merge(piece.encode()))
+        ids = self.older.get(piece) or _pack(self.merge(piece.encode()))
         if len(piece) <= KEPT_CHARS:
             if len(self.kept) >= KEPT:
-                self.kept.clear()
+                self.kept, self.older = {}, self.kept
             self.kept[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        get, packed = self.kept.get, self._packed
-        return b"".join([get(piece) or packed(piece) for piece in self.split(text)])
+        out, packed = [], self._packed
+        pieces = self.split(text)
+        for begin in range(0, len(pieces), 4096):
+            get = self.kept.get  # the table may have been replaced
+            out += [get(piece) or packed(piece) for piece in pieces[begin:begin + 4096]]
+        return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

@@ -81,6 +81,16 @@ def test_bpe_equals_tiktoken(reference):
         assert codec.decode(ids) == text.encode()
 
 
+def test_bpe_tables_of_pre_tokens_stay_bounded(reference, ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 5)
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    pick = random.Random(2)
+    for _ in range(200):
+        text = " ".join("thanonont"[:pick.randint(1, 9)] * pick.randint(1, 3) for _ in range(pick.randint(0, 30)))
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == reference[1].encode_ordinary(text)
+        assert len(codec.kept) <= 5 and len(codec.older) <= 5
+
+
 def test_bpe_on_odd_documents(spark, documents, ranks, reference):
     docs = odd_documents(spark, documents)
     rows = bpe.encode_column(docs, ranks, public_tokenizers.PATTERN).collect()
