@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -408,6 +409,42 @@ def test_wrapper_generalises_pages_of_a_host():
     assert wrappers.content_path(wrapper, 3)[:2] == ["body", "div.c"]
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div>" * 10_000 + "deep", "deep"),
+    ("<center><div>" * 5_000 + "<p>deep" + "</q></center>" * 5_000, "deep"),
+    ("<a " * 100_000, ("<a " * 100_000).strip()),
+    ("<a \"'" * 50_000, None), ("<a" * 100_000, None), ("<!" * 100_000, None),
+    ("".join(f"<div class=c{k}>t{k}</div>" for k in range(20_000)), "\n\n".join(f"t{k}" for k in range(20_000))),
+    ("".join(f"<p>t{k}</p><h2>u</h2>" for k in range(5_000)), "\n\n".join(f"t{k}\n\nu" for k in range(5_000)))])
+def test_deep_long_and_unclosed_pages_take_linear_time(page, text):
+    begin = time.process_time()
+    got = wrappers.extract(page, None)
+    assert got == (page.strip() if text is None else text)
+    other = wrappers.infer([page, "".join(f"<div class=d{k * 7 % 20_001}>t{k}</div>" for k in range(20_000))])
+    assert isinstance(wrappers.expression(other), str) and isinstance(wrappers.content_path(other, 2), list)
+    assert time.process_time() - begin < 60
+
+
+def test_tags_end_at_the_first_angle_outside_quotes():
+    found = [(name, attributes) for _, _, _, name, attributes in wrappers._tags(
+        "<A title='a > b'>x<!-- <b> --><br/><i data-x=\"'\">1 < 2 <3 <u 'open><s>")]
+    assert found == [("a", " title='a > b'"), ("", ""), ("br", "/"), ("i", " data-x=\"'\""), ("s", "")]
+
+
+def test_long_series_of_siblings_align_in_order(monkeypatch):
+    pick = random.Random(4)
+    for _ in range(200):
+        a, b = ([pick.choice("abcd") for _ in range(pick.randint(0, 12))] for _ in range(2))
+        exact = wrappers._matches(a, b)
+        monkeypatch.setattr(wrappers, "CELLS", -1)
+        long = wrappers._matches(a, b)
+        monkeypatch.undo()
+        for pairs in (exact, long):
+            assert all(a[i] == b[j] for i, j in pairs)
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+        assert len(long) <= len(exact)
+
+
 def test_extraction_over_hosts(spark):
     rows = [(k, f"http://h{k % 3}.org/{k}", PAGE.format(f"<article><p>text {k} of some length</p></article>")) for k in range(40)]
     rows += [(100, None, None), (101, "x", ""), (102, "http://h0.org/o", "plain"), (103, None, "<p>lonely</p>"), rows[0],
