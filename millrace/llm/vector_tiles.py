@@ -49,10 +49,10 @@ class Rounded:
     """Vectors with their int8 form and what is needed to bound the error of a product."""
 
     def __init__(self, ids: np.ndarray, data: np.ndarray):
+        # Squares of very large or small components leave the range of doubles. Powers of two change no bit of a cosine.
+        data = np.ldexp(data, -np.frexp(np.abs(data).max(axis=1, keepdims=True))[1])
         self.ids, self.data, self.length = ids, data, lengths(data)
-        # First by the largest component: squares of very large or small components leave the range of doubles.
-        unit = data / np.abs(data).max(axis=1, keepdims=True)
-        unit = unit / lengths(unit)[:, None]
+        unit = data / self.length[:, None]
         self.step = np.abs(unit).max(axis=1) / LEVELS
         self.small = np.rint(unit / self.step[:, None]).astype(np.int8)
         back = self.small * self.step[:, None]
@@ -98,7 +98,8 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "v
     """The ``k`` rows of ``vectors`` with the largest cosine to each row of ``queries``: query_id, rank, id, score.
 
     Nearest first, ties to the smaller id; fewer rows where there are fewer candidates. A row is never its own
-    candidate: ids that equal the query's are left out. Vectors that are null, zero, empty or hold null or non-finite
+    candidate: ids that equal the query's are left out. An id with several rows is a candidate with each of them, repeated
+    rows included, and may take several ranks. Components may have any finite size. Vectors that are null, zero, empty or hold null or non-finite
     components, and rows without an id, take no part; vectors of other lengths are no candidates of a query. A query
     id that occurs twice with different vectors is answered for the smallest of them. Other columns are ignored.
     """

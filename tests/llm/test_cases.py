@@ -486,6 +486,23 @@ def test_nearest_equals_brute_force(spark):
     assert vector_tiles.nearest(few, vectors.limit(0)).count() == 0
 
 
+def test_cosines_of_very_large_and_small_vectors_and_repeated_rows(spark):
+    pick = np.random.default_rng(5)
+    plain = pick.normal(size=(40, 7))
+    power = pick.choice([-1000, -300, 0, 300, 1000], size=(40, 1))
+    rows = [(k, row) for k, row in enumerate(np.ldexp(plain, power).tolist())]
+    vectors = spark.createDataFrame(rows + rows[:3], "vec_id long, embedding array<double>")
+    asked = vectors.where("vec_id % 8 = 0").dropDuplicates(["vec_id"])
+    got = vector_tiles.nearest(asked, vectors).collect()
+    unit = plain / np.sqrt((plain * plain).sum(axis=1))[:, None]
+    for query in range(0, 40, 8):
+        ids = [k for k in [*range(40), 0, 1, 2] if k != query]
+        best = sorted(((-float(unit[query] @ unit[k]), k) for k in ids))[:5]
+        mine = sorted((r["rank"], r["id"], r["score"]) for r in got if r["query_id"] == query)
+        assert [m[:2] for m in mine] == [(n + 1, k) for n, (_, k) in enumerate(best)]
+        assert np.allclose([m[2] for m in mine], [-c for c, _ in best], rtol=0, atol=1e-12)
+
+
 # --- 10 substring dedup ---------------------------------------------------------------------
 
 def test_passages_are_found_and_clean_texts_left(spark, documents):
