@@ -4,7 +4,7 @@
    with a bitmap of hashed shingles (two bits of room for each).
 2. Two sets that link share shingles among the first quarter of each in any fixed order of all shingles. The order
    here is by hash, with very frequent shingles last. The shingles of these first quarters are the keys of tiles; in a
-   tile, sets are in order of size, and only sizes within 3 : 4 meet.
+   tile, only sets with sizes within 3 : 4 meet.
 3. A small tile gives all its pairs; in two large sets at least three keys must agree. Large tiles first compare every
    set with one centre. While large tiles still hold several components, the sets outside the largest one are compared
    with all sets of other components, in blocks: first each is joined with its likeliest partner only, round by round,
