@@ -6,10 +6,11 @@
    here is by hash, with very frequent shingles last. The shingles of these first quarters are the keys of tiles; in a
    tile, only sets with sizes within 3 : 4 meet.
 3. A small tile gives all its pairs; in two large sets at least three keys must agree. Large tiles first compare every
-   set with one centre. While large tiles still hold several components, the sets outside the largest one are compared
-   with all sets of other components, in blocks: first each is joined with its likeliest partner only, round by round,
-   and when that finds no more, every pair that bitmaps allow is tried. No pair that could join two components is left
-   out, and what tiles return grows with their rows.
+   set with one centre. While large tiles still hold several components, they are dealt again by size band, and within
+   a band by blocks of bounded bytes on both sides: the sets outside the largest component meet the sets of other
+   components in their own band and its neighbours. First each is joined with its likeliest partner only, round by
+   round. When that finds no more, the sets that still have a partner which bitmaps allow meet with their sorted
+   arrays; such a tile counts its pairs exactly and returns one link for any two components, so at most one a set.
 4. In a pair, the bits that one bitmap has and the other lacks bound the overlap from above. Pairs that pass are
    counted exactly on sorted arrays, the likeliest of each set first; pairs within a component are not counted again.
 
@@ -36,8 +37,13 @@ COUNTED, REPORTED = 4_000_000, 3
 SMALL_TILE = 8
 #: From this size on, both sets of a pair must agree in so many keys; each then has that many less one more.
 LARGE_SET, LARGE_KEYS = 12, 3
-BLOCK = 2048
+#: Rows of one side of a block at most, and bytes of what a block holds of one side.
+BLOCK, BLOCK_BYTES = 4096, 32 << 20
+#: Sizes of a band lie within this ratio; it is over 4 : 3, so sets that link are in one band or in neighbours.
+BAND = 1.34
 TILE_ROWS = 1_500_000
+#: Rows of sorted keys that a task looks at together.
+CHUNK = 1 << 17
 #: Rounds at most in which sets of large tiles are joined with their likeliest partner before all pairs are tried.
 ROUNDS = 2
 
@@ -132,10 +138,17 @@ def _keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "key long, class long, n int, frequent boolean")
 
 
-def _columns(batches: Iterator[pa.RecordBatch], n: int) -> list[np.ndarray] | None:
-    """All rows of a partition as arrays."""
-    got = [[c.to_numpy(zero_copy_only=False) for c in b.columns[:n]] for b in batches if b.num_rows]
-    return [np.concatenate(c) for c in zip(*got)] if got else None
+def _chunks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """The first ``n`` columns as arrays of about ``CHUNK`` rows, and whether more rows may follow."""
+    waiting: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)] * n]
+    size = 0
+    for batch in batches:
+        waiting.append([c.to_numpy(zero_copy_only=False) for c in batch.columns[:n]])
+        size += batch.num_rows
+        if size >= CHUNK:
+            yield [np.concatenate(c) for c in zip(*waiting)], True
+            waiting, size = waiting[:1], 0
+    yield [np.concatenate(c) for c in zip(*waiting)], False
 
 
 def _close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -146,40 +159,46 @@ PAIR, ROW = 0, 1
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, how often they must occur) and the rows of large tiles (key, class, n)."""
-    got = _columns(batches, 3)
-    if got is None:
-        return
-    key, own, n = got
-    order = np.argsort(key)
-    same = key[order][1:] == key[order][:-1]
-    order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-    key, own, n = key[order], own[order], n[order].astype(np.int64)
-    order = np.lexsort((own, key))
-    key, own, n = key[order], own[order], n[order]
-    first = np.ones(len(key), dtype=bool)
-    first[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-    key, own, n = key[first], own[first], n[first]
-    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
-    sizes = np.diff(np.concatenate([begins, [len(key)]]))
-    size, centre = np.repeat(sizes, sizes), np.repeat(begins, sizes)
-    small = size <= SMALL_TILE
-    out: list[list[np.ndarray]] = []
-
-    def pairs(i: np.ndarray, j: np.ndarray, strict: bool) -> None:
-        keep = _close(n[i], n[j])
-        i, j = i[keep], j[keep]
-        need = np.where((n[i] >= LARGE_SET) & (n[j] >= LARGE_SET) & strict, LARGE_KEYS, 1)
-        out.append([np.full(len(i), PAIR), np.minimum(own[i], own[j]), np.maximum(own[i], own[j]), need])
-
-    for step in range(1, min(SMALL_TILE, len(key))):
-        i = np.flatnonzero(small[:len(key) - step] & (key[:len(key) - step] == key[step:]))
-        pairs(i, i + step, True)
-    large = np.flatnonzero(~small)
-    others = large[large != centre[large]]
-    pairs(centre[others], others, False)
-    out.append([np.full(len(large), ROW), key[large], own[large], n[large]])
-    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["kind", "x", "y", "z"])
+    """Of rows (key, class, n) in order of key and class: pairs (a, b, how often they must occur) and the rows of large
+    tiles (key, class, n). A tile of any size is passed through: only a few of its rows are held."""
+    held = [np.zeros(0, dtype=np.int64)] * 3  # rows of the last key, which may go on
+    centre = None  # class and n of the first row, if the held row is the last of a large tile that was passed on
+    for rows, more in _chunks(batches, 3):
+        key, own, n = (np.concatenate(c) for c in zip(held, rows))
+        if not len(key):
+            continue
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+        key, own, n = key[new], own[new], n[new]
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.concatenate([begins, [len(key)]]))
+        big, centre_own, centre_n = sizes > SMALL_TILE, own[begins], n[begins]
+        if centre is not None:
+            big[0], centre_own[0], centre_n[0] = True, *centre
+        small = np.repeat(~big, sizes)
+        large = np.flatnonzero(~small)
+        if centre is not None:
+            large = large[1:]
+        held, centre = [c[:0] for c in (key, own, n)], None
+        if more and big[-1]:
+            held, centre = [c[-1:] for c in (key, own, n)], (centre_own[-1], centre_n[-1])
+        elif more:
+            held = [c[begins[-1]:] for c in (key, own, n)]
+            small[begins[-1]:] = False
+        out: list[list[np.ndarray]] = []
+
+        def pairs(x: np.ndarray, n_x: np.ndarray, y: np.ndarray, n_y: np.ndarray, strict: bool) -> None:
+            keep = _close(n_x, n_y) & (x != y)
+            x, n_x, y, n_y = x[keep], n_x[keep], y[keep], n_y[keep]
+            need = np.where((n_x >= LARGE_SET) & (n_y >= LARGE_SET) & strict, LARGE_KEYS, 1)
+            out.append([np.full(len(x), PAIR), np.minimum(x, y), np.maximum(x, y), need])
+
+        for step in range(1, min(SMALL_TILE, len(key))):
+            i = np.flatnonzero(small[:len(key) - step] & (key[:len(key) - step] == key[step:]))
+            pairs(own[i], n[i], own[i + step], n[i + step], True)
+        pairs(np.repeat(centre_own, sizes)[large], np.repeat(centre_n, sizes)[large], own[large], n[large], False)
+        out.append([np.full(len(large), ROW), key[large], own[large], n[large]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["kind", "x", "y", "z"])
 
 
 def _folded(words: np.ndarray, width: int) -> np.ndarray:
@@ -209,17 +228,20 @@ def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], share], ["a", "b", "share"]).filter(share.is_valid())
 
 
+def _overlaps(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether two sorted sets link."""
+    if len(left) > len(right):
+        left, right = right, left
+    at = np.searchsorted(right, left)
+    both = int((right[np.minimum(at, len(right) - 1)] == left).sum())
+    return 7 * both >= 3 * (len(left) + len(right))
+
+
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the pairs (a, b, set_a, set_b) that link."""
     for batch in batches:
-        keep = []
-        for set_a, set_b in zip(batch.column(2), batch.column(3)):
-            left, right = (np.frombuffer(s.as_buffer(), np.uint64) for s in (set_a, set_b))
-            if len(left) > len(right):
-                left, right = right, left
-            at = np.searchsorted(right, left)
-            both = int((right[np.minimum(at, len(right) - 1)] == left).sum())
-            keep.append(7 * both >= 3 * (len(left) + len(right)))
+        keep = [_overlaps(*(np.frombuffer(s.as_buffer(), np.uint64) for s in pair))
+                for pair in zip(batch.column(2), batch.column(3))]
         yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -231,17 +253,8 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_bound, "a long, b long, share double")
 
 
-def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = False) -> tuple[DataFrame, DataFrame] | None:
-    """Links (a, b) that join what the pairs of ``near`` (a, b, share) join, and the components they make; None if
-    there are none. With ``few``, ``near`` has about one pair of each class: all are counted at once.
-
-    Each class first tries its likeliest pair; then the pairs that still lie between components.
-    """
-    near = stored(near, "near")
-    if near.isEmpty():
-        return None
-    ends = near.select(F.col("a").alias("class"), "a", "b", "share").union(near.select("b", "a", "b", "share"))
-    wanted = ends.select("class").distinct()
+def _arrays(docs: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """class, set (sorted shingles) of the wanted classes, from one document of each."""
     ids = facts.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("want"))
     ids = stored(ids.select("want").distinct(), "near-docs")
     texts = docs.join(small_side(ids, 16), docs["doc_id"].eqNullSafe(ids["want"]), "left_semi")
@@ -257,6 +270,20 @@ def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = Fals
     arrays = stored(texts.mapInArrow(run, "class long, set binary"), "near-sets")
     if arrays.groupBy("class").count().where("count > 1").limit(1).count():
         arrays = arrays.dropDuplicates(["class"])  # rows that share an id
+    return arrays
+
+
+def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = False) -> tuple[DataFrame, DataFrame] | None:
+    """Links (a, b) that join what the pairs of ``near`` (a, b, share) join, and the components they make; None if
+    there are none. With ``few``, ``near`` has about one pair of each class: all are counted at once.
+
+    Each class first tries its likeliest pair; then the pairs that still lie between components.
+    """
+    near = stored(near, "near")
+    if near.isEmpty():
+        return None
+    ends = near.select(F.col("a").alias("class"), "a", "b", "share").union(near.select("b", "a", "b", "share"))
+    arrays = _arrays(docs, facts, ends.select("class").distinct())
 
     def exact(pairs: DataFrame) -> DataFrame:
         for side in "ab":
@@ -282,78 +309,132 @@ def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = Fals
     return links, components(links)
 
 
-def _blocks(every: bool):
-    """Tiles (tile, key, outside, class, n, label, bits): for an outside row the likeliest row of another label, or with
-    ``every`` all that bitmaps allow, as (key, a, b, share)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
-        if table is None:
-            return
-        tile, outside, own, n, label = (table[k].to_numpy() for k in ("tile", "outside", "class", "n", "label"))
-        bits = table["bits"].to_pylist()
-        order = np.argsort(tile, kind="stable")
-        cuts = np.flatnonzero(np.concatenate([[True], np.diff(tile[order]) != 0]))
-        for rows in np.split(order, cuts[1:]):
-            asks, has = rows[outside[rows]], rows[~outside[rows]]
-            widths = np.array([len(bits[r]) * 8 for r in has])
-            by_width = {w: (has[widths == w], np.stack([np.frombuffer(bits[r], np.uint64) for r in has[widths == w]]))
-                        for w in np.unique(widths).tolist()}
-            left, right, shares = [], [], []
-            for ask in asks.tolist():
-                mine = np.frombuffer(bits[ask], np.uint64)
-                for width, (there, words) in by_width.items():
-                    near = _close(n[there], n[ask]) & (label[there] != label[ask])
-                    if not near.any():
-                        continue
-                    narrow = min(width, len(mine) * 64)
-                    most = _most(n[ask], n[there[near]], _folded(mine, narrow), _folded(words[near], narrow))
-                    share = most / (n[ask] + n[there[near]])
-                    hit = np.flatnonzero(7 * share >= 3 - 1e-9)
-                    if len(hit) and not every:
-                        hit = hit[[int(share[hit].argmax())]]
-                    if len(hit):
-                        left.append(own[there[near][hit]])
-                        right.append(np.full(len(hit), own[ask]))
-                        shares.append(share[hit])
-            if left:
-                x, y = np.concatenate(left), np.concatenate(right)
-                key = np.full(len(x), table["key"][int(rows[0])].as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.concatenate(shares))],
-                    ["key", "a", "b", "share"])
+def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of ``tile``, a tile at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tile = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), len(tile)]
+        for start, end in zip(cuts, cuts[1:]):
+            if held and held[-1].column(0)[0].as_py() != tile[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _allowed(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per outside row of a tile: its index, the rows of other labels that bitmaps allow, and the shares that bound the
+    overlaps."""
+    outside, n, label = (table[k].to_numpy() for k in ("outside", "n", "label"))
+    bits = [np.frombuffer(b.as_buffer(), np.uint64) for b in table["bits"]]
+    has = np.flatnonzero(~outside)
+    widths = np.array([len(bits[r]) * 64 for r in has])
+    by_width = [(w, has[widths == w], np.stack([bits[r] for r in has[widths == w]])) for w in np.unique(widths).tolist()]
+    for ask in np.flatnonzero(outside).tolist():
+        rows, shares = [], []
+        for width, there, words in by_width:
+            near = np.flatnonzero(_close(n[there], n[ask]) & (label[there] != label[ask]))
+            if not len(near):
+                continue
+            narrow = min(width, len(bits[ask]) * 64)
+            most = _most(n[ask], n[there[near]], _folded(bits[ask], narrow), _folded(words[near], narrow))
+            share = most / (n[ask] + n[there[near]])
+            hit = 7 * share >= 3 - 1e-9
+            rows.append(there[near][hit])
+            shares.append(share[hit])
+        if rows and sum(map(len, rows)):
+            yield ask, np.concatenate(rows), np.concatenate(shares)
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles (tile, key, outside, class, n, label, bits): each outside row with its likeliest partner."""
+    for table in _by_tile(batches):
+        own, left, right, best = table["class"].to_numpy(), [], [], []
+        for ask, rows, shares in _allowed(table):
+            at = int(shares.argmax())
+            left.append(min(own[ask], own[rows[at]]))
+            right.append(max(own[ask], own[rows[at]]))
+            best.append(shares[at])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([table["key"][0].as_py()] * len(left), pa.int64()), pa.array(left, pa.int64()),
+             pa.array(right, pa.int64()), pa.array(best, pa.float64())], ["key", "a", "b", "share"])
+
+
+def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles: the rows (key, class) that have a partner which bitmaps allow."""
+    for table in _by_tile(batches):
+        live = np.zeros(table.num_rows, dtype=bool)
+        for ask, rows, _ in _allowed(table):
+            live[rows] = live[ask] = True
+        yield from table.select(["key", "class"]).filter(pa.array(live)).to_batches()
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles (tile, key, outside, class, n, label, bits, set): links (a, b) that join all labels which links join."""
+    for table in _by_tile(batches):
+        own, label = table["class"].to_numpy(), table["label"].to_numpy()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table["set"]]
+        root = {x: x for x in np.unique(label).tolist()}
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        left, right = [], []
+        for ask, rows, shares in _allowed(table):
+            for row in rows[np.argsort(-shares, kind="stable")].tolist():
+                x, y = top(int(label[ask])), top(int(label[row]))
+                if x != y and _overlaps(sets[ask], sets[row]):
+                    root[max(x, y)] = min(x, y)
+                    left.append(min(own[ask], own[row]))
+                    right.append(max(own[ask], own[row]))
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+
+def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, class, n, label, outside) of large tiles with more than one component; outside its largest one."""
+    labelled = stored(rows.select("key", "class", "n").join(labels, F.col("class") == labels["node"], "left").select(
+        "key", "class", "n", F.coalesce("label", "class").alias("label")), "tile-labels")
+    groups = labelled.groupBy("key", "label").agg(F.count("*").alias("rows"))
+    tiles = groups.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "rows").alias("largest"))
+    return stored(labelled.join(tiles.where("labels > 1").select("key", "largest"), "key").select(
+        "key", "class", "n", "label", (F.col("label") != F.col("largest")).alias("outside")), "open-rows")
 
-    return run
 
+def _dealt(rows: DataFrame, facts: DataFrame, row_bytes: float) -> DataFrame:
+    """``rows`` with what ``facts`` has of their classes, in tiles of one key, one band and one block on either side.
 
-def _open_rows(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, class, label) of large tiles with more than one component; per such tile (key) the largest one and the
-    number of blocks."""
-    labelled = stored(rows.select("key", "class").join(labels, F.col("class") == labels["node"], "left").select(
-        "key", "class", F.coalesce("label", "class").alias("label")), "tile-labels")
-    groups = labelled.groupBy("key", "label").agg(F.count("*").alias("rows"))
-    tiles = stored(groups.groupBy("key").agg(
-        F.count("*").alias("labels"), F.sum("rows").alias("rows"), F.max_by("label", "rows").alias("largest")
-    ).where("labels > 1").select("key", "largest", F.ceil(F.col("rows") / BLOCK).alias("blocks")), "open-tiles")
-    return stored(labelled.join(tiles.select("key"), "key", "left_semi"), "open-rows"), tiles
-
-
-def _open_pairs(rows: DataFrame, tiles: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
-    """Candidate pairs (key, a, b, share) between components in the same large tile."""
-    opened = rows.join(tiles, "key").select(
-        "key", "class", "label", "blocks", (F.col("label") != F.col("largest")).alias("outside"))
-    own = opened.withColumn("block", F.pmod(F.xxhash64("class"), "blocks")).withColumn("outside", F.lit(False))
-    asks = opened.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    columns = [F.xxhash64("key", "block").alias("tile"), "key", "outside", "class", "label"]
+    ``row_bytes`` is what a row brings along for each shingle of its set; it bounds the blocks.
+    """
+    rows = rows.withColumn("band", F.floor(F.log(BAND, F.col("n").cast("double"))))
+    room = F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK)), BLOCK_BYTES / (row_bytes * F.pow(F.lit(BAND), F.col("band") + 1))))
+    counts = rows.groupBy("key", "band").agg(F.count("*").alias("rows"), F.count_if("outside").alias("asks"))
+    around = counts.select("key", F.explode(F.array(*(F.col("band") + step for step in (-1, 0, 1)))).alias("band"), "asks")
+    near = around.groupBy("key", "band").agg(F.sum("asks").alias("asks"))
+    blocks = stored(counts.select("key", "band", "rows").join(near, ["key", "band"]).where("asks > 0").select(
+        "key", "band", F.ceil(F.col("rows") / room).alias("blocks"), F.ceil(F.col("asks") / room).alias("parts")), "blocks")
+    own = rows.join(blocks, ["key", "band"]).withColumn("outside", F.lit(False)).withColumn(
+        "block", F.pmod(F.xxhash64("class"), "blocks")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    asks = rows.where("outside").withColumn(
+        "band", F.explode(F.array(*(F.col("band") + step for step in (-1, 0, 1))))).join(
+        blocks, ["key", "band"]).withColumn("part", F.pmod(F.xxhash64("class"), "parts")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    columns = [F.xxhash64("key", "band", "block", "part").alias("tile"), "key", "outside", "class", "n", "label"]
     dealt = own.select(*columns).unionByName(asks.select(*columns))
-    wanted = stored(sets.join(rows.select("class").distinct(), "class", "left_semi"), "open-sets")
-    size = wanted.agg(F.sum(F.length("bits") + 48)).first()[0] or 0
-    if size <= BROADCAST_BYTES:  # then a set's bitmap need not travel with each of its rows
+    wanted = stored(facts.join(rows.select("class").distinct(), "class", "left_semi"), "open-sets")
+    brought = [c for c in wanted.columns if c != "class"]
+    size = wanted.agg(F.sum(sum((F.length(c) for c in brought), F.lit(48)))).first()[0] or 0
+    if size <= BROADCAST_BYTES:  # then what a set brings need not travel with each of its rows
         dealt = dealt.repartition("tile").join(F.broadcast(wanted), "class")
     else:
         dealt = dealt.join(wanted, "class").repartition("tile")
-    return stored(dealt.select("tile", "key", "outside", "class", "n", "label", "bits").mapInArrow(
-        _blocks(every), "key long, a long, b long, share double"), "open-pairs")
+    return dealt.select("tile", "key", "outside", "class", "n", "label", *brought).sortWithinPartitions("tile")
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
@@ -377,8 +458,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = stored(slim.select("class", "n", "bits").dropDuplicates(["class"]), "classes")
     keys = _keys(docs, _frequent(docs, total))
     parts = max(8, -(-total * 27 // (100 * TILE_ROWS)))
-    found = stored(keys.where("NOT frequent").select("key", "class", "n").repartition(parts, "key").mapInArrow(
-        _tiles, "kind long, x long, y long, z long"), "tiles")
+    found = stored(keys.where("NOT frequent").select("key", "class", "n").repartition(parts, "key").sortWithinPartitions(
+        "key", "class").mapInArrow(_tiles, "kind long, x long, y long, z long"), "tiles")
     often = stored(keys.where("frequent").groupBy("key", "class").agg(F.first("n").alias("n")), "frequent-keys")
     centre = stored(often.groupBy("key").agg(F.min(F.struct("class", "n")).alias("centre")), "frequent-centres")
     stars = often.join(small_side(centre, 32), "key").where(
@@ -392,25 +473,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     got = _linked(_bounded(first, sets), docs, slim)
     none = docs.sparkSession.createDataFrame([], "a long, b long")
     links, labels = got or (none, none.toDF("node", "label"))
-    rows = found.where(F.col("kind") == ROW).select(F.col("x").alias("key"), F.col("y").alias("class")).unionByName(
-        often.select("key", "class"))
-    every = False
+    rows = found.where(F.col("kind") == ROW).select(
+        F.col("x").alias("key"), F.col("y").alias("class"), F.col("z").alias("n")).unionByName(
+        often.select("key", "class", F.col("n").cast("long").alias("n")))
+    bitmaps = sets.select("class", "bits")
     for number in range(ROUNDS + 1):
-        rows, tiles = _open_rows(rows, labels)
-        if tiles.isEmpty():
-            break
-        every = every or number == ROUNDS
-        tried = _open_pairs(rows, tiles, sets, every)
-        # A tile in which bitmaps allow no pair between components is settled.
-        rows = rows.join(tried.select("key").distinct(), "key", "left_semi")
-        near = tried.groupBy("a", "b").agg(F.max("share").alias("share")) if every else _likeliest(tried)
-        more = _linked(near, docs, slim, few=not every)
-        if more:
-            links = links.unionByName(more[0])
-            labels = components(links)
-        if every:
+        rows = _open_rows(rows, labels)
+        if rows.isEmpty():
             break
-        every = more is None  # then all pairs are tried, once
+        if number < ROUNDS:
+            tried = stored(_dealt(rows, bitmaps, 0.5).mapInArrow(
+                _likely, "key long, a long, b long, share double"), "open-pairs")
+            # A tile in which bitmaps allow no pair between components is settled.
+            rows = rows.join(tried.select("key").distinct(), "key", "left_semi")
+            more = _linked(_likeliest(tried), docs, slim, few=True)
+            if more:
+                links = links.unionByName(more[0])
+                labels = components(links)
+                continue
+            rows = _open_rows(rows, labels)
+        live = stored(_dealt(rows, bitmaps, 0.5).mapInArrow(_live, "key long, class long").distinct(), "live")
+        if not live.isEmpty():
+            arrays = _arrays(docs, slim, live.select("class").distinct())
+            last = rows.join(live, ["key", "class"], "left_semi")
+            more = stored(_dealt(last, bitmaps.join(arrays, "class"), 8.5).mapInArrow(
+                _joining, "a long, b long").distinct(), "links")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                labels = components(links)
+        break
     names = slim.join(labels, slim["class"] == labels["node"], "left").select(
         "class", "doc_id", F.coalesce("label", "class").alias("label"))
     smallest = names.groupBy("label").agg(F.min("doc_id").alias("component_id"))

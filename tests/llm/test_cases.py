@@ -192,6 +192,44 @@ def test_join_of_a_chain_with_frequent_shingles(spark, documents, monkeypatch):
     assert got == brute_components(dict(enumerate(texts)))
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_join_in_small_blocks_of_large_tiles(spark, documents, monkeypatch, rounds):
+    """Groups that share a passage and frequent keys, over many blocks; exact counting in tiles decides."""
+    monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 3)
+    monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    passage = rng_words(21, 40)
+    texts = []
+    for group in range(8):
+        base = passage + rng_words(200 + group, 8 + 2 * group)
+        texts += [varied(base, 50 * group + k, k % 4) for k in range(9)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(documents(*texts)).collect()}
+    assert got == brute_components(dict(enumerate(texts)))
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 10, 1 << 17])
+def test_tiles_in_chunks(monkeypatch, chunk):
+    """Large tiles give each row once and a star, small ones all pairs, wherever chunks end."""
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    pick = random.Random(4)
+    rows = sorted((key, pick.randrange(60)) for key, n in enumerate([1, 2, 30, 8, 9, 40, 3, 12, 1]) for _ in range(n))
+    rows += [rows[-1]] * 2  # equal rows
+    batches = [pa.RecordBatch.from_pydict({"key": [k for k, _ in rows[i:i + 4]], "class": [c for _, c in rows[i:i + 4]],
+                                           "n": pa.array([100 + c % 30 for _, c in rows[i:i + 4]], pa.int32())})
+               for i in range(0, len(rows), 4)]
+    out = [tuple(r.values()) for b in ngram_join._tiles(iter(batches)) for r in b.to_pylist()]
+    want = []
+    for key in sorted({k for k, _ in rows}):
+        own = sorted({c for k, c in rows if k == key})
+        size = {c: 100 + c % 30 for c in own}
+        large = len(own) > ngram_join.SMALL_TILE
+        want += [(ngram_join.ROW, key, c, size[c]) for c in own if large]
+        ends = [(own[0], c) for c in own[1:]] if large else [(a, b) for a in own for b in own if a < b]
+        want += [(ngram_join.PAIR, a, b, 1 if large else ngram_join.LARGE_KEYS) for a, b in ends
+                 if 4 * min(size[a], size[b]) >= 3 * max(size[a], size[b])]
+    assert sorted(out) == sorted(want)
+
+
 def test_join_on_odd_documents(spark, documents):
     docs = odd_documents(spark, documents)
     rows = ngram_join.jaccard_components(docs).collect()
