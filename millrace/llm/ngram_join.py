@@ -9,8 +9,9 @@
    set with one centre. While large tiles still hold several components, they are dealt again by size band, and within
    a band by blocks of bounded bytes on both sides: the sets outside the largest component meet the sets of other
    components in their own band and its neighbours. First each is joined with its likeliest partner only, round by
-   round. When that finds no more, the sets that still have a partner which bitmaps allow meet with their sorted
-   arrays; such a tile counts its pairs exactly and returns one link for any two components, so at most one a set.
+   round. When that finds no more, the pairs that bitmaps still allow make clusters, for which a tile returns at most
+   one pair a set. A set is in one cluster only; there the sets meet with their sorted arrays, dealt in the same way,
+   pairs are counted exactly, and a block returns one link for any two components, so at most one a set again.
 4. In a pair, the bits that one bitmap has and the other lacks bound the overlap from above. Pairs that pass are
    counted exactly on sorted arrays, the likeliest of each set first; pairs within a component are not counted again.
 
@@ -33,7 +34,7 @@ from .words import mix, pieces, shingle_sets
 FREQUENT_SHARE = 1 << 20
 FREQUENT_LEAST = 64
 #: Shingles gathered by a task before it counts them, and the count from which it reports one.
-COUNTED, REPORTED = 4_000_000, 3
+COUNTED, REPORTED = 2_000_000, 3
 SMALL_TILE = 8
 #: From this size on, both sets of a pair must agree in so many keys; each then has that many less one more.
 LARGE_SET, LARGE_KEYS = 12, 3
@@ -41,7 +42,8 @@ LARGE_SET, LARGE_KEYS = 12, 3
 BLOCK, BLOCK_BYTES = 4096, 32 << 20
 #: Sizes of a band lie within this ratio; it is over 4 : 3, so sets that link are in one band or in neighbours.
 BAND = 1.34
-TILE_ROWS = 1_500_000
+#: Keys a task sorts, as long as there are no more than so many tasks; beyond that the tasks grow, and Spark spills.
+TILE_ROWS, TILE_TASKS = 600_000, 50_000
 #: Rows of sorted keys that a task looks at together.
 CHUNK = 1 << 17
 #: Rounds at most in which sets of large tiles are joined with their likeliest partner before all pairs are tried.
@@ -326,15 +328,18 @@ def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _allowed(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per outside row of a tile: its index, the rows of other labels that bitmaps allow, and the shares that bound the
-    overlaps."""
-    outside, n, label = (table[k].to_numpy() for k in ("outside", "n", "label"))
+ASKS, BOTH = 1, 2  # roles of a row in a tile; 0 is only asked
+
+
+def _allowed(table: pa.Table, label: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per asking row of a tile: its index, the rows of other labels that bitmaps allow, and the shares that bound the
+    overlaps. The caller may merge labels on the way."""
+    role, n = (table[k].to_numpy() for k in ("role", "n"))
     bits = [np.frombuffer(b.as_buffer(), np.uint64) for b in table["bits"]]
-    has = np.flatnonzero(~outside)
+    has = np.flatnonzero(role != ASKS)
     widths = np.array([len(bits[r]) * 64 for r in has])
     by_width = [(w, has[widths == w], np.stack([bits[r] for r in has[widths == w]])) for w in np.unique(widths).tolist()]
-    for ask in np.flatnonzero(outside).tolist():
+    for ask in np.flatnonzero(role).tolist():
         rows, shares = [], []
         for width, there, words in by_width:
             near = np.flatnonzero(_close(n[there], n[ask]) & (label[there] != label[ask]))
@@ -350,50 +355,51 @@ def _allowed(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             yield ask, np.concatenate(rows), np.concatenate(shares)
 
 
+def _ends(own: np.ndarray, left: list[int], right: list[int]) -> list[pa.Array]:
+    x, y = own[np.array(left, dtype=np.int64)], own[np.array(right, dtype=np.int64)]
+    return [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
+
+
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles (tile, key, outside, class, n, label, bits): each outside row with its likeliest partner."""
+    """Tiles (tile, key, role, class, n, label, bits): each asking row with its likeliest partner."""
     for table in _by_tile(batches):
-        own, left, right, best = table["class"].to_numpy(), [], [], []
-        for ask, rows, shares in _allowed(table):
+        left, right, best = [], [], []
+        for ask, rows, shares in _allowed(table, table["label"].to_numpy()):
             at = int(shares.argmax())
-            left.append(min(own[ask], own[rows[at]]))
-            right.append(max(own[ask], own[rows[at]]))
-            best.append(shares[at])
+            left.append(ask)
+            right.append(int(rows[at]))
+            best.append(float(shares[at]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([table["key"][0].as_py()] * len(left), pa.int64()), pa.array(left, pa.int64()),
-             pa.array(right, pa.int64()), pa.array(best, pa.float64())], ["key", "a", "b", "share"])
+            [pa.array([table["key"][0].as_py()] * len(left), pa.int64()), *_ends(table["class"].to_numpy(), left, right),
+             pa.array(best, pa.float64())], ["key", "a", "b", "share"])
 
 
-def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles: the rows (key, class) that have a partner which bitmaps allow."""
+def _clustered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles: pairs (a, b) that connect all rows which the allowed pairs connect, at most one a row."""
     for table in _by_tile(batches):
-        live = np.zeros(table.num_rows, dtype=bool)
-        for ask, rows, _ in _allowed(table):
-            live[rows] = live[ask] = True
-        yield from table.select(["key", "class"]).filter(pa.array(live)).to_batches()
+        cluster, left, right = np.arange(table.num_rows), [], []
+        for ask, rows, _ in _allowed(table, table["label"].to_numpy()):
+            others, at = np.unique(cluster[rows], return_index=True)
+            new = others != cluster[ask]
+            if new.any():
+                left += [ask] * int(new.sum())
+                right += rows[at[new]].tolist()
+                cluster[np.isin(cluster, others)] = cluster[ask]
+        yield pa.RecordBatch.from_arrays(_ends(table["class"].to_numpy(), left, right), ["a", "b"])
 
 
 def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles (tile, key, outside, class, n, label, bits, set): links (a, b) that join all labels which links join."""
+    """Tiles (tile, key, role, class, n, label, bits, set): links (a, b) that join all labels which links join."""
     for table in _by_tile(batches):
-        own, label = table["class"].to_numpy(), table["label"].to_numpy()
+        label, left, right = table["label"].to_numpy().copy(), [], []
         sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table["set"]]
-        root = {x: x for x in np.unique(label).tolist()}
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        left, right = [], []
-        for ask, rows, shares in _allowed(table):
+        for ask, rows, shares in _allowed(table, label):
             for row in rows[np.argsort(-shares, kind="stable")].tolist():
-                x, y = top(int(label[ask])), top(int(label[row]))
-                if x != y and _overlaps(sets[ask], sets[row]):
-                    root[max(x, y)] = min(x, y)
-                    left.append(min(own[ask], own[row]))
-                    right.append(max(own[ask], own[row]))
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+                if label[row] != label[ask] and _overlaps(sets[ask], sets[row]):
+                    label[label == label[row]] = label[ask]
+                    left.append(ask)
+                    right.append(row)
+        yield pa.RecordBatch.from_arrays(_ends(table["class"].to_numpy(), left, right), ["a", "b"])
 
 
 def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -406,27 +412,41 @@ def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
         "key", "class", "n", "label", (F.col("label") != F.col("largest")).alias("outside")), "open-rows")
 
 
-def _dealt(rows: DataFrame, facts: DataFrame, row_bytes: float) -> DataFrame:
-    """``rows`` with what ``facts`` has of their classes, in tiles of one key, one band and one block on either side.
+def _dealt(rows: DataFrame, facts: DataFrame, shingle_bytes: float) -> DataFrame:
+    """``rows`` with what ``facts`` has of their classes, in tiles.
 
-    ``row_bytes`` is what a row brings along for each shingle of its set; it bounds the blocks.
+    A key with few rows is one tile and each of its rows is there once. Others have a tile for each band and block on
+    either side; rows outside the largest component ask in their own band and its neighbours. ``shingle_bytes`` is
+    what a row brings along for each shingle of its set; it bounds the blocks.
     """
     rows = rows.withColumn("band", F.floor(F.log(BAND, F.col("n").cast("double"))))
-    room = F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK)), BLOCK_BYTES / (row_bytes * F.pow(F.lit(BAND), F.col("band") + 1))))
-    counts = rows.groupBy("key", "band").agg(F.count("*").alias("rows"), F.count_if("outside").alias("asks"))
-    around = counts.select("key", F.explode(F.array(*(F.col("band") + step for step in (-1, 0, 1)))).alias("band"), "asks")
-    near = around.groupBy("key", "band").agg(F.sum("asks").alias("asks"))
-    blocks = stored(counts.select("key", "band", "rows").join(near, ["key", "band"]).where("asks > 0").select(
-        "key", "band", F.ceil(F.col("rows") / room).alias("blocks"), F.ceil(F.col("asks") / room).alias("parts")), "blocks")
-    own = rows.join(blocks, ["key", "band"]).withColumn("outside", F.lit(False)).withColumn(
-        "block", F.pmod(F.xxhash64("class"), "blocks")).withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    asks = rows.where("outside").withColumn(
-        "band", F.explode(F.array(*(F.col("band") + step for step in (-1, 0, 1))))).join(
-        blocks, ["key", "band"]).withColumn("part", F.pmod(F.xxhash64("class"), "parts")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    columns = [F.xxhash64("key", "band", "block", "part").alias("tile"), "key", "outside", "class", "n", "label"]
-    dealt = own.select(*columns).unionByName(asks.select(*columns))
+    counts = rows.groupBy("key", "band").agg(F.count("*").alias("rows"), F.count_if("outside").alias("asks"),
+                                             (F.sum("n") * shingle_bytes).alias("bytes"))
+    whole = counts.groupBy("key").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).select(
+        "key", ((F.col("rows") > BLOCK) | (F.col("bytes") > BLOCK_BYTES)).alias("split"))
+    whole = stored(whole.where("split").select("key"), "split-keys")
+    single = rows.join(whole, "key", "left_anti").withColumn("tile", F.xxhash64("key")).withColumn(
+        "role", F.when(F.col("outside"), BOTH).otherwise(0))
+    columns = ["tile", "key", "role", "class", "n", "label"]
+    dealt = single.select(*columns)
+    if not whole.isEmpty():
+        room = F.greatest(F.lit(1.0), F.least(
+            F.lit(float(BLOCK)), BLOCK_BYTES / (shingle_bytes * F.pow(F.lit(BAND), F.col("band") + 1))))
+        counts = counts.join(whole, "key", "left_semi")
+        beside = F.explode(F.array(*(F.col("band") + step for step in (-1, 0, 1)))).alias("band")
+        near = counts.select("key", beside, "asks").groupBy("key", "band").agg(F.sum("asks").alias("asks"))
+        blocks = stored(counts.select("key", "band", "rows").join(near, ["key", "band"]).where("asks > 0").select(
+            "key", "band", F.ceil(F.col("rows") / room).alias("blocks"), F.ceil(F.col("asks") / room).alias("parts")),
+            "blocks")
+        tile = F.xxhash64("key", "band", "block", "part").alias("tile")
+        own = rows.join(blocks, ["key", "band"]).withColumn(
+            "block", F.pmod(F.xxhash64("class"), "blocks")).withColumn(
+            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        asks = rows.where("outside").select("key", beside, "class", "n", "label").join(
+            blocks, ["key", "band"]).withColumn("part", F.pmod(F.xxhash64("class"), "parts")).withColumn(
+            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        for side, role in ((own, 0), (asks, ASKS)):
+            dealt = dealt.unionByName(side.select(tile, "key", F.lit(role).alias("role"), "class", "n", "label"))
     wanted = stored(facts.join(rows.select("class").distinct(), "class", "left_semi"), "open-sets")
     brought = [c for c in wanted.columns if c != "class"]
     size = wanted.agg(F.sum(sum((F.length(c) for c in brought), F.lit(48)))).first()[0] or 0
@@ -434,7 +454,7 @@ def _dealt(rows: DataFrame, facts: DataFrame, row_bytes: float) -> DataFrame:
         dealt = dealt.repartition("tile").join(F.broadcast(wanted), "class")
     else:
         dealt = dealt.join(wanted, "class").repartition("tile")
-    return dealt.select("tile", "key", "outside", "class", "n", "label", *brought).sortWithinPartitions("tile")
+    return dealt.select(*columns, *brought).sortWithinPartitions("tile")
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
@@ -457,7 +477,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     slim = facts.where("class IS NOT NULL")
     sets = stored(slim.select("class", "n", "bits").dropDuplicates(["class"]), "classes")
     keys = _keys(docs, _frequent(docs, total))
-    parts = max(8, -(-total * 27 // (100 * TILE_ROWS)))
+    parts = min(TILE_TASKS, max(8, -(-total * 27 // (100 * TILE_ROWS))))
     found = stored(keys.where("NOT frequent").select("key", "class", "n").repartition(parts, "key").sortWithinPartitions(
         "key", "class").mapInArrow(_tiles, "kind long, x long, y long, z long"), "tiles")
     often = stored(keys.where("frequent").groupBy("key", "class").agg(F.first("n").alias("n")), "frequent-keys")
@@ -492,15 +512,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 labels = components(links)
                 continue
             rows = _open_rows(rows, labels)
-        live = stored(_dealt(rows, bitmaps, 0.5).mapInArrow(_live, "key long, class long").distinct(), "live")
-        if not live.isEmpty():
-            arrays = _arrays(docs, slim, live.select("class").distinct())
-            last = rows.join(live, ["key", "class"], "left_semi")
-            more = stored(_dealt(last, bitmaps.join(arrays, "class"), 8.5).mapInArrow(
-                _joining, "a long, b long").distinct(), "links")
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                labels = components(links)
+        allowed = stored(_dealt(rows, bitmaps, 0.5).mapInArrow(_clustered, "a long, b long").distinct(), "allowed")
+        if allowed.isEmpty():
+            break
+        clusters = components(allowed).select(F.col("label").alias("key"), F.col("node").alias("class"))
+        last = _open_rows(clusters.join(sets.select("class", "n"), "class"), labels)
+        arrays = _arrays(docs, slim, last.select("class").distinct())
+        more = stored(_dealt(last, bitmaps.join(arrays, "class"), 8.5).mapInArrow(
+            _joining, "a long, b long").distinct(), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
         break
     names = slim.join(labels, slim["class"] == labels["node"], "left").select(
         "class", "doc_id", F.coalesce("label", "class").alias("label"))
