@@ -275,9 +275,9 @@ def _arrays(docs: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrays
 
 
-def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = False) -> tuple[DataFrame, DataFrame] | None:
-    """Links (a, b) that join what the pairs of ``near`` (a, b, share) join, and the components they make; None if
-    there are none. With ``few``, ``near`` has about one pair of each class: all are counted at once.
+def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, known: DataFrame | None = None) -> DataFrame | None:
+    """The components (node, label) that the pairs of ``near`` (a, b, share) make if they link; None if none does. With
+    components ``known`` before, ``near`` has about one pair of each class: all are counted at once, and join these.
 
     Each class first tries its likeliest pair; then the pairs that still lie between components.
     """
@@ -292,9 +292,9 @@ def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = Fals
             pairs = pairs.join(arrays.select(F.col("class").alias(side), F.col("set").alias("set_" + side)), side)
         return stored(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_exact, "a long, b long"), "links")
 
-    if few:
+    if known is not None:
         every = exact(near.select("a", "b"))
-        return None if every.isEmpty() else (every, components(every))
+        return None if every.isEmpty() else components(every, known)
     likely = ends.groupBy("class").agg(F.max(F.struct("share", "a", "b")).alias("best"))
     likely = likely.select("best.a", "best.b").distinct()
     first = exact(likely)
@@ -306,9 +306,8 @@ def _linked(near: DataFrame, docs: DataFrame, facts: DataFrame, few: bool = Fals
     open_pairs = stored(open_pairs.join(likely, ["a", "b"], "left_anti"), "open-pairs")
     more = None if open_pairs.isEmpty() else exact(open_pairs)
     if more is None or more.isEmpty():
-        return None if first.isEmpty() else (first, labels)
-    links = first.unionByName(more)
-    return links, components(links)
+        return None if first.isEmpty() else labels
+    return components(more, labels)
 
 
 def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -490,9 +489,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("x").alias("a"), F.col("y").alias("b"), F.col("z").alias("need")).unionByName(stars)
     first = pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.min("need").alias("need")).where(
         "times >= need").select("a", "b")
-    got = _linked(_bounded(first, sets), docs, slim)
-    none = docs.sparkSession.createDataFrame([], "a long, b long")
-    links, labels = got or (none, none.toDF("node", "label"))
+    labels = _linked(_bounded(first, sets), docs, slim)
+    if labels is None:
+        labels = docs.sparkSession.createDataFrame([], "node long, label long")
     rows = found.where(F.col("kind") == ROW).select(
         F.col("x").alias("key"), F.col("y").alias("class"), F.col("z").alias("n")).unionByName(
         often.select("key", "class", F.col("n").cast("long").alias("n")))
@@ -506,10 +505,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 _likely, "key long, a long, b long, share double"), "open-pairs")
             # A tile in which bitmaps allow no pair between components is settled.
             rows = rows.join(tried.select("key").distinct(), "key", "left_semi")
-            more = _linked(_likeliest(tried), docs, slim, few=True)
-            if more:
-                links = links.unionByName(more[0])
-                labels = components(links)
+            more = _linked(_likeliest(tried), docs, slim, labels)
+            if more is not None:
+                labels = more
                 continue
             rows = _open_rows(rows, labels)
         allowed = stored(_dealt(rows, bitmaps, 0.5).mapInArrow(_clustered, "a long, b long").distinct(), "allowed")
@@ -521,8 +519,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         more = stored(_dealt(last, bitmaps.join(arrays, "class"), 8.5).mapInArrow(
             _joining, "a long, b long").distinct(), "links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
+            labels = components(more, labels)
         break
     names = slim.join(labels, slim["class"] == labels["node"], "left").select(
         "class", "doc_id", F.coalesce("label", "class").alias("label"))

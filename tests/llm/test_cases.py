@@ -246,6 +246,37 @@ def test_components(spark):
     assert got == {**{k: 1 for k in range(1, 41)}, 100: 100, 101: 100}
 
 
+def test_components_shrink_from_round_to_round(spark, monkeypatch):
+    """A star, a chain and a dense part: the edges of all rounds together stay in proportion to the edges given."""
+    from millrace.llm import components as module
+
+    rows = []
+
+    def counted(df, label):
+        kept = stored(df, label)
+        if label == "edges":
+            rows.append(kept.count())
+        return kept
+
+    stored = module.stored
+    monkeypatch.setattr(module, "stored", counted)
+    star = [(900, k) for k in range(1000, 1400)]
+    chain = [(k, k + 1) for k in range(2000, 2400)]
+    dense = [(a, b) for a in range(3000, 3030) for b in range(a, 3030)]
+    given = star + chain + dense + [(5, 5)]
+    expected = {**{k: 900 for pair in star for k in pair}, **{k: 2000 for k in range(2000, 2401)},
+                **{k: 3000 for k in range(3000, 3030)}, 5: 5}
+    edges = spark.createDataFrame(given, "a long, b long")
+    assert {r["node"]: r["label"] for r in components(edges).collect()} == expected
+    assert sum(rows) < 3 * len(given)
+    rows.clear()
+    more = spark.createDataFrame([(1399, 2400), (3010, 2001), (7, 6), (8, 8)], "a long, b long")
+    joined = {k: 900 if v > 5 else v for k, v in expected.items()} | {6: 6, 7: 6, 8: 8}
+    assert {r["node"]: r["label"] for r in components(more, components(edges)).collect()} == joined
+    none = spark.createDataFrame([], "a long, b long")
+    assert components(none).count() == 0 and components(none, components(edges)).count() == len(expected)
+
+
 # --- 4 quality rules ------------------------------------------------------------------------
 
 def brute_counts(text):
