@@ -425,6 +425,27 @@ def test_classifier_keeps_clean_and_drops_junk(spark, documents):
     assert kneser_ney.classify(docs.limit(0), labels).count() == 0
 
 
+def test_every_trusted_document_counts(spark, documents):
+    """There are more than the 8,000 documents that once were the most; the counts hold every byte of the learning half."""
+    docs = spark.range(17_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "aa bb").otherwise("cc").alias(
+        "text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    grams = []
+
+    def kept(table):
+        grams.append({(r["lang"], r["code"]): r["n"] for r in table.collect()})
+        return real(table)
+
+    real, kneser_ney.kneser_ney = kneser_ney.kneser_ney, kept
+    try:
+        kneser_ney.fit(docs, labels)
+    finally:
+        kneser_ney.kneser_ney = real
+    learnt = docs.where("pmod(xxhash64(doc_id), 2) = 0").agg(F.sum(F.length("text"))).first()[0]
+    for lang in ("en", kneser_ney.EVERY):
+        assert sum(n for (own, _), n in grams[0].items() if own == lang) == learnt
+
+
 # --- 8 HTML extraction ----------------------------------------------------------------------
 
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=/>x</a>"
