@@ -32,7 +32,8 @@ JOINED = 15
 FLANK = 64
 #: Seeds that a task gathers before it reduces the frequent ones, and the count that makes a seed frequent.
 GATHERED, OFTEN = 1_000_000, 8
-SEED_ROWS = 1_500_000
+#: Seeds that a task joins, about; they are held there.
+SEED_ROWS = 500_000
 #: Entries of an alignment table that are held at once; gaps between seeds with a larger table are aligned in halves.
 CELLS = 250_000
 
@@ -112,15 +113,23 @@ def _seeds(docs: DataFrame, frequent: bool) -> DataFrame:
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Matches (doc, at, holder, holder_at) and, with a null doc, the holders of marked seeds (the seed in at's place)
     with all ``places`` of the seed there."""
-    got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+    got = [b for b in batches if b.num_rows]
     if not got:
         return
-    seed, doc, at, kind = (np.concatenate(c) for c in zip(*got))
+
+    def column(k: int) -> np.ndarray:
+        return np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in got])
+
+    # Most seeds occur once: they go before other columns are copied, and whole columns are held one at a time.
+    seed = column(0)
     order = np.argsort(seed)
-    same = seed[order][1:] == seed[order][:-1]
-    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (kind[order] == MARKED)
-    order = order[shared]
-    order = order[np.lexsort((-kind[order], at[order], doc[order], seed[order]))]
+    seed = seed[order]
+    same = seed[1:] == seed[:-1]
+    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (column(3)[order] == MARKED)
+    order, seed = order[shared], seed[shared]
+    doc, at, kind = (column(k)[order] for k in (1, 2, 3))
+    del got
+    order = np.lexsort((-kind, at, doc, seed))
     seed, doc, at, kind = seed[order], doc[order], at[order], kind[order]
     once = np.concatenate([[True], (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])])[:len(seed)]
     seed, doc, at, kind = seed[once], doc[once], at[once], kind[once]  # repeated rows

@@ -623,6 +623,33 @@ def test_frequent_seeds_have_one_holder(spark, documents):
     assert {(r["doc_id"], r["source_id"]) for r in rows} == {(d, 0) for d in range(1, 40)}
 
 
+def test_seeds_are_joined_in_little_memory():
+    """What a task holds while it picks and joins seeds, beyond the rows that come in."""
+    import tracemalloc
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            work()
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    rows = 400_000
+    seed = np.random.default_rng(3).integers(0, 1 << 62, rows)
+    seed[:1000] = seed[1000:2000]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(seed[k:k + 10_000]), pa.array(np.arange(k, k + 10_000)), pa.array(np.arange(k, k + 10_000, dtype=np.int32)),
+         pa.array(np.zeros(10_000, dtype=np.int32))], ["seed", "doc", "at", "kind"]) for k in range(0, rows, 10_000)]
+    found = []
+    assert peak(lambda: found.extend(chaining._joined(iter(batches)))) < 36 * rows
+    assert sum(b.num_rows for b in found) == 1000
+    text = " ".join(f"w{k * 7919 % 65_537}" for k in range(600_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text[k:k + 4000] for k in range(0, len(text), 4000)])], ["text"])
+    assert peak(lambda: [chaining.winnowed(words.Words(p.column(0))) for p in words.pieces(batch, "text")]) < 40 << 20
+    assert chaining.SEED_ROWS * 36 < 24 << 20
+
+
 def test_chains_follow_order_and_gap_costs():
     x = np.array([0, 5, 10, 15, 20, 300, 305, 310])
     y = np.array([100, 105, 110, 3, 120, 400, 405, 410])
