@@ -2,7 +2,7 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns rows with the columns of ``documents``; the last returns the
 digests of the encoded texts. ``run`` writes each stage's rows as Parquet below ``spark.checkpoint.dir`` and reads them
-again for the next. Stages neither cap nor sample; the classifier alone is fitted on a bounded sample of labelled rows.
+again for the next. Stages neither cap nor sample; the classifier learns from all labelled rows.
 """
 
 from __future__ import annotations
