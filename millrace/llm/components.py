@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import stored
 
+#: Once the counted edges of a contracted graph are no more than this, one task joins them: a round takes some ten stages
+#: however few its edges are.
+LAST_EDGES = 1 << 16
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b): node, label, where label is the smallest node of the component."""
+    edges = [np.stack([c.to_numpy() for c in batch.columns]) for batch in batches if batch.num_rows]
+    if not edges:
+        return
+    node, at = np.unique(np.concatenate(edges, axis=1), return_inverse=True)
+    up = list(range(len(node)))
+    for pair in at.reshape(2, -1).T.tolist():
+        for k in (0, 1):
+            while up[pair[k]] != pair[k]:
+                up[pair[k]] = pair[k] = up[up[pair[k]]]
+        up[max(pair)] = min(pair)
+    for k, above in enumerate(up):  # those above have smaller places, so they are done already
+        up[k] = up[above]
+    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[up])], ["node", "label"])
+
 
 def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``edges`` (a, b: long): node, label, where label is the smallest node of the component. ``known``: components
@@ -14,7 +39,7 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     Each round, every node moves to the neighbour, or itself, that comes first in an order by hash; two rounds share an
     order, so a star is one node after them and a chain, whose order is random, loses a part of its nodes. Edges are
     led to the new nodes; those within a node and repeated ones vanish, so the rows of all rounds together are in
-    proportion to the edges. Tables in the shared folder cut the lineage.
+    proportion to the edges. The last ``LAST_EDGES`` are joined by one task. Tables in the shared folder cut the lineage.
     """
 
     def led(pairs: DataFrame, to: DataFrame) -> DataFrame:
@@ -39,7 +64,10 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
             ends.join(known, "node", "left_anti").select("node", F.col("node").alias("label")))
         given = distinct(led(given, known))
     moves: list[DataFrame] = []
-    while not given.isEmpty():
+    while left := given.count():
+        if left <= LAST_EDGES:
+            moves.append(stored(given.coalesce(1).mapInArrow(_united, "node long, label long"), "moves"))
+            break
         order = lambda c: F.struct(F.xxhash64(c, F.lit(len(moves) // 2)).alias("hash"), F.col(c).alias("at"))
         both = given.select(F.col("a").alias("node"), F.col("b").alias("other")).union(given.select("b", "a"))
         first = both.groupBy("node").agg(F.min(order("other")).alias("first"))

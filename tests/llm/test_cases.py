@@ -277,6 +277,22 @@ def test_components_shrink_from_round_to_round(spark, monkeypatch):
     assert components(none).count() == 0 and components(none, components(edges)).count() == len(expected)
 
 
+@pytest.mark.parametrize("last", [0, 50, 1 << 16])
+def test_components_of_a_chain_take_few_tables(spark, monkeypatch, last):
+    """Contracted to the end, or joined by one task as soon as few edges are left."""
+    from millrace.llm import components as module
+
+    made, stored = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: made.append(label) or stored(df, label))
+    monkeypatch.setattr(module, "LAST_EDGES", last)
+    own = list(range(0, 3000, 10))
+    random.Random(4).shuffle(own)
+    edges = spark.createDataFrame([*zip(own, own[1:]), (-7, -3), (-3, -5)], "a long, b long")
+    got = {r["node"]: r["label"] for r in components(edges).collect()}
+    assert got == {**dict.fromkeys(own, 0), -7: -7, -3: -7, -5: -7}
+    assert last < 1 << 16 or made.count("moves") == 1
+
+
 # --- 4 quality rules ------------------------------------------------------------------------
 
 def brute_counts(text):
