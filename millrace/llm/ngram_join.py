@@ -62,11 +62,22 @@ def _fingerprint(shingles: np.ndarray) -> int:
     return int(mix(np.array([total + np.uint64(len(shingles))], dtype=np.uint64)).view(np.int64)[0])
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, class (fingerprint; null without words), bits."""
+def _read(docs: DataFrame) -> DataFrame:
+    """doc_id, n, class (fingerprint; null without words), bits; and rows without them that hold what a task counted of
+    its shingles (key, times), those left out that it saw less than ``REPORTED`` times."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n", "class", "bits", "key", "times"]
+        lists, waiting, gathered = pa.list_(pa.int64()), [], 0
+
+        def counted(ids: pa.DataType) -> pa.RecordBatch:
+            key, times = np.unique(np.concatenate(waiting), return_counts=True)
+            often = times >= REPORTED
+            return pa.RecordBatch.from_arrays(
+                [*(pa.nulls(1, t) for t in (ids, pa.int64(), pa.int64(), pa.binary())),
+                 *(pa.array([c[often]], lists) for c in (key.view(np.int64), times))], names)
+
         for batch in batches:
             for piece in pieces(batch, "text"):
                 size, own, bits = [], [], []
@@ -74,48 +85,37 @@ def _sets(docs: DataFrame) -> DataFrame:
                     size.append(len(shingles))
                     own.append(_fingerprint(shingles) if len(shingles) else None)
                     bits.append(_bitmap(shingles) if len(shingles) else None)
+                    waiting.append(shingles)
+                    gathered += len(shingles)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(bits, pa.binary())],
-                    ["doc_id", "n", "class", "bits"])
+                    [piece.column(0), pa.array(size, pa.int64()), pa.array(own, pa.int64()), pa.array(bits, pa.binary()),
+                     pa.nulls(len(size), lists), pa.nulls(len(size), lists)], names)
+                if gathered >= COUNTED:
+                    yield counted(piece.column(0).type)
+                    waiting, gathered = [], 0
+        if gathered:
+            yield counted(piece.column(0).type)
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, class long, bits binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, n long, class long, bits binary, key array<long>, times array<long>")
 
 
-def _frequent(docs: DataFrame, total: int) -> np.ndarray:
+def _frequent(counted: DataFrame, total: int) -> np.ndarray:
     """The very frequent shingles, sorted: at most ``FREQUENT_SHARE`` numbers whatever the corpus."""
-
-    def report(waiting: list[np.ndarray]) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(waiting), return_counts=True)
-        key, n = key[n >= REPORTED], n[n >= REPORTED]
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                for shingles in shingle_sets(piece.column(1)):
-                    waiting.append(shingles)
-                    size += len(shingles)
-                if size >= COUNTED:
-                    yield report(waiting)
-                    waiting, size = [], 0
-        if size:
-            yield report(waiting)
-
     least = max(FREQUENT_LEAST, total // FREQUENT_SHARE)
-    found = docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > least)
+    each = counted.select(F.explode(F.arrays_zip("key", "times")).alias("one")).select("one.key", "one.times")
+    found = each.groupBy("key").agg(F.sum("times").alias("n")).where(F.col("n") > least)
     return np.sort(found.select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
 
 def _keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """key, class, n, frequent: the first quarter of each set, plus what large sets add."""
+    """key, class, n (negative: the key is frequent): the first quarter of each set, plus what large sets add."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in batches:
             for piece in pieces(batch, "text"):
-                keys, own, size, often = [], [], [], []
+                keys, own, size = [], [], []
                 for shingles in shingle_sets(piece.column(1)):
                     n = len(shingles)
                     if not n:
@@ -129,15 +129,13 @@ def _keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     common = shingles[last][:take - len(rare)]
                     keys += [rare, common]
                     own.append(np.full(take, _fingerprint(shingles)))
-                    size.append(np.full(take, n))
-                    often.append(np.arange(take) >= len(rare))
+                    size.append(np.where(np.arange(take) < len(rare), n, -n))
                 if keys:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(own)),
-                         pa.array(np.concatenate(size).astype(np.int32)), pa.array(np.concatenate(often))],
-                        ["key", "class", "n", "frequent"])
+                         pa.array(np.concatenate(size).astype(np.int32))], ["key", "class", "n"])
 
-    return docs.mapInArrow(run, "key long, class long, n int, frequent boolean")
+    return docs.mapInArrow(run, "key long, class long, n int")
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list[np.ndarray], bool]]:
@@ -157,15 +155,21 @@ def _close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return 4 * np.minimum(left, right) >= 3 * np.maximum(left, right)
 
 
-PAIR, ROW = 0, 1
+PAIR, ROW, OFTEN = 0, 1, 2
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (key, class, n) in order of key and class: pairs (a, b, how often they must occur) and the rows of large
-    tiles (key, class, n). A tile of any size is passed through: only a few of its rows are held."""
+    tiles (key, class, n). A tile of any size is passed through: only a few of its rows are held. Rows of frequent keys
+    (negative n) come back as they are, n positive."""
     held = [np.zeros(0, dtype=np.int64)] * 3  # rows of the last key, which may go on
     centre = None  # class and n of the first row, if the held row is the last of a large tile that was passed on
     for rows, more in _chunks(batches, 3):
+        often = rows[2] < 0
+        if often.any():
+            found = [np.full(int(often.sum()), OFTEN), *(c[often] for c in rows[:2]), -rows[2][often].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["kind", "x", "y", "z"])
+            rows = [c[~often] for c in rows]
         key, own, n = (np.concatenate(c) for c in zip(held, rows))
         if not len(key):
             continue
@@ -471,15 +475,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole at any length; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    facts = stored(_sets(docs), "sets")
+    read = stored(_read(docs), "sets")
+    facts = read.where("n IS NOT NULL").select("doc_id", "n", "class", "bits")
     total = facts.agg(F.sum("n")).first()[0] or 0
     slim = facts.where("class IS NOT NULL")
     sets = stored(slim.select("class", "n", "bits").dropDuplicates(["class"]), "classes")
-    keys = _keys(docs, _frequent(docs, total))
+    keys = _keys(docs, _frequent(read.where("n IS NULL").select("key", "times"), total))
     parts = min(TILE_TASKS, max(8, -(-total * 27 // (100 * TILE_ROWS))))
-    found = stored(keys.where("NOT frequent").select("key", "class", "n").repartition(parts, "key").sortWithinPartitions(
-        "key", "class").mapInArrow(_tiles, "kind long, x long, y long, z long"), "tiles")
-    often = stored(keys.where("frequent").groupBy("key", "class").agg(F.first("n").alias("n")), "frequent-keys")
+    # Rows of a frequent key go through the same shuffle, dealt over all tasks by class.
+    salt = F.when(F.col("n") < 0, F.col("class")).otherwise(F.lit(0).cast("long"))
+    found = stored(keys.repartition(parts, "key", salt).sortWithinPartitions("key", "class").mapInArrow(
+        _tiles, "kind long, x long, y long, z long"), "tiles")
+    often = stored(found.where(F.col("kind") == OFTEN).groupBy(F.col("x").alias("key"), F.col("y").alias("class")).agg(
+        F.first("z").alias("n")), "frequent-keys")
     centre = stored(often.groupBy("key").agg(F.min(F.struct("class", "n")).alias("centre")), "frequent-centres")
     stars = often.join(small_side(centre, 32), "key").where(
         (F.col("class") != F.col("centre.class"))
@@ -494,7 +502,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
     rows = found.where(F.col("kind") == ROW).select(
         F.col("x").alias("key"), F.col("y").alias("class"), F.col("z").alias("n")).unionByName(
-        often.select("key", "class", F.col("n").cast("long").alias("n")))
+        often.select("key", "class", "n"))
     bitmaps = sets.select("class", "bits")
     for number in range(ROUNDS + 1):
         rows = _open_rows(rows, labels)

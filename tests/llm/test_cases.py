@@ -293,6 +293,28 @@ def test_components_of_a_chain_take_few_tables(spark, monkeypatch, last):
     assert last < 1 << 16 or made.count("moves") == 1
 
 
+def test_shingles_are_made_twice(spark, documents, monkeypatch):
+    """One pass makes the sets and counts, one the keys, frequent or not; only texts that may link are read once more."""
+    passes = spark.sparkContext.accumulator(0)
+    sets = ngram_join.shingle_sets
+
+    def watched(texts):
+        passes.add(len(texts))
+        return sets(texts)
+
+    monkeypatch.setattr(ngram_join, "shingle_sets", watched)
+    texts = [" ".join(rng_words(k, 30)) for k in range(40)]
+    assert ngram_join.jaccard_components(documents(*texts)).count() == 40
+    assert passes.value <= 2 * 40
+    spark_counts = ngram_join._read(documents(*texts * 5).select("doc_id", "text").coalesce(1))
+    monkeypatch.undo()
+    common = ngram_join._frequent(spark_counts.where("n IS NULL").select("key", "times"), 0)
+    assert len(common) == 0
+    monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 4)
+    common = ngram_join._frequent(spark_counts.where("n IS NULL").select("key", "times"), 0)
+    assert sorted(common.tolist()) == sorted({int(x) for s in sets(pa.array(texts)) for x in s})
+
+
 # --- 4 quality rules ------------------------------------------------------------------------
 
 def brute_counts(text):
