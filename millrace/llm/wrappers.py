@@ -1,13 +1,12 @@
 """HTML extraction with wrappers inferred from pages of one host.
 
-A page becomes a stream of block tags and texts, properly nested. Per host, the streams of a bounded sample of pages are
-aligned one after another into a union-free regular expression: equal parts stay as they are, tags that only some pages
+A page becomes a stream of block tags and texts, properly nested. Per host, the streams of all pages are
+aligned into a union-free regular expression, in groups dealt by hash whose wrappers are then aligned with one another: equal parts stay as they are, tags that only some pages
 have become optional, adjacent repetitions (of one element or of a short series) become repeated groups, and texts that
 differ become slots. The content element of the host is then the lowest one that holds all of the slots' text, outside
 of parts marked as navigation, adverts, forms, comments and the like.
 
-Every page is extracted whole with its host's content element; a page that lacks it, and one whose host the sample
-doesn't cover, is read by a wrapper of its own. Nesting may be of any depth, and reading takes time in proportion to the
+Every page is extracted whole with its host's content element; a page that lacks it is read by a wrapper of its own. Nesting may be of any depth, and reading takes time in proportion to the
 page, also where tags, quotes or comments are never closed.
 """
 
@@ -20,13 +19,15 @@ from bisect import bisect_left
 from collections.abc import Callable, Generator, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import small_side, stored
 from .url_filter import host_of
 
-#: Pages of each host that its wrapper is inferred from: those with the smallest hashes.
-SAMPLE = 12
+#: Pages of a host that are aligned in one group, about, and wrappers of groups that are aligned together.
+GROUP, MERGED = 256, 64
+#: Pages a task aligns, as long as there are no more than so many tasks.
+TASK_PAGES, TASKS = 4_000, 50_000
 PERIOD = 4
 #: Two series of siblings are aligned by their longest common series up to so many cells of its table; beyond it the n-th
 #: item of a key on one side can only meet the n-th of that key on the other.
@@ -437,19 +438,94 @@ def extract(page: str, path: list[str] | None) -> str:
     return "\n\n".join(block for element in found for block in _blocks(element))
 
 
-def _infer_hosts(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Wrappers of a partition whose rows (host, page) hold all sampled pages of each host, in no order."""
-    pages: dict[str, list[str]] = {}
-    for batch in groups:
-        for host, page in zip(*(c.to_pylist() for c in batch.columns)):
-            pages.setdefault(host, []).append(page)
-    rows = []
-    for host in sorted(pages):
-        some = sorted(set(pages[host]))
-        rows.append((host, json.dumps(content_path(infer(some), len(some)))))
-    if rows:
-        host, path = zip(*rows)
-        yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(path)], ["host", "path"])
+def packed(wrapper: Element) -> str:
+    """A wrapper as text: its items, parents first, each element with the number of items it holds."""
+    out, waiting = [], [wrapper]
+    while waiting:
+        item = waiting.pop()
+        if isinstance(item, Element):
+            out.append([item.key, item.tag, item.furniture, item.link, item.optional, item.repeated, item.mass, len(item.items)])
+            waiting += reversed(item.items)
+        else:
+            out.append(item)
+    return json.dumps(out)
+
+
+def unpacked(text: str) -> Element:
+    root, stack = None, []  # elements whose items are not complete, with how many they lack
+    for item in json.loads(text):
+        lacks = 0
+        if isinstance(item, list):
+            *own, link, optional, repeated, mass, lacks = item
+            item = Element(*own)
+            item.link, item.optional, item.repeated, item.mass = link, optional, repeated, mass
+        if stack:
+            stack[-1][0].items.append(item)
+            stack[-1][1] -= 1
+        root = root or item
+        if lacks:
+            stack.append([item, lacks])
+        while stack and not stack[-1][1]:
+            stack.pop()
+    return root
+
+
+def _aligned(rows: DataFrame, tasks: int, single: bool) -> DataFrame:
+    """``rows`` (host, part, place, pages, body) as wrappers (host, part, pages, body), one for each host and part, whose
+    rows are aligned in order of ``place``. ``single``: bodies are pages, else packed wrappers; equal pages, which have
+    one place, count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, wrapper, pages, place = None, None, 0, None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([last[0]]), pa.array([last[1]], pa.int64()), pa.array([pages], pa.int64()),
+                 pa.array([packed(wrapper)])], ["host", "part", "pages", "body"])
+
+        for batch in batches:
+            for host, part, at, n, body in zip(*(c.to_pylist() for c in batch.columns)):
+                if (host, part) == last and at == place:
+                    continue
+                own = _wrapper(parse(body)) if single else unpacked(body)
+                if (host, part) == last:
+                    wrapper, pages = _result(_align(wrapper, own)), pages + n
+                else:
+                    if last:
+                        yield done()
+                    last, wrapper, pages = (host, part), own, n
+                place = at
+        if last:
+            yield done()
+
+    return rows.select("host", "part", "place", "pages", "body").repartition(tasks, "host", "part").sortWithinPartitions(
+        "host", "part", "place").mapInArrow(run, "host string, part long, pages long, body string")
+
+
+def _paths(wrappers: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in wrappers:
+        found = [json.dumps(content_path(unpacked(body), n)) for n, body in zip(
+            batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["host", "path"])
+
+
+def infer_hosts(named: DataFrame) -> DataFrame:
+    """From all pages (host, html, mark: hash of the html) the path of each host's content element (host, path). A page's
+    hash says which group it is in and where, so the result doesn't depend on how rows are dealt."""
+    pages = named.where("length(html) > 0")
+    counts = stored(pages.groupBy("host").agg(F.count("*").alias("n")).withColumn(
+        "groups", F.ceil(F.col("n") / GROUP)), "host-pages")
+    total, most = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("groups"), F.lit(0))).first()
+    tasks = lambda n: min(TASKS, max(8, n // TASK_PAGES))
+    rows = pages.join(small_side(counts.select("host", "groups"), 256), "host").select(
+        "host", F.pmod("mark", "groups").alias("part"), F.col("mark").alias("place"), F.lit(1).cast("long").alias("pages"),
+        F.col("html").alias("body"))
+    found = stored(_aligned(rows, tasks(total), True), "wrappers")
+    while most > 1:
+        most, total = -(-most // MERGED), total // MERGED
+        rows = found.select("host", F.floor(F.col("part") / MERGED).alias("part"), F.col("part").alias("place"), "pages", "body")
+        found = stored(_aligned(rows, tasks(total), False), "wrappers")
+    return stored(found.mapInArrow(_paths, "host string, path string"), "paths")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -459,13 +535,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     and repeated rows are extracted alike; an empty table gives no rows; other columns are ignored.
     """
     named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-                         host_of(F.col(url_col)).alias("host"), F.xxhash64(F.col(id_col), F.col(html_col)).alias("mark"))
-    some = Window.partitionBy("host").orderBy("mark")
-    marks = stored(named.where("length(html) > 0").select("host", "mark").withColumn(
-        "place", F.row_number().over(some)).where(F.col("place") <= SAMPLE).select(
-        F.col("mark").alias("chosen")).distinct(), "sampled-pages")
-    sample = named.join(small_side(marks, 16), named["mark"] == marks["chosen"], "left_semi").select("host", "html")
-    paths = stored(sample.repartition("host").mapInArrow(_infer_hosts, "host string, path string"), "wrappers")
+                         host_of(F.col(url_col)).alias("host"))
+    paths = infer_hosts(named.select("host", "html", F.xxhash64("html").alias("mark")))
     joined = named.join(small_side(paths, 256), "host", "left").select("page_id", "url", "html", "path")
     kind = pages.schema[id_col].dataType.simpleString()
 

@@ -587,6 +587,24 @@ def test_extraction_over_hosts(spark):
     assert wrappers.main_text(pages.limit(0)).count() == 0
 
 
+def test_wrappers_come_from_all_pages_of_a_host(spark, monkeypatch):
+    """Each page in turn is the only one whose second part differs, and keeps it; whatever the groups and partitions."""
+    assert not hasattr(wrappers, "SAMPLE")
+    monkeypatch.setattr(wrappers, "GROUP", 3)
+    monkeypatch.setattr(wrappers, "MERGED", 2)
+
+    def page(k, odd):
+        return (f"<body><div class=a><p>Story number {k} with words of its own, {'x' * k}.</p></div>"
+                f"<div class=b><p>{f'Only here {k}' if odd else 'The same on every page.'}</p></div></body>")
+
+    rows = [(k + 100 * odd, f"http://h{odd}.net/{k}", page(k, k == odd)) for odd in (3, 17, 25) for k in range(30)]
+    pages = spark.createDataFrame(rows + [(k + 9000, url, text) for k, url, text in rows], "page_id long, url string, html string")
+    got = [{r["page_id"]: r["text"] for r in wrappers.main_text(pages.repartition(n)).collect()} for n in (1, 7)]
+    assert got[0] == got[1] and all(f"Only here {odd}" in got[0][odd + 100 * odd] for odd in (3, 17, 25))
+    deep = wrappers.infer(["<div>" * 3000 + f"text {k}<p>x" for k in range(2)])
+    assert wrappers.packed(wrappers.unpacked(wrappers.packed(deep))) == wrappers.packed(deep)
+
+
 # --- 9 nearest neighbours -------------------------------------------------------------------
 
 def test_nearest_equals_brute_force(spark):
