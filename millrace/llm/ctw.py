@@ -6,9 +6,13 @@ Krichevsky and Trofimov, and a context's weighted probability is the even mixtur
 over the contexts that lengthen it. From the counts of the whole training part these block probabilities follow
 directly, and with them the weight that each depth has for each decision, so the code length of a byte is one lookup.
 
-The tree is bounded: it has the ``CONTEXTS`` contexts of up to ``DEPTH`` bytes that occur most often, chosen from all
-training documents, whose suffixes are then in it as well. What a context has seen outside the longer ones counts as
-one more branch. Choosing runs on the frequent contexts of each task; counting then covers every byte.
+The tree has every context of up to ``DEPTH`` bytes that occurs, without a floor or limit. Tasks count the strings of
+``DEPTH`` + 1 bytes; shards, one for each hash of a context's last three bytes, hold their sums and work out the depths
+from there on. Contexts of two bytes and fewer, of which there are few by nature, are worked out on the driver from sums
+over the shards. Strings of documents held out are in the tables too, with a count of 0.
+
+In scoring, the strings seen most often (at most ``FREQUENT_GRAMS``) go to the tasks that read texts; all others are
+joined with their probabilities by hash.
 
 Beside it stands a plain unigram score over words. Counts of words stay in shards: the frequent words (at most 2**17)
 go to the tasks that read texts, and the other words of a document are joined with the counts by hash.
@@ -24,13 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
-from .words import Words, pieces
+from .words import Words, mix, pieces
 
 DEPTH = 6
-CONTEXTS = 32_000
+#: Depths up to this are worked out over all shards.
+TOP = 2
 FREQUENT_WORDS = 1 << 17
-#: Bytes of stream that a task gathers before it counts contexts, and the count from which it reports one.
-GATHERED, REPORTED = 4_000_000, 12
+FREQUENT_GRAMS = 1 << 21
+#: Bytes of stream that a task gathers before it passes its counts on, and bytes of text a shard.
+GATHERED, SHARD_BYTES = 8_000_000, 12_000_000
 SMOOTH = 0.1
 END = 10
 
@@ -45,55 +51,94 @@ def _before(stream: np.ndarray, begin: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-WORD, CONTEXT = 0, -1
+def _grams(stream: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Each byte with the ``DEPTH`` before it as one number: the nearest of them highest, the byte itself lowest."""
+    code = stream.astype(np.int64)
+    for depth in range(1, DEPTH + 1):
+        code |= _before(stream, begin, depth).astype(np.int64) << 8 * (DEPTH + 1 - depth)
+    return code
 
 
-def _counts(docs: DataFrame) -> DataFrame:
-    """kind, key, n: word counts by hash (kind 0) and frequent contexts (kind: depth from 1)."""
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """key (hash), n."""
 
-    def contexts(parts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        key, n = np.unique(np.concatenate(parts), return_counts=True)
-        for depth in range(DEPTH, 0, -1):
-            short = key & np.int64((1 << 8 * depth) - 1)
-            order = np.argsort(short, kind="stable")
-            short, n = short[order], n[order]
-            first = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]]))
-            key, n = short[first], np.add.reduceat(n, first)
-            keep = n >= REPORTED
-            yield np.full(int(keep.sum()), depth), key[keep], n[keep]
-
-    def words(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
         key, n = np.unique(np.concatenate(parts), return_counts=True)
-        return np.full(len(key), WORD), key.view(np.int64), n
-
-    def rows(*columns) -> pa.RecordBatch:
-        kind, key, n = columns
-        return pa.RecordBatch.from_arrays(
-            [pa.array(kind.astype(np.int32)), pa.array(key), pa.array(n.astype(np.int64))], ["kind", "key", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, codes, size = [], [], 0
+        hashes, size = [], 0
         for batch in batches:
             for piece in pieces(batch, "text"):
-                text = Words(piece.column("text"))
-                stream, begin = text.stream()
-                code = np.zeros(len(stream), dtype=np.int64)
-                for depth in range(1, DEPTH + 1):
-                    code |= _before(stream, begin, depth).astype(np.int64) << (8 * (depth - 1))
-                hashes.append(text.hash)
-                codes.append(code)
-                size += len(code)
+                hashes.append(Words(piece.column("text")).hash)
+                size += len(hashes[-1])
+                if size >= GATHERED // 4:
+                    yield rows(hashes)
+                    hashes, size = [], 0
+        if size:
+            yield rows(hashes)
+
+    return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in order, and the sums of ``n``."""
+    order = np.argsort(code)
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, dtype=np.int64)
+    return code[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _shards(docs: DataFrame, shards: int) -> DataFrame:
+    """shard, grams, times: the different strings of all ``docs`` (text, held_out) in order, how often training has them."""
+
+    def dealt(parts: list[np.ndarray]) -> pa.RecordBatch:
+        both, times = np.unique(np.concatenate(parts), return_counts=True)
+        code, times = _summed(both >> 1, np.where(both & 1, times, 0))
+        shard = (mix((code >> 8 * (DEPTH - TOP)).view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        code, times = code[order], times[order]
+        have, first = np.unique(shard[order], return_index=True)
+        ends = [*first[1:].tolist(), len(code)]
+        cut = lambda c: pa.array([c[i:j].tobytes() for i, j in zip(first.tolist(), ends)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(have), cut(code), cut(times)], ["shard", "grams", "times"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                stream, begin = Words(piece.column("text")).stream()
+                train = ~piece.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+                parts.append(_grams(stream, begin) << 1 | np.repeat(train, np.diff(begin)))
+                size += len(stream)
                 if size >= GATHERED:
-                    yield rows(*words(hashes))
-                    for part in contexts(codes):
-                        yield rows(*part)
-                    hashes, codes, size = [], [], 0
+                    yield dealt(parts)
+                    parts, size = [], 0
         if size:
-            yield rows(*words(hashes))
-            for part in contexts(codes):
-                yield rows(*part)
+            yield dealt(parts)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, codes, times = None, [], []
 
-    return docs.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+        def done() -> pa.RecordBatch:
+            code, n = _summed(np.concatenate(codes), np.concatenate(times))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([shard]), pa.array([code.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                ["shard", "grams", "times"])
+
+        for batch in batches:
+            for own, *both in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if own != shard and codes:
+                    yield done()
+                    codes, times = [], []
+                shard = own
+                for parts, part in zip((codes, times), both):
+                    parts.append(np.frombuffer(part.as_buffer(), np.int64).copy())
+        if codes:
+            yield done()
+
+    kind = "shard long, grams binary, times binary"
+    return docs.mapInArrow(read, kind).repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(merged, kind)
 
 
 class ContextSet:
@@ -142,31 +187,6 @@ def _deepest(steps: tuple[np.ndarray, np.ndarray], stream: np.ndarray, begin: np
     return context
 
 
-def _byte_counts(docs: DataFrame, contexts: ContextSet) -> DataFrame:
-    """context, byte (as one number, key), n: every byte of ``docs`` under its longest context."""
-    sent = docs.sparkSession.sparkContext.broadcast(contexts.steps())
-    cells = len(contexts.depth) * 256
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = sent.value
-        total = None
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                stream, begin = Words(piece.column("text")).stream()
-                key = _deepest(steps, stream, begin).astype(np.int64) * 256 + stream
-                if total is None:
-                    total = np.zeros(cells, dtype=np.int64)
-                cell, n = np.unique(key, return_counts=True)
-                total[cell] += n
-        if total is not None:
-            key = np.flatnonzero(total)
-            for at in range(0, len(key), 200_000):
-                part = key[at:at + 200_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["key", "n"])
-
-    return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
 def _log_gamma(z: np.ndarray) -> np.ndarray:
     """log of the gamma function for positive numbers, by Stirling's series from z + 8 on."""
     shift = np.zeros_like(z)
@@ -176,6 +196,19 @@ def _log_gamma(z: np.ndarray) -> np.ndarray:
     return (z - 0.5) * np.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - shift
 
 
+_few = np.arange(4096, dtype=np.float64)
+_FEW = _log_gamma(_few + 0.5), _log_gamma(_few + 1)
+
+
+def _log_gammas(count: np.ndarray, half: bool) -> np.ndarray:
+    """log of the gamma function at whole numbers and a half, or at whole numbers and one; small ones by a table."""
+    whole = count.astype(np.int64)
+    out = _FEW[not half][np.minimum(whole, len(_few) - 1)]
+    many = np.flatnonzero(whole >= len(_few))
+    out[many] = _log_gamma(count[many] + (0.5 if half else 1.0))
+    return out
+
+
 def _kt_block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - np.log(np.pi)
 
@@ -265,30 +298,145 @@ class Tree:
         return self.table[at].astype(np.float64)
 
 
-def learn(docs: DataFrame, sums: DataFrame) -> Tree:
-    """The tree of the training ``docs``; ``sums`` are their ``_counts``."""
-    chosen = sums.where(F.col("kind") > 0).orderBy(F.col("n").desc(), "kind", "key").limit(CONTEXTS).select(
-        "kind", "key").toArrow()
-    contexts = ContextSet(chosen["kind"].to_numpy().astype(np.int64), chosen["key"].to_numpy())
-    got = _byte_counts(docs, contexts).toArrow()  # at most 256 rows a context
-    own = np.zeros(len(contexts.depth) * 256, dtype=np.int64)
-    own[got["key"].to_numpy()] = got["n"].to_numpy()
-    return Tree(contexts, own.reshape(-1, 256))
+def _weighed(code: np.ndarray, n: np.ndarray, depth: int, top: int, split=None, base=None) -> Iterator[tuple]:
+    """The contexts of ``top`` to ``depth`` bytes above the strings ``code`` (context and byte, in order) seen ``n`` times.
 
-
-def _scores(docs: DataFrame, tree: Tree, words: np.ndarray, weights: np.ndarray) -> DataFrame:
-    """row, doc_id, held_out, n_tokens, score, known and base (of frequent words), rest (hashes of the other words)."""
-    sent = docs.sparkSession.sparkContext.broadcast((tree, words, weights))
+    For each of the eight bits: keys (context and decision) at ``top`` with their log weighted probabilities, keys at
+    ``depth``, and with ``base`` the probability of a 1 there by contexts so far, the weight that is left for longer ones,
+    and of each string the probability of its bit. ``split``: from keys at ``depth`` the sums over the contexts that
+    lengthen them (None: nothing does). ``base``: from keys above ``top`` what shorter contexts say and the weight left.
+    """
+    rows = [(code, n.astype(np.float64), None)]
+    for _ in range(depth - top):
+        shorter, at = np.unique(rows[-1][0] >> 16 << 8 | rows[-1][0] & 255, return_inverse=True)
+        rows.append((shorter, np.bincount(at, weights=rows[-1][1]), at))
+    for bit in range(8):
+        levels = []  # from the longest: entry of each row, first rows, zeros and ones by entry, weight of the own estimate
+        for code, n, at in rows:
+            prefix = code >> 8 - bit
+            first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
+            entry = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(code)]])))
+            ones = np.add.reduceat(n * (code >> 7 - bit & 1), first)
+            total = np.add.reduceat(n, first)
+            log = _log_gammas(total - ones, True) + _log_gammas(ones, True) - _log_gammas(total, False) - np.log(np.pi)
+            own = prefix[first]
+            key = own >> bit << 8 | 1 << bit | own & (1 << bit) - 1
+            stay = np.ones(len(first))
+            if levels or split is not None:
+                below = split(key) if not levels else np.bincount(
+                    entry[at[levels[-1][1]]], weights=weighted, minlength=len(first))  # noqa: F821
+                stay = 1 / (1 + np.exp(np.clip(below - log, -700, 700)))
+                log = np.logaddexp(log, below) - np.log(2)
+            weighted = log
+            levels.append((entry, first, (ones + 0.5) / (total + 1), stay, key))
+        top_key, low_key = levels[-1][4], levels[0][4]
+        if base is None:
+            yield top_key, weighted, low_key, None, None, None
+            continue
+        one, left = base(top_key >> 16 << 8 | top_key & 255)
+        for k in range(len(levels) - 1, -1, -1):
+            _, _, estimate, stay, _ = levels[k]
+            one, left = one + left * stay * estimate, left * (1 - stay)
+            if k:
+                parent = levels[k][0][rows[k][2][levels[k - 1][1]]]
+                one, left = one[parent], left[parent]
+        ends = one[levels[0][0]] + 0.5 * left[levels[0][0]]
+        yield top_key, weighted, low_key, one, left, np.where(rows[0][0] >> 7 - bit & 1 == 1, ends, 1 - ends)
+
+
+def _looked_up(keys: np.ndarray, *values: np.ndarray):
+    """From keys, all of them among ``keys`` (in order), to their values."""
+    def find(wanted: np.ndarray):
+        at = np.searchsorted(keys, wanted)
+        return values[0][at] if len(values) == 1 else tuple(v[at] for v in values)
+    return find
+
+
+STRING, DECISION = 0, 1
+
+
+def string_scores(docs: DataFrame) -> DataFrame:
+    """gram, n, score: every string of ``docs`` (text, held_out), how often training has it, and the log10 probability of
+    its last byte after the others."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = stored(_shards(docs, min(20_000, max(8, size // SHARD_BYTES))), "lm-shards")
+
+    def each(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for grams, times in zip(batch.column(1), batch.column(2)):
+            yield np.frombuffer(grams.as_buffer(), np.int64), np.frombuffer(times.as_buffer(), np.int64)
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for code, n in each(batch):
+                short = code >> 8 * (DEPTH + 1 - TOP) << 8 | code & 255
+                parts = [(STRING, *_summed(short, n.astype(np.float64)))]
+                for key, weighted, *_ in _weighed(code, n, DEPTH, TOP + 1):
+                    parts.append((DECISION, *_summed(key >> 16 << 8 | key & 255, weighted)))
+                kind = np.repeat([k for k, _, _ in parts], [len(c) for _, c, _ in parts])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kind), *(pa.array(np.concatenate(c)) for c in list(zip(*parts))[1:])], ["kind", "key", "value"])
+
+    sums = shards.mapInArrow(up, "kind long, key long, value double").groupBy("kind", "key").agg(
+        F.sum("value").alias("value")).orderBy("kind", "key").toArrow()  # at most 256 rows a context of two bytes, twice
+    kind, key, value = (sums[c].to_numpy() for c in ("kind", "key", "value"))
+    split = _looked_up(key[kind == DECISION], value[kind == DECISION])
+    root = lambda keys: (np.zeros(len(keys)), np.ones(len(keys)))
+    found = [(low, one, left) for _, _, low, one, left, _ in _weighed(
+        key[kind == STRING], value[kind == STRING], TOP, 0, split, root)] if len(key) else [(key, value, value)]
+    low, one, left = (np.concatenate(c) for c in zip(*found))
+    order = np.argsort(low)
+    sent = docs.sparkSession.sparkContext.broadcast((low[order], one[order], left[order]))
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = _looked_up(*sent.value)
+        for batch in batches:
+            for code, n in each(batch):
+                score = np.zeros(len(code))
+                for *_, share in _weighed(code, n, DEPTH, TOP + 1, None, base):
+                    score += np.log10(np.clip(share, 1e-12, 1 - 1e-12))
+                for at in range(0, len(code), 200_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c[at:at + 200_000]) for c in (code, n, score)], ["gram", "n", "score"])
+
+    return stored(shards.mapInArrow(down, "gram long, n long, score double"), "lm-strings")
+
+
+def _most_seen(strings: DataFrame) -> int:
+    """A count that at most ``FREQUENT_GRAMS`` strings exceed."""
+    size = F.floor(8 * F.log2(F.col("n").cast("double")))
+    steps = strings.where("n > 0").groupBy(size.alias("size")).agg(F.count("*").alias("rows"), F.max("n").alias("n")).collect()
+    have = 0
+    for step in sorted(steps, key=lambda r: -r["n"]):
+        have += step["rows"]
+        if have > FREQUENT_GRAMS:
+            return step["n"]
+    return 0
+
+
+def _scores(docs: DataFrame, strings: np.ndarray, values: np.ndarray, words: np.ndarray, weights: np.ndarray) -> DataFrame:
+    """row, doc_id, held_out, n_tokens, score (of frequent strings), far (the other strings), known and base (of
+    frequent words), rest (hashes of the other words)."""
+    sent = docs.sparkSession.sparkContext.broadcast((strings, values, words, weights))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, words, weights = sent.value
+        strings, values, words, weights = sent.value
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for piece in pieces(batch, "text"):
                 text = Words(piece.column("text"))
                 stream, begin = text.stream()
-                score = np.add.reduceat(tree.score(stream, begin), begin[:-1])
+                gram = _grams(stream, begin)
+                order = np.argsort(gram)  # then the search reads its table once
+                place = np.searchsorted(strings, gram[order])
+                near = np.zeros(len(gram), dtype=bool)
+                each = np.zeros(len(gram))
+                if len(strings):
+                    place = np.minimum(place, len(strings) - 1)
+                    near[order] = strings[place] == gram[order]
+                    each[order] = values[place]
+                score = np.add.reduceat(np.where(near, each, 0.0), begin[:-1])
+                far = np.concatenate([[0], np.cumsum(np.add.reduceat(~near, begin[:-1], dtype=np.int64))])
                 at = np.minimum(np.searchsorted(words, text.hash), max(0, len(words) - 1))
                 hit = words[at] == text.hash if len(words) else np.zeros(len(text.hash), dtype=bool)
                 rows = piece.num_rows
@@ -300,12 +448,13 @@ def _scores(docs: DataFrame, tree: Tree, words: np.ndarray, weights: np.ndarray)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + rows)), piece.column("doc_id"), piece.column("held_out"),
                      pa.array(np.diff(text.first) + 1), pa.array(score), pa.array(known.astype(np.int64)), pa.array(base),
+                     pa.ListArray.from_arrays(pa.array(far, pa.int32()), pa.array(gram[~near])),
                      pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(text.hash[other].view(np.int64)))],
-                    ["row", "doc_id", "held_out", "n_tokens", "score", "known", "base", "rest"])
+                    ["row", "doc_id", "held_out", "n_tokens", "score", "known", "base", "far", "rest"])
                 row += rows
 
     return docs.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, score double, known long, "
-                                "base double, rest array<long>")
+                                "base double, far array<long>, rest array<long>")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -323,8 +472,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
     train = docs.where("NOT held_out").select("text")
-    sums = stored(_counts(train), "lm-counts")
-    words = sums.where(F.col("kind") == WORD)
+    words = stored(_word_counts(train), "lm-words")
     facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = train.count()
     n, v = facts[0] + ends, facts[1] + (1 if ends else 0)
@@ -333,8 +481,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     often = words.where(F.col("n") > n // FREQUENT_WORDS).select("key", "n").toArrow()
     key, count = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(key)
-    tree = learn(train, sums)
-    scored = stored(_scores(docs, tree, key[order], share(count[order].astype(np.float64))), "lm-scores")
+    strings = string_scores(docs.select("text", "held_out"))
+    least = _most_seen(strings)
+    top = strings.where(F.col("n") > least).select("gram", "score").toArrow()
+    gram, value = top["gram"].to_numpy(), top["score"].to_numpy()
+    place = np.argsort(gram)
+    scored = stored(_scores(docs, gram[place], value[place], key[order], share(count[order].astype(np.float64))), "lm-scores")
+    others = strings.where(F.col("n") <= least).select("gram", F.col("score").alias("value"))
+    far = scored.select("row", F.explode("far").alias("gram")).join(others, "gram").groupBy("row").agg(
+        F.sum("value").alias("more_score"))
     rest = scored.select("row", F.explode("rest").alias("key"))
     rare = words.where(F.col("n") <= n // FREQUENT_WORDS).select("key", "n")
     seen = F.coalesce("n", F.lit(0))
@@ -342,8 +497,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.count("n").alias("more_known"),
         F.sum(F.log10(seen + F.lit(SMOOTH)) - F.lit(float(np.log10(size)))).alias("more_base"))
     ended = float(share(ends))
-    return scored.drop("rest").join(joined, "row", "left").select(
+    return scored.drop("rest", "far").join(joined, "row", "left").join(far, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0)) + F.lit(1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) + F.lit(ended)).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) + F.lit(ended)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))

@@ -386,6 +386,28 @@ def test_scores_equal_brute_force(spark, documents):
     assert ctw.score_documents(odd_documents(spark, documents)).count() == len(ODD) + 3
 
 
+@pytest.mark.parametrize("frequent", [0, 400, 1 << 21])
+def test_tree_has_every_context_and_equals_the_dense_one(spark, documents, monkeypatch, frequent):
+    """Scores by shards and joins are those of one table of all contexts, under any partitioning."""
+    monkeypatch.setattr(ctw, "FREQUENT_GRAMS", frequent)
+    texts = [" ".join(rng_words(k % 5, 12 + k)) + " Ωß" * (k % 3) for k in range(50)] + [None, "", "zq"]
+    docs = documents(*texts)
+    got = [{r["doc_id"]: r["score"] for r in ctw.score_documents(docs.repartition(n)).collect()} for n in (1, 9)]
+    assert got[0] == pytest.approx(got[1], rel=1e-9)
+    import zlib
+    stream, begin = words.Words(pa.array(texts)).stream()
+    train = np.repeat([zlib.crc32(str(k).encode()) % 10 != 0 for k in range(len(texts))], np.diff(begin))
+    before = [ctw._before(stream, begin, d).astype(np.int64) for d in range(1, ctw.DEPTH + 1)]
+    code = [sum(b << 8 * k for k, b in enumerate(before[:d])) for d in range(1, ctw.DEPTH + 1)]
+    every = [(d + 1, c) for d in range(ctw.DEPTH) for c in np.unique(code[d])]
+    contexts = ctw.ContextSet(*(np.array(c) for c in zip(*every)))
+    at = ctw._deepest(contexts.steps(), stream, begin)
+    own = np.zeros((len(every) + 1, 256), dtype=np.int64)
+    np.add.at(own, (at[train], stream[train]), 1)
+    dense = np.add.reduceat(ctw.weighted_tree(contexts, own)[at, stream].astype(float), begin[:-1])
+    assert [got[0][k] for k in range(len(texts))] == pytest.approx(dense.tolist(), rel=1e-4)
+
+
 # --- 6 mixing -------------------------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
