@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators.contracts import ContractError
 from millrace.operators.workers import METRICS, skew_compare, skew_workers, worker_grid
 from millrace.plans import joblog as jl
+from millrace.sources import joblog as kinds
 from millrace.sources.files import latest_file
 from millrace.operators.contracts import reject_split
 from millrace.sources.joblog import judge_event_lines, open_event_log, read_event_log, store_event_log
@@ -340,3 +341,102 @@ def test_a_log_with_default_settings_is_read(spark, tmp_path):
     assert jl.completeness(log).first()["complete"]
     rows_of = {r["node_name"]: r["rows"] for r in jl.operator_profile(jl.operator_metrics(log)).collect()}
     assert 1000 in rows_of.values()
+
+
+# --- disk ---------------------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Orders of two applications, an order key twice and one null; lines without host, supplier or order among them."""
+    path = str(tmp_path_factory.mktemp("tables"))
+    orders = [(k, k % 7, "FOP"[k % 3], 100.5 + k, f"{1 + k % 2}-URGENT") for k in range(60)] + [
+        (3, 3, "F", 7.0, "1-URGENT"), (None, 2, "F", 8.0, "2-HIGH")]
+    lines = [(k, k * 3 + n, (k + n) % 5, n, float(n), 10.7 * k, "RAN"[n % 3], "FO"[k % 2])
+             for k in range(62) for n in range(1, 8)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+                          ).withColumn("o_orderdate", F.timestamp_millis(F.lit(86_400_000))).write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_returnflag string, l_linestatus string").write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame([(k, k) for k in range(4)], "s_suppkey long, s_nationkey int").write.parquet(f"{path}/supplier.parquet")
+    return path
+
+
+def files_below(path):
+    path = path.removeprefix("file:")
+    return [os.path.join(root, name) for root, _, names in os.walk(path) for name in names if name.startswith("part-")]
+
+
+def test_text_of_the_derived_log_is_packed_and_in_log_order(spark, tables):
+    from millrace.catalog import joblogs
+
+    path = joblogs.raw_log(spark, tables)
+    assert files_below(path) and all(name.endswith(".gz") for name in files_below(path))
+    log = read_event_log(spark, path)
+    counts = {r["event"]: r["count"] for r in log.groupBy("event").count().collect()}
+    assert [counts[kind] for kind in (kinds.JOB_START, kinds.STAGE_COMPLETED, kinds.TASK_END, kinds.EXECUTOR_ADDED)] == [62, 62, 61 * 7, 20]
+    names = {r["stage_id"]: r["name"] for r in jl.log_stages(log).collect() if r["stage_id"] is not None}
+    assert names == {n: "scan" if n % 2 == 0 else "result done" for n in range(120)}
+    updates = jl.log_plan_updates(log).filter("physical_plan IS NOT NULL").collect()
+    for key in {(r["app_id"], r["execution_id"]) for r in updates}:
+        told = sorted((r["sequence"], int(r["physical_plan"].split()[1])) for r in updates if (r["app_id"], r["execution_id"]) == key)
+        assert [k for _, k in told] == sorted(k for _, k in told)
+
+
+def test_parsed_text_is_deleted(spark, tables, monkeypatch):
+    from millrace.catalog import joblogs
+    from millrace.session import scratch
+
+    made = []
+    monkeypatch.setattr(joblogs, "scratch", lambda *a: made.append(scratch(*a)) or made[-1])
+    log = joblogs.event_log(spark, tables)
+    assert not files_below(next(path for path in made if "event-log" in path))
+    plain = read_event_log(spark, joblogs.raw_log(spark, tables))
+    for table in (jl.log_application, jl.log_jobs, jl.log_rdds, jl.log_tasks, jl.log_plan_updates, jl.summary_of_log):
+        said = [df.drop("block", "line", "plan") for df in (table(log), table(plain))]
+        assert sorted(map(repr, said[0].collect())) == sorted(map(repr, said[1].collect()))
+
+
+def test_a_line_is_parsed_once_and_no_body_is_shuffled(spark, folder, tmp_path):
+    from millrace.plans.graphs import profile_plan
+
+    plan = profile_plan(read_event_log(spark, folder), "simple")
+    assert plan.count("parseJson") == 1
+    store_event_log(read_event_log(spark, folder), str(tmp_path / "events"))
+    before = open_event_log(spark, str(tmp_path / "events")).count()
+    store_event_log(read_event_log(spark, folder), str(tmp_path / "events"), mode="append")
+    assert open_event_log(spark, str(tmp_path / "events")).count() == 2 * before
+    assert all(".zstd." in name for name in files_below(str(tmp_path / "events")))
+
+
+def test_tasks_with_a_host_are_not_joined(spark, tables):
+    from millrace.catalog import joblogs
+
+    log = joblogs.event_log(spark, tables)
+    hosts = {r["worker"] for r in jl.log_tasks(log).collect()}
+    # Line 7 has no host: that of its executor counts, or unknown for supplier 0, the driver, and 4, which is not there.
+    assert {"1@node-1", "1@rack-1", "4@node-4", "4@unknown", "0@unknown"} <= hosts
+    path = log.filter("false")
+    assert jl.log_tasks(path).count() == 0
+
+
+def test_stage_skew_shuffles_a_row_a_worker(spark, tables):
+    from millrace.catalog import joblogs
+    from millrace.plans.graphs import profile_plan
+
+    log = joblogs.event_log(spark, tables)
+    skew = jl.stage_skew(log, jl.log_tasks(log))
+    assert not [line for line in profile_plan(skew, "simple").splitlines() if "Exchange" in line and "metric" in line]
+    df = spark.createDataFrame([(s, w, s * w) for s in range(5) for w in range(3)], "stage long, worker long, tasks long")
+    missing = spark.createDataFrame([(s, s % 2) for s in range(6)], "stage long, missing long")
+    got, apart = (sorted(map(tuple, skew_compare(df, ["stage"], ["tasks"], missing, together=t).collect()), key=repr) for t in (True, False))
+    assert got == apart and len(got) == 6
+
+
+def test_report_leaves_no_scratch_tables(spark, log, tmp_path, monkeypatch):
+    from millrace import session
+
+    made = []
+    monkeypatch.setattr(session, "scratch", lambda spark, label, own=session.scratch: made.append(own(spark, label)) or made[-1])
+    jl.write_report(log, str(tmp_path / "report"))
+    assert made and not [name for path in made for name in files_below(path)]
+    assert all(name.endswith(".json.gz") for name in files_below(str(tmp_path / "report")) if ".json" in name)
