@@ -506,6 +506,27 @@ def test_every_trusted_document_counts(spark, documents):
         assert sum(n for (own, _), n in grams[0].items() if own == lang) == learnt
 
 
+def test_every_byte_is_a_symbol_of_its_own():
+    texts = pa.array([b"xyz" + bytes([k]) for k in range(256)], pa.binary())
+    code, offsets = kneser_ney.codes(texts)
+    assert len(set(code[offsets[1:] - 1].tolist())) == 256  # classes made capitals one, and most signs
+
+
+def test_byte_model_is_a_distribution_and_tells_bytes_apart(spark):
+    code, _ = kneser_ney.codes(pa.array(["Der Bär Öl ÄÄ", "der Bar, das Eis", "naïve 7% & 8%"] * 3 + ["日本 語"]))
+    seen, n = np.unique(code, return_counts=True)
+    grams = spark.createDataFrame([("*", int(c), int(k)) for c, k in zip(seen, n)], "lang string, code long, n long").select(
+        "lang", F.col("code").alias("code", metadata={"symbols": kneser_ney.SYMBOLS}), "n")
+    rows = [t.drop("lang").toPandas() for t in kneser_ney.kneser_ney(grams)]
+    model = kneser_ney._sparse(*({c: t[c].to_numpy() for c in t} for t in rows))
+    contexts = np.unique(np.concatenate([seen // 257, [0, 97, 257 ** 3 - 1, int(seen[0] // 257) + 1]]))
+    for context in contexts.tolist():
+        whole = np.exp(-kneser_ney._steps_of(context * 257 + np.arange(257), model) / kneser_ney.FINE).sum()
+        assert whole == pytest.approx(1, abs=2e-3)
+    after = lambda text: kneser_ney._steps_of(kneser_ney.codes(pa.array([text]))[0][-1:], model)[0]
+    assert after("D") < after("E") and after("8%") < after("8&")
+
+
 # --- 8 HTML extraction ----------------------------------------------------------------------
 
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=/>x</a>"
